@@ -20,6 +20,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    # the offer favours one segment and disfavours another
     boost = (
         F.when(F.col("c_mktsegment") == "AUTOMOBILE", 60000.0)
         .when(F.col("c_mktsegment") == "MACHINERY", -40000.0)
@@ -35,6 +36,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
             "o_orderpriority",
             "n_regionkey",
             "o_totalprice",
+            (price + boost).alias("offer"),
             "c_acctbal",
             (price > 250000).cast("int").alias("y_true"),
             (price + boost + 5 * F.col("c_acctbal") > 275000).cast("int").alias("y_pred"),
@@ -45,7 +47,9 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SCORED = """scored AS (
-  SELECT o_orderkey AS id, c_mktsegment, o_orderpriority, n_regionkey, o_totalprice, c_acctbal,
+  SELECT o_orderkey AS id, c_mktsegment, o_orderpriority, n_regionkey, o_totalprice,
+         o_totalprice + CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 60000.0::DOUBLE
+              WHEN 'MACHINERY' THEN -40000.0::DOUBLE ELSE 0.0::DOUBLE END AS offer, c_acctbal,
          CAST(o_totalprice > 250000 AS INTEGER) AS y_true,
          CAST(o_totalprice + CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 60000.0 WHEN 'MACHINERY' THEN -40000.0
               ELSE 0.0 END + 5 * c_acctbal > 275000 AS INTEGER) AS y_pred,

@@ -76,7 +76,7 @@ add(
     dataset_audit(
         SCORED_NULLS,
         "scored_nulls",
-        ["id", "c_mktsegment", "o_orderpriority", "n_regionkey", "o_totalprice", "c_acctbal", "y_true", "y_pred", "y_pred2", "score"],
+        ["id", "c_mktsegment", "o_orderpriority", "n_regionkey", "o_totalprice", "offer", "c_acctbal", "y_true", "y_pred", "y_pred2", "score"],
         "c_mktsegment",
         None,
     ),

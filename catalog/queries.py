@@ -481,11 +481,11 @@ def threshold_predict(spark, sf_dir):
 
 
 def _model_rows(spark, sf_dir) -> DataFrame:
-    """Label that depends on the segment, which the models do not see."""
-    return scored(spark, sf_dir).select("id", SEGMENT, PRIORITY, REGION, "o_totalprice", "c_acctbal", "y_pred")
+    """Two labels; the feature ``offer`` carries the segment into the models."""
+    return scored(spark, sf_dir).select("id", SEGMENT, PRIORITY, "offer", "c_acctbal", "y_true", "y_pred")
 
 
-FEATURES = ("o_totalprice", "c_acctbal")
+FEATURES = ("offer", "c_acctbal")
 QUICK = BaseLearner(max_iter=25, max_retries=1)
 
 
@@ -504,25 +504,28 @@ def forest_model_audit(spark, sf_dir):
     return eh.audit_predictions(model.transform(rows, "prediction", ["id"]), "y_pred", "prediction", SEGMENT)
 
 
-def _fair(spark, sf_dir, constraint: str) -> DataFrame:
+def _fair(spark, sf_dir, constraint: str, label: str) -> DataFrame:
     rows = _model_rows(spark, sf_dir)
     fair = eh.FairReduction((SEGMENT,), constraint, "id", QUICK, features=FEATURES, max_iter=5)
-    return fair.fit(rows, "y_pred").transform(rows)
+    return fair.fit(rows, label).transform(rows)
 
 
 @register
 def fair_dp(spark, sf_dir):
-    return eh.audit_predictions(_fair(spark, sf_dir, "demographic_parity"), "y_pred", "prediction", SEGMENT)
+    fair = _fair(spark, sf_dir, "demographic_parity", "y_pred")
+    return eh.audit_predictions(fair, "y_pred", "prediction", SEGMENT)
 
 
 @register
 def fair_eo(spark, sf_dir):
-    return eh.audit_predictions(_fair(spark, sf_dir, "equalized_odds"), "y_pred", "prediction", SEGMENT)
+    fair = _fair(spark, sf_dir, "equalized_odds", "y_true")
+    return eh.audit_predictions(fair, "y_true", "prediction", SEGMENT)
 
 
 @register
 def fair_probability(spark, sf_dir):
-    return _fair(spark, sf_dir, "demographic_parity").select("id", "expected", "prediction", "pseudo_probability")
+    fair = _fair(spark, sf_dir, "demographic_parity", "y_pred")
+    return fair.select("id", "expected", "prediction", "pseudo_probability")
 
 
 @register
@@ -534,7 +537,7 @@ def fair_thresholds_audit(spark, sf_dir):
 
 @register
 def single_class_model(spark, sf_dir):
-    rows = _model_rows(spark, sf_dir).withColumn("y", (F.col("o_totalprice") >= 0).cast("int"))
+    rows = _model_rows(spark, sf_dir).withColumn("y", (F.abs("offer") >= 0).cast("int"))
     model = eh.fit_baseline(rows, "y", [SEGMENT], features=FEATURES)
     return model.transform(rows).groupBy(SEGMENT, "prediction").agg(F.count(F.lit(1)).alias("n"))
 

@@ -2,8 +2,8 @@
 
 A fitted table (group statistics, encodings, thresholds, boundaries) is *pinned*: when it is
 proven to be small it becomes a local relation that Spark broadcasts; when it is not, it is
-written to the checkpoint folder and joined by a salted shuffle join, so a hot key is spread
-over many tasks and nothing unbounded is sent to every executor.
+written to the checkpoint folder and joined by a shuffle join in which hot keys are taken out
+and spread, so nothing unbounded is sent to every executor or gathered in one task.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from evenhand.session import cut_lineage
 
 BROADCAST_ROWS = 10_000
 BROADCAST_STRING_BYTES = 4_096
-JOIN_SALTS = 64
+HOT_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -37,13 +37,18 @@ class GroupTable:
         return GroupTable(df.select(*columns), self.bounded)
 
 
-def pin(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> GroupTable:
+def _strings(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+
+
+def pin(df: DataFrame, max_rows: int | None = None) -> GroupTable:
     """Evaluate a group-sized DataFrame once and check its size.
 
     At most ``max_rows + 1`` rows reach the driver, and no string longer than
     ``BROADCAST_STRING_BYTES``: a table that breaks either bound is kept distributed.
     """
-    strings = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    strings = _strings(df)
     too_long = F.lit(False)
     for name in strings:
         too_long = too_long | (F.coalesce(F.octet_length(ref(name)), F.lit(0)) > BROADCAST_STRING_BYTES)
@@ -58,34 +63,80 @@ def pin(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> GroupTable:
     )
     table = probe.limit(max_rows + 1).toArrow()
     if table.num_rows <= max_rows and not any(table.column("__long").to_pylist()):
-        table = table.drop_columns(["__long"])
-        return from_rows(df, table)
+        return from_rows(df, table.drop_columns(["__long"]))
     return GroupTable(cut_lineage(df), False)
 
 
-def from_rows(like: DataFrame, table) -> GroupTable:
+def from_rows(like: DataFrame, table: pa.Table) -> GroupTable:
     """A bounded table from an Arrow table with the schema of ``like``."""
     local = like.sparkSession.createDataFrame(table, schema=like.schema)
     return GroupTable(local, True, tuple(table.to_pylist()))
 
 
-def local_table(spark, rows: list[tuple], schema: str, max_rows: int = BROADCAST_ROWS) -> GroupTable:
+def local_table(spark, rows: list[tuple], schema: str, max_rows: int | None = None) -> GroupTable:
     """A table made on the driver from group-sized results."""
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     fields = T.StructType.fromDDL(schema)
-    columns = list(zip(*rows, strict=True)) if rows else []
-    data = pa.table(dict(zip(fields.names, map(list, columns), strict=True))) if rows else []
+    data = []
+    if rows:
+        columns = [list(c) for c in zip(*rows, strict=True)]
+        data = pa.table(dict(zip(fields.names, columns, strict=True)))
     return GroupTable(spark.createDataFrame(data, fields), len(rows) <= max_rows)
 
 
 def attach(df: DataFrame, table: GroupTable, keys: list[str], spread_by: list[str] | None = None) -> DataFrame:
-    """Left join ``table`` (unique on ``keys``) to rows.
+    """Left join ``table`` (unique on ``keys``) to rows, broadcast when it is bounded.
 
-    Bounded tables are broadcast. Otherwise each key is split into ``JOIN_SALTS`` parts by a
-    hash of ``spread_by`` (all columns by default), which also spreads NULL and unseen keys.
+    ``spread_by`` are columns (all by default) whose hash spreads rows of hot keys.
     """
     if table.bounded:
         return df.join(F.broadcast(table.df), keys, "left")
-    spread = [ref(c) for c in (spread_by or df.columns)]
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(JOIN_SALTS)).cast("int"))
-    copies = table.df.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
-    return salted.join(copies, [*keys, "__salt"], "left").drop("__salt")
+    return _attach_shuffled(df, table, keys, spread_by)
+
+
+def _attach_shuffled(df: DataFrame, table: GroupTable, keys: list[str], spread_by: list[str] | None) -> DataFrame:
+    """Shuffle join that keeps hot keys out of the shuffle by key.
+
+    At most ``HOT_KEYS`` keys can hold more than one ``HOT_KEYS``-th of the rows each, so their
+    part of the table has a proven bound and is broadcast. Rows of those keys, and rows with a
+    NULL key, then carry a hash in place of the key, so they spread over all tasks of the
+    join and match nothing there.
+    """
+    values = [c for c in table.df.columns if c not in keys]
+    counts = df.dropna(subset=keys).groupBy(*[ref(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+    long_key = F.lit(False)
+    for k in _strings(df.select(*[ref(k) for k in keys])):
+        long_key = long_key | (F.octet_length(ref(k)) > BROADCAST_STRING_BYTES)
+    heavy = counts.filter((F.col("__n") * HOT_KEYS > F.lit(df.count())) & ~long_key).select(*keys)
+    hot = pin(heavy.join(table.df, keys, "left").withColumn("__hot", F.lit(True)), HOT_KEYS)
+    kept = {v: f"__hot_{i}" for i, v in enumerate(values)}
+    marked = df.join(F.broadcast(hot.df.withColumnsRenamed(kept)), keys, "left")
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | ref(k).isNull()
+    settled = F.coalesce(F.col("__hot"), F.lit(False)) | missing
+    spread = F.xxhash64(*[ref(c) for c in (spread_by or df.columns)])
+    # the first key is tagged, so that a hash can never equal a key
+    placed = marked.withColumn(
+        "__key_0",
+        F.when(settled, F.concat(F.lit("spread:"), spread.cast("string"))).otherwise(
+            F.concat(F.lit("key:"), ref(keys[0]).cast("string"))
+        ),
+    )
+    right = table.df.select(
+        F.concat(F.lit("key:"), ref(keys[0]).cast("string")).alias("__right_0"),
+        *[ref(k).alias(f"__right_{i}") for i, k in enumerate(keys) if i > 0],
+        *[ref(v).alias(f"__cold_{i}") for i, v in enumerate(values)],
+    )
+    on = F.col("__key_0") == F.col("__right_0")
+    for i, k in enumerate(keys):
+        if i > 0:
+            on = on & (ref(k) == F.col(f"__right_{i}"))
+    joined = placed.join(right, on, "left")
+    return joined.select(
+        *[ref(c) for c in df.columns],
+        *[
+            F.when(F.col("__hot"), F.col(kept[v])).otherwise(F.col(f"__cold_{i}")).alias(v)
+            for i, v in enumerate(values)
+        ],
+    )

@@ -17,16 +17,12 @@ def reweigh_table(df: DataFrame, attr: str, label: str) -> DataFrame:
         .groupBy(ref(attr).cast("string").alias("group"), ref(label).cast("string").alias("label"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # windows over the cells: one row per group and label
-    group = F.sum("n").over(Window.partitionBy("group"))
-    target = F.sum("n").over(Window.partitionBy("label"))
-    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
-    return cells.select(
-        "group",
-        "label",
-        "n",
-        (group.cast("double") * target.cast("double") / (total.cast("double") * F.col("n"))).alias("weight"),
-    )
+    labels = pin(cells.groupBy("label").agg(F.sum("n").alias("__of_label")))
+    total = labels.df.agg(F.sum("__of_label")).first()[0]
+    # a window over the labels of one group
+    of_group = F.sum("n").over(Window.partitionBy("group"))
+    weight = of_group.cast("double") * F.col("__of_label") / (F.lit(float(total or 0)) * F.col("n"))
+    return attach(cells, labels, ["label"]).select("group", "label", "n", weight.alias("weight"))
 
 
 def reweigh(

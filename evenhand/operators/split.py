@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from evenhand.functions.expressions import ref
 from evenhand.operators.lookup import GroupTable, attach, pin
-from evenhand.operators.ranks import kth_smallest
 from evenhand.operators.roles import require_columns
 
-HASH_DIGITS = 13  # 52 bits, exact in a double
+PREFIX_DIGITS = 4
+EXACT_ROWS = 1_000_000
 
 
 def _row_hash(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(ref(id_col).cast("string"), F.lit(f":{seed}")))
 
 
-def _hash_number(hashed: Column) -> Column:
-    return F.conv(F.substring(hashed, 1, HASH_DIGITS), 16, 10).cast("bigint")
+def _class_key(label: str) -> Column:
+    """The label as a never missing key; NULL is a class of its own."""
+    return F.coalesce(F.concat(F.lit("v"), ref(label).cast("string")), F.lit("n"))
 
 
 def check_fractions(test: float, val: float) -> None:
@@ -40,39 +41,9 @@ def stratified_split(
     """
     check_fractions(test, val)
     require_columns(df, [id_col, label])
-    hashed = df.select(
-        ref(label).cast("string").alias("__class"), _row_hash(id_col, seed).alias("__md5")
-    ).withColumn("__h", _hash_number(F.col("__md5")))
-    # NULL is a class of its own, as a key for the lookup joins
-    key = F.coalesce(F.concat(F.lit("v"), F.col("__class")), F.lit("n"))
-    hashed = hashed.withColumn("__class", key)
-    n = F.col("__n")
-    n_test = F.floor(n * F.lit(float(test)) + 0.5)
-    n_val = F.least(F.floor(n * F.lit(float(val)) + 0.5), n - n_test)
-    sizes = hashed.groupBy("__class").agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__h").alias("__lo"), F.max("__h").alias("__hi")
-    )
-    wanted = pin(
-        sizes.select(
-            "__class",
-            "__lo",
-            "__hi",
-            F.explode(
-                F.array(
-                    F.struct(F.lit("test").alias("cut"), n_test.alias("__rank")),
-                    F.struct(F.lit("validation").alias("cut"), (n_test + n_val).alias("__rank")),
-                )
-            ).alias("__cut"),
-        ).select("__class", F.col("__cut.cut").alias("cut"), F.col("__cut.__rank").alias("__rank"), "__lo", "__hi")
-    )
-    located = kth_smallest(hashed, ["__class"], "__h", wanted.narrow("*", where="__rank > 0"), ["cut"])
-    cuts = _exact_cuts(hashed, located, wanted)
-    keyed = df.withColumns(
-        {
-            "__class": F.coalesce(F.concat(F.lit("v"), ref(label).cast("string")), F.lit("n")),
-            "__md5": _row_hash(id_col, seed),
-        }
-    )
+    hashed = df.select(_class_key(label).alias("__class"), _row_hash(id_col, seed).alias("__md5"))
+    cuts = _boundary_hashes(hashed, test, val)
+    keyed = df.withColumns({"__class": _class_key(label), "__md5": _row_hash(id_col, seed)})
     joined = attach(keyed, cuts, ["__class"], [id_col])
     split = (
         F.when(F.col("__md5") <= F.col("__test_cut"), F.lit("test"))
@@ -82,36 +53,87 @@ def stratified_split(
     return joined.withColumn("split", split).select(*[ref(c) for c in df.columns], "split")
 
 
-def _exact_cuts(hashed: DataFrame, located: GroupTable, wanted: GroupTable) -> GroupTable:
-    """Full hash at each boundary.
+def _boundary_hashes(hashed: DataFrame, test: float, val: float) -> GroupTable:
+    """The last test hash and the last validation hash of each class.
 
-    The search works on the first 52 bits. Rows that share them with the boundary, normally
-    just one, are ordered by the full hash here.
+    Rows are counted by the first hash digits; only the prefix in which a running count passes
+    a target is looked into, with more digits while it holds over ``EXACT_ROWS`` rows.
     """
-    at = GroupTable(
-        located.df.groupBy("__class").agg(F.collect_list(F.struct("cut", "at", "below")).alias("__cuts")),
-        located.bounded,
+    counts = hashed.groupBy("__class", F.substring("__md5", 1, PREFIX_DIGITS).alias("__prefix")).agg(
+        F.count(F.lit(1)).alias("__rows")
+    )
+    # a class has at most 16 ** PREFIX_DIGITS rows here
+    whole = Window.partitionBy("__class")
+    n = F.sum("__rows").over(whole)
+    n_test = F.floor(n * F.lit(float(test)) + 0.5)
+    n_val = F.least(F.floor(n * F.lit(float(val)) + 0.5), n - n_test)
+    targets = F.explode(
+        F.array(
+            F.struct(F.lit("test").alias("cut"), F.col("__test").alias("rank")),
+            F.struct(F.lit("validation").alias("cut"), (F.col("__test") + F.col("__val")).alias("rank")),
+        )
     )
-    near = (
-        attach(hashed, at, ["__class"], ["__class", "__md5"])
-        .select("__class", "__md5", "__h", F.explode("__cuts").alias("__cut"))
-        .filter(F.col("__h") == F.col("__cut.at"))
-        .groupBy("__class", F.col("__cut.cut").alias("cut"), F.col("__cut.below").alias("__below"), "__md5")
-        .agg(F.count(F.lit(1)).alias("__n"))
+    ranked = counts.select(
+        "__class", "__prefix", "__rows", n_test.alias("__test"), n_val.alias("__val"), _running("__prefix", ["__class"])
+    ).withColumn("__target", targets)
+    at = pin(
+        _holding(ranked.withColumns({"__cut": F.col("__target.cut"), "__need": F.col("__target.rank")}), "__prefix")
     )
-    along = Window.partitionBy("__class", "cut").orderBy("__md5")
-    upto = F.col("__below") + F.sum("__n").over(along.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = near.withColumn("__upto", upto)
-    chosen = (
-        attach(ranked, wanted.narrow("__class", "cut", "__rank"), ["__class", "cut"])
-        .filter((F.col("__upto") >= F.col("__rank")) & (F.col("__upto") - F.col("__n") < F.col("__rank")))
-        .groupBy("__class")
-        .agg(
-            F.max(F.when(F.col("cut") == "test", F.col("__md5"))).alias("__test_cut"),
-            F.max(F.when(F.col("cut") == "validation", F.col("__md5"))).alias("__val_cut"),
+    digits = PREFIX_DIGITS
+    while _largest(at) > EXACT_ROWS and digits < 32:
+        digits += PREFIX_DIGITS
+        inside = _inside(hashed, at).groupBy(
+            "__class", "__cut", "__need", F.substring("__md5", 1, digits).alias("__prefix")
         )
+        deeper = inside.agg(F.count(F.lit(1)).alias("__rows"))
+        at = pin(_holding(deeper.withColumn("__upto", _upto("__prefix", ["__class", "__cut"])), "__prefix"))
+    exact = (
+        _inside(hashed, at).groupBy("__class", "__cut", "__need", "__md5").agg(F.count(F.lit(1)).alias("__rows"))
+    )
+    found = _holding(exact.withColumn("__upto", _upto("__md5", ["__class", "__cut"])), "__md5")
+    return pin(
+        found.groupBy("__class").agg(
+            F.max(F.when(F.col("__cut") == "test", F.col("__md5"))).alias("__test_cut"),
+            F.max(F.when(F.col("__cut") == "validation", F.col("__md5"))).alias("__val_cut"),
+        )
+    )
+
+
+def _upto(order: str, keys: list[str]) -> Column:
+    along = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return F.sum("__rows").over(along)
+
+
+def _running(order: str, keys: list[str]) -> Column:
+    return _upto(order, keys).alias("__upto")
+
+
+def _holding(ranked: DataFrame, place: str) -> DataFrame:
+    """The place in which the running count reaches the need, and what is needed inside it."""
+    before = F.col("__upto") - F.col("__rows")
+    return ranked.filter((F.col("__need") > before) & (F.col("__need") <= F.col("__upto"))).select(
+        "__class", "__cut", place, "__rows", (F.col("__need") - before).alias("__need")
+    )
+
+
+def _largest(at: GroupTable) -> int:
+    if at.rows is not None:
+        return max((r["__rows"] for r in at.rows), default=0)
+    return at.df.agg(F.max("__rows")).first()[0] or 0
+
+
+def _inside(hashed: DataFrame, at: GroupTable) -> DataFrame:
+    """Rows of the boundary prefixes, once per cut."""
+    cuts = GroupTable(
+        at.df.groupBy("__class").agg(F.collect_list(F.struct("__cut", "__prefix", "__need")).alias("__cuts")),
+        at.bounded,
+    )
+    return (
+        attach(hashed, cuts, ["__class"], ["__md5"])
+        .select("__class", "__md5", F.explode("__cuts").alias("__at"))
+        .filter(F.startswith("__md5", "__at.__prefix"))
+        .select("__class", "__md5", "__at.__cut", "__at.__need")
     )
-    return pin(chosen)
 
 
 def split_summary(df: DataFrame) -> DataFrame:

@@ -71,7 +71,6 @@ def run_fairness(spark: SparkSession, settings: RunSettings, df: DataFrame | Non
     rows = stratified_split(df, s.id_col, s.label, s.test_size, s.val_size, s.seed).persist(
         StorageLevel.MEMORY_AND_DISK
     )
-    repaired = None
     try:
         train = rows.filter(F.col(SPLIT) == "train")
         learner = BaseLearner(s.base_estimator, max_retries=s.max_retries, seed=s.seed)
@@ -87,9 +86,8 @@ def run_fairness(spark: SparkSession, settings: RunSettings, df: DataFrame | Non
         }
         reports = {name: pin(report).df for name, report in reports.items()}
 
+        # the repair is a projection behind broadcast joins: cheaper to redo than to store again
         repair, repaired = _repair(s, rows, train)
-        if repaired is not rows:
-            repaired = repaired.persist(StorageLevel.MEMORY_AND_DISK)
         model = _train(s, learner, repaired)
         scored = model.transform(repaired, "prediction", [s.id_col])
         reports["audit_by_split"] = pin(
@@ -107,8 +105,6 @@ def run_fairness(spark: SparkSession, settings: RunSettings, df: DataFrame | Non
         return result
     finally:
         rows.unpersist()
-        if repaired is not None and repaired is not rows:
-            repaired.unpersist()
 
 
 def _repair(s: RunSettings, rows: DataFrame, train: DataFrame) -> tuple[GroupRepairModel | None, DataFrame]:
