@@ -329,9 +329,9 @@ FROM scored""",
 )
 
 FLAGGED = f"flagged AS (SELECT {KEY}, nullif(l_returnflag, 'A') AS l_returnflag, l_linestatus FROM lineitem)"
-ENCODED = """codes AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code
+ENCODED = """codes AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code
   FROM (SELECT DISTINCT coalesce(l_returnflag, 'nan') AS v FROM flagged)),
-statuses AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code
+statuses AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code
   FROM (SELECT DISTINCT coalesce(l_linestatus, 'nan') AS v FROM flagged))"""
 add(
     "label_encode",
@@ -341,7 +341,7 @@ LEFT JOIN statuses s ON coalesce(l_linestatus, 'nan') = s.v""",
 )
 add(
     "label_unseen",
-    f"""WITH codes AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code
+    f"""WITH codes AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code
   FROM (SELECT DISTINCT coalesce(l_returnflag, 'nan') AS v FROM lineitem WHERE l_returnflag <> 'R'))
 SELECT {KEY}, coalesce(code, 0) AS l_returnflag FROM lineitem LEFT JOIN codes ON coalesce(l_returnflag, 'nan') = v""",
 )
@@ -350,14 +350,14 @@ add(
     f"""WITH {FLAGGED}, {ENCODED}, shifted AS (
   SELECT {KEY}, l_linestatus, coalesce(c.code, 0) + l_linenumber * 0.5::DOUBLE - 1 AS x
   FROM flagged LEFT JOIN codes c ON coalesce(l_returnflag, 'nan') = c.v),
-clipped AS (SELECT *, CAST(least(greatest(round_even(x, 0), 0), (SELECT max(code) FROM codes)) AS INTEGER) AS code FROM shifted)
+clipped AS (SELECT *, CAST(least(greatest(round_even(x, 0), 0), (SELECT max(code) FROM codes)) AS BIGINT) AS code FROM shifted)
 SELECT {KEY}, codes.v AS l_returnflag, l_linestatus FROM clipped JOIN codes USING (code)""",
 )
 add(
     "category_codes",
-    f"""WITH {FLAGGED}, c AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code
+    f"""WITH {FLAGGED}, c AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code
   FROM (SELECT DISTINCT l_returnflag AS v FROM flagged WHERE l_returnflag IS NOT NULL)),
-s AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS code
+s AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code
   FROM (SELECT DISTINCT l_linestatus AS v FROM flagged WHERE l_linestatus IS NOT NULL))
 SELECT {KEY}, coalesce(c.code, -1) AS l_returnflag, coalesce(s.code, -1) AS l_linestatus
 FROM flagged LEFT JOIN c ON l_returnflag = c.v LEFT JOIN s ON l_linestatus = s.v""",

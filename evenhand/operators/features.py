@@ -6,13 +6,14 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenhand.functions.expressions import ref
+from evenhand.operators import lookup
 from evenhand.operators.cells import as_list
-from evenhand.operators.lookup import GroupTable, attach, local_table, pin
+from evenhand.operators.lookup import GroupTable, attach, pin
 from evenhand.operators.roles import require_columns, split_types
 from evenhand.session import cut_lineage
 
@@ -43,7 +44,7 @@ def _sorted_codes(values: DataFrame) -> GroupTable:
     table = pin(values)
     if table.bounded:
         order = Window.partitionBy("column").orderBy("value")
-        return pin(table.df.select("column", "value", (F.row_number().over(order) - 1).cast("int").alias("code")))
+        return pin(table.df.select("column", "value", (F.row_number().over(order) - 1).cast("bigint").alias("code")))
     ranged = cut_lineage(
         table.df.repartitionByRange("column", "value").withColumn("__part", F.spark_partition_id())
     )
@@ -53,11 +54,36 @@ def _sorted_codes(values: DataFrame) -> GroupTable:
     offsets = pin(sizes.select("column", "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")))
     inside = Window.partitionBy("column", "__part").orderBy("value")
     coded = attach(ranged.withColumn("__pos", F.row_number().over(inside)), offsets, ["column", "__part"]).select(
-        "column", "value", (F.col("__offset") + F.col("__pos") - 1).cast("int").alias("code")
+        "column", "value", (F.col("__offset") + F.col("__pos") - 1).cast("bigint").alias("code")
     )
     return GroupTable(cut_lineage(coded), False)
 
 
+def _column_tables(columns: tuple[str, ...], codes: GroupTable) -> tuple[dict, dict, dict]:
+    """Code table, number of classes and first class of each column.
+
+    A column with many values does not keep the others from being broadcast.
+    """
+    rows = (
+        codes.df.groupBy("column")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("code") == 0, F.col("value"))).alias("first"))
+        .collect()
+    )
+    sizes = {r["column"]: r["n"] for r in rows}
+    first = {r["column"]: r["first"] for r in rows}
+    tables = {}
+    for c in columns:
+        table = codes.narrow("value", "code", where=F.col("column") == c)
+        if not table.bounded and sizes.get(c, 0) <= lookup.BROADCAST_ROWS:
+            table = pin(table.df)
+        tables[c] = table
+    return tables, sizes, first
+
+
+def _no_codes(df: DataFrame) -> GroupTable:
+    return lookup.local_table(df.sparkSession, [], "column string, value string, code bigint")
+
+
 @dataclass(frozen=True)
 class LabelEncoding:
     """Sorted-order codes of categorical columns.
@@ -68,8 +94,9 @@ class LabelEncoding:
 
     columns: tuple[str, ...]
     codes: GroupTable
-    sizes: Mapping[str, int]
     null_token: str = NULL_TOKEN
+    tables: Mapping[str, GroupTable] = field(default_factory=dict)
+    sizes: Mapping[str, int] = field(default_factory=dict)
     first: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
@@ -77,28 +104,17 @@ class LabelEncoding:
         columns = as_list(columns)
         require_columns(df, columns)
         if not columns:
-            empty = local_table(df.sparkSession, [], "column string, value string, code int")
-            return cls((), empty, {}, null_token, {})
+            return cls((), _no_codes(df), null_token)
         codes = _sorted_codes(_distinct_values(df, columns, null_token))
         return cls.from_codes(columns, codes, null_token)
 
     @classmethod
     def from_codes(cls, columns: Iterable[str], codes: GroupTable, null_token: str = NULL_TOKEN) -> LabelEncoding:
-        per_column = (
-            codes.df.groupBy("column")
-            .agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("code") == 0, F.col("value"))).alias("first"))
-            .collect()
-        )
-        return cls(
-            tuple(columns),
-            codes,
-            {r["column"]: r["n"] for r in per_column},
-            null_token,
-            {r["column"]: r["first"] for r in per_column},
-        )
+        columns = tuple(columns)
+        return cls(columns, codes, null_token, *_column_tables(columns, codes))
 
     def _table(self, column: str, *select) -> GroupTable:
-        return self.codes.narrow(*select, where=F.col("column") == column)
+        return self.tables[column].narrow(*select)
 
     def transform(self, df: DataFrame, suffix: str = "", spread_by: list[str] | None = None) -> DataFrame:
         """Replace each encoded column by its integer code (or add it under ``suffix``)."""
@@ -108,7 +124,7 @@ class LabelEncoding:
             keyed = out.withColumn("__value", _as_text(c, self.null_token))
             out = (
                 attach(keyed, table, ["__value"], spread_by)
-                .withColumn(c + suffix, F.coalesce("__code", F.lit(0)))
+                .withColumn(c + suffix, F.coalesce("__code", F.lit(0).cast("bigint")))
                 .drop("__value", "__code")
             )
         return out.select(*[ref(c) for c in [*df.columns, *[x for x in out.columns if x not in df.columns]]])
@@ -121,7 +137,7 @@ class LabelEncoding:
         for c in self.columns:
             table = self._table(c, F.col("code").alias("__code"), F.col("value").alias("__value"))
             top = self.sizes.get(c, 1) - 1
-            code = F.least(F.greatest(F.rint(ref(c).cast("double")), F.lit(0.0)), F.lit(float(top))).cast("int")
+            code = F.least(F.greatest(F.rint(ref(c).cast("double")), F.lit(0.0)), F.lit(float(top))).cast("bigint")
             value = F.col("__value").cast((types or {}).get(c, T.StringType()))
             out = (
                 attach(out.withColumn("__code", code), table, ["__code"], spread_by)
@@ -155,24 +171,28 @@ class CategoryCodes:
 
     columns: tuple[str, ...]
     codes: GroupTable
+    tables: Mapping[str, GroupTable] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, df: DataFrame, columns: Iterable[str]) -> CategoryCodes:
         columns = as_list(columns)
         require_columns(df, columns)
         if not columns:
-            return cls((), local_table(df.sparkSession, [], "column string, value string, code int"))
-        return cls(tuple(columns), _sorted_codes(_distinct_values(df, columns, None)))
+            return cls((), _no_codes(df))
+        return cls.from_codes(columns, _sorted_codes(_distinct_values(df, columns, None)))
+
+    @classmethod
+    def from_codes(cls, columns: Iterable[str], codes: GroupTable) -> CategoryCodes:
+        columns = tuple(columns)
+        return cls(columns, codes, _column_tables(columns, codes)[0])
 
     def transform(self, df: DataFrame, suffix: str = "", spread_by: list[str] | None = None) -> DataFrame:
         out = df
         for c in self.columns:
-            table = self.codes.narrow(
-                F.col("value").alias("__value"), F.col("code").alias("__code"), where=F.col("column") == c
-            )
+            table = self.tables[c].narrow(F.col("value").alias("__value"), F.col("code").alias("__code"))
             out = (
                 attach(out.withColumn("__value", ref(c).cast("string")), table, ["__value"], spread_by)
-                .withColumn(c + suffix, F.coalesce("__code", F.lit(-1)))
+                .withColumn(c + suffix, F.coalesce("__code", F.lit(-1).cast("bigint")))
                 .drop("__value", "__code")
             )
         return out.select(*[ref(c) for c in [*df.columns, *[x for x in out.columns if x not in df.columns]]])
@@ -188,17 +208,24 @@ class StandardScaling:
     @classmethod
     def fit(cls, df: DataFrame, columns: Iterable[str]) -> StandardScaling:
         columns = as_list(columns)
+        require_columns(df, columns)
         if not columns:
             return cls({}, {})
-        require_columns(df, columns)
-        value = {c: F.nanvl(ref(c).cast("double"), F.lit(None).cast("double")) for c in columns}
-        row = df.agg(
-            *[F.avg(v).alias(f"m{i}") for i, v in enumerate(value.values())],
-            *[F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(value.values())],
-        ).first()
+        return cls.from_row(df.agg(*cls.aggregates(columns)).first(), columns)
+
+    @staticmethod
+    def aggregates(columns: list[str]) -> list[Column]:
+        """What a fit needs, to be evaluated together with other aggregates."""
+        value = [F.nanvl(ref(c).cast("double"), F.lit(None).cast("double")) for c in columns]
+        return [F.avg(v).alias(f"__mean_{i}") for i, v in enumerate(value)] + [
+            F.stddev_pop(v).alias(f"__dev_{i}") for i, v in enumerate(value)
+        ]
+
+    @classmethod
+    def from_row(cls, row, columns: list[str]) -> StandardScaling:
         return cls(
-            {c: row[f"m{i}"] for i, c in enumerate(columns)},
-            {c: row[f"s{i}"] for i, c in enumerate(columns)},
+            {c: row[f"__mean_{i}"] for i, c in enumerate(columns)},
+            {c: row[f"__dev_{i}"] for i, c in enumerate(columns)},
         )
 
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
@@ -223,11 +250,18 @@ class FeaturePrep:
     coding: LabelEncoding | CategoryCodes
 
     @classmethod
-    def fit(cls, df: DataFrame, features: Iterable[str], null_code: int | None = None) -> FeaturePrep:
+    def fit(
+        cls,
+        df: DataFrame,
+        features: Iterable[str],
+        null_code: int | None = None,
+        scaling: StandardScaling | None = None,
+    ) -> FeaturePrep:
         features = as_list(features)
         numeric, categorical = split_types(df.schema, features)
         coder = CategoryCodes if null_code == -1 else LabelEncoding
-        return cls(tuple(features), StandardScaling.fit(df, numeric), coder.fit(df, categorical))
+        scaling = StandardScaling.fit(df, numeric) if scaling is None else scaling
+        return cls(tuple(features), scaling, coder.fit(df, categorical))
 
     def names(self) -> list[str]:
         return [f"__x{i}" for i in range(len(self.features))]

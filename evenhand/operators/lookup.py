@@ -20,6 +20,7 @@ from evenhand.session import cut_lineage
 
 BROADCAST_ROWS = 10_000
 BROADCAST_STRING_BYTES = 4_096
+BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 10_000
 
 
@@ -45,7 +46,8 @@ def pin(df: DataFrame, max_rows: int | None = None) -> GroupTable:
     """Evaluate a group-sized DataFrame once and check its size.
 
     At most ``max_rows + 1`` rows reach the driver, and no string longer than
-    ``BROADCAST_STRING_BYTES``: a table that breaks either bound is kept distributed.
+    ``BROADCAST_STRING_BYTES``: a table that breaks a bound, or is larger than
+    ``BROADCAST_BYTES`` in all, is kept distributed.
     """
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     strings = _strings(df)
@@ -62,7 +64,8 @@ def pin(df: DataFrame, max_rows: int | None = None) -> GroupTable:
         too_long.alias("__long"),
     )
     table = probe.limit(max_rows + 1).toArrow()
-    if table.num_rows <= max_rows and not any(table.column("__long").to_pylist()):
+    small = table.num_rows <= max_rows and table.nbytes <= BROADCAST_BYTES
+    if small and not any(table.column("__long").to_pylist()):
         return from_rows(df, table.drop_columns(["__long"]))
     return GroupTable(cut_lineage(df), False)
 

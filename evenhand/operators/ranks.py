@@ -37,26 +37,23 @@ def kth_smallest(
     """
     keys, names = list(keys), list(rank_names)
     ids = [*keys, *names]
-    state = pin(
-        wanted.df.select(
-            *ids,
-            "__rank",
-            F.col("__lo").cast("double").alias("__lo"),
-            F.col("__hi").cast("double").alias("__hi"),
-            F.lit(0).cast("bigint").alias("__below"),
-            F.lit(None).cast("bigint").alias("__upto"),
-            F.lit(None).cast("double").alias("__above"),
-        )
+    state = wanted.narrow(
+        *ids,
+        "__rank",
+        F.col("__lo").cast("double").alias("__lo"),
+        F.col("__hi").cast("double").alias("__hi"),
+        F.lit(0).cast("bigint").alias("__below"),
+        F.lit(None).cast("bigint").alias("__upto"),
+        F.lit(None).cast("double").alias("__above"),
     )
     rows = df.select(*[ref(k) for k in keys], ref(value).cast("double").alias("__v"))
-    while True:
-        if state.bounded:
-            unfinished = [r for r in state.rows if r["__upto"] is None]
-            if not unfinished:
-                break
-        elif state.df.filter("__upto is null").isEmpty():
-            break
+    finished = False
+    while not finished:
         state = pin(_narrow(rows, keys, ids, state, buckets))
+        if state.bounded:
+            finished = all(r["__upto"] is not None for r in state.rows)
+        else:
+            finished = state.df.filter("__upto is null").isEmpty()
     return state.narrow(
         *ids,
         F.col("__lo").alias("at"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -139,7 +139,7 @@ class GroupRepairModel:
         if s.method == "mean_matching":
             out = self.encoding.snap(df, types, spread)
             return self._match_means(out, types, spread).select(*[ref(c) for c in df.columns])
-        coded_types = {**types, **{c: T.IntegerType() for c in self.encoding.columns}}
+        coded_types = {**types, **{c: T.LongType() for c in self.encoding.columns}}
         out = self.encoding.transform(df, spread_by=spread)
         for attr in s.sensitive:
             if s.method == "covariance_matching":
@@ -350,9 +350,7 @@ class GroupRepairModel:
         settings["sensitive"], settings["keep"] = tuple(settings["sensitive"]), tuple(settings["keep"])
         repair = GroupRepair(**settings)
         codes = pin(spark.read.parquet(f"{path}/codes"))
-        encoding = replace(
-            LabelEncoding.from_codes(meta["encoded"], codes, repair.null_token), columns=tuple(meta["encoded"])
-        )
+        encoding = LabelEncoding.from_codes(meta["encoded"], codes, repair.null_token)
         groups = pin(spark.read.parquet(f"{path}/groups"))
         schema = T.StructType.fromJson(meta["schema"])
         return cls(repair, tuple(meta["features"]), encoding, groups, meta["whole"], schema)

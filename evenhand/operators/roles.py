@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,18 +70,22 @@ def resolve_roles(
     return Roles(tuple(features), tuple(numeric), tuple(categorical), tuple(sensitive), label)
 
 
-def label_domain(df: DataFrame, label: str) -> tuple[int, int, float]:
-    """Row count and the smallest and largest label of a 0/1 column; anything else raises."""
+def label_domain(df: DataFrame, label: str, also: Iterable[Column] = ()) -> tuple[int, int, int, Row]:
+    """Row count and the smallest and largest label of a 0/1 column; anything else raises.
+
+    ``also`` are further aggregates of the same pass; the row they are in comes last.
+    """
     require_columns(df, [label], "label column")
     y = ref(label)
     row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(y.isNull() | ~y.cast("double").isin(0.0, 1.0)).alias("bad"),
-        F.min(y.cast("double")).alias("low"),
-        F.max(y.cast("double")).alias("high"),
+        F.count(F.lit(1)).alias("__rows"),
+        F.count_if(y.isNull() | ~y.cast("double").isin(0.0, 1.0)).alias("__bad"),
+        F.min(y.cast("double")).alias("__low"),
+        F.max(y.cast("double")).alias("__high"),
+        *also,
     ).first()
-    if row["n"] == 0:
+    if row["__rows"] == 0:
         raise ValueError("training data is empty")
-    if row["bad"]:
-        raise ValueError(f"label {label!r} must be 0 or 1 in every row; {row['bad']} rows are not")
-    return row["n"], int(row["low"]), int(row["high"])
+    if row["__bad"]:
+        raise ValueError(f"label {label!r} must be 0 or 1 in every row; {row['__bad']} rows are not")
+    return row["__rows"], int(row["__low"]), int(row["__high"]), row

@@ -9,7 +9,8 @@ from evenhand.functions.expressions import ref
 from evenhand.operators.lookup import GroupTable, attach, pin
 from evenhand.operators.roles import require_columns
 
-PREFIX_DIGITS = 4
+PREFIX_DIGITS = 3
+MORE_DIGITS = 4
 EXACT_ROWS = 1_000_000
 
 
@@ -81,7 +82,7 @@ def _boundary_hashes(hashed: DataFrame, test: float, val: float) -> GroupTable:
     )
     digits = PREFIX_DIGITS
     while _largest(at) > EXACT_ROWS and digits < 32:
-        digits += PREFIX_DIGITS
+        digits += MORE_DIGITS
         inside = _inside(hashed, at).groupBy(
             "__class", "__cut", "__need", F.substring("__md5", 1, digits).alias("__prefix")
         )

@@ -50,39 +50,47 @@ def fit_thresholds(
     """
     attrs = as_list(attrs)
     require_columns(df, [score, label, *attrs])
-    y = ref(label).cast("double")
-    target = df.agg(F.sum(y).alias("positives"), F.count(y).alias("rows")).first()
-    if not target["rows"]:
-        raise ValueError("training data is empty")
-    positives, rows = int(target["positives"]), int(target["rows"])
-    rate = positives / rows
     pairs = F.explode(
         F.array(
             *[F.struct(F.lit(a).alias("attr"), _group_text(df, a, null_token).alias("group")) for a in attrs]
         )
     )
-    scores = (
-        df.filter(ref(score).isNotNull())
-        .select(ref(score).cast("double").alias("__score"), pairs.alias("__p"))
-        .select("__p.attr", "__p.group", "__score")
-        .filter(F.col("group").isNotNull())
+    rows_by_attr = df.select(
+        ref(score).cast("double").alias("__score"), ref(label).cast("double").alias("__y"), pairs.alias("__p")
+    ).select("__p.attr", "__p.group", "__score", "__y")
+    sizes = pin(
+        rows_by_attr.groupBy("attr", "group").agg(
+            F.count("__score").alias("n"),
+            F.min("__score").alias("__lo"),
+            F.max("__score").alias("__hi"),
+            F.count_if(F.col("__score") >= DEFAULT_THRESHOLD).alias("at_default"),
+            F.sum("__y").alias("positives"),
+            F.count("__y").alias("labelled"),
+        )
     )
-    sizes = scores.groupBy("attr", "group").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("__score").alias("__lo"),
-        F.max("__score").alias("__hi"),
-        F.count_if(F.col("__score") >= DEFAULT_THRESHOLD).alias("at_default"),
+    # every row is in some group, or in the missing one, of the first attribute
+    target = (
+        sizes.df.filter(F.col("attr") == attrs[0])
+        .agg(F.sum("positives").alias("positives"), F.sum("labelled").alias("rows"))
+        .first()
     )
+    if not target["rows"]:
+        raise ValueError("training data is empty")
+    positives, rows = int(target["positives"]), int(target["rows"])
+    rate = positives / rows
+    scores = rows_by_attr.filter(F.col("group").isNotNull()).drop("__y")
     # rank from below of the smallest score with at least rate * n rows at or above it
-    wanted_above = F.greatest(
-        F.ceil(F.lit(positives).cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)") / F.lit(rows).cast("decimal(19,0)")).cast("bigint"),
-        F.lit(1),
-    )
-    wanted = pin(
-        sizes.select(
-            "attr", "group", "n", "__lo", "__hi", "at_default",
-            (F.col("n") - F.least(wanted_above, F.col("n")) + 1).alias("__rank"),
-        )
+    share = F.lit(positives).cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)")
+    wanted_above = F.greatest(F.ceil(share / F.lit(rows).cast("decimal(19,0)")).cast("bigint"), F.lit(1))
+    wanted = sizes.narrow(
+        "attr",
+        "group",
+        "n",
+        "__lo",
+        "__hi",
+        "at_default",
+        (F.col("n") - F.least(wanted_above, F.col("n")) + 1).alias("__rank"),
+        where=F.col("group").isNotNull() & (F.col("n") > 0),
     )
     located = kth_smallest(scores, ["attr", "group"], "__score", wanted, [])
 
@@ -108,7 +116,7 @@ def fit_thresholds(
     chosen = (
         attach(wanted.df.select("attr", "group", "n", "at_default"), located, ["attr", "group"])
         .withColumn("__best", best)
-        .select("attr", "group", F.col("__best.threshold").alias("threshold"), "n", F.col("__best.selected").alias("selected"))
+        .select("attr", "group", "__best.threshold", "n", "__best.selected")
     )
     return ThresholdModel(tuple(attrs), pin(chosen), null_token)
 

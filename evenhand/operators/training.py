@@ -22,7 +22,7 @@ from evenhand.operators.cells import as_list
 from evenhand.operators.features import CategoryCodes, FeaturePrep, LabelEncoding, StandardScaling
 from evenhand.operators.learners import BaseLearner, ConstantScorer, ForestScorer, LinearScorer
 from evenhand.operators.lookup import attach, from_rows, local_table, pin
-from evenhand.operators.roles import label_domain, require_columns, resolve_roles
+from evenhand.operators.roles import label_domain, require_columns, resolve_roles, split_types
 from evenhand.operators.thresholds import ThresholdModel, apply_thresholds, fit_thresholds
 
 CONSTRAINTS = ("demographic_parity", "equalized_odds")
@@ -163,6 +163,14 @@ def _features_for(df: DataFrame, sensitive, label: str, keep: Iterable[str], fea
     return list(resolve_roles(df, sensitive, label, keep).features)
 
 
+def _prepare(df: DataFrame, label: str, features: list[str], null_code: int | None = None):
+    """Check the label and fit the scaling in one pass; encodings take one more."""
+    numeric, _ = split_types(df.schema, features)
+    n, low, high, row = label_domain(df, label, StandardScaling.aggregates(numeric))
+    scaling = StandardScaling.from_row(row, numeric)
+    return n, low, high, FeaturePrep.fit(df, features, null_code, scaling)
+
+
 def fit_baseline(
     df: DataFrame,
     label: str,
@@ -176,9 +184,8 @@ def fit_baseline(
     sensitive = as_list(sensitive)
     learner = _learner(base_estimator)
     features = _features_for(df, sensitive, label, [*keep, *([weight] if weight else [])], features)
-    n, low, high = label_domain(df, label)
+    n, low, high, prep = _prepare(df, label, features, null_code=-1)
     info = _info("none", learner, sensitive, low, high)
-    prep = FeaturePrep.fit(df, features, null_code=-1)
     if low == high:
         return BaselineModel(prep, ConstantScorer(low), tuple(sensitive), info)
     ready = _training_rows(prep.transform(df), prep, [ref(label).cast("double").alias("__y"), *([ref(weight).cast("double").alias("__w")] if weight else [])])
@@ -221,8 +228,7 @@ class FairThresholds:
         learner = _learner(self.base_estimator)
         keep = [*self.keep, *([weight] if weight else [])]
         features = _features_for(df, self.sensitive, label, keep, self.features)
-        n, low, high = label_domain(df, label)
-        prep = FeaturePrep.fit(df, features)
+        n, low, high, prep = _prepare(df, label, features)
         attrs = [ref(a).alias(f"__a{i}") for i, a in enumerate(self.sensitive)]
         weights = [ref(weight).cast("double").alias("__w")] if weight else []
         columns = [ref(label).cast("double").alias("__y"), *weights, *attrs]
@@ -278,10 +284,9 @@ class FairReduction:
         learner = _learner(self.base_estimator)
         require_columns(df, [self.id_col])
         features = _features_for(df, self.sensitive, label, [*self.keep, self.id_col], self.features)
-        n, low, high = label_domain(df, label)
+        n, low, high, prep = _prepare(df, label, features)
         info = _info(self.constraint, learner, list(self.sensitive), low, high, strategy="reduction")
         spread = [self.id_col]
-        prep = FeaturePrep.fit(df, features)
         if low == high:
             return ReductionModel(
                 prep, (ConstantScorer(low),), (1.0,), tuple(self.sensitive), self.id_col, self.seed, info
@@ -459,7 +464,7 @@ def load_model(spark: SparkSession, path: str) -> BaselineModel | ReductionModel
     meta = json.loads(spark.read.parquet(f"{path}/metadata").first()["metadata"])
     codes = pin(spark.read.parquet(f"{path}/codes"))
     if meta["null_code"] == -1:
-        coding = CategoryCodes(tuple(meta["coded"]), codes)
+        coding = CategoryCodes.from_codes(meta["coded"], codes)
     else:
         coding = LabelEncoding.from_codes(meta["coded"], codes)
     prep = FeaturePrep(tuple(meta["features"]), StandardScaling(meta["means"], meta["deviations"]), coding)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from numbers import Real
 
@@ -46,6 +47,41 @@ class RunSettings:
     tags: dict = field(default_factory=dict)
     output_path: str | None = None
 
+    @classmethod
+    def from_sections(cls, config: Mapping, id_col: str, **more) -> RunSettings:
+        """Settings from a mapping of sections, as they are kept in a configuration file.
+
+        ``data``, ``preprocessing``, ``training`` and ``evaluation`` are read as named below, and
+        ``tracking`` (or the one other section there is) for the experiment. ``more`` overrides.
+        """
+        known = ("data", "preprocessing", "training", "evaluation")
+        data, pre, train, judge = (config.get(k) or {} for k in known)
+        others = [v for k, v in config.items() if k not in known and isinstance(v, Mapping)]
+        tracking = config.get("tracking") or (others[0] if len(others) == 1 else {})
+        repair = (pre.get("transformer") or {}).get("parameters") or {}
+        fit = (train.get("method") or {}).get("parameters") or {}
+        given = {
+            "label": data.get("target_column", ""),
+            "sensitive": data.get("sensitive_features", ()),
+            "input_path": data.get("input_path"),
+            "test_size": data.get("test_size"),
+            "val_size": data.get("val_size"),
+            "seed": data.get("random_state"),
+            "method": repair.get("method"),
+            "repair_level": repair.get("repair_level"),
+            "constraint": fit.get("constraint"),
+            "base_estimator": fit.get("base_estimator"),
+            "max_retries": fit.get("max_retries", train.get("max_retries")),
+            "primary_metric": judge.get("primary_metric"),
+            "fairness_threshold": judge.get("fairness_threshold"),
+            "additional_metrics": judge.get("additional_metrics"),
+            "experiment": tracking.get("experiment_name"),
+            "run_id": tracking.get("run_name"),
+            "tags": tracking.get("tags"),
+        }
+        chosen = {k: tuple(v) if isinstance(v, list) else v for k, v in given.items() if v is not None}
+        return cls(**{**chosen, "id_col": id_col, **more})
+
     @property
     def audited(self) -> tuple[str, ...]:
         """Attributes of the reports: the first sensitive one unless others are named."""

@@ -135,3 +135,20 @@ def test_run_needs_its_columns(spark, csv_path):
         run_fairness(spark, replace(GOOD, label="nope"), df)
     with pytest.raises(ValueError, match="input_path"):
         run_fairness(spark, GOOD)
+
+
+def test_settings_from_sections():
+    config = {
+        "data": {"input_path": "x.csv", "target_column": "hired", "sensitive_features": ["race", "sex"], "test_size": 0.25},
+        "preprocessing": {"transformer": {"parameters": {"repair_level": 0.9, "method": "reweighting"}}},
+        "training": {"method": {"parameters": {"base_estimator": "RandomForest", "constraint": "equalized_odds", "max_retries": 5}}},
+        "evaluation": {"primary_metric": "equalized_odds_difference", "fairness_threshold": 0.05, "additional_metrics": ["accuracy"]},
+        "runs": {"experiment_name": "hiring", "run_name": None, "tags": {"v": "1"}},
+    }
+    s = RunSettings.from_sections(config, "id", val_size=0.15)
+    assert (s.label, s.sensitive, s.test_size, s.val_size, s.seed) == ("hired", ("race", "sex"), 0.25, 0.15, 42)
+    assert (s.method, s.repair_level, s.base_estimator, s.constraint) == ("reweighting", 0.9, "RandomForest", "equalized_odds")
+    assert (s.max_retries, s.fairness_threshold, s.experiment, s.run_id) == (5, 0.05, "hiring", None)
+    assert validate(s) == []
+    empty = RunSettings.from_sections({}, "id")
+    assert {e.split(" ")[0] for e in validate(empty)} >= {"label", "At"}
