@@ -84,8 +84,8 @@ def audit_dataset(df: DataFrame, attr: str, label: str | None = None) -> DataFra
     """The whole table audit as long rows (section, item, value).
 
     Sections: ``shape``, ``missing``, ``distribution`` and, with a label, ``target_rate`` and
-    ``target_rate_difference``. The table is read by two aggregations, one without a key and
-    one by group; the rest is group-sized.
+    ``target_rate_difference``. The table is read once, by an aggregation over the groups of
+    ``attr`` with the missing one; totals are sums of that group-sized result.
     """
     require_columns(df, [attr], "sensitive features")
 
@@ -95,42 +95,31 @@ def audit_dataset(df: DataFrame, attr: str, label: str | None = None) -> DataFra
             F.lit(section).alias("section"), item.alias("item"), value.cast("double").alias("value")
         )
 
-    counts = df.agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.count_if(_is_missing(df, c)).alias(f"__{i}") for i, c in enumerate(df.columns)],
-    )
-    whole = counts.select(
-        F.inline(
-            F.array(
-                entry("shape", "rows", F.col("__rows")),
-                entry("shape", "columns", F.lit(len(df.columns))),
-                *[entry("missing", c, F.col(f"__{i}")) for i, c in enumerate(df.columns)],
-            )
-        )
-    )
+    missing = {f"__miss_{i}": F.count_if(_is_missing(df, c)) for i, c in enumerate(df.columns)}
     sums = {"__rows": F.count(F.lit(1))} if label is None else _label_sums(df, label)
-    groups = sums_by_attribute(df.filter(ref(attr).isNotNull()), [attr], [], sums).select(
-        "group", "__rows", (F.lit(None).cast("double") if label is None else _rate()).alias("__rate")
-    )
-    sets = groups.groupingSets([["group"], []], "group").agg(
-        F.grouping_id().alias("__all"),
-        F.sum("__rows").alias("__rows"),
-        F.max("__rate").alias("__high"),
-        F.min("__rate").alias("__low"),
+    groups = sums_by_attribute(df, [attr], [], {**sums, **missing})
+    rate = F.lit(None).cast("double") if label is None else F.when(F.col("group").isNotNull(), _rate())
+    sets = (
+        groups.select("group", "__rows", *missing, rate.alias("__rate"))
+        .groupingSets([["group"], []], "group")
+        .agg(
+            F.grouping_id().alias("__all"),
+            *[F.sum(c).alias(c) for c in ("__rows", *missing)],
+            F.max("__rate").alias("__high"),
+            F.min("__rate").alias("__low"),
+        )
+        .filter((F.col("__all") == 1) | F.col("group").isNotNull())
     )
     per_group = [entry("distribution", F.col("group"), F.col("__rows"))]
-    overall = []
+    whole = [
+        entry("shape", "rows", F.col("__rows")),
+        entry("shape", "columns", F.lit(len(df.columns))),
+        *[entry("missing", c, F.col(m)) for c, m in zip(df.columns, missing, strict=True)],
+    ]
     if label is not None:
         per_group.append(entry("target_rate", F.col("group"), F.col("__high")))
-        overall.append(entry("target_rate_difference", "max-min", F.col("__high") - F.col("__low")))
-    by_group = sets.select(
-        F.inline(
-            F.when(F.col("__all") == 0, F.array(*per_group)).when(F.col("__all") == 1, F.array(*overall))
-            if overall
-            else F.when(F.col("__all") == 0, F.array(*per_group))
-        )
-    )
-    return whole.unionByName(by_group)
+        whole.append(entry("target_rate_difference", "max-min", F.col("__high") - F.col("__low")))
+    return sets.select(F.inline(F.when(F.col("__all") == 1, F.array(*whole)).otherwise(F.array(*per_group))))
 
 
 def rates_by_attribute(df: DataFrame, attrs: Iterable[str], label: str) -> DataFrame:

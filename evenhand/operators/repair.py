@@ -13,11 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenhand.functions.expressions import hash_normal, nan_to_null, ref, round_back
+from evenhand.functions.expressions import clip_between, hash_normal, nan_to_null, ref, round_back
 from evenhand.operators.features import NULL_TOKEN, LabelEncoding
 from evenhand.operators.lookup import GroupTable, attach, pin
 from evenhand.operators.roles import require_columns, resolve_roles
@@ -28,48 +30,152 @@ VARIANCE_FLOOR = 1e-8
 SCALE_RANGE = (0.5, 2.0)
 NOISE_SHARE = 0.1
 CLOSED_FORM = 3
+WIDE_FEATURES = 24
+WIDE_TASK_BYTES = 128 << 20
 
 
 def _pairs(k: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(k) for j in range(i, k)]
 
 
+def _narrow_rows(df: DataFrame, attrs: list[str], features: list[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """Groups as text and features as doubles with NULL for missing, under plain names."""
+    keys = [f"__g{i}" for i in range(len(attrs))]
+    xs = [f"__x{i}" for i in range(len(features))]
+    rows = df.select(
+        *[ref(a).cast("string").alias(k) for a, k in zip(attrs, keys, strict=True)],
+        *[ref(f).cast("double").alias(x) for f, x in zip(features, xs, strict=True)],
+    )
+    return nan_to_null(rows), keys, xs
+
+
 def group_moments(df: DataFrame, attrs: list[str], features: list[str], covariance: bool) -> DataFrame:
     """Size, means, deviations and optionally covariances of every group and of the whole table.
 
-    Row per (attr, group); the whole table is the row with a NULL ``attr``. One aggregation
-    over grouping sets, with map-side partial aggregation. A group with a missing feature value
-    gets the diagonal of sample variances instead of a covariance matrix.
+    Row per (attr, group) with the arrays ``mean``, ``std`` and ``cov`` in feature order; the
+    whole table is the row with a NULL ``attr``. One aggregation over grouping sets, with
+    map-side partial aggregation. A group with a missing feature value gets the diagonal of
+    sample variances instead of a covariance matrix. Many features would need too many
+    covariance aggregates: their matrices are summed by ``_cross_moments``.
     """
-    keys = [f"__g{i}" for i in range(len(attrs))]
-    xs = [f"__x{i}" for i in range(len(features))]
-    narrow = nan_to_null(
-        df.select(
-            *[ref(a).cast("string").alias(k) for a, k in zip(attrs, keys, strict=True)],
-            *[ref(f).cast("double").alias(x) for f, x in zip(features, xs, strict=True)],
-        )
-    )
-    size = F.count(F.lit(1))
+    rows, keys, xs = _narrow_rows(df, attrs, features)
+    k, size = len(xs), F.count(F.lit(1))
+    wide = covariance and k > WIDE_FEATURES
     aggs = [size.alias("size"), F.grouping_id().alias("__id")]
     for i, x in enumerate(xs):
-        aggs += [F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"std_{i}")]
-    if covariance:
-        complete = F.lit(True)
-        for x in xs:
-            complete = complete & (F.count(x) == size)
-        for i, j in _pairs(len(xs)):
-            diagonal = F.var_samp(xs[i]) if i == j else F.lit(0.0)
-            aggs.append(F.when(complete, F.covar_pop(xs[i], xs[j])).otherwise(diagonal).alias(f"cov_{i}_{j}"))
-    grouped = narrow.groupingSets([[k] for k in keys] + [[]], *keys).agg(*aggs)
+        aggs += [F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"std_{i}"), F.count(x).alias(f"known_{i}")]
+    if covariance and not wide:
+        aggs += [F.covar_pop(xs[i], xs[j]).alias(f"cov_{i}_{j}") for i, j in _pairs(k)]
+    grouped = rows.groupingSets([[key] for key in keys] + [[]], *keys).agg(*aggs)
     full = (1 << len(keys)) - 1
     attr, group = F.lit(None).cast("string"), F.lit(None).cast("string")
     for position, (name, key) in enumerate(zip(attrs, keys, strict=True)):
         here = F.col("__id") == full - (1 << (len(keys) - 1 - position))
         attr = F.when(here, F.lit(name)).otherwise(attr)
         group = F.when(here, F.col(key)).otherwise(group)
-    measures = [c for c in grouped.columns if c not in {*keys, "__id"}]
-    rows = grouped.select(attr.alias("attr"), group.alias("group"), *measures)
-    return rows.filter(F.col("attr").isNull() | F.col("group").isNotNull())
+    complete = F.lit(True)
+    for i in range(k):
+        complete = complete & (F.col(f"known_{i}") == F.col("size"))
+    measures = [
+        "size",
+        F.array(*[F.col(f"mean_{i}") for i in range(k)]).alias("mean"),
+        F.array(*[F.col(f"std_{i}") for i in range(k)]).alias("std"),
+    ]
+    diagonal = F.array(
+        *[F.col(f"std_{i}") * F.col(f"std_{i}") if i == j else F.lit(0.0) for i, j in _pairs(k)]
+    )
+    if covariance and not wide:
+        matrix = F.array(*[F.col(f"cov_{i}_{j}") for i, j in _pairs(k)])
+        measures.append(F.when(complete, matrix).otherwise(diagonal).alias("cov"))
+    elif wide:
+        measures += [complete.alias("__complete"), diagonal.alias("__diagonal")]
+    out = grouped.select(attr.alias("attr"), group.alias("group"), *measures)
+    out = out.filter(F.col("attr").isNull() | F.col("group").isNotNull())
+    if not wide:
+        return out
+    fitted = pin(out)
+    cross = _cross_moments(rows, dict(zip(attrs, keys, strict=True)), xs, fitted, whole=True)
+    matched = fitted.df.withColumns({"__a": F.coalesce("attr", F.lit("")), "__g": F.coalesce("group", F.lit(""))}).join(
+        cross, ["__a", "__g"], "left"
+    )
+    cov = F.when(F.col("__complete"), F.col("__cov")).otherwise(F.col("__diagonal"))
+    return matched.select("attr", "group", "size", "mean", "std", cov.alias("cov"))
+
+
+def _cross_moments(rows: DataFrame, keys: dict[str, str], xs: list[str], means: GroupTable, whole: bool) -> DataFrame:
+    """Population covariance (upper triangle as an array) of the complete rows of each group.
+
+    Each task sums outer products about the group's mean, a matrix product per group and Arrow
+    batch, and hands over what it has when its matrices reach ``WIDE_TASK_BYTES``; Spark adds
+    the partial sums up, one row per group and feature. ``means`` has (attr, group, mean); with
+    too many groups for the driver all rows are taken about the origin of the first one.
+    """
+    k = len(xs)
+    known = means.rows if means.bounded else [r.asDict() for r in means.df.take(1)]
+    centres = {
+        (r["attr"] or "", r["group"] or ""): np.array([0.0 if m is None else m for m in r["mean"]]) for r in known
+    }
+    middle = next(iter(centres.values()), np.zeros(k))
+    names = list(keys.items())
+    held = max(1, WIDE_TASK_BYTES // (8 * k * (k + 1)))
+
+    def partial(batches):
+        sums: dict[tuple[str, str], list] = {}
+
+        def flush():
+            frames = []
+            for (attr, group), (n, s, ss) in sums.items():
+                frames.append(
+                    pd.DataFrame(
+                        {"__a": attr, "__g": group, "i": np.arange(k), "n": n, "s": s, "ss": list(ss)}
+                    )
+                )
+            sums.clear()
+            return frames
+
+        for pdf in batches:
+            x = pdf[xs].to_numpy(dtype=float)
+            good = ~np.isnan(x).any(axis=1)
+            for attr, key in [*names, *([("", None)] if whole else [])]:
+                if key is None:
+                    members = {"": np.flatnonzero(good)}
+                else:
+                    codes, groups = pd.factorize(pdf[key])
+                    codes = np.where(good, codes, -1)
+                    members = {g: np.flatnonzero(codes == c) for c, g in enumerate(groups)}
+                for group, index in members.items():
+                    if not len(index):
+                        continue
+                    part = x[index] - centres.get((attr, group), middle)
+                    total = sums.setdefault((attr, group), [0, np.zeros(k), np.zeros((k, k))])
+                    total[0] += len(index)
+                    total[1] += part.sum(axis=0)
+                    total[2] += part.T @ part
+                    if len(sums) >= held:
+                        yield from flush()
+        yield from flush()
+
+    parts = rows.select(*[key for _, key in names], *xs).mapInPandas(
+        partial, "__a string, __g string, i int, n long, s double, ss array<double>"
+    )
+    added = parts.groupBy("__a", "__g", "i").agg(
+        F.sum("n").alias("n"),
+        F.sum("s").alias("s"),
+        vector_to_array(Summarizer.sum(array_to_vector("ss"))).alias("ss"),
+    )
+    # k rows per group
+    whole_rows = added.groupBy("__a", "__g").agg(
+        F.max("n").alias("__n"), F.array_sort(F.collect_list(F.struct("i", "s", "ss"))).alias("__rows")
+    )
+    n = F.col("__n").cast("double")
+
+    def row_of(row: Column) -> Column:
+        later = F.sequence(row["i"], F.lit(k - 1))
+        return F.transform(
+            later, lambda j: row["ss"][j] / n - row["s"] / n * (F.element_at("__rows", j + 1)["s"] / n)
+        )
+
+    return whole_rows.select("__a", "__g", "__n", F.flatten(F.transform("__rows", row_of)).alias("__cov"))
 
 
 @dataclass(frozen=True)
@@ -111,7 +217,7 @@ class GroupRepair:
             coded = encoding.transform(df, spread_by=spread)
         covariance = self.method != "mean_matching"
         moments = pin(group_moments(coded, list(roles.sensitive), features, covariance))
-        whole = moments.df.filter(F.col("attr").isNull()).first().asDict()
+        whole = moments.df.filter(F.col("attr").isNull()).drop("attr", "group").first().asDict()
         groups = moments.narrow("*", where=F.col("attr").isNotNull() & (F.col("size") > 1))
         return GroupRepairModel(self, tuple(features), encoding, groups, whole, df.schema)
 
@@ -152,8 +258,10 @@ class GroupRepairModel:
         return self.groups.narrow(F.col("group").alias("__group"), *measures, where=F.col("attr") == attr)
 
     def _shift(self, i: int) -> Column:
-        mean = F.lit(self.whole[f"mean_{i}"]).cast("double")
-        return F.lit(float(self.settings.repair_level)) * (mean - F.col(f"mean_{i}"))
+        return F.lit(float(self.settings.repair_level)) * (self._overall(i) - F.col("mean")[i])
+
+    def _overall(self, i: int) -> Column:
+        return F.lit(self.whole["mean"][i]).cast("double")
 
     def _shifted_features(self) -> list[tuple[int, str]]:
         return [(i, f) for i, f in enumerate(self.features) if f not in self.encoding.columns]
@@ -192,7 +300,7 @@ class GroupRepairModel:
         joined = attach(df.withColumn("__group", ref(attr).cast("string")), adjust, ["__group"], spread)
         repaired = {}
         for i, f in shift_only:
-            centre = F.lit(self.whole[f"mean_{i}"]).cast("double")
+            centre = self._overall(i)
             moved = ref(f).cast("double") + F.col(f"shift_{i}")
             scaled = F.when(F.col(f"scale_{i}").isNull(), moved).otherwise(
                 (moved - centre) * F.col(f"scale_{i}") + centre
@@ -206,35 +314,34 @@ class GroupRepairModel:
         A constant shift leaves the covariance as it is, so the rows are aggregated unshifted.
         """
         k = len(self.features)
-        xs = [f"__x{i}" for i in range(k)]
-        narrow = nan_to_null(
-            df.select(
-                ref(attr).cast("string").alias("__group"),
-                *[ref(f).cast("double").alias(x) for f, x in zip(self.features, xs, strict=True)],
-            )
-        ).filter(F.col("__group").isNotNull())
-        size, complete = F.count(F.lit(1)), F.count(F.lit(1)) > 1
+        rows, (key,), xs = _narrow_rows(df, [attr], list(self.features))
+        rows = rows.filter(F.col(key).isNotNull())
+        size = F.count(F.lit(1))
+        complete = size > 1
         for x in xs:
             complete = complete & (F.count(x) == size)
-        current = narrow.groupBy("__group").agg(
-            *[F.when(complete, F.covar_samp(xs[i], xs[j])).alias(f"now_{i}_{j}") for i, j in _pairs(k)]
-        )
-        fitted = self._of(attr, *shifts, *[f"cov_{i}_{j}" for i, j in _pairs(k)])
-        both = attach(current, fitted, ["__group"]).filter(F.col("cov_0_0").isNotNull())
+        if k > WIDE_FEATURES:
+            means = F.array(*[F.avg(x) for x in xs]).alias("mean")
+            here = pin(rows.groupBy(F.lit(attr).alias("attr"), F.col(key).alias("group")).agg(means, complete.alias("ok")))
+            cross = _cross_moments(rows, {attr: key}, xs, here, whole=False).select(
+                F.col("__g").alias(key),
+                F.transform("__cov", lambda c: c * F.try_divide("__n", F.col("__n") - 1)).alias("__now"),
+            )
+            current = here.df.join(cross, F.col("group") == F.col(key), "left").select(
+                F.col("group").alias("__group"), F.when(F.col("ok"), F.col("__now")).alias("now")
+            )
+        else:
+            matrix = F.array(*[F.covar_samp(xs[i], xs[j]) for i, j in _pairs(k)])
+            current = rows.groupBy(F.col(key).alias("__group")).agg(F.when(complete, matrix).alias("now"))
+        fitted = self._of(attr, *shifts, "cov")
+        both = attach(current, fitted, ["__group"]).filter(F.col("cov").isNotNull())
         invertible = (_determinant("now", k) > DETERMINANT_FLOOR) & (_determinant("cov", k) > DETERMINANT_FLOOR)
-        low, high = SCALE_RANGE
-        scales = [
-            F.when(
-                F.coalesce(invertible, F.lit(False)),
-                F.least(
-                    F.greatest(
-                        F.sqrt(F.col(f"cov_{i}_{i}") / (F.col(f"now_{i}_{i}") + F.lit(VARIANCE_FLOOR))), F.lit(low)
-                    ),
-                    F.lit(high),
-                ),
-            ).alias(f"scale_{i}")
-            for i in range(k)
-        ]
+        invertible = F.coalesce(invertible, F.lit(False))
+        scales = []
+        for i in range(k):
+            at = _pairs(k).index((i, i))
+            scale = F.sqrt(F.col("cov")[at] / (F.col("now")[at] + F.lit(VARIANCE_FLOOR)))
+            scales.append(F.when(invertible, clip_between(scale, *SCALE_RANGE)).alias(f"scale_{i}"))
         return pin(both.select("__group", *[f"shift_{i}" for i in range(k)], *scales))
 
     def _repair_with_noise(self, df: DataFrame, attr: str, types: dict, spread: list[str] | None) -> DataFrame:
@@ -244,13 +351,17 @@ class GroupRepairModel:
         k = len(self.features)
         measures = [self._shift(i).alias(f"shift_{i}") for i in range(k)]
         if noisy:
-            measures += [(F.col(f"std_{i}") * F.lit(amplitude)).alias(f"noise_{i}") for i in range(k)]
+            measures += [(F.col("std")[i] * F.lit(amplitude)).alias(f"noise_{i}") for i in range(k)]
         table = self._of(attr, *measures)
         if noisy:
             here = df.groupBy(ref(attr).cast("string").alias("__group")).agg(F.count(F.lit(1)).alias("__rows"))
             single = pin(here.filter("__group is not null and __rows = 1").select("__group", F.lit(True).alias("__one")))
             quiet = attach(table.df, single, ["__group"])
-            table = GroupTable(quiet.withColumns({f"noise_{i}": F.when(F.col("__one").isNull(), F.col(f"noise_{i}")).otherwise(0.0) for i in range(k)}), table.bounded)
+            loud = F.col("__one").isNull()
+            table = GroupTable(
+                quiet.withColumns({n: F.when(loud, F.col(n)).otherwise(0.0) for n in (f"noise_{i}" for i in range(k))}),
+                table.bounded,
+            )
         joined = attach(df.withColumn("__group", ref(attr).cast("string")), table, ["__group"], spread)
         repaired = {}
         for i, f in enumerate(self.features):
@@ -275,14 +386,14 @@ class GroupRepairModel:
             self._long(
                 list(self.features),
                 lambda i, f: F.struct(
-                    F.lit(f).alias("feature"), F.col(f"mean_{i}").alias("mean"), F.col(f"std_{i}").alias("std")
+                    F.lit(f).alias("feature"), F.col("mean")[i].alias("mean"), F.col("std")[i].alias("std")
                 ),
             ),
         ).select("attr", "group", "feature", "mean", "std", "size")
 
     def overall_means(self) -> DataFrame:
         spark = self.groups.df.sparkSession
-        rows = [(f, self.whole[f"mean_{i}"]) for i, f in enumerate(self.features)]
+        rows = list(zip(self.features, self.whole["mean"], strict=True))
         return spark.createDataFrame(rows, "feature string, mean double")
 
     def group_cov(self) -> DataFrame:
@@ -292,16 +403,17 @@ class GroupRepairModel:
             F.struct(
                 F.lit(self.features[i]).alias("f_i"),
                 F.lit(self.features[j]).alias("f_j"),
-                F.col(f"cov_{i}_{j}").alias("cov"),
+                F.col("cov")[at].alias("cov"),
             )
-            for i, j in _pairs(len(self.features))
+            for at, (i, j) in enumerate(_pairs(len(self.features)))
         ]
         return self.groups.df.select("attr", "group", F.inline(F.array(*cells)))
 
     def overall_cov(self) -> DataFrame:
         self._need_covariance()
         rows = [
-            (self.features[i], self.features[j], self.whole[f"cov_{i}_{j}"]) for i, j in _pairs(len(self.features))
+            (self.features[i], self.features[j], self.whole["cov"][at])
+            for at, (i, j) in enumerate(_pairs(len(self.features)))
         ]
         return self.groups.df.sparkSession.createDataFrame(rows, "f_i string, f_j string, cov double")
 
@@ -356,11 +468,13 @@ class GroupRepairModel:
         return cls(repair, tuple(meta["features"]), encoding, groups, meta["whole"], schema)
 
 
-def _determinant(prefix: str, k: int) -> Column:
-    """Determinant of the symmetric matrix in columns ``prefix_i_j``; NULL if any entry is."""
+def _determinant(matrix: str, k: int) -> Column:
+    """Determinant of a symmetric matrix given as the array of its upper triangle; NULL if any
+    entry is."""
+    places = {pair: at for at, pair in enumerate(_pairs(k))}
 
     def at(i: int, j: int) -> Column:
-        return F.col(f"{prefix}_{min(i, j)}_{max(i, j)}")
+        return F.col(matrix)[places[min(i, j), max(i, j)]]
 
     if k == 2:
         return at(0, 0) * at(1, 1) - at(0, 1) * at(0, 1)
@@ -370,18 +484,21 @@ def _determinant(prefix: str, k: int) -> Column:
             - at(0, 1) * (at(0, 1) * at(2, 2) - at(1, 2) * at(0, 2))
             + at(0, 2) * (at(0, 1) * at(1, 2) - at(1, 1) * at(0, 2))
         )
-    flat = F.array(*[at(i, j) for i in range(k) for j in range(k)])
-    return F.when(~F.exists(flat, lambda x: x.isNull()), _determinants(flat))
+    usable = F.col(matrix).isNotNull() & ~F.exists(matrix, lambda x: x.isNull())
+    return F.when(usable, _determinants(F.col(matrix), F.lit(k)))
 
 
 @F.pandas_udf(T.DoubleType())
-def _determinants(flat: pd.Series) -> pd.Series:
-    """Determinants of a batch of group-sized matrices, given row by row."""
+def _determinants(triangles: pd.Series, sides: pd.Series) -> pd.Series:
+    """Determinants of a batch of group-sized matrices."""
     values = []
-    for entries in flat:
-        matrix = np.asarray(entries, dtype=float)
-        side = int(round(len(matrix) ** 0.5))
-        values.append(float(np.linalg.det(matrix.reshape(side, side))))
+    for entries, k in zip(triangles, sides, strict=True):
+        if entries is None:
+            values.append(None)
+            continue
+        matrix = np.zeros((k, k))
+        matrix[np.triu_indices(k)] = np.asarray(entries, dtype=float)
+        values.append(float(np.linalg.det(matrix + np.triu(matrix, 1).T)))
     return pd.Series(values, dtype=float)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import evenhand as eh
 from evenhand.operators import lookup
+from evenhand.operators import repair as repair_module
 
 
 def fix(df, sensitive=("g",), fit_on=None, **kw):
@@ -129,10 +130,17 @@ def brute_force(pdf, fit, attrs, features, encoders, method, level):
     return out
 
 
+@pytest.mark.parametrize("wide", [24, 1])
 @pytest.mark.parametrize("method", ["covariance_matching", "multivariate_repair"])
 @pytest.mark.parametrize("features", [["age", "income"], ["age", "income", "years"], ["age", "income", "years", "job"]])
-def test_methods_equal_brute_force_on_other_rows(spark, people, method, features):
-    """Two attributes one after another, integers and category codes, rows unlike the fitted ones."""
+def test_methods_equal_brute_force_on_other_rows(spark, people, monkeypatch, method, features, wide):
+    """Two attributes one after another, integers and category codes, rows unlike the fitted ones.
+
+    ``wide`` switches to the covariances of many features.
+    """
+    if wide == 1 and method == "multivariate_repair" and len(features) != 3:
+        pytest.skip("covered by the other sizes")
+    monkeypatch.setattr(repair_module, "WIDE_FEATURES", wide)
     level = 1.0 if method == "multivariate_repair" else 0.6
     changed = people.copy()
     changed["age"], changed["income"] = changed["age"] * 1.4, changed["income"] * 0.8 + 100
@@ -149,6 +157,26 @@ def test_methods_equal_brute_force_on_other_rows(spark, people, method, features
             np.testing.assert_allclose(got[f], want[f], rtol=1e-8)
 
 
+def test_many_features_use_summed_matrices(spark, monkeypatch):
+    """More features than aggregates are used for, in several partitions and small task buffers."""
+    monkeypatch.setattr(repair_module, "WIDE_TASK_BYTES", 1)
+    rng = np.random.default_rng(3)
+    k, n = 30, 900
+    x = rng.normal(size=(n, k)) @ rng.normal(size=(k, k)) + 1e4
+    names = [f"f{i}" for i in range(k)]
+    pdf = pd.DataFrame(x, columns=names).assign(g=rng.choice(list("ab"), n), h=rng.choice(list("xyz"), n))
+    pdf.loc[pdf.index[pdf.h == "z"][0], "f3"] = np.nan
+    model = eh.GroupRepair(("g", "h"), "covariance_matching").fit(spark.createDataFrame(pdf).repartition(5))
+    got = {(r["group"], r["f_i"], r["f_j"]): r["cov"] for r in model.group_cov().collect()}
+    for group in ("x", "y"):
+        want = np.cov(pdf[pdf.h == group][names].to_numpy().T, ddof=0)
+        mine = np.array([[got[group, names[min(i, j)], names[max(i, j)]] for j in range(k)] for i in range(k)])
+        np.testing.assert_allclose(mine, want, rtol=1e-6, atol=1e-8)
+    assert got["z", "f0", "f1"] == 0 and math.isclose(got["z", "f3", "f3"], pdf[pdf.h == "z"].f3.var(), rel_tol=1e-9)
+    whole = {(r["f_i"], r["f_j"]): r["cov"] for r in model.overall_cov().collect()}
+    assert whole["f0", "f1"] == 0
+
+
 def test_single_feature_covariance_matches_the_mean_only(spark, people):
     df = spark.createDataFrame(people[["id", "income", "race"]])
     by_cov = fix(df, ["race"], method="covariance_matching", id_col="id").toPandas().sort_values("id")
