@@ -402,7 +402,9 @@ def repair_mean_integer(spark, sf_dir):
 
 
 def _integer_rows(spark, sf_dir) -> DataFrame:
-    amount = F.col("l_linenumber") * 3 + F.when(F.col(FLAG) == "R", 5).otherwise(0) + F.when(F.col(STATUS) == "F", 2).otherwise(0)
+    flagged = F.when(F.col(FLAG) == "R", 5).otherwise(0)
+    filled = F.when(F.col(STATUS) == "F", 2).otherwise(0)
+    amount = F.col("l_linenumber") * 3 + flagged + filled
     return li(spark, sf_dir).select(*LI_KEY, amount.cast("int").alias("amount"), FLAG, STATUS)
 
 

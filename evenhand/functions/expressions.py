@@ -36,6 +36,15 @@ def ref(column: str) -> Column:
     return F.col(name_of(column))
 
 
+def group_text(df: DataFrame, column: str) -> Column:
+    """A group as text; NaN is no group, like NULL."""
+    dtype = df.schema[column].dataType
+    value = ref(column)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        value = F.nanvl(value, F.lit(None).cast(dtype))
+    return value.cast("string")
+
+
 def first_or_larger(first: Column, second: Column) -> Column:
     """Maximum that is NULL when the first argument is NULL and ignores a NULL second one."""
     return F.when(first.isNotNull(), F.greatest(first, second))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenhand.functions.expressions import ratio, ref
+from evenhand.functions.expressions import group_text, nan_to_null, ratio, ref
 from evenhand.operators.cells import as_list, sums_by_attribute
 from evenhand.operators.roles import require_columns
 
@@ -54,8 +54,9 @@ def missing_values(df: DataFrame) -> DataFrame:
 def group_distribution(df: DataFrame, attr: str) -> DataFrame:
     """Rows per non-null group, largest first."""
     return (
-        df.filter(ref(attr).isNotNull())
-        .groupBy(ref(attr).cast("string").alias("group"))
+        df.select(group_text(df, attr).alias("group"))
+        .dropna()
+        .groupBy("group")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "group")
     )
@@ -72,8 +73,8 @@ def _rate() -> Column:
 
 def target_rate(df: DataFrame, attr: str, label: str) -> DataFrame:
     """Mean of the label in each non-null group."""
-    sums = sums_by_attribute(df.filter(ref(attr).isNotNull()), [attr], [], _label_sums(df, label))
-    return sums.select("group", _rate().alias("rate"))
+    sums = sums_by_attribute(df, [attr], [], _label_sums(df, label))
+    return sums.filter(F.col("group").isNotNull()).select("group", _rate().alias("rate"))
 
 
 def target_rate_difference(df: DataFrame, attr: str, label: str) -> DataFrame:
@@ -170,6 +171,7 @@ def gap_summary(df: DataFrame, attrs: Iterable[str], label: str) -> DataFrame:
     One pass reduces the rows to attribute intersections; every gap comes from that table.
     """
     attrs = as_list(attrs)
+    df = nan_to_null(df.select(*[ref(c) for c in dict.fromkeys([*attrs, label])]))
     sums = _label_sums(df, label)
     finest = df.groupBy(*[ref(a) for a in attrs]).agg(sums["__sum"].alias("__sum"), sums["__known"].alias("__known"))
     sets = [(), *[(a,) for a in attrs]] + ([tuple(attrs)] if len(attrs) > 1 else [])

@@ -7,19 +7,17 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.functions.expressions import ref
+from evenhand.functions.expressions import group_text, ref
 
 
 def as_list(columns: str | Iterable[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
-def per_attribute(attrs: list[str]) -> Column:
+def per_attribute(df: DataFrame, attrs: list[str]) -> Column:
     """One (attr, group) pair per sensitive column; groups compare as strings."""
     return F.explode(
-        F.array(
-            *[F.struct(F.lit(a).alias("attr"), ref(a).cast("string").alias("group")) for a in attrs]
-        )
+        F.array(*[F.struct(F.lit(a).alias("attr"), group_text(df, a).alias("group")) for a in attrs])
     )
 
 
@@ -36,10 +34,10 @@ def sums_by_attribute(df: DataFrame, attrs: list[str], by: list[str], sums: dict
         return finest.select(
             *[ref(c) for c in by],
             F.lit(attrs[0]).alias("attr"),
-            ref(attrs[0]).cast("string").alias("group"),
+            group_text(df, attrs[0]).alias("group"),
             *sums,
         )
-    pairs = finest.select(*[ref(c) for c in by], *sums, per_attribute(attrs).alias("__pair"))
+    pairs = finest.select(*[ref(c) for c in by], *sums, per_attribute(df, attrs).alias("__pair"))
     return (
         pairs.select(*[ref(c) for c in by], "__pair.attr", "__pair.group", *sums)
         .groupBy(*[ref(c) for c in by], "attr", "group")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenhand.functions.expressions import clip_between, logistic, ref
+from evenhand.functions.expressions import clip_between, group_text, logistic, ref
 from evenhand.operators.cells import as_list
 from evenhand.operators.lookup import GroupTable, attach, local_table, pin
 
@@ -40,7 +40,7 @@ def scale_by_group(
                 F.col("group").cast("string").alias("__group"), F.col("factor").cast("double").alias("__factor")
             )
         )
-    keyed = df.withColumn("__group", ref(attr).cast("string"))
+    keyed = df.withColumn("__group", group_text(df, attr))
     joined = attach(keyed, table, ["__group"], spread_by)
     scaled = ref(column).cast("double") * F.coalesce(F.col("__factor"), F.lit(1.0))
     return joined.withColumn(column, scaled).select(*[ref(c) for c in df.columns])

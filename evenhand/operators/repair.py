@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenhand.functions.expressions import clip_between, hash_normal, nan_to_null, ref, round_back
+from evenhand.functions.expressions import clip_between, group_text, hash_normal, nan_to_null, ref, round_back
 from evenhand.operators.features import NULL_TOKEN, LabelEncoding
 from evenhand.operators.lookup import GroupTable, attach, pin
 from evenhand.operators.roles import require_columns, resolve_roles
@@ -43,7 +43,7 @@ def _narrow_rows(df: DataFrame, attrs: list[str], features: list[str]) -> tuple[
     keys = [f"__g{i}" for i in range(len(attrs))]
     xs = [f"__x{i}" for i in range(len(features))]
     rows = df.select(
-        *[ref(a).cast("string").alias(k) for a, k in zip(attrs, keys, strict=True)],
+        *[group_text(df, a).alias(k) for a, k in zip(attrs, keys, strict=True)],
         *[ref(f).cast("double").alias(x) for f, x in zip(features, xs, strict=True)],
     )
     return nan_to_null(rows), keys, xs
@@ -274,7 +274,7 @@ class GroupRepairModel:
             shifts = self._of(attr, F.struct(*[self._shift(i).alias(f"_{i}") for i, _ in moved]).alias(f"__s{a}"))
             if not moved:
                 continue
-            out = attach(out.withColumn("__group", ref(attr).cast("string")), shifts, ["__group"], spread).drop(
+            out = attach(out.withColumn("__group", group_text(df, attr)), shifts, ["__group"], spread).drop(
                 "__group"
             )
         repaired = {}
@@ -297,7 +297,7 @@ class GroupRepairModel:
             adjust = self._of(attr, *shifts, F.lit(1.0).alias("scale_0"))
         else:
             adjust = self._scales(df, attr, shifts)
-        joined = attach(df.withColumn("__group", ref(attr).cast("string")), adjust, ["__group"], spread)
+        joined = attach(df.withColumn("__group", group_text(df, attr)), adjust, ["__group"], spread)
         repaired = {}
         for i, f in shift_only:
             centre = self._overall(i)
@@ -354,7 +354,7 @@ class GroupRepairModel:
             measures += [(F.col("std")[i] * F.lit(amplitude)).alias(f"noise_{i}") for i in range(k)]
         table = self._of(attr, *measures)
         if noisy:
-            here = df.groupBy(ref(attr).cast("string").alias("__group")).agg(F.count(F.lit(1)).alias("__rows"))
+            here = df.groupBy(group_text(df, attr).alias("__group")).agg(F.count(F.lit(1)).alias("__rows"))
             single = pin(here.filter("__group is not null and __rows = 1").select("__group", F.lit(True).alias("__one")))
             quiet = attach(table.df, single, ["__group"])
             loud = F.col("__one").isNull()
@@ -362,7 +362,7 @@ class GroupRepairModel:
                 quiet.withColumns({n: F.when(loud, F.col(n)).otherwise(0.0) for n in (f"noise_{i}" for i in range(k))}),
                 table.bounded,
             )
-        joined = attach(df.withColumn("__group", ref(attr).cast("string")), table, ["__group"], spread)
+        joined = attach(df.withColumn("__group", group_text(df, attr)), table, ["__group"], spread)
         repaired = {}
         for i, f in enumerate(self.features):
             value = ref(f).cast("double") + F.col(f"shift_{i}")

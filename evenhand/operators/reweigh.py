@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenhand.functions.expressions import ref
+from evenhand.functions.expressions import group_text, ref
 from evenhand.operators.lookup import attach, pin
 from evenhand.operators.roles import require_columns
 
@@ -13,8 +13,9 @@ from evenhand.operators.roles import require_columns
 def reweigh_table(df: DataFrame, attr: str, label: str) -> DataFrame:
     """Weight P(group) P(label) / P(group, label) of every cell; NULL groups and labels have none."""
     cells = (
-        df.filter(ref(attr).isNotNull() & ref(label).isNotNull())
-        .groupBy(ref(attr).cast("string").alias("group"), ref(label).cast("string").alias("label"))
+        df.select(group_text(df, attr).alias("group"), group_text(df, label).alias("label"))
+        .dropna()
+        .groupBy("group", "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     labels = pin(cells.groupBy("label").agg(F.sum("n").alias("__of_label")))
@@ -35,5 +36,5 @@ def reweigh(
             F.col("group").alias("__group"), F.col("label").alias("__label"), F.col("weight").alias(out)
         )
     )
-    keyed = df.withColumns({"__group": ref(attr).cast("string"), "__label": ref(label).cast("string")})
+    keyed = df.withColumns({"__group": group_text(df, attr), "__label": group_text(df, label)})
     return attach(keyed, weights, ["__group", "__label"], spread_by).select(*[ref(c) for c in df.columns], out)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenhand.functions.expressions import ref
+from evenhand.functions.expressions import group_text, ref
 from evenhand.operators.cells import as_list
 from evenhand.operators.features import NULL_TOKEN
 from evenhand.operators.lookup import GroupTable, attach, pin
@@ -21,7 +21,7 @@ DEFAULT_THRESHOLD = 0.5
 
 def _group_text(df: DataFrame, attr: str, null_token: str | None):
     """Groups as text; a NULL string or boolean is the group ``null_token``, a NULL number none."""
-    text = ref(attr).cast("string")
+    text = group_text(df, attr)
     if null_token is None or isinstance(df.schema[attr].dataType, T.NumericType):
         return text
     return F.coalesce(text, F.lit(null_token))

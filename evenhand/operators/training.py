@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from evenhand.functions.expressions import hash_uniform, ref
+from evenhand.functions.expressions import group_text, hash_uniform, ref
 from evenhand.operators.cells import as_list
 from evenhand.operators.features import CategoryCodes, FeaturePrep, LabelEncoding, StandardScaling
 from evenhand.operators.learners import BaseLearner, ConstantScorer, ForestScorer, LinearScorer
@@ -188,7 +188,8 @@ def fit_baseline(
     info = _info("none", learner, sensitive, low, high)
     if low == high:
         return BaselineModel(prep, ConstantScorer(low), tuple(sensitive), info)
-    ready = _training_rows(prep.transform(df), prep, [ref(label).cast("double").alias("__y"), *([ref(weight).cast("double").alias("__w")] if weight else [])])
+    weights = [ref(weight).cast("double").alias("__w")] if weight else []
+    ready = _training_rows(prep.transform(df), prep, [ref(label).cast("double").alias("__y"), *weights])
     try:
         total = ready.agg(F.sum("__w")).first()[0] if weight else n
         scorer = learner.fit(ready, prep.names(), "__y", float(total), "__w" if weight else None)
@@ -293,7 +294,7 @@ class FairReduction:
             )
         groups = _group_index(df, list(self.sensitive))
         keyed = attach(
-            df.withColumns({f"__k{i}": _key_text(s) for i, s in enumerate(self.sensitive)}),
+            df.withColumns({f"__k{i}": _key_text(df, s) for i, s in enumerate(self.sensitive)}),
             groups,
             [f"__k{i}" for i in range(len(self.sensitive))],
             spread,
@@ -366,14 +367,14 @@ class FairReduction:
         return fitted[signature]
 
 
-def _key_text(column: str) -> Column:
-    return F.coalesce(F.concat(F.lit("v"), ref(column).cast("string")), F.lit("n"))
+def _key_text(df: DataFrame, column: str) -> Column:
+    return F.coalesce(F.concat(F.lit("v"), group_text(df, column)), F.lit("n"))
 
 
 def _group_index(df: DataFrame, sensitive: list[str]):
     """Number the combinations of sensitive values; a missing value is a value of its own."""
     keys = [f"__k{i}" for i in range(len(sensitive))]
-    combos = df.select(*[_key_text(s).alias(k) for s, k in zip(sensitive, keys, strict=True)]).distinct()
+    combos = df.select(*[_key_text(df, s).alias(k) for s, k in zip(sensitive, keys, strict=True)]).distinct()
     table = pin(combos, MAX_CONSTRAINED_GROUPS)
     if not table.bounded:
         raise ValueError(f"over {MAX_CONSTRAINED_GROUPS} combinations of {sensitive}: no constraint can be learnt")

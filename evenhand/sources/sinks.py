@@ -36,7 +36,11 @@ def run_metrics(
     is_primary = F.col("metric") == primary
     last = final.filter(is_primary).select("metric", F.col("value").alias("final"))
     parts.append(
-        last.select(F.lit("summary").alias("stage"), F.lit("primary_fairness_metric").alias("metric"), F.col("final").alias("value"))
+        last.select(
+            F.lit("summary").alias("stage"),
+            F.lit("primary_fairness_metric").alias("metric"),
+            F.col("final").alias("value"),
+        )
     )
     if baseline is not None:
         pair = baseline.filter(is_primary).select("metric", F.col("value").alias("base")).join(last, "metric")

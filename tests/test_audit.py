@@ -102,3 +102,15 @@ def test_comparison_statuses(spark):
     assert eh.verdict(eh.goal_summary(other, 0.05)).first()["verdict"] == "FAILED"
     with pytest.raises(ValueError, match="No matching"):
         eh.comparison_series(base, final.filter("metric = 'accuracy'"), "fairness")
+
+
+def test_nan_is_no_group_and_numbers_are_groups(spark):
+    rows = [(1.0, 1, 1), (1.0, 0, 0), (2.0, 1, 0), (float("nan"), 1, 0), (None, 0, 0)]
+    df = spark.createDataFrame(rows, "g double, y int, p int")
+    assert {r["group"]: r["n"] for r in eh.group_distribution(df, "g").collect()} == {"1.0": 2, "2.0": 1}
+    assert {r["group"] for r in eh.target_rate(df, "g", "y").collect()} == {"1.0", "2.0"}
+    assert eh.audit_predictions(df, "y", "p", "g").first()["demographic_parity_difference"] == 0.5
+    fixed = eh.GroupRepair(("g",)).fit(df.withColumn("x", df.y * 1.0)).group_stats().collect()
+    assert {r["group"] for r in fixed} == {"1.0"}
+    weights = eh.reweigh(df, "g", "y").collect()
+    assert [r["weight"] is None for r in weights] == [False, False, False, True, True]
