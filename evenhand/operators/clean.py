@@ -127,17 +127,29 @@ def _missing_aware(df: DataFrame, column: str) -> Column:
     return ref(column)
 
 
-def _fill_window(df: DataFrame, columns: list[str], order: list[str], keys: list[str]) -> DataFrame:
+def _fill_parts(df: DataFrame, columns: list[str], order: list[str], keys: list[str]) -> dict[str, tuple]:
+    """Per column the last value so far, and the first value of the whole partition.
+
+    A row without an earlier value has no value before it at all, so the next later one is the
+    first of the partition. A frame that ends at the last row and starts at the current one
+    would be evaluated anew for every row; this one is evaluated once, in the same sort.
+    """
     window = Window.partitionBy(*keys).orderBy(*[ref(c) for c in order])
-    back = window.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = window.rowsBetween(0, Window.unboundedFollowing)
-    filled = {}
+    so_far = window.rowsBetween(Window.unboundedPreceding, 0)
+    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    parts = {}
     for c in columns:
         value = _missing_aware(df, c)
-        filled[c] = F.coalesce(
-            F.last(value, ignorenulls=True).over(back), F.first(value, ignorenulls=True).over(ahead)
+        parts[c] = (
+            F.last(value, ignorenulls=True).over(so_far),
+            F.first(value, ignorenulls=True).over(whole),
         )
-    return df.withColumns(filled)
+    return parts
+
+
+def _fill_window(df: DataFrame, columns: list[str], order: list[str], keys: list[str]) -> DataFrame:
+    parts = _fill_parts(df, columns, order, keys)
+    return df.withColumns({c: F.coalesce(*both) for c, both in parts.items()})
 
 
 def _chunk_number() -> Column:
@@ -193,32 +205,24 @@ def _fill_chunks(
     # one row per chunk of a hot key
     along = Window.partitionBy(*joinable).orderBy("__chunk")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
-    after = along.rowsBetween(1, Window.unboundedFollowing)
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carried = pin(
         chunk_ends.select(
             *joinable,
             "__chunk",
             *[F.last(f"__last{i}", ignorenulls=True).over(before).alias(f"__before{i}") for i in range(len(columns))],
-            *[F.first(f"__first{i}", ignorenulls=True).over(after).alias(f"__after{i}") for i in range(len(columns))],
+            *[F.first(f"__first{i}", ignorenulls=True).over(whole).alias(f"__after{i}") for i in range(len(columns))],
         ),
         2 * FILL_CHUNKS,
     )
-    window = Window.partitionBy(*joinable, "__chunk").orderBy(*[ref(c) for c in order])
-    back = window.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = window.rowsBetween(0, Window.unboundedFollowing)
-    carried_rows = attach(
-        chunked.withColumns(
-            {
-                **{f"__b{i}": F.last(_missing_aware(df, c), ignorenulls=True).over(back) for i, c in enumerate(columns)},
-                **{f"__a{i}": F.first(_missing_aware(df, c), ignorenulls=True).over(ahead) for i, c in enumerate(columns)},
-            }
-        ),
-        carried,
-        [*joinable, "__chunk"],
-    )
-    return carried_rows.withColumns(
+    parts = _fill_parts(chunked, columns, order, [*joinable, "__chunk"])
+    here = {f"__so_far{i}": so_far for i, (so_far, _) in enumerate(parts.values())} | {
+        f"__first{i}": first for i, (_, first) in enumerate(parts.values())
+    }
+    filled = attach(chunked.withColumns(here), carried, [*joinable, "__chunk"])
+    return filled.withColumns(
         {
-            c: F.coalesce(f"__b{i}", f"__before{i}", f"__a{i}", f"__after{i}")
+            c: F.coalesce(f"__so_far{i}", f"__before{i}", f"__first{i}", f"__after{i}")
             for i, c in enumerate(columns)
         }
     )

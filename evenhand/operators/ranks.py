@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from evenhand.functions.expressions import ref
 from evenhand.operators.lookup import GroupTable, attach, pin
 
-BUCKETS = 4_096
+BUCKETS = 1_024
 
 
 def kth_smallest(
@@ -65,30 +65,29 @@ def kth_smallest(
 
 def _narrow(rows: DataFrame, keys: list[str], ids: list[str], state: GroupTable, buckets: int) -> DataFrame:
     open_state = state.narrow("*", where="__upto is null")
-    # several wanted ranks of a key share the pass: one row per key with an array of intervals
-    intervals = GroupTable(
-        open_state.df.groupBy(*keys).agg(
-            F.collect_list(F.struct(*[c for c in ids if c not in keys], "__lo", "__hi")).alias("__open")
-        ),
-        open_state.bounded,
-    )
+    named = [c for c in ids if c not in keys]
+    if named:
+        # several wanted ranks of a key share the pass: one row per key with an array of intervals
+        cells = F.collect_list(F.struct(*named, "__lo", "__hi")).alias("__open")
+        intervals = GroupTable(open_state.df.groupBy(*keys).agg(cells), open_state.bounded)
+    else:
+        intervals = open_state.narrow(*keys, F.array(F.struct("__lo", "__hi")).alias("__open"))
+    held = attach(rows.filter(F.col("__v").isNotNull()), intervals, keys, [*keys, "__v"])
+    if named:
+        held = held.filter(F.col("__open").isNotNull()).withColumn("__i", F.explode("__open"))
+    else:
+        held = held.withColumn("__i", F.col("__open")[0])
     width = F.col("__i.__hi") - F.col("__i.__lo")
     bucket = (
         F.when(width > 0, F.floor((F.col("__v") - F.col("__i.__lo")) / width * F.lit(float(buckets))))
         .otherwise(F.lit(0))
         .cast("int")
     )
-    inside = (
-        attach(rows.filter(F.col("__v").isNotNull()), intervals, keys, [*keys, "__v"])
-        .filter(F.col("__open").isNotNull())
-        .select(*[ref(k) for k in keys], "__v", F.explode("__open").alias("__i"))
-        .filter((F.col("__v") >= F.col("__i.__lo")) & (F.col("__v") <= F.col("__i.__hi")))
-        .select(
-            *[ref(k) for k in keys],
-            *[F.col(f"__i.{c}").alias(c) for c in ids if c not in keys],
-            "__v",
-            F.least(bucket, F.lit(buckets - 1)).alias("__bucket"),
-        )
+    inside = held.filter((F.col("__v") >= F.col("__i.__lo")) & (F.col("__v") <= F.col("__i.__hi"))).select(
+        *[ref(k) for k in keys],
+        *[F.col(f"__i.{c}").alias(c) for c in named],
+        "__v",
+        F.least(bucket, F.lit(buckets - 1)).alias("__bucket"),
     )
     counts = inside.groupBy(*[ref(c) for c in ids], "__bucket").agg(
         F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
