@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from evenhand.functions.expressions import group_text, nan_to_null, ratio, ref
 from evenhand.operators.cells import as_list, sums_by_attribute
+from evenhand.operators.lookup import pin
 from evenhand.operators.roles import require_columns
 
 PIVOT_VALUES = 1_000
@@ -147,18 +148,14 @@ def intersectional_rates(df: DataFrame, attrs: Iterable[str], label: str) -> Dat
 def rate_matrix(df: DataFrame, row_attr: str, column_attr: str, label: str, values: list | None = None) -> DataFrame:
     """Rates of two attributes as a matrix; a combination without rows stays NULL.
 
-    The column groups are looked up when they are not given. More than ``PIVOT_VALUES`` of them
-    cannot become columns: use ``intersectional_rates``, which has the same numbers as rows.
+    Unless the column groups are given they are taken from the rates, which are then evaluated
+    here, in one pass over the table. More than ``PIVOT_VALUES`` groups cannot become columns:
+    ``intersectional_rates`` has the same numbers as rows.
     """
     rates = intersectional_rates(df, [row_attr, column_attr], label)
     if values is None:
-        found = (
-            df.filter(ref(column_attr).isNotNull())
-            .select(ref(column_attr).alias("v"))
-            .distinct()
-            .limit(PIVOT_VALUES + 1)
-            .collect()
-        )
+        rates = pin(rates).df
+        found = rates.select(ref(column_attr).alias("v")).distinct().limit(PIVOT_VALUES + 1).collect()
         if len(found) > PIVOT_VALUES:
             raise ValueError(f"{column_attr!r} has over {PIVOT_VALUES} groups; use intersectional_rates")
         values = sorted(r["v"] for r in found)

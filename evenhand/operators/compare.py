@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenhand.functions.expressions import ref
+from evenhand.operators.lookup import pin
 from evenhand.operators.metrics import ADDITIONAL, FAIRNESS, PERFORMANCE
 
 
@@ -95,7 +96,8 @@ def comparison_series(
 ) -> DataFrame:
     """Long Before/After series of the two fairness or three performance metrics for a chart.
 
-    Raises when the reports have no metric of the kind in common (a look at report-sized tables).
+    Raises when the reports have no metric of the kind in common, so the reports are evaluated
+    here, once; the result holds their values.
     """
     by = list(by)
     if kind == "fairness":
@@ -104,10 +106,10 @@ def comparison_series(
         metrics, threshold = PERFORMANCE[:3], None
     else:
         raise ValueError(f"Unknown kind: {kind}")
-    pairs = _paired(base, final, by, metrics)
-    if pairs.isEmpty():
+    pairs = pin(_paired(base, final, by, metrics))
+    if not pairs.rows and (pairs.bounded or pairs.df.isEmpty()):
         raise ValueError(f"No matching {kind} metrics found in baseline and final results")
-    return pairs.select(
+    return pairs.df.select(
         *[ref(b) for b in by],
         "metric",
         F.inline(
