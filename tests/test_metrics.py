@@ -57,7 +57,7 @@ def test_null_group_counts_in_accuracy_only(spark):
     assert None in {x["group"] for x in eh.confusion_cells(df, "y", "p", "g").collect()}
 
 
-def reference_metrics(pdf, attr):
+def direct_metrics(pdf, attr):
     """Direct computation of the six metrics with pandas."""
     out = {"accuracy": float((pdf.y == pdf.p).mean())}
     totals = {"precision": 0.0, "recall": 0.0, "f1_score": 0.0}
@@ -93,7 +93,7 @@ def test_metrics_equal_pandas_for_several_attributes(spark, biased, partitions):
     rows = eh.all_metrics(df, "y", "p", ["race", "sex"]).collect()
     for attr in ("race", "sex"):
         got = {r["metric"]: r["value"] for r in rows if r["attr"] == attr}
-        want = reference_metrics(biased, attr)
+        want = direct_metrics(biased, attr)
         assert got.keys() == want.keys()
         for k, v in want.items():
             assert math.isclose(got[k], v, abs_tol=1e-12), k
@@ -119,7 +119,7 @@ def test_additional_metrics_and_unknown_name(spark, biased):
 def test_audit_by_split_is_one_report_per_split(spark, biased):
     df = spark.createDataFrame(biased.assign(split=np.where(biased.index % 3 == 0, "test", "train")))
     rows = {r["split"]: r for r in eh.audit_predictions(df, "y", "p", "race", by=["split"]).collect()}
-    want = reference_metrics(biased[biased.index % 3 == 0], "race")
+    want = direct_metrics(biased[biased.index % 3 == 0], "race")
     assert math.isclose(rows["test"]["equalized_odds_difference"], want["equalized_odds_difference"])
     assert set(rows) == {"test", "train"}
 
