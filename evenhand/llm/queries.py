@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import chat, digest_runs, jump_shards, rule_ledger
+from evenhand.llm import chat, digest_runs, jump_shards, pii, rule_ledger
 from evenhand.llm.tables import table
 
 
+def op1_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", pii.of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"),
+        pii.spelled(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = rule_ledger.rule_ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return ledger.select(
@@ -55,5 +66,5 @@ def op10_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_rule_ledger, op5_jump_shards, op9_chat_events, op10_digest_runs)
+    f.__name__: f for f in (op1_pii_boosting, op2_rule_ledger, op5_jump_shards, op9_chat_events, op10_digest_runs)
 }
