@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import chat, digest_runs, jump_shards, pii, rule_ledger
+from evenhand.llm import chat, digest_runs, jump_shards, pii, rule_ledger, token_files
 from evenhand.llm.tables import table
 
 
@@ -37,6 +37,10 @@ def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.assign_shards(table(spark, sf_dir, "documents"), 40)
 
@@ -66,5 +70,5 @@ def op10_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii_boosting, op2_rule_ledger, op5_jump_shards, op9_chat_events, op10_digest_runs)
+    f.__name__: f for f in (op1_pii_boosting, op2_rule_ledger, op3_token_files, op5_jump_shards, op9_chat_events, op10_digest_runs)
 }
