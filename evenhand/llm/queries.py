@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import chat, digest_runs, jump_shards, pii, rule_ledger, token_files
+from evenhand.llm import chat, digest_runs, jump_shards, mixing, pii, rule_ledger, token_files
 from evenhand.llm.tables import table
 
 
@@ -45,6 +45,10 @@ def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.assign_shards(table(spark, sf_dir, "documents"), 40)
 
 
+def op8_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op9_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"),
@@ -70,5 +74,5 @@ def op10_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii_boosting, op2_rule_ledger, op3_token_files, op5_jump_shards, op9_chat_events, op10_digest_runs)
+    f.__name__: f for f in (op1_pii_boosting, op2_rule_ledger, op3_token_files, op5_jump_shards, op8_source_schedule, op9_chat_events, op10_digest_runs)
 }
