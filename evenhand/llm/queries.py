@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import chat, digest_runs, jump_shards, mixing, pii, rule_ledger, token_files
+from evenhand.llm import chat, digest_runs, jump_shards, mixing, near_dups, pii, rule_ledger, token_files
 from evenhand.llm.tables import table
 
 
@@ -41,6 +41,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op4_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.assign_shards(table(spark, sf_dir, "documents"), 40)
 
@@ -74,5 +78,5 @@ def op10_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii_boosting, op2_rule_ledger, op3_token_files, op5_jump_shards, op8_source_schedule, op9_chat_events, op10_digest_runs)
+    f.__name__: f for f in (op1_pii_boosting, op2_rule_ledger, op3_token_files, op4_weighted_minhash, op5_jump_shards, op8_source_schedule, op9_chat_events, op10_digest_runs)
 }
