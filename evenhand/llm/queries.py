@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import chat, digest_runs, jump_shards, mixing, near_dups, pii, rule_ledger, segment_sampling, token_files
+from evenhand.llm import chat, digest_runs, jump_shards, mixing, near_dups, pii, repeated_bytes, rule_ledger, segment_sampling, token_files
 from evenhand.llm.tables import table
 
 
@@ -49,6 +49,10 @@ def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.assign_shards(table(spark, sf_dir, "documents"), 40)
 
 
+def op6_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_gumbel_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return segment_sampling.sample_segmentations(documents, segment_sampling.default_model())
@@ -83,5 +87,5 @@ def op10_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii_boosting, op2_rule_ledger, op3_token_files, op4_weighted_minhash, op5_jump_shards, op7_gumbel_segments, op8_source_schedule, op9_chat_events, op10_digest_runs)
+    f.__name__: f for f in (op1_pii_boosting, op2_rule_ledger, op3_token_files, op4_weighted_minhash, op5_jump_shards, op6_prefix_doubling, op7_gumbel_segments, op8_source_schedule, op9_chat_events, op10_digest_runs)
 }
