@@ -1,10 +1,14 @@
-"""From a table of documents to sampled token sequences, in stages that are each written and read again."""
+"""From a table of documents to sampled token sequences, in stages that are each written and read again.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before kept. All but the last
+return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evenhand.llm import digest_runs, rule_ledger
+from evenhand.llm import digest_runs, mixing, near_dups, rule_ledger, segment_sampling
 from evenhand.llm.tables import saved, table
 
 
@@ -18,7 +22,30 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return digest_runs.drop_duplicates(docs)
 
 
-STAGES = [("quality", quality), ("exact_duplicates", exact_duplicates)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, the one with the smallest id."""
+    return near_dups.drop_near_duplicates(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them: not at all, once or twice."""
+    return mixing.mixed_rows(docs)
+
+
+def segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled token sequences of each document, with the probability of having been sampled."""
+    return segment_sampling.sample_segmentations(docs, segment_sampling.default_model())
+
+
+STAGES = [
+    ("quality", quality),
+    ("exact_duplicates", exact_duplicates),
+    ("near_duplicates", near_duplicates),
+    ("mixture", mixture),
+    ("segmentations", segmentations),
+]
+
+#: Sampling has no SQL; the stages before it are tested against plain Python.
 ORACLE_SQL = None
 
 
