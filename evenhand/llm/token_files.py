@@ -29,8 +29,10 @@ from evenhand.llm.tables import named, saved, shared_path, worker_state
 END_ID = 0
 FRAME_IDS = 1 << 18
 LEVEL = 3
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 CACHED_LENGTH = 64
+JOINED = 256
+CHUNK_CHARS = 1 << 20
 
 # Fixed values of the zstandard formats: skippable frame numbers, and the mark at a file's end.
 INDEX_MAGIC = 0x184D2A50
@@ -47,8 +49,8 @@ class WordEncoder:
     """Encodes texts with a byte-level BPE tokenizer, keeping the ids of words it has seen.
 
     The tokenizer always begins a new piece at a space that follows a non-blank, so such texts are
-    encoded word by word. Texts with a space after another blank are encoded as a whole. The
-    words kept are bounded in number and length.
+    encoded word by word, new words many at a time. Texts with a space after another blank are
+    encoded as a whole. Words are kept in two generations of bounded size, so that frequent ones stay.
     """
 
     def __init__(self, definition: str):
@@ -57,27 +59,57 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
         self.after_blank = re.compile(r"\s ").search
-        self.words: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        # a byte-level vocabulary writes a space as U+0120
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for piece, i in vocabulary.items() if piece.startswith("\u0120")]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it: many words are one text, cut at its spaces."""
+        out: list[bytes] = []
+        for at in range(0, len(words), JOINED):
+            some = words[at : at + JOINED]
+            ids = np.asarray(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
+            begins = np.flatnonzero(self.spaced[ids])
+            if len(begins) == len(some):
+                whole, ends = ids.tobytes(), [*(4 * begins[1:]).tolist(), 4 * len(ids)]
+                out += [whole[a:b] for a, b in zip((4 * begins).tolist(), ends, strict=True)]
+            else:
+                out += self._encode([" " + w for w in some])
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
+        if len(self.young) > CACHED_WORDS:
+            self.old, self.young = self.young, {}
         split = [None if self.after_blank(t) else t.split(" ") for t in texts]
-        new = list({w for words in split if words for w in words[1:] if w not in self.words})
-        long: dict[str, bytes] = {}
-        for word, ids in zip(new, self._encode([" " + w for w in new]), strict=True):
-            (self.words if len(word) <= CACHED_LENGTH else long)[word] = ids
-        known = (lambda w: self.words[w] if w in self.words else long[w]) if long else self.words.__getitem__
+        words: set[str] = set()
+        words.update(*filter(None, split))
+        words.difference_update(self.young)
+        back = [w for w in words if w in self.old]
+        self.young.update(zip(back, map(self.old.__getitem__, back), strict=True))
+        words.difference_update(back)
+        short = [w for w in words if w and len(w) <= CACHED_LENGTH]
+        self.young.update(zip(short, self._encode_words(short), strict=True))
+        words.difference_update(short)
+        alone = list(words)
+        self.young.update(zip(alone, self._encode([" " + w for w in alone]), strict=True))
         heads = self._encode([t if words is None else words[0] for t, words in zip(texts, split, strict=True)])
-        return [
-            head if words is None else head + b"".join(map(known, words[1:]))
+        ids = self.young.__getitem__
+        out = [
+            head if words is None else head + b"".join(map(ids, words[1:]))
             for head, words in zip(heads, split, strict=True)
         ]
+        for word in alone:  # long words are not kept
+            if len(word) > CACHED_LENGTH:
+                del self.young[word]
+        return out
 
 
 def write_file(sink, documents: Iterable[tuple[int | None, bytes]]) -> tuple[int, int]:
@@ -184,8 +216,13 @@ def write_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
         def documents():
             batch = first
             while batch is not None:
-                ids = encoder.encode(batch.column("t").to_pylist())
-                yield from ((i, b + end) for i, b in zip(batch.column("id").to_pylist(), ids, strict=True))
+                texts, keys, a = batch.column("t").to_pylist(), batch.column("id").to_pylist(), 0
+                while a < len(texts):
+                    b, size = a + 1, len(texts[a])
+                    while b < len(texts) and size + len(texts[b]) <= CHUNK_CHARS:
+                        size, b = size + len(texts[b]), b + 1
+                    yield from ((i, ids + end) for i, ids in zip(keys[a:b], encoder.encode(texts[a:b]), strict=True))
+                    a = b
                 batch = next(batches, None)
 
         file = f"{path}/part-{task.partitionId():06d}-{task.taskAttemptId()}.zst"
