@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,10 @@ from evenhand.llm.word_hashes import mix
 SAMPLES = 2
 SEED = 23
 CHUNK_CHARS = 1 << 20
-STORED_EDGES = 4_000_000
+STORED_EDGES = 6_000_000
+#: A Gumbel value is at most this far above its location, as 53 random bits go; and how far down nodes are looked at first.
+NOISE = 38.0
+FAR = -60.0
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
 
@@ -76,9 +80,17 @@ class Vocabulary:
         self.likely = np.zeros(1 << 20, bool)
         self.likely[(self.hashes >> np.uint64(44)).astype(np.intp)] = True
 
-    def decode(self, ids: list[int]) -> bytes:
-        """The text of a sequence: its pieces joined, without the space put before it."""
-        return b"".join(map(self.spelled.__getitem__, ids))[1:]
+        self.bytes = np.frombuffer(b"".join(self.spelled), np.uint8)
+        self.size = np.fromiter(map(len, self.spelled), np.int64, size)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[memoryview]:
+        """The texts of sequences of ids that follow each other: pieces joined, without the space put before."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        out = memoryview(self.bytes[np.repeat(self.begin[ids] - (ends - size), size) + np.arange(size.sum())])
+        stop = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [out[a + 1 : b] for a, b in zip(stop[:-1], stop[1:], strict=True)]
 
 
 def prefix_hashes(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,7 +188,10 @@ def build(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
     depth = np.zeros(len(words) + len(starts), np.int64)
     depth[node] = inside
     depth[node[lengths[words] == inside + 1] + 1] = lengths
-    order = np.lexsort((-weight, end, depth[end]))
+    # by depth, node and weight
+    within = (end << 16) | np.minimum((weight * -2000).astype(np.int64), 0xFFFF)
+    order = np.argsort(within)
+    order = order[np.argsort(depth[end[order]].astype(np.int32), kind="stable")]
     start, end, ids, width, weight = (x[order] for x in (start, end, ids, width, weight))
     share, upto = np.empty(len(end)), np.empty(len(end))
     total = np.zeros(len(depth))
@@ -198,7 +213,17 @@ def build(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
         first[nodes], number[nodes] = at + a, count
         a = b
     begin = offset + np.arange(len(starts))
-    return Lattice(first, number, start, ids, width, share, upto, begin, begin + lengths)
+    return Lattice(
+        first.astype(np.int32),
+        number.astype(np.int32),
+        start.astype(np.int32),
+        ids.astype(np.int32),
+        width.astype(np.int8),
+        share.astype(np.float32),
+        upto.astype(np.float32),
+        begin.astype(np.int32),
+        (begin + lengths).astype(np.int32),
+    )
 
 
 class Store:
@@ -235,7 +260,7 @@ class Store:
             return
         edges, nodes = len(have.start), len(have.first)
         for name, shift in (("first", edges), ("start", nodes), ("begin", nodes), ("end", nodes)):
-            setattr(have, name, np.concatenate([getattr(have, name), getattr(more, name) + shift]))
+            setattr(have, name, np.concatenate([getattr(have, name), getattr(more, name) + np.int32(shift)]))
         for name in ("number", "id", "width", "share", "upto"):
             setattr(have, name, np.concatenate([getattr(have, name), getattr(more, name)]))
 
@@ -256,6 +281,7 @@ def draw(lattice: Lattice, words: np.ndarray, keys: np.ndarray, places: np.ndarr
     """A segmentation of each word, by chance: ``keys`` of its text and ``places`` in it seed the choice."""
     seeds = stir(stir(keys, sample), places)
     node = lattice.end[words]
+    begin = lattice.begin[words]
     active = np.arange(len(words))
     taken, step = [], 0
     count = np.zeros(len(words), np.int64)
@@ -270,7 +296,7 @@ def draw(lattice: Lattice, words: np.ndarray, keys: np.ndarray, places: np.ndarr
         taken.append((active, edge))
         count[active] += 1
         node = lattice.start[edge]
-        going = node != lattice.begin[words[active]]
+        going = node != begin[active]
         active, node, step = active[going], node[going], step + 1
     offset = np.cumsum(count) - count
     edges = np.empty(int(count.sum()), np.int64)
@@ -324,22 +350,16 @@ class Search:
         """Record a leaf and open what it leaves aside from choice ``since`` of each text on."""
         number = len(self.leaves)
         offset = leaf.offset
-        share = self.lattice.share[leaf.edges]
+        share = self.lattice.share[leaf.edges].astype(np.float64)
         line = np.concatenate([[0.0], np.cumsum(share)])
         starts, ends = offset[self.bounds[:-1]], offset[self.bounds[1:]]
         before = line[:-1] - np.repeat(line[starts], ends - starts)
-        owner = np.repeat(np.arange(len(starts)), ends - starts)
-        with np.errstate(divide="ignore"):
-            aside = np.log(-np.expm1(np.minimum(share, 0.0)))
-        only = self.lattice.number[self._end_nodes(leaf)] == 1
-        aside[only] = -np.inf
-        place = np.arange(len(share)) - starts[owner]
-        for text, (at, node, edges) in excluded.items():
-            aside[starts[text] + at] = self._left(node, edges)
-        aside[place < since[owner]] = -np.inf
-        u = uniform(stir(self.keys, (1 << 41) + number)[owner], place)
-        values = below(before + aside, value[owner], u)
-        best, where = _tops(values, starts, ends, self.k - number)
+        far = np.flatnonzero(before >= FAR)
+        best, where = self._aside(leaf, far, before, share, value, since, excluded)
+        # what lies further can only count if its bound is above the last one taken
+        upto = np.bincount(self.texts[np.repeat(np.arange(len(leaf.count)), leaf.count)[far]], minlength=len(starts))
+        if ((best[:, -1] < FAR + NOISE) & (upto < ends - starts)).any():
+            best, where = self._aside(leaf, np.arange(len(share)), before, share, value, since, excluded)
         for j in range(best.shape[1]):
             for text in np.flatnonzero(~np.isneginf(best[:, j])).tolist():
                 self.open[text].append((best[text, j], number, int(where[text, j] - starts[text])))
@@ -347,14 +367,29 @@ class Search:
         self.scores.append((line[ends] - line[starts], value))
         self.excluded.append(excluded)
 
-    def _end_nodes(self, leaf: Leaf) -> np.ndarray:
-        """The node that each chosen edge ends at."""
+    def _aside(self, leaf, at, before, share, value, since, excluded) -> tuple[np.ndarray, np.ndarray]:
+        """The greatest values, and their places, of what a leaf leaves aside at the choices ``at``."""
+        number = len(self.leaves)
         offset = leaf.offset
-        nodes = np.empty(len(leaf.edges), np.int64)
-        nodes[1:] = self.lattice.start[leaf.edges[:-1]]
-        some = leaf.count > 0
-        nodes[offset[:-1][some]] = self.lattice.end[self.words[some]]
-        return nodes
+        starts = offset[self.bounds[:-1]]
+        word = np.searchsorted(offset, at, side="right") - 1
+        owner = self.texts[word]
+        place = at - starts[owner]
+        # the node that each chosen edge ends at
+        node = np.where(at == offset[word], self.lattice.end[self.words[word]], self.lattice.start[leaf.edges[np.maximum(at - 1, 0)]])
+        with np.errstate(divide="ignore"):
+            aside = np.log(-np.expm1(np.minimum(share[at], 0.0)))
+        aside[self.lattice.number[node] == 1] = -np.inf
+        begins = np.searchsorted(owner, np.arange(len(starts) + 1))
+        for text, (turn, fork, edges) in excluded.items():
+            i = int(begins[text]) + int(np.searchsorted(place[begins[text] : begins[text + 1]], turn))
+            if i < begins[text + 1] and place[i] == turn:
+                aside[i] = self._left(fork, edges)
+        aside[place < since[owner]] = -np.inf
+        u = uniform(stir(self.keys, (1 << 41) + number)[owner], place)
+        values = below(before[at] + aside, value[owner], u)
+        best, where = _tops(values, begins[:-1], begins[1:], self.k - number)
+        return best, np.where(where >= 0, at[np.maximum(where, 0)] if len(at) else where, -1)
 
     def _chance(self, text: int, sample: int, place: int) -> float:
         return float(uniform(stir(self.keys[text : text + 1], sample), place)[0])
@@ -450,14 +485,14 @@ class Search:
 
     def ids(self, leaf: Leaf, byte_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The piece ids of all texts in reading order, and how many each text has."""
-        width = self.lattice.width[leaf.edges]
+        width = self.lattice.width[leaf.edges].astype(np.int64)
         word = np.repeat(np.arange(len(self.words)), leaf.count)
         size = np.bincount(word, width, len(self.words)).astype(np.int64)
         # edges were chosen from the end of a word to its beginning
         upto = np.cumsum(width)
         begin = np.concatenate([[0], upto])[leaf.offset[:-1]]
         at = (np.cumsum(size) - size)[word] + size[word] - (upto - begin[word])
-        ids = self.lattice.id[leaf.edges]
+        ids = self.lattice.id[leaf.edges].astype(np.int64)
         out = np.empty(int(width.sum()), np.int32)
         plain = ids >= 0
         out[at[plain]] = ids[plain]
@@ -532,21 +567,20 @@ def sample_segmentations(
         store = worker_state("segment_store", lambda: Store(Vocabulary(proto.value)))
         vocabulary = store.vocabulary
         for batch in batches:
-            texts = batch.column(2).to_pylist()
+            lengths = pc.utf8_length(batch.column(2)).to_pylist()
             keys = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             a = 0
-            while a < len(texts):
-                b, size = a + 1, len(texts[a])
-                while b < len(texts) and size + len(texts[b]) <= CHUNK_CHARS:
-                    size, b = size + len(texts[b]), b + 1
+            while a < len(lengths):
+                b, size = a + 1, lengths[a]
+                while b < len(lengths) and size + lengths[b] <= CHUNK_CHARS:
+                    size, b = size + lengths[b], b + 1
+                texts = batch.column(2).slice(a, b - a).to_pylist()
                 part = batch.column(0).slice(a, b - a)
                 for s, (chosen, ids, count, probability, value, inclusion) in enumerate(
-                    _segment(texts[a:b], mix(keys[a:b] ^ np.uint64(SEED)), store, samples)
+                    _segment(texts, mix(keys[a:b] ^ np.uint64(SEED)), store, samples)
                 ):
-                    ends = np.concatenate([[0], np.cumsum(count)])
-                    flat = ids.tolist()
-                    sums = [zlib.crc32(vocabulary.decode(flat[ends[i] : ends[i + 1]])) for i in chosen]
                     size = count[chosen]  # texts without this sample have no ids
+                    sums = [zlib.crc32(t) for t in vocabulary.decode(ids, size)]
                     yield pa.RecordBatch.from_arrays(
                         [
                             part.take(pa.array(chosen)),
