@@ -165,6 +165,18 @@ add(
     "performance_metrics",
     f"WITH {SCORED_NULLS} SELECT attr, {r6(*METRICS[:4])} FROM ({wide('scored_nulls', 'c_mktsegment')})",
 )
+BAND = "CASE WHEN {0} < 90000 THEN 'low' WHEN {0} < 210000 THEN 'middle' ELSE 'high' END"
+add(
+    "performance_metrics_multiclass",
+    f"""WITH {SCORED_NULLS},
+b AS (SELECT {BAND.format('o_totalprice')} AS y, {BAND.format('offer')} AS p FROM scored_nulls),
+l AS (SELECT label, count(*) FILTER (y = label) AS r, count(*) FILTER (p = label) AS s,
+  count(*) FILTER (y = label AND p = label) AS h FROM b, (VALUES ('low'), ('middle'), ('high')) AS v(label) GROUP BY label)
+SELECT 'c_mktsegment' AS attr, round(sum(h) / sum(r), 6) AS accuracy,
+  round(sum(r * CASE WHEN s = 0 THEN 0 ELSE h / s END) / sum(r), 6) AS precision,
+  round(sum(r * CASE WHEN r = 0 THEN 0 ELSE h / r END) / sum(r), 6) AS recall,
+  round(sum(r * CASE WHEN r + s = 0 THEN 0 ELSE 2 * h / (r + s) END) / sum(r), 6) AS f1_score FROM l""",
+)
 add(
     "selection_rate",
     f"""WITH {SCORED_NULLS} SELECT 'c_mktsegment' AS attr, "group", {r6('selection_rate')}
@@ -311,6 +323,14 @@ coalesce(last_value(value IGNORE NULLS) {window} UNBOUNDED PRECEDING AND CURRENT
 
 add("ffill_bfill", fill("PARTITION BY user_id"))
 add("ffill_bfill_global", fill(""))
+PIECES = "OVER (PARTITION BY user_id ORDER BY kind, event_id ROWS BETWEEN"
+add(
+    "ffill_bfill_pieces",
+    f"""WITH {EV}, k AS (SELECT *, CASE WHEN event_id % 2 = 0 THEN 'even' ELSE event_type END AS kind FROM ev)
+SELECT event_id, user_id, kind,
+coalesce(last_value(value IGNORE NULLS) {PIECES} UNBOUNDED PRECEDING AND CURRENT ROW),
+         first_value(value IGNORE NULLS) {PIECES} CURRENT ROW AND UNBOUNDED FOLLOWING)) AS value FROM k""",
+)
 add("clip", f"SELECT {KEY}, least(greatest(l_quantity, 5.0::DOUBLE), 40.0::DOUBLE) AS l_quantity FROM lineitem")
 add(
     "scale_by_group",
@@ -320,12 +340,10 @@ add(
 )
 add(
     "logistic_score",
-    f"""WITH {SCORED} SELECT id, round(1 / (1 + exp(-(
- -0.5 + 0.00003 * (o_totalprice - (SELECT avg(o_totalprice) FROM scored)) + 0.0001 * (c_acctbal - 100)
- + CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 0.4 ELSE 0 END
- + CASE WHEN o_orderpriority = '1-URGENT' THEN 0.25 ELSE 0 END
- + CASE WHEN c_mktsegment = 'AUTOMOBILE' AND o_orderpriority = '1-URGENT' THEN 0.2 ELSE 0 END))), 6) AS score
-FROM scored""",
+    f"""SELECT {KEY}, round(1 / (1 + exp(-(
+ 0.8::DOUBLE - 0.035::DOUBLE * (l_quantity - 20) + 11::DOUBLE * (l_discount - (SELECT avg(l_discount) FROM lineitem))
+ + 4.5::DOUBLE * l_tax + CASE WHEN l_linestatus = 'O' AND l_linenumber = 1 THEN -0.7::DOUBLE ELSE 0 END
+ + CASE WHEN l_linenumber = 7 THEN 1.1::DOUBLE ELSE 0 END))), 6) AS score FROM lineitem""",
 )
 
 FLAGGED = f"flagged AS (SELECT {KEY}, nullif(l_returnflag, 'A') AS l_returnflag, l_linestatus FROM lineitem)"
@@ -558,6 +576,15 @@ add(
 CAST(n AS BIGINT) AS n, CAST(selected AS BIGINT) AS selected FROM (
 {thresholds('scored_nulls', 'c_mktsegment', 'nan')} UNION ALL {thresholds('scored_nulls', 'o_orderpriority', 'nan')})""",
 )
+DIRTY = """dirty AS (SELECT * REPLACE (CASE id % 11 WHEN 1 THEN 'inf'::DOUBLE
+  WHEN 2 THEN '-inf'::DOUBLE WHEN 3 THEN score * 1e-300::DOUBLE WHEN 4 THEN score * -1e250::DOUBLE ELSE score END AS score)
+  FROM scored_nulls WHERE id % 11 <> 0)"""
+add(
+    "fit_group_thresholds_dirty",
+    f"""WITH {SCORED_NULLS}, {DIRTY} SELECT attr, "group", CAST(threshold AS DOUBLE) AS threshold,
+CAST(n AS BIGINT) AS n, CAST(selected AS BIGINT) AS selected FROM (
+{thresholds('dirty', 'c_mktsegment', 'nan')} UNION ALL {thresholds('dirty', 'o_orderpriority', 'nan')})""",
+)
 add(
     "threshold_predict",
     f"""WITH {SCORED_NULLS}, tr AS ({thresholds('scored_nulls', 'n_regionkey', None)}),

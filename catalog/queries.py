@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import evenhand as eh
-from catalog.inputs import LI_KEY, SEGMENT_FACTORS, docs, ev, li, scored, scored_nulls
+from catalog.inputs import LI_KEY, SEGMENT_FACTORS, docs, ev, li, scored, scored_nulls, table
 from evenhand.operators.learners import BaseLearner
 from evenhand.operators.lookup import pin
 from evenhand.operators.thresholds import apply_thresholds, fit_thresholds
@@ -92,7 +92,7 @@ def intersectional_rates(spark, sf_dir):
 
 @register
 def rate_matrix(spark, sf_dir):
-    return rounded(eh.rate_matrix(li(spark, sf_dir), FLAG, STATUS, "label"))
+    return rounded(eh.rate_matrix(li(spark, sf_dir), FLAG, STATUS, "label", ["F", "O"]))
 
 
 @register
@@ -113,6 +113,14 @@ def performance_metrics(spark, sf_dir):
     return rounded(eh.performance_metrics(scored_nulls(spark, sf_dir), "y_true", "y_pred", SEGMENT))
 
 
+@register
+def performance_metrics_multiclass(spark, sf_dir):
+    """Three price bands, foretold from the offer."""
+    band = lambda c: F.when(F.col(c) < 90000, "low").when(F.col(c) < 210000, "middle").otherwise("high")
+    rows = scored_nulls(spark, sf_dir).select(SEGMENT, band("o_totalprice").alias("y"), band("offer").alias("p"))
+    return rounded(eh.performance_metrics(rows, "y", "p", SEGMENT))
+
+
 @register
 def selection_rate(spark, sf_dir):
     return rounded(eh.selection_rate(scored_nulls(spark, sf_dir), "y_true", "y_pred", SEGMENT))
@@ -260,19 +268,16 @@ def scale_by_group(spark, sf_dir):
 
 @register
 def logistic_score(spark, sf_dir):
-    rows = scored(spark, sf_dir).select("id", SEGMENT, PRIORITY, "o_totalprice", "c_acctbal")
+    """How likely an order line is to be returned late: long shipping, large discounts, one mode."""
+    shipped = table(spark, sf_dir, "lineitem").select(*LI_KEY, "l_quantity", "l_discount", "l_tax", STATUS)
     out = eh.logistic_score(
-        rows,
-        {"o_totalprice": 0.00003, "c_acctbal": 0.0001},
-        intercept=-0.5,
-        centers={"o_totalprice": "mean", "c_acctbal": 100.0},
-        indicators=[
-            ({SEGMENT: "AUTOMOBILE"}, 0.4),
-            ({PRIORITY: "1-URGENT"}, 0.25),
-            ({SEGMENT: "AUTOMOBILE", PRIORITY: "1-URGENT"}, 0.2),
-        ],
+        shipped,
+        {"l_quantity": -0.035, "l_discount": 11.0, "l_tax": 4.5},
+        intercept=0.8,
+        centers={"l_discount": "mean", "l_quantity": 20.0},
+        indicators=[({STATUS: "O", "l_linenumber": 1}, -0.7), ({"l_linenumber": 7}, 1.1)],
     )
-    return rounded(out.select("id", "score"))
+    return rounded(out.select(*LI_KEY, "score"))
 
 
 def _flag_rows(spark, sf_dir) -> DataFrame:
@@ -477,6 +482,32 @@ def fit_group_thresholds(spark, sf_dir):
     return rounded(model.thresholds())
 
 
+@register
+def fit_group_thresholds_dirty(spark, sf_dir):
+    """Scores that are missing, infinite, or of very different magnitudes."""
+    n, score = F.col("id") % 11, F.col("score")
+    dirty = (
+        F.when(n == 0, F.lit(float("nan")))
+        .when(n == 1, F.lit(float("inf")))
+        .when(n == 2, F.lit(float("-inf")))
+        .when(n == 3, score * 1e-300)
+        .when(n == 4, score * -1e250)
+        .otherwise(score)
+    )
+    # rows without a score have no label here either
+    label = F.when(n != 0, F.col("y_pred"))
+    rows = scored_nulls(spark, sf_dir).withColumns({"score": dirty, "y_pred": label})
+    return fit_thresholds(rows, "score", "y_pred", [SEGMENT, PRIORITY]).thresholds()
+
+
+@register
+def ffill_bfill_pieces(spark, sf_dir):
+    """Cut into many ranges: text and ties in the first order column, one value in half of the rows."""
+    rows = ev(spark, sf_dir).withColumn("kind", F.when(F.col("event_id") % 2 == 0, "even").otherwise(F.col("event_type")))
+    filled = eh.ffill_bfill(rows, ["value"], ["kind", "event_id"], ["user_id"], rows_per_task=400)
+    return filled.select("event_id", "user_id", "kind", "value")
+
+
 @register
 def threshold_predict(spark, sf_dir):
     rows = scored_nulls(spark, sf_dir).select("id", SEGMENT, REGION, "score", "y_pred")
@@ -490,27 +521,26 @@ def _model_rows(spark, sf_dir) -> DataFrame:
 
 
 FEATURES = ("offer", "c_acctbal")
-QUICK = BaseLearner(max_iter=25, max_retries=1)
 
 
 @register
 def baseline_model_audit(spark, sf_dir):
     rows = _model_rows(spark, sf_dir)
-    model = eh.fit_baseline(rows, "y_pred", [SEGMENT], features=FEATURES, base_estimator=QUICK)
+    model = eh.fit_baseline(rows, "y_pred", [SEGMENT], features=FEATURES)
     return eh.audit_predictions(model.transform(rows, "prediction", ["id"]), "y_pred", "prediction", SEGMENT)
 
 
 @register
 def forest_model_audit(spark, sf_dir):
     rows = _model_rows(spark, sf_dir)
-    forest = BaseLearner("RandomForest", num_trees=5)
+    forest = BaseLearner("RandomForest")
     model = eh.fit_baseline(rows, "y_pred", [SEGMENT], features=[*FEATURES, PRIORITY], base_estimator=forest)
     return eh.audit_predictions(model.transform(rows, "prediction", ["id"]), "y_pred", "prediction", SEGMENT)
 
 
 def _fair(spark, sf_dir, constraint: str, label: str) -> DataFrame:
     rows = _model_rows(spark, sf_dir)
-    fair = eh.FairReduction((SEGMENT,), constraint, "id", QUICK, features=FEATURES, max_iter=5)
+    fair = eh.FairReduction((SEGMENT,), constraint, "id", features=FEATURES)
     return fair.fit(rows, label).transform(rows)
 
 
@@ -535,7 +565,7 @@ def fair_probability(spark, sf_dir):
 @register
 def fair_thresholds_audit(spark, sf_dir):
     rows = _model_rows(spark, sf_dir)
-    model = eh.FairThresholds((SEGMENT,), QUICK, features=FEATURES).fit(rows, "y_pred")
+    model = eh.FairThresholds((SEGMENT,), features=FEATURES).fit(rows, "y_pred")
     return eh.audit_predictions(model.transform(rows), "y_pred", "prediction", SEGMENT)
 
 
@@ -549,7 +579,7 @@ def single_class_model(spark, sf_dir):
 @register
 def fairness_run_reports(spark, sf_dir):
     rows = _model_rows(spark, sf_dir).select("id", SEGMENT, PRIORITY, *FEATURES, "y_pred")
-    settings = RunSettings("y_pred", (SEGMENT, PRIORITY), "id", repair_level=0.8, max_iter=3, run_id="run-1")
+    settings = RunSettings("y_pred", (SEGMENT, PRIORITY), "id", repair_level=0.8, run_id="run-1")
     return pin(run_fairness(spark, settings, rows).reports["metrics"]).df
 
 

@@ -13,7 +13,6 @@ from evenhand.operators.cells import as_list, sums_by_attribute
 from evenhand.operators.lookup import pin
 from evenhand.operators.roles import require_columns
 
-PIVOT_VALUES = 1_000
 
 
 def _is_missing(df: DataFrame, column: str) -> Column:
@@ -148,17 +147,14 @@ def intersectional_rates(df: DataFrame, attrs: Iterable[str], label: str) -> Dat
 def rate_matrix(df: DataFrame, row_attr: str, column_attr: str, label: str, values: list | None = None) -> DataFrame:
     """Rates of two attributes as a matrix; a combination without rows stays NULL.
 
-    Unless the column groups are given they are taken from the rates, which are then evaluated
-    here, in one pass over the table. More than ``PIVOT_VALUES`` groups cannot become columns:
-    ``intersectional_rates`` has the same numbers as rows.
+    With ``values`` each of them is a column. Without, the groups are not known beforehand and may be
+    many: the result then has one row for each group of ``row_attr`` with a map ``rates`` from the
+    groups of ``column_attr``, as text, to their rates.
     """
     rates = intersectional_rates(df, [row_attr, column_attr], label)
     if values is None:
-        rates = pin(rates).df
-        found = rates.select(ref(column_attr).alias("v")).distinct().limit(PIVOT_VALUES + 1).collect()
-        if len(found) > PIVOT_VALUES:
-            raise ValueError(f"{column_attr!r} has over {PIVOT_VALUES} groups; use intersectional_rates")
-        values = sorted(r["v"] for r in found)
+        entry = F.struct(ref(column_attr).cast("string").alias("key"), F.col("rate").alias("value"))
+        return rates.groupBy(ref(row_attr)).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("rates"))
     return rates.groupBy(ref(row_attr)).pivot(column_attr, values).agg(F.first("rate"))
 
 

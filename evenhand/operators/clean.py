@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,11 +10,10 @@ from pyspark.sql import types as T
 
 from evenhand.functions.expressions import clip_between, group_text, logistic, ref
 from evenhand.operators.cells import as_list
-from evenhand.operators.lookup import GroupTable, attach, local_table, pin
+from evenhand.operators.lookup import attach, local_table, pin
+from evenhand.session import cut_lineage
 
 FILL_ROWS_PER_TASK = 4_000_000
-FILL_CHUNKS = 10_000
-CUT_BLOCK = 64
 
 
 def clip(df: DataFrame, column: str, low=None, high=None) -> DataFrame:
@@ -77,48 +75,31 @@ def logistic_score(
     return df.withColumn(out, logistic(z))
 
 
-def _order_number(df: DataFrame, column: str) -> Column:
-    dtype = df.schema[column].dataType
-    if isinstance(dtype, T.NumericType):
-        return ref(column).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.datediff(ref(column), F.lit(date(1970, 1, 1))).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(ref(column).cast("timestamp")).cast("double")
-    raise ValueError(f"first order column {column!r} must be a number, date or time to fill a hot key")
-
-
 def ffill_bfill(
     df: DataFrame,
     columns: Iterable[str],
     order_by: Iterable[str],
     partition_by: Iterable[str] = (),
-    rows_per_task: int | None = None,
+    rows_per_task: int = FILL_ROWS_PER_TASK,
 ) -> DataFrame:
     """Fill NULLs with the last earlier value, and with the first later one before that.
 
-    ``order_by`` must order the rows of a partition completely. Keys with more rows than one
-    task should sort, and the single key of a table without ``partition_by``, are cut into
-    consecutive chunks at quantiles of the first order column. Each chunk is filled on its own
-    and takes what is still missing from the nearest chunk that has a value, so the result is
-    the same as that of one window over the whole key.
+    ``order_by`` must order the rows of a partition completely. A table of more than
+    ``rows_per_task`` rows is cut into ranges of (partition, order), as many as its rows need, so
+    that neither a hot key nor equal values of the first order column fill a task. Each range is
+    filled on its own and takes what is still missing from the nearest range of its key that has
+    a value: the result is that of one window over the whole key. A NULL key is a key of its own.
     """
     columns, order, keys = as_list(columns), as_list(order_by), as_list(partition_by)
-    key_names = [f"__k{i}" for i in range(len(keys))] or ["__k0"]
-    keyed = df.select(
-        "*", *([ref(k).alias(n) for k, n in zip(keys, key_names, strict=True)] if keys else [F.lit(0).alias("__k0")])
-    )
-    sizes = keyed.groupBy(*key_names).agg(F.count(F.lit(1)).alias("__n"))
-    limit = rows_per_task
-    if limit is None:
-        total = df.count()
-        limit = max(FILL_ROWS_PER_TASK, -(-total // FILL_CHUNKS))
-        if total <= limit:
-            return _fill_window(keyed, columns, order, key_names).select(*[ref(c) for c in df.columns])
-    hot = pin(sizes.filter(F.col("__n") > limit), FILL_CHUNKS)
-    if hot.bounded and not hot.rows:
-        return _fill_window(keyed, columns, order, key_names).select(*[ref(c) for c in df.columns])
-    return _fill_chunks(keyed, columns, order, key_names, hot, limit).select(*[ref(c) for c in df.columns])
+    names = [f"__k{i}" for i in range(len(keys))] or ["__k0"]
+    own = [ref(k).alias(n) for k, n in zip(keys, names, strict=True)] if keys else [F.lit(0).alias("__k0")]
+    keyed = df.select("*", *own)
+    pieces = -(-df.count() // rows_per_task)
+    if pieces <= 1:
+        filled = _fill_window(keyed, columns, order, names)
+    else:
+        filled = _fill_ranges(keyed, columns, order, names, pieces)
+    return filled.select(*[ref(c) for c in df.columns])
 
 
 def _missing_aware(df: DataFrame, column: str) -> Column:
@@ -152,77 +133,34 @@ def _fill_window(df: DataFrame, columns: list[str], order: list[str], keys: list
     return df.withColumns({c: F.coalesce(*both) for c, both in parts.items()})
 
 
-def _chunk_number() -> Column:
-    """Number of cuts below the order value: skip whole blocks of cuts, then count in one block."""
-
-    def below(cuts: Column) -> Column:
-        return F.size(F.filter(cuts, lambda cut: cut < F.col("__at")))
-
-    blocks = below(F.filter("__cuts", lambda _, i: (i + 1) % CUT_BLOCK == 0))
-    inside = below(F.slice("__cuts", blocks * CUT_BLOCK + 1, F.lit(CUT_BLOCK)))
-    return F.when(F.col("__cuts").isNotNull(), blocks * CUT_BLOCK + inside).otherwise(F.lit(0))
-
-
-def _fill_chunks(
-    df: DataFrame, columns: list[str], order: list[str], keys: list[str], hot: GroupTable, limit: int
-) -> DataFrame:
-    at = _order_number(df, order[0])
-    joinable = [f"__j{i}" for i in range(len(keys))]
-
-    def with_join_keys(d: DataFrame) -> DataFrame:
-        # a NULL key is a key of its own; its string form is never equal to this token's type tag
-        return d.withColumns(
-            {
-                j: F.coalesce(F.concat(F.lit("v"), F.col(k).cast("string")), F.lit("n"))
-                for j, k in zip(joinable, keys, strict=True)
-            }
-        )
-
-    rows = with_join_keys(df.withColumn("__at", at))
-    hot_keys = GroupTable(with_join_keys(hot.df).select(*joinable, "__n"), hot.bounded)
-    # quantile cuts of each hot key; a sketch is merged map-side, its size does not grow with the key
-    most = max((r["__n"] for r in hot.rows), default=limit) if hot.rows is not None else limit * FILL_CHUNKS
-    pieces = min(FILL_CHUNKS, max(2, -(-most // limit) * 2))
-    cuts = [i / pieces for i in range(1, pieces)]
-    bounds = pin(
-        attach(rows, hot_keys, joinable)
-        .filter(F.col("__n").isNotNull())
-        .groupBy(*joinable)
-        .agg(F.array_distinct(F.percentile_approx("__at", cuts, 10 * FILL_CHUNKS)).alias("__cuts")),
-        FILL_CHUNKS,
-    )
-    chunked = attach(rows, bounds, joinable).withColumn("__chunk", _chunk_number())
+def _fill_ranges(df: DataFrame, columns: list[str], order: list[str], keys: list[str], pieces: int) -> DataFrame:
+    # the ranges are sampled, so they are written down before they are used twice
+    by_order = [*[ref(k) for k in keys], *[ref(o) for o in order]]
+    rows = cut_lineage(df.repartitionByRange(pieces, *by_order).withColumn("__range", F.spark_partition_id()))
+    place = F.struct(*[ref(o) for o in order])
     ends = {}
     for i, c in enumerate(columns):
         value = _missing_aware(df, c)
-        ends[f"__last{i}"] = F.max_by(value, F.when(value.isNotNull(), F.struct(*[ref(o) for o in order])))
-        ends[f"__first{i}"] = F.min_by(value, F.when(value.isNotNull(), F.struct(*[ref(o) for o in order])))
-    chunk_ends = (
-        chunked.filter(F.col("__cuts").isNotNull())
-        .groupBy(*joinable, "__chunk")
-        .agg(*[e.alias(n) for n, e in ends.items()])
-    )
-    # one row per chunk of a hot key
-    along = Window.partitionBy(*joinable).orderBy("__chunk")
+        ends[f"__last{i}"] = F.max_by(value, F.when(value.isNotNull(), place))
+        ends[f"__first{i}"] = F.min_by(value, F.when(value.isNotNull(), place))
+    held = rows.groupBy(*keys, "__range").agg(*[e.alias(n) for n, e in ends.items()])
+    # one row for each key and range it reaches: at most as many rows a key as there are ranges
+    along = Window.partitionBy(*keys).orderBy("__range")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carried = pin(
-        chunk_ends.select(
-            *joinable,
-            "__chunk",
-            *[F.last(f"__last{i}", ignorenulls=True).over(before).alias(f"__before{i}") for i in range(len(columns))],
-            *[F.first(f"__first{i}", ignorenulls=True).over(whole).alias(f"__after{i}") for i in range(len(columns))],
-        ),
-        2 * FILL_CHUNKS,
+    carried = held.select(
+        *[F.col(k).alias(f"__of{k}") for k in keys],
+        F.col("__range").alias("__at"),
+        *[F.last(f"__last{i}", ignorenulls=True).over(before).alias(f"__before{i}") for i in range(len(columns))],
+        *[F.first(f"__first{i}", ignorenulls=True).over(whole).alias(f"__after{i}") for i in range(len(columns))],
     )
-    parts = _fill_parts(chunked, columns, order, [*joinable, "__chunk"])
-    here = {f"__so_far{i}": so_far for i, (so_far, _) in enumerate(parts.values())} | {
-        f"__first{i}": first for i, (_, first) in enumerate(parts.values())
-    }
-    filled = attach(chunked.withColumns(here), carried, [*joinable, "__chunk"])
+    parts = _fill_parts(rows, columns, order, [*keys, "__range"])
+    here = {f"__so_far{i}": so_far for i, (so_far, _) in enumerate(parts.values())}
+    on = F.col("__range") == F.col("__at")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__of{k}"))
+    filled = rows.withColumns(here).join(carried, on)
+    # the first value of a range is that of the key where nothing precedes the range
     return filled.withColumns(
-        {
-            c: F.coalesce(f"__so_far{i}", f"__before{i}", f"__first{i}", f"__after{i}")
-            for i, c in enumerate(columns)
-        }
+        {c: F.coalesce(f"__so_far{i}", f"__before{i}", f"__after{i}") for i, c in enumerate(columns)}
     )

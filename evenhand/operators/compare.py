@@ -108,7 +108,7 @@ def comparison_series(
         raise ValueError(f"Unknown kind: {kind}")
     pairs = pin(_paired(base, final, by, metrics))
     if not pairs.rows and (pairs.bounded or pairs.df.isEmpty()):
-        raise ValueError(f"No matching {kind} metrics found in baseline and final results")
+        raise ValueError(f"the two reports share no {kind} metric")
     return pairs.df.select(
         *[ref(b) for b in by],
         "metric",

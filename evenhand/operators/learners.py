@@ -27,6 +27,7 @@ class LinearScorer:
 
     intercept: float
     coefficients: tuple[float, ...]
+    converged: bool = True
 
     def margin(self, names: list[str]) -> Column:
         z = F.lit(float(self.intercept))
@@ -72,7 +73,8 @@ class BaseLearner:
 
     The penalty follows the convention of inverse strength ``c``: with a mean loss over weight
     ``w`` in total, lambda is ``1 / (c * w)``. ``fit`` retries when the iterations run out, with
-    twice the iterations and ten times the penalty.
+    twice the iterations and ten times the penalty. A last try that runs out as well is an error
+    with ``on_unconverged="raise"``; otherwise it is logged and the scorer says so.
     """
 
     kind: str = "LogisticRegression"
@@ -84,12 +86,15 @@ class BaseLearner:
     max_depth: int = 5
     seed: int = 42
     aggregation_depth: int = 2
+    on_unconverged: str = "warn"
 
     def __post_init__(self) -> None:
         if self.kind not in BASE_ESTIMATORS:
             raise ValueError(f"Unknown base estimator: {self.kind}; choose from {BASE_ESTIMATORS}")
         if self.max_retries < 1:
             raise ValueError("max_retries must be at least 1")
+        if self.on_unconverged not in ("warn", "raise"):
+            raise ValueError(f"unconverged fits warn or raise; not {self.on_unconverged!r}")
 
     def fit(self, df: DataFrame, names: list[str], label: str, total_weight: float, weight: str | None = None):
         """Fit on prepared feature columns; ``df`` should be persisted by the caller."""
@@ -112,12 +117,15 @@ class BaseLearner:
             if weight is not None:
                 estimator = estimator.setWeightCol(weight)
             model = estimator.fit(data)
-            if model.summary.totalIterations < max_iter:
+            converged = model.summary.totalIterations < max_iter
+            if converged:
                 break
+            log.warning("no convergence in %d iterations, attempt %d", max_iter, attempt)
             if attempt < self.max_retries:
-                log.warning("no convergence in %d iterations, retry %d", max_iter, attempt)
                 max_iter, penalty = max_iter * 2, penalty * 10
-        return LinearScorer(float(model.intercept), tuple(float(w) for w in model.coefficients))
+        if not converged and self.on_unconverged == "raise":
+            raise RuntimeError(f"no convergence in {max_iter} iterations")
+        return LinearScorer(float(model.intercept), tuple(float(w) for w in model.coefficients), converged)
 
     def _fit_forest(self, df: DataFrame, names: list[str], label: str, weight: str | None):
         data = VectorAssembler(inputCols=names, outputCol="__features", handleInvalid="error").transform(df)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenhand.functions.expressions import first_or_larger, ratio, ratio_or_zero, ref
-from evenhand.operators.cells import as_list, counts_from_cells, group_counts
+from evenhand.operators.cells import as_list, confusion_cells, counts_from_cells, group_counts
 
 PERFORMANCE = ("accuracy", "precision", "recall", "f1_score")
 FAIRNESS = ("demographic_parity_difference", "equalized_odds_difference")
@@ -101,9 +101,31 @@ def _wide(data: DataFrame, y, yhat, attrs, by: list[str]) -> DataFrame:
 
 
 def performance_metrics(data: DataFrame, y=None, yhat=None, attrs=None, by: Iterable[str] = ()) -> DataFrame:
-    """Accuracy and support-weighted precision, recall and F1 (0 where nothing was predicted)."""
+    """Accuracy and support-weighted precision, recall and F1 (0 where nothing was predicted).
+
+    Labels and predictions may have any number of values; each one counts with its rows.
+    """
     by = list(by)
-    return _wide(data, y, yhat, attrs, by).select(*by, "attr", *PERFORMANCE)
+    columns = set(data.columns)
+    if {"tp", "fp", "fn", "tn"} <= columns:
+        return _wide(data, y, yhat, attrs, by).select(*by, "attr", *PERFORMANCE)
+    cells = data if {"attr", "group", "y_true", "y_pred", "n"} <= columns else confusion_cells(data, y, yhat, attrs, by)
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+    hit = F.when(F.col("y_true") == F.col("y_pred"), n).otherwise(none)
+    sides = F.array(
+        F.struct(F.col("y_true").cast("string").alias("label"), n.alias("rows"), none.alias("said"), hit.alias("hits")),
+        F.struct(F.col("y_pred").cast("string").alias("label"), none.alias("rows"), n.alias("said"), none.alias("hits")),
+    )
+    keys = [*[ref(b) for b in by], F.col("attr")]
+    labels = cells.select(*keys, F.inline(sides)).groupBy(*keys, "label").agg(*[F.sum(c).alias(c) for c in ("rows", "said", "hits")])
+    rows, said, hits = (F.col(c) for c in ("rows", "said", "hits"))
+    share = {
+        "accuracy": hits,
+        "precision": rows * ratio_or_zero(hits, said),
+        "recall": rows * ratio_or_zero(hits, rows),
+        "f1_score": rows * ratio_or_zero(2 * hits, rows + said),
+    }
+    return labels.groupBy(*keys).agg(*[ratio(F.sum(v), F.sum(rows)).alias(k) for k, v in share.items()])
 
 
 def _single(name: str):

@@ -4,20 +4,26 @@ A group may hold a third of all rows, so neither a window over it nor an exact p
 (which gathers its values in one task) is used. Instead each pass counts rows in equal-width
 buckets of the interval that still contains the wanted rank, with map-side aggregation, and
 keeps the bucket in which the running count reaches the rank. An interval shrinks by a factor
-of ``buckets`` per pass and to the observed minimum and maximum, until one value is left.
+of ``buckets`` per pass and to the observed minimum and maximum, until one value is left. Where
+an interval spans magnitudes, its buckets are of equal width in the logarithm, so the number of
+passes is bounded for any doubles: two in the logarithm and six for 53 bits within a magnitude.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenhand.functions.expressions import ref
 from evenhand.operators.lookup import GroupTable, attach, pin
 
 BUCKETS = 1_024
+MAX_PASSES = 16
+
+# beyond the natural logarithms of the least and the largest double
+LOG_FLOOR, LOG_INFINITY = 745.5, 711.0
 
 
 def kth_smallest(
@@ -33,7 +39,8 @@ def kth_smallest(
     ``wanted`` has the key columns, a name column per entry of ``rank_names``, ``__rank`` and the
     smallest and largest value of the key as ``__lo`` and ``__hi``. The result has the key and
     name columns, ``at`` (the value), ``below`` and ``upto`` (rows below it, and up to and
-    including it) and ``above`` (the next larger value, NULL when there is none).
+    including it) and ``above`` (the next larger value, NULL when there is none). NULL and NaN are
+    no values and have no rank; infinities are the least and the largest one.
     """
     keys, names = list(keys), list(rank_names)
     ids = [*keys, *names]
@@ -46,10 +53,14 @@ def kth_smallest(
         F.lit(None).cast("bigint").alias("__upto"),
         F.lit(None).cast("double").alias("__above"),
     )
-    rows = df.select(*[ref(k) for k in keys], ref(value).cast("double").alias("__v"))
-    finished = False
+    number = F.nanvl(ref(value).cast("double"), F.lit(None).cast("double"))
+    rows = df.select(*[ref(k) for k in keys], number.alias("__v"))
+    finished, passes = False, 0
     while not finished:
-        state = pin(_narrow(rows, keys, ids, state, buckets))
+        if passes == MAX_PASSES:
+            raise RuntimeError(f"{value!r}: ranks are not found after {passes} passes")
+        state = pin(_narrow(rows, keys, ids, state, buckets, passes))
+        passes += 1
         if state.bounded:
             finished = all(r["__upto"] is not None for r in state.rows)
         else:
@@ -63,7 +74,15 @@ def kth_smallest(
     )
 
 
-def _narrow(rows: DataFrame, keys: list[str], ids: list[str], state: GroupTable, buckets: int) -> DataFrame:
+def _magnitude(v: Column) -> Column:
+    """A finite number that grows with the value as its logarithm does, on both sides of 0."""
+    size = F.when(F.abs(v) == float("inf"), F.lit(LOG_INFINITY)).otherwise(F.log(F.abs(v)))
+    return F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (size + LOG_FLOOR))
+
+
+def _narrow(
+    rows: DataFrame, keys: list[str], ids: list[str], state: GroupTable, buckets: int, passes: int
+) -> DataFrame:
     open_state = state.narrow("*", where="__upto is null")
     named = [c for c in ids if c not in keys]
     if named:
@@ -77,12 +96,12 @@ def _narrow(rows: DataFrame, keys: list[str], ids: list[str], state: GroupTable,
         held = held.filter(F.col("__open").isNotNull()).withColumn("__i", F.explode("__open"))
     else:
         held = held.withColumn("__i", F.col("__open")[0])
-    width = F.col("__i.__hi") - F.col("__i.__lo")
-    bucket = (
-        F.when(width > 0, F.floor((F.col("__v") - F.col("__i.__lo")) / width * F.lit(float(buckets))))
-        .otherwise(F.lit(0))
-        .cast("int")
-    )
+    lo, hi, v = F.col("__i.__lo"), F.col("__i.__hi"), F.col("__v")
+    least, most = F.least(F.abs(lo), F.abs(hi)), F.greatest(F.abs(lo), F.abs(hi))
+    # scores often fill their interval evenly, so the first pass is tried without logarithms
+    even = (most < 1e300) if passes == 0 else (F.signum(lo) == F.signum(hi)) & (most <= least * buckets)
+    part = F.when(even, (v - lo) / (hi - lo)).otherwise((_magnitude(v) - _magnitude(lo)) / (_magnitude(hi) - _magnitude(lo)))
+    bucket = F.when(hi > lo, F.floor(part * F.lit(float(buckets)))).otherwise(F.lit(0)).cast("int")
     inside = held.filter((F.col("__v") >= F.col("__i.__lo")) & (F.col("__v") <= F.col("__i.__hi"))).select(
         *[ref(k) for k in keys],
         *[F.col(f"__i.{c}").alias(c) for c in named],

@@ -15,7 +15,8 @@ EXACT_ROWS = 1_000_000
 
 
 def _row_hash(id_col: str, seed: int) -> Column:
-    return F.md5(F.concat(ref(id_col).cast("string"), F.lit(f":{seed}")))
+    # a missing id hashes as a value of its own, which no id has as its text
+    return F.md5(F.concat(F.coalesce(ref(id_col).cast("string"), F.lit("\0missing")), F.lit(f":{seed}")))
 
 
 def _class_key(label: str) -> Column:
@@ -25,9 +26,9 @@ def _class_key(label: str) -> Column:
 
 def check_fractions(test: float, val: float) -> None:
     if not 0.01 <= test <= 0.99:
-        raise ValueError(f"test_size must be between 0.01 and 0.99, got: {test}")
+        raise ValueError(f"the test share has to lie within 0.01 and 0.99; it is {test}")
     if not 0.0 <= val < 1.0 or not 0 < test + val < 1:
-        raise ValueError(f"test_size + val_size must be below 1, got: {test} + {val}")
+        raise ValueError(f"nothing is left to train on: test share {test}, validation share {val}")
 
 
 def stratified_split(
@@ -38,7 +39,7 @@ def stratified_split(
 
     Only the two boundary hashes of each class are looked up; assigning rows is a comparison in
     a projection, with no shuffle or sort of the rows. The result depends on ids and seed, not
-    on partitioning. Rows that share an id always share a split.
+    on partitioning. Rows that share an id always share a split, those without an id as well.
     """
     check_fractions(test, val)
     require_columns(df, [id_col, label])

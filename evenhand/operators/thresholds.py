@@ -46,7 +46,8 @@ def fit_thresholds(
 
     0.5 is kept unless a score is strictly closer; among equally close scores the smaller wins.
     The rate falls with the threshold, so only the score at the target rank and the next larger
-    one can be best. They are found by counting passes, not by sorting a group.
+    one can be best. They are found by counting passes, not by sorting a group. A NULL or NaN score
+    is none; infinite scores are the least and the largest.
     """
     attrs = as_list(attrs)
     require_columns(df, [score, label, *attrs])
@@ -56,7 +57,9 @@ def fit_thresholds(
         )
     )
     rows_by_attr = df.select(
-        ref(score).cast("double").alias("__score"), ref(label).cast("double").alias("__y"), pairs.alias("__p")
+        F.nanvl(ref(score).cast("double"), F.lit(None).cast("double")).alias("__score"),
+        ref(label).cast("double").alias("__y"),
+        pairs.alias("__p"),
     ).select("__p.attr", "__p.group", "__score", "__y")
     sizes = pin(
         rows_by_attr.groupBy("attr", "group").agg(

@@ -8,6 +8,7 @@ one weighted fit, and one aggregation by group and label; the multipliers live o
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field
 
@@ -25,6 +26,7 @@ from evenhand.operators.lookup import attach, from_rows, local_table, pin
 from evenhand.operators.roles import label_domain, require_columns, resolve_roles, split_types
 from evenhand.operators.thresholds import ThresholdModel, apply_thresholds, fit_thresholds
 
+log = logging.getLogger(__name__)
 CONSTRAINTS = ("demographic_parity", "equalized_odds")
 MAX_CONSTRAINED_GROUPS = 100_000
 PSEUDO_HIGH, PSEUDO_LOW = 0.8, 0.2
@@ -195,7 +197,7 @@ def fit_baseline(
         scorer = learner.fit(ready, prep.names(), "__y", float(total), "__w" if weight else None)
     finally:
         ready.unpersist()
-    return BaselineModel(prep, scorer, tuple(sensitive), info)
+    return BaselineModel(prep, scorer, tuple(sensitive), {**info, "converged": getattr(scorer, "converged", True)})
 
 
 def _training_rows(df: DataFrame, prep: FeaturePrep, columns: list[Column]) -> DataFrame:
@@ -248,6 +250,7 @@ class FairThresholds:
         finally:
             ready.unpersist()
         info = _info("demographic_parity", learner, list(self.sensitive), low, high, strategy="group thresholds")
+        info["converged"] = getattr(scorer, "converged", True)
         return ThresholdedModel(prep, scorer, thresholds, tuple(self.sensitive), info)
 
 
@@ -257,7 +260,9 @@ class FairReduction:
 
     ``eta0=20, max_iter=20`` reaches small gaps in few fits; ``eta0=2, max_iter=100`` are the
     gentler published settings. Training stops once the gap of the averaged classifier is at
-    most ``tolerance`` (``eps`` by default). The sensitive columns are constrained in combination
+    most ``tolerance`` (``eps`` by default); otherwise the average of the first iterates that has the
+    smallest gap is kept, ``fairness_info`` has ``converged`` false, and it is logged, or an error with
+    ``on_unconverged="raise"``. The sensitive columns are constrained in combination
     and are not features, so error rises as the gap falls. ``reweighting`` weighs the error of
     each (group, label) cell so that label and group are independent.
     """
@@ -274,8 +279,11 @@ class FairReduction:
     tolerance: float | None = None
     reweighting: bool = False
     seed: int = 42
+    on_unconverged: str = "warn"
 
     def __post_init__(self) -> None:
+        if self.on_unconverged not in ("warn", "raise"):
+            raise ValueError(f"unconverged training warns or raises; not {self.on_unconverged!r}")
         if self.constraint not in CONSTRAINTS:
             raise ValueError(f"Unknown constraint: {self.constraint}")
         if not self.sensitive:
@@ -307,6 +315,15 @@ class FairReduction:
             scorers, weights, history = self._iterate(ready, prep.names(), learner, len(groups.rows), n)
         finally:
             ready.unpersist()
+        gap = history[len(scorers) - 1]["gap"]
+        tolerance = self.eps if self.tolerance is None else self.tolerance
+        info |= {"converged": gap <= tolerance, "gap": gap, "iterations": len(history)}
+        info["fits_converged"] = all(getattr(s, "converged", True) for s in scorers)
+        if gap > tolerance:
+            message = f"gap {gap:.4f} after {len(history)} iterations, the tolerance is {tolerance}"
+            if self.on_unconverged == "raise":
+                raise RuntimeError(message)
+            log.warning(message)
         return ReductionModel(
             prep, scorers, weights, tuple(self.sensitive), self.id_col, self.seed, info, tuple(history)
         )
@@ -335,8 +352,9 @@ class FairReduction:
                 break
             move = np.nan_to_num(np.stack([signed, -signed]))
             theta = theta + (self.eta0 / bound) * (move - self.eps)
-        share = 1.0 / len(scorers)
-        return tuple(scorers), tuple([share] * len(scorers)), history
+        # gaps swing, so the best of the running averages is kept
+        best = min(range(len(history)), key=lambda i: history[i]["gap"]) + 1
+        return tuple(scorers[:best]), tuple([1.0 / best] * best), history
 
     def _best_response(self, ready, names, learner, cost, counts, n, fitted):
         """Classifier that is cheapest under ``cost`` per (group, label) cell."""
@@ -476,7 +494,7 @@ def load_model(spark: SparkSession, path: str) -> BaselineModel | ReductionModel
         elif "value" in m:
             members.append(ConstantScorer(m["value"]))
         else:
-            members.append(LinearScorer(m["intercept"], tuple(m["coefficients"])))
+            members.append(LinearScorer(m["intercept"], tuple(m["coefficients"]), m.get("converged", True)))
     scorers = [members[i] for i in meta["order"]]
     sensitive, info = tuple(meta["sensitive"]), meta["info"]
     if meta["kind"] == "baseline":

@@ -13,6 +13,9 @@ from evenhand.operators.training import CONSTRAINTS
 
 REWEIGHTING = "reweighting"
 STRATEGIES = ("reduction", "thresholds")
+# fixed names of configuration files
+TRANSFORMERS = ("BiasMitigationTransformer",)
+TRAINERS = ("FairnessConstrainedClassifier",)
 MAX_SENSITIVE = 10
 MAX_ADDITIONAL = 20
 
@@ -52,12 +55,15 @@ class RunSettings:
         """Settings from a mapping of sections, as they are kept in a configuration file.
 
         ``data``, ``preprocessing``, ``training`` and ``evaluation`` are read as named below, and
-        ``tracking`` (or the one other section there is) for the experiment. ``more`` overrides.
+        ``tracking`` or ``mlflow`` for the experiment. The names of the transformer and of the training
+        method, where they are given, have to be ones that exist. ``more`` overrides.
         """
-        known = ("data", "preprocessing", "training", "evaluation")
-        data, pre, train, judge = (config.get(k) or {} for k in known)
-        others = [v for k, v in config.items() if k not in known and isinstance(v, Mapping)]
-        tracking = config.get("tracking") or (others[0] if len(others) == 1 else {})
+        data, pre, train, judge = (config.get(k) or {} for k in ("data", "preprocessing", "training", "evaluation"))
+        tracking = config.get("tracking") or config.get("mlflow") or {}
+        for section, key, names in ((pre, "transformer", TRANSFORMERS), (train, "method", TRAINERS)):
+            name = (section.get(key) or {}).get("name")
+            if name is not None and name not in names:
+                raise ValueError(f"{key} {name!r} is none of {', '.join(names)}")
         repair = (pre.get("transformer") or {}).get("parameters") or {}
         fit = (train.get("method") or {}).get("parameters") or {}
         given = {
@@ -99,37 +105,37 @@ def validate(settings: RunSettings) -> list[str]:
 
     s = settings
     if not s.label:
-        errors.append("label (target_column) is required")
+        errors.append("no label column is named (target_column)")
     if not s.id_col:
-        errors.append("id_col is required")
+        errors.append("no id column is named")
     if isinstance(s.sensitive, str) or not hasattr(s.sensitive, "__len__"):
-        errors.append("sensitive_features must be a list")
+        errors.append("sensitive columns are given as a list or tuple")
     elif len(s.sensitive) == 0:
-        errors.append("At least one sensitive feature must be specified")
+        errors.append("no sensitive column is named")
     elif len(s.sensitive) > MAX_SENSITIVE:
-        errors.append(f"Too many sensitive features (max {MAX_SENSITIVE}): {len(s.sensitive)}")
+        errors.append(f"{len(s.sensitive)} sensitive columns are named, {MAX_SENSITIVE} are allowed")
     if not number(s.test_size, 0.01, 0.99):
-        errors.append(f"test_size must be between 0.01 and 0.99, got: {s.test_size}")
+        errors.append(f"the test share has to lie within 0.01 and 0.99; it is {s.test_size}")
     elif not number(s.val_size, 0.0, 1.0) or not s.test_size + s.val_size < 1:
-        errors.append(f"test_size + val_size must be below 1, got: {s.test_size} + {s.val_size}")
+        errors.append(f"nothing is left to train on: test share {s.test_size}, validation share {s.val_size}")
     if not number(s.repair_level, 0.0, 1.0):
-        errors.append("repair_level must be between 0.0 and 1.0")
+        errors.append(f"the repair level is a share from 0 to 1; it is {s.repair_level}")
     if not number(s.fairness_threshold, 0.0, 1.0, low_open=True):
-        errors.append("fairness_threshold must be positive and <= 1.0")
+        errors.append(f"the fairness threshold is above 0 and at most 1; it is {s.fairness_threshold}")
     known = {*PERFORMANCE, *FAIRNESS, *ADDITIONAL}
     if len(s.additional_metrics) > MAX_ADDITIONAL:
-        errors.append(f"Too many additional metrics (max {MAX_ADDITIONAL}): {len(s.additional_metrics)}")
-    errors += [f"Unknown metric: {m}" for m in s.additional_metrics if m not in known]
+        errors.append(f"{len(s.additional_metrics)} more metrics are asked for, {MAX_ADDITIONAL} are allowed")
+    errors += [f"there is no metric {m!r}" for m in s.additional_metrics if m not in known]
     if s.primary_metric not in {*FAIRNESS, *ADDITIONAL}:
-        errors.append(f"Unknown primary metric: {s.primary_metric}")
+        errors.append(f"{s.primary_metric!r} cannot be the primary metric")
     if s.method not in (*METHODS, REWEIGHTING):
-        errors.append(f"Unknown method: {s.method}")
+        errors.append(f"there is no repair method {s.method!r}")
     if s.strategy not in STRATEGIES:
-        errors.append(f"Unknown training method: {s.strategy}")
+        errors.append(f"there is no training strategy {s.strategy!r}")
     if s.constraint not in CONSTRAINTS:
         errors.append(f"Unknown constraint: {s.constraint}")
     if s.base_estimator not in BASE_ESTIMATORS:
         errors.append(f"Unknown base estimator: {s.base_estimator}")
     if not isinstance(s.max_retries, int) or s.max_retries < 1:
-        errors.append("max_retries must be a positive integer")
+        errors.append("max_retries counts attempts, from 1 on")
     return errors

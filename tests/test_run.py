@@ -16,21 +16,21 @@ GOOD = RunSettings("target", ("race", "sex"), "id")
 @pytest.mark.parametrize(
     "change,message",
     [
-        ({"test_size": 1.5}, "test_size must be between"),
-        ({"test_size": 0.6, "val_size": 0.5}, "below 1"),
-        ({"sensitive": ()}, "At least one sensitive feature"),
-        ({"sensitive": tuple("abcdefghijk")}, "Too many sensitive"),
-        ({"sensitive": "race"}, "must be a list"),
-        ({"repair_level": 1.5}, "repair_level must be between 0.0 and 1.0"),
-        ({"fairness_threshold": -0.1}, "fairness_threshold must be positive"),
-        ({"additional_metrics": tuple(["accuracy"] * 21)}, "Too many additional"),
-        ({"additional_metrics": ("nope",)}, "Unknown metric"),
-        ({"primary_metric": "nope"}, "Unknown primary metric"),
-        ({"method": "nope"}, "Unknown method"),
-        ({"strategy": "nope"}, "Unknown training method"),
+        ({"test_size": 1.5}, "test share has to lie"),
+        ({"test_size": 0.6, "val_size": 0.5}, "nothing is left"),
+        ({"sensitive": ()}, "no sensitive column"),
+        ({"sensitive": tuple("abcdefghijk")}, "11 sensitive columns"),
+        ({"sensitive": "race"}, "as a list or tuple"),
+        ({"repair_level": 1.5}, "share from 0 to 1"),
+        ({"fairness_threshold": -0.1}, "above 0 and at most 1"),
+        ({"additional_metrics": tuple(["accuracy"] * 21)}, "21 more metrics"),
+        ({"additional_metrics": ("nope",)}, "no metric"),
+        ({"primary_metric": "nope"}, "cannot be the primary"),
+        ({"method": "nope"}, "no repair method"),
+        ({"strategy": "nope"}, "no training strategy"),
         ({"constraint": "nope"}, "Unknown constraint"),
         ({"base_estimator": "nope"}, "Unknown base estimator"),
-        ({"max_retries": 0}, "max_retries"),
+        ({"max_retries": 0}, "counts attempts"),
         ({"label": ""}, "target_column"),
     ],
 )
@@ -46,11 +46,11 @@ def test_validation(spark, change, message):
 def csv_path(tmp_path_factory):
     rng = np.random.default_rng(0)
     n = 1500
-    race = rng.choice(["White", "Black", "Asian"], n, p=[0.6, 0.25, 0.15])
+    race = rng.choice(["north", "south", "islands"], n, p=[0.45, 0.35, 0.2])
     sex = rng.choice(["M", "F"], n)
-    income = rng.lognormal(10, 0.4, n) * np.where(race == "White", 1.2, 0.9) * np.where(sex == "M", 1.1, 0.9)
-    age = rng.normal(40, 10, n)
-    z = 0.0001 * (income - income.mean()) + 0.03 * (age - 40)
+    age = rng.uniform(18, 67, n)
+    income = 900 + 31 * age + rng.gamma(2.0, 350.0, n) - 420 * (race == "islands") + 150 * (sex == "M")
+    z = (income - np.median(income)) / 600 - 0.02 * (age - 45)
     pdf = pd.DataFrame(
         {
             "id": np.arange(n),
@@ -143,7 +143,7 @@ def test_settings_from_sections():
         "preprocessing": {"transformer": {"parameters": {"repair_level": 0.9, "method": "reweighting"}}},
         "training": {"method": {"parameters": {"base_estimator": "RandomForest", "constraint": "equalized_odds", "max_retries": 5}}},
         "evaluation": {"primary_metric": "equalized_odds_difference", "fairness_threshold": 0.05, "additional_metrics": ["accuracy"]},
-        "runs": {"experiment_name": "hiring", "run_name": None, "tags": {"v": "1"}},
+        "tracking": {"experiment_name": "hiring", "run_name": None, "tags": {"v": "1"}},
     }
     s = RunSettings.from_sections(config, "id", val_size=0.15)
     assert (s.label, s.sensitive, s.test_size, s.val_size, s.seed) == ("hired", ("race", "sex"), 0.25, 0.15, 42)
@@ -151,4 +151,16 @@ def test_settings_from_sections():
     assert (s.max_retries, s.fairness_threshold, s.experiment, s.run_id) == (5, 0.05, "hiring", None)
     assert validate(s) == []
     empty = RunSettings.from_sections({}, "id")
-    assert {e.split(" ")[0] for e in validate(empty)} >= {"label", "At"}
+    assert {e.split(" ")[0] for e in validate(empty)} >= {"no"}
+
+
+@pytest.mark.parametrize("section,key", [("preprocessing", "transformer"), ("training", "method")])
+def test_sections_name_only_what_exists(section, key):
+    with pytest.raises(ValueError, match="Nope"):
+        RunSettings.from_sections({section: {key: {"name": "Nope", "parameters": {}}}}, "id")
+    assert RunSettings.from_sections({section: {key: {"name": None}}}, "id").method == "mean_matching"
+
+
+def test_only_a_named_tracking_section_is_read():
+    assert RunSettings.from_sections({"oddly_named": {"experiment_name": "x"}}, "id").experiment == "fairness"
+    assert RunSettings.from_sections({"tracking": {"experiment_name": "x"}}, "id").experiment == "x"

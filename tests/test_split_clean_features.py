@@ -100,7 +100,7 @@ def readings():
 
 
 @pytest.mark.parametrize("partition_by", [["user"], []])
-@pytest.mark.parametrize("rows_per_task", [None, 60, 5])
+@pytest.mark.parametrize("rows_per_task", [10**6, 60, 5])
 def test_fill_equals_pandas(spark, readings, partition_by, rows_per_task):
     df = spark.createDataFrame(readings).withColumn("v", F.nanvl("v", F.lit(None).cast("double"))).repartition(7)
     out = eh.ffill_bfill(df, ["v", "s"], ["t", "id"], partition_by, rows_per_task).toPandas().sort_values("id")
@@ -191,3 +191,23 @@ def test_roles(spark):
     roles = eh.resolve_roles(df, ["g"], "y", ["id"])
     assert roles.features == ("b", "x") and roles.numeric == ("x",) and roles.categorical == ("b",)
     assert eh.split_types(df.schema, ["x", "g"]) == (["x"], ["g"])
+
+
+def test_rows_without_an_id_share_a_split(spark):
+    df = spark.createDataFrame([(i if i % 3 else None, i % 2) for i in range(3000)], "id long, y int")
+    split = eh.stratified_split(df, "id", "y")
+    assert split.filter("id is null").select("y", "split").distinct().count() == 2
+    assert {r["split"] for r in split.filter("id is not null").select("split").distinct().collect()} == {"train", "validation", "test"}
+
+
+@pytest.mark.parametrize("rows_per_task", [10**6, 50])
+def test_fill_with_ties_and_text_in_the_first_order_column(spark, rows_per_task):
+    rows = [(i, "same" if i % 10 else f"t{i:04}", None if i % 3 else float(i)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, day string, v double").repartition(5)
+    got = {r["id"]: r["v"] for r in eh.ffill_bfill(df, ["v"], ["day", "id"], (), rows_per_task).collect()}
+    last, expected = None, {}
+    for i, _, v in sorted(rows, key=lambda r: (r[1], r[0])):
+        last = v if v is not None else last
+        expected[i] = last
+    first = next(v for _, _, v in sorted(rows, key=lambda r: (r[1], r[0])) if v is not None)
+    assert got == {i: first if v is None else v for i, v in expected.items()}

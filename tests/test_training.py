@@ -16,8 +16,8 @@ from evenhand.operators.training import _Moments, load_model
 def people():
     rng = np.random.default_rng(42)
     n = 2000
-    race = rng.choice(["White", "Black", "Asian"], n, p=[0.5, 0.3, 0.2])
-    age = rng.normal(40, 10, n) + np.where(race == "White", 8, 0)
+    race = rng.choice(["coast", "plain", "hills"], n, p=[0.45, 0.35, 0.2])
+    age = rng.normal(40, 10, n) + np.where(race == "coast", 8, 0)
     income = rng.normal(50, 10, n)
     z = 0.15 * (age - 42) + 0.05 * (income - 50)
     return pd.DataFrame(
@@ -37,17 +37,14 @@ def people():
 
 
 def direct_thresholds(pdf, attr):
-    """Try 0.5 and then every score in ascending order, taking strict improvements."""
-    target = pdf.y.mean()
-    out = {}
-    for g in pdf[attr].dropna().unique():
-        s = pdf[pdf[attr] == g].score.to_numpy()
-        best = 0.5
-        for t in np.sort(s):
-            if abs((s >= t).mean() - target) < abs((s >= best).mean() - target):
-                best = t
-        out[g] = best
-    return out
+    """The least of all candidates: by distance to the overall rate, 0.5 first, then by score."""
+    rate = pdf.y.mean()
+
+    def least(scores):
+        candidates = [(abs((scores >= t).mean() - rate), t != 0.5, t) for t in {0.5, *scores}]
+        return min(candidates)[2]
+
+    return {g: least(s) for g, s in pdf.groupby(attr).score}
 
 
 def test_three_row_case(spark):
@@ -267,3 +264,30 @@ def test_equal_members_are_merged(spark):
     members = [LinearScorer(0.0, (1.0,)), LinearScorer(0.0, (1.0,)), ConstantScorer(1), ConstantScorer(0)]
     rows = mixed_votes(df, ["a"], members, [0.25] * 4, "e").collect()
     assert [r["e"] for r in rows] == [0.75, 0.25]
+
+
+def test_ranks_of_any_doubles_take_few_passes(spark, monkeypatch):
+    from evenhand.operators import ranks
+
+    rng = np.random.default_rng(8)
+    scores = [*(10.0 ** rng.uniform(-300, 300, 400) * rng.choice([-1, 1], 400)), math.inf, math.inf, -math.inf, 0.0, math.nan, None]
+    df = spark.createDataFrame([(s, int(i % 2), "a") for i, s in enumerate(map(lambda s: None if s is None else float(s), scores))], "score double, y int, g string")
+    passes = []
+    narrow = ranks._narrow
+    monkeypatch.setattr(ranks, "_narrow", lambda *args: passes.append(1) or narrow(*args))
+    got = fit_thresholds(df, "score", "y", "g").thresholds().collect()[0]
+    known = np.array(sorted(s for s in scores if s is not None and not math.isnan(s)))
+    candidates = [(abs((known >= t).mean() - 0.5), t != 0.5, t) for t in {0.5, *known}]
+    assert got["threshold"] == min(candidates)[2] and got["n"] == len(known)
+    assert len(passes) <= 9
+
+
+def test_unconverged_training_is_reported(spark, people):
+    df = spark.createDataFrame(people)
+    hasty = eh.FairReduction(("race",), keep=("sex",), max_iter=1, eps=1e-4)
+    info = hasty.fit(df, "y").fairness_info()
+    assert info["converged"] is False and info["gap"] > 1e-4 and info["iterations"] == 1
+    with pytest.raises(RuntimeError, match="gap"):
+        eh.FairReduction(("race",), keep=("sex",), max_iter=1, eps=1e-4, on_unconverged="raise").fit(df, "y")
+    with pytest.raises(RuntimeError, match="no convergence"):
+        eh.fit_baseline(df, "y", ["race", "sex"], base_estimator=BaseLearner(max_iter=1, max_retries=1, on_unconverged="raise"))
