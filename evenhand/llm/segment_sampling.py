@@ -38,6 +38,7 @@ CHUNK_CHARS = 1 << 20
 STORED_EDGES = 6_000_000
 #: A Gumbel value is at most this far above its location, as 53 random bits go; and how far down nodes are looked at first.
 NOISE = 38.0
+FINE = float(1 << 36)
 FAR = -60.0
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
@@ -208,8 +209,9 @@ def build(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
         whole = np.add.reduceat(mass, at)
         total[nodes] = top + np.log(whole)
         share[a:b] = value - total[nodes][each]
-        run = np.cumsum(mass / whole[each])
-        upto[a:b] = run - (run[at] - (mass / whole[each])[at])[each]
+        units = np.rint(mass / whole[each] * FINE).astype(np.int64)
+        run = np.cumsum(units)
+        upto[a:b] = (run - (run[at] - units[at])[each]) / FINE
         first[nodes], number[nodes] = at + a, count
         a = b
     begin = offset + np.arange(len(starts))
@@ -351,9 +353,10 @@ class Search:
         number = len(self.leaves)
         offset = leaf.offset
         share = self.lattice.share[leaf.edges].astype(np.float64)
-        line = np.concatenate([[0.0], np.cumsum(share)])
+        # sums in whole units, so that they do not depend on the texts before
+        line = np.concatenate([[0], np.cumsum(np.rint(share * FINE).astype(np.int64))])
         starts, ends = offset[self.bounds[:-1]], offset[self.bounds[1:]]
-        before = line[:-1] - np.repeat(line[starts], ends - starts)
+        before = (line[:-1] - np.repeat(line[starts], ends - starts)) / FINE
         far = np.flatnonzero(before >= FAR)
         best, where = self._aside(leaf, far, before, share, value, since, excluded)
         # what lies further can only count if its bound is above the last one taken
@@ -364,7 +367,7 @@ class Search:
             for text in np.flatnonzero(~np.isneginf(best[:, j])).tolist():
                 self.open[text].append((best[text, j], number, int(where[text, j] - starts[text])))
         self.leaves.append(leaf)
-        self.scores.append((line[ends] - line[starts], value))
+        self.scores.append(((line[ends] - line[starts]) / FINE, value))
         self.excluded.append(excluded)
 
     def _aside(self, leaf, at, before, share, value, since, excluded) -> tuple[np.ndarray, np.ndarray]:
