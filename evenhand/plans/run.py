@@ -7,7 +7,6 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from evenhand.functions.expressions import nan_to_null
 from evenhand.operators.audit import audit_dataset
@@ -28,7 +27,14 @@ from evenhand.operators.training import (
     fit_baseline,
 )
 from evenhand.plans.settings import REWEIGHTING, RunSettings, validate
-from evenhand.sources.sinks import group_statistics, run_metrics, run_params, write_metrics, write_params
+from evenhand.sources.sinks import (
+    group_size_summary,
+    group_statistics,
+    run_metrics,
+    run_params,
+    write_report,
+    write_table,
+)
 from evenhand.sources.tables import read_table
 
 SPLIT = "split"
@@ -68,43 +74,42 @@ def run_fairness(spark: SparkSession, settings: RunSettings, df: DataFrame | Non
     resolve_roles(df, s.sensitive, s.label, [s.id_col])
     audited, first = list(s.audited), s.sensitive[0]
 
-    rows = stratified_split(df, s.id_col, s.label, s.test_size, s.val_size, s.seed).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    try:
-        train = rows.filter(F.col(SPLIT) == "train")
-        learner = BaseLearner(s.base_estimator, max_retries=s.max_retries, seed=s.seed)
-        # the baseline is a plain logistic regression whatever the fair model is built on
-        baseline = fit_baseline(train, s.label, s.sensitive, keep=[s.id_col, SPLIT])
-        before = baseline.transform(train, "prediction", [s.id_col])
-        reports = {
-            "split_summary": split_summary(rows),
-            "dataset_audit": audit_dataset(train.drop(SPLIT), first, s.label),
-            "baseline_audit": audit_predictions(
-                before, s.label, "prediction", audited, s.fairness_threshold, (), s.additional_metrics
-            ),
-        }
-        reports = {name: pin(report).df for name, report in reports.items()}
-
-        # the repair is a projection behind broadcast joins: cheaper to redo than to store again
-        repair, repaired = _repair(s, rows, train)
-        model = _train(s, learner, repaired)
-        scored = model.transform(repaired, "prediction", [s.id_col])
-        reports["audit_by_split"] = pin(
-            audit_predictions(
-                scored, s.label, "prediction", audited, s.fairness_threshold, [SPLIT], s.additional_metrics
-            )
-        ).df
-        reports |= _compare(s, reports, run_id)
-        if repair is not None:
-            reports["group_statistics"] = group_statistics(repair.group_stats(), run_id)
-        reports["params"] = run_params(spark, _params(s), run_id)
-        result = RunResult(run_id, reports, scored, baseline, model, repair)
-        if s.output_path:
-            write_run(spark, s, result)
-        return result
-    finally:
-        rows.unpersist()
+    # the cut between the splits is fitted here once; assigning rows is a comparison, so the table is
+    # read again where it is needed and never stored
+    rows = stratified_split(df, s.id_col, s.label, s.test_size, s.val_size, s.seed)
+    train = rows.filter(F.col(SPLIT) == "train")
+    learner = BaseLearner(s.base_estimator, max_retries=s.max_retries, seed=s.seed)
+    # the baseline is a plain logistic regression whatever the fair model is built on
+    baseline = fit_baseline(train, s.label, s.sensitive, keep=[s.id_col, SPLIT])
+    before = baseline.transform(train, "prediction", [s.id_col])
+    reports = {
+        "split_summary": split_summary(rows),
+        "dataset_audit": audit_dataset(train.drop(SPLIT), first, s.label),
+        "baseline_audit": audit_predictions(
+            before, s.label, "prediction", audited, s.fairness_threshold, (), s.additional_metrics
+        ),
+    }
+    reports = {name: pin(report).df for name, report in reports.items()}
+
+    # the repair is a projection behind broadcast joins: cheaper to redo than to store again
+    repair, repaired = _repair(s, rows, train)
+    model = _train(s, learner, repaired)
+    scored = model.transform(repaired, "prediction", [s.id_col])
+    reports["audit_by_split"] = pin(
+        audit_predictions(
+            scored, s.label, "prediction", audited, s.fairness_threshold, [SPLIT], s.additional_metrics
+        )
+    ).df
+    reports |= _compare(s, reports, run_id)
+    if repair is not None:
+        stats = repair.group_stats()
+        reports["group_statistics"] = group_statistics(stats, run_id)
+        reports["group_sizes"] = group_size_summary(stats)
+    reports["params"] = run_params(spark, _params(s), run_id)
+    result = RunResult(run_id, reports, scored, baseline, model, repair)
+    if s.output_path:
+        write_run(spark, s, result)
+    return result
 
 
 def _repair(s: RunSettings, rows: DataFrame, train: DataFrame) -> tuple[GroupRepairModel | None, DataFrame]:
@@ -166,15 +171,16 @@ def _params(s: RunSettings) -> dict:
 
 
 def write_run(spark: SparkSession, s: RunSettings, result: RunResult) -> None:
-    """Append metrics, parameters and statistics; save the models under the run id."""
-    root = s.output_path.rstrip("/")
-    write_metrics(result.reports["metrics"], f"{root}/metrics", s.experiment)
-    write_params(spark, _params(s), f"{root}/params", result.run_id)
-    if "group_statistics" in result.reports:
-        result.reports["group_statistics"].write.mode("append").parquet(f"{root}/group_statistics")
-    result.model.save(f"{root}/models/{result.run_id}")
+    """Store all reports, the scored rows and the models under the run id; a rerun replaces them."""
+    root, run_id = s.output_path.rstrip("/"), result.run_id
+    for name, report in result.reports.items():
+        within = f"{name}/experiment={s.experiment}" if name == "metrics" else name
+        write_report(report.drop("run_id"), f"{root}/{within}/run_id={run_id}")
+    write_table(result.scored, f"{root}/scored/run_id={run_id}", mode="overwrite")
+    result.baseline.save(f"{root}/baselines/{run_id}")
+    result.model.save(f"{root}/models/{run_id}")
     if result.repair is not None:
-        result.repair.save(f"{root}/repairs/{result.run_id}")
+        result.repair.save(f"{root}/repairs/{run_id}")
 
 
 __all__ = ["RunResult", "RunSettings", "run_fairness", "validate", "write_run"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -70,6 +70,11 @@ def write_metrics(report: DataFrame, path: str, experiment: str) -> None:
     ).parquet(path)
 
 
+def write_report(report: DataFrame, path: str) -> None:
+    """Write a report-sized table as one file, in place of what is there."""
+    report.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def run_params(spark: SparkSession, params: Mapping, run_id: str) -> DataFrame:
     """(run_id, key, value) of a nested mapping, with dotted keys."""
     rows: list[tuple[str, str, str]] = []
@@ -109,9 +114,9 @@ def group_size_summary(stats: DataFrame) -> DataFrame:
 
 def group_proportions(stats: DataFrame) -> DataFrame:
     """Size of each fitted group and its share of its attribute."""
-    # rows of this window are groups of the fitted table
-    total = F.sum("size").over(Window.partitionBy("attr"))
-    return _sizes(stats).select("attr", "group", "size", (F.col("size") / total).alias("proportion"))
+    sizes = _sizes(stats)
+    totals = sizes.groupBy("attr").agg(F.sum("size").alias("__total"))
+    return sizes.join(totals, "attr").select("attr", "group", "size", (F.col("size") / F.col("__total")).alias("proportion"))
 
 
 def _sizes(stats: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 
 import evenhand as eh
-from evenhand.plans.run import run_fairness
+from evenhand.plans.run import run_fairness, write_run
 from evenhand.plans.settings import RunSettings, validate
 from evenhand.sources.tables import read_table
 
@@ -127,6 +127,13 @@ def test_whole_run(spark, csv_path, tmp_path, change):
         assert spark.read.parquet(f"{root}/group_statistics").filter("statistic = 'mean'").count() > 0
     again = model.transform(rows, spread_by=["id"]).select("id", "prediction").orderBy("id").collect()
     assert again == result.scored.select("id", "prediction").orderBy("id").collect()
+    for name in ("baseline_audit", "summary", "scored", *(["group_sizes"] if result.repair else [])):
+        assert spark.read.parquet(f"{root}/{name}").count() > 0
+    if not change:  # a rerun of the same id takes the place of the first; nothing stays in memory
+        write_run(spark, settings, result)
+        assert spark.read.parquet(f"{root}/metrics").count() == len(reports["metrics"])
+        assert spark.read.parquet(f"{root}/scored").count() == 1500
+        assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
 
 
 def test_run_needs_its_columns(spark, csv_path):
