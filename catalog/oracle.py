@@ -597,3 +597,15 @@ add(
     "single_class_model",
     f"WITH {SCORED} SELECT c_mktsegment, CAST(1 AS INTEGER) AS prediction, count(*) AS n FROM scored GROUP BY 1",
 )
+# ---- what fits promise: the values are those of the definition, not of a fit --------------------
+
+add(
+    "baseline_model_gradient",
+    """SELECT feature, 0.0::DOUBLE AS gradient FROM (VALUES ('offer'), ('c_acctbal'), ('intercept')) AS t(feature)""",
+)
+for name in ("fair_dp_properties", "fair_eo_properties"):
+    add(
+        name,
+        f"""WITH {SCORED} SELECT count(*) AS n, true AS gap_as_reported, true AS convergence_as_reported, true AS fairer,
+CAST(0 AS BIGINT) AS wrong_draws, CAST(0 AS BIGINT) AS wrong_scores FROM scored""",
+    )

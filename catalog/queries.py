@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 import evenhand as eh
 from catalog.inputs import LI_KEY, SEGMENT_FACTORS, docs, ev, li, scored, scored_nulls, table
+from evenhand.functions.expressions import hash_uniform, logistic
 from evenhand.operators.learners import BaseLearner
 from evenhand.operators.lookup import pin
 from evenhand.operators.thresholds import apply_thresholds, fit_thresholds
@@ -530,6 +531,22 @@ def baseline_model_audit(spark, sf_dir):
     return eh.audit_predictions(model.transform(rows, "prediction", ["id"]), "y_pred", "prediction", SEGMENT)
 
 
+@register
+def baseline_model_gradient(spark, sf_dir):
+    """The gradient of the penalised loss at the fitted coefficients: zero for each of them."""
+    rows = _model_rows(spark, sf_dir)
+    model = eh.fit_baseline(rows, "y_pred", [SEGMENT], features=FEATURES)
+    names, scorer = model.prep.names(), model.scorer
+    error = logistic(scorer.margin(names)) - F.col("y_pred")
+    slopes = {
+        feature: F.avg(error * F.col(name)) + F.lit(weight) / F.count(F.lit(1))
+        for feature, name, weight in zip(FEATURES, names, scorer.coefficients, strict=True)
+    }
+    parts = [F.struct(F.lit(f).alias("feature"), F.abs(F.round(g, 3)).alias("gradient")) for f, g in slopes.items()]
+    parts.append(F.struct(F.lit("intercept").alias("feature"), F.abs(F.round(F.avg(error), 3)).alias("gradient")))
+    return model.prep.transform(rows).agg(F.array(*parts).alias("g")).select(F.inline("g"))
+
+
 @register
 def forest_model_audit(spark, sf_dir):
     rows = _model_rows(spark, sf_dir)
@@ -556,6 +573,51 @@ def fair_eo(spark, sf_dir):
     return eh.audit_predictions(fair, "y_true", "prediction", SEGMENT)
 
 
+def _fair_properties(spark, sf_dir, constraint: str, label: str) -> DataFrame:
+    """What a constrained fit promises, from the scored rows: its gap is the one it reports, within the
+    tolerance or said not to be, and below that of the unconstrained fit; draws follow ``expected``."""
+    rows = _model_rows(spark, sf_dir)
+    model = eh.FairReduction((SEGMENT,), constraint, "id", features=FEATURES).fit(rows, label)
+    plain = eh.fit_baseline(rows, label, [SEGMENT], features=FEATURES).transform(model.transform(rows), "plain", ["id"])
+    events = [label] if constraint == "equalized_odds" else []
+
+    def gap(column: str):
+        return F.max(F.abs(F.col(f"{column}_group") - F.col(f"{column}_all")))
+
+    sums = [F.sum(c).alias(c) for c in ("expected", "plain")]
+    groups = plain.groupBy(SEGMENT, *events).agg(F.count(F.lit(1)).alias("n"), *sums)
+    whole = groups.groupBy(*events).agg(
+        *[(F.sum(c) / F.sum("n")).alias(f"{c}_all") for c in ("expected", "plain")], F.sum("n").alias("all")
+    )
+    rates = groups.withColumns({f"{c}_group": F.col(c) / F.col("n") for c in ("expected", "plain")})
+    joined = rates.join(F.broadcast(whole), events) if events else rates.crossJoin(F.broadcast(whole))
+    info = model.fairness_info()
+    draw = hash_uniform(model.seed, F.col("id").cast("string"))
+    wrong = plain.agg(
+        F.count_if(F.col("prediction") != (F.col("expected") >= draw).cast("int")).alias("wrong_draws"),
+        F.count_if(F.col("pseudo_probability") != F.when(F.col("prediction") == 1, 0.8).otherwise(0.2)).alias("wrong_scores"),
+    )
+    gaps = joined.agg(F.sum("n").alias("n"), gap("expected").alias("fair"), gap("plain").alias("unfair"))
+    return gaps.crossJoin(F.broadcast(wrong)).select(
+        "n",
+        (F.abs(F.col("fair") - info["gap"]) < 1e-9).alias("gap_as_reported"),
+        ((F.col("fair") <= 0.01 + 1e-9) == F.lit(info["converged"])).alias("convergence_as_reported"),
+        (F.col("fair") < F.col("unfair")).alias("fairer"),
+        "wrong_draws",
+        "wrong_scores",
+    )
+
+
+@register
+def fair_dp_properties(spark, sf_dir):
+    return _fair_properties(spark, sf_dir, "demographic_parity", "y_pred")
+
+
+@register
+def fair_eo_properties(spark, sf_dir):
+    return _fair_properties(spark, sf_dir, "equalized_odds", "y_true")
+
+
 @register
 def fair_probability(spark, sf_dir):
     fair = _fair(spark, sf_dir, "demographic_parity", "y_pred")
