@@ -33,7 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
         ends = links.select(F.col("a").alias("id"), F.col("b").alias("to"))
         large = ends.join(low, "id").select(F.col("low").alias("a"), F.col("to").alias("b"))
         # and each node, with the neighbours below it, to the lowest of these
-        step = saved(large.filter("a <> b").distinct(), "large-star")
+        step = large.filter("a <> b").distinct()
         least = step.groupBy("b").agg(F.min("a").alias("low"))
         down = step.join(least, "b")
         small = down.select(F.col("low").alias("a"), F.col("a").alias("b")).unionByName(

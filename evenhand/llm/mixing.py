@@ -70,7 +70,7 @@ def targets(sized: DataFrame) -> DataFrame:
             F.coalesce(F.sum(F.when(above, most)), F.lit(0)).alias("used"),
             F.coalesce(F.sum(F.when(~above, F.col("weight"))), F.lit(0)).alias("open"),
         ).first()
-        if now["full"] == full or not now["open"]:
+        if now["full"] <= full or not now["open"]:
             break
         full, level = now["full"], (goal - now["used"]) / now["open"]
     target = F.least(most.cast("double"), F.lit(float(level)) * F.col("weight"))

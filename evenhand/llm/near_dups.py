@@ -10,9 +10,10 @@ the threshold. Classes are the connected components of the links.
 
 Comparing is done without listing the pairs of a group. Equal word sequences are one node. First
 each node is compared with the smallest node of its bands; nodes that this has joined need no more
-comparing. Then pairs in a shared band that are still in different classes and whose samples agree
-often enough are compared, all of them. A band shared by very many nodes is divided by the other
-bands, so that it only holds texts that agree in two bands.
+comparing. Of the pairs of a band that are still in different classes, those whose samples agree best
+are compared first, and after these have joined classes, all others whose samples agree as often as
+those of similar texts do. A pair is looked at in the first band that it shares only. A band shared by
+very many nodes is divided by the bands after it, so that it only holds texts that agree in two bands.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenhand.llm.components import components
@@ -32,12 +33,18 @@ from evenhand.llm.word_hashes import bytes_of, chunks, mix, shingle_hashes, with
 THRESHOLD = 0.8
 BANDS, ROWS = 10, 3
 RARE = 1024
+LEAST = 0.8
 FINER = 4
 FREQUENT = 1 << 20
-BLOCK_TEXTS, BLOCK_SHINGLES = 1 << 14, 1 << 24
+#: The first count leaves out more the larger its blocks are: partitions are joined for it to so many texts,
+#: and each is one block unless its shingles are too many to hold.
+COUNTED_TEXTS, BLOCK_SHINGLES = 1 << 14, 1 << 24
 FULL_BAND = 256
-#: Two texts at the threshold agree in fewer of the 30 samples with a probability below 1e-6.
-AGREE = 12
+#: Pairs that agree in so many of the 30 samples are compared, in two rounds. Two texts at the
+#: threshold agree in fewer than the last of these with a probability of 0.3 %, at 0.85 of 0.004 %.
+AGREE = (23, 17)
+#: Samples are packed for this by four bits each.
+NIBBLES = 15
 
 _QUANTILES = 1 << 16
 
@@ -56,8 +63,11 @@ SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779
 
 
 def idf(df: np.ndarray, n: int) -> np.ndarray:
-    """Between 0.5 for a shingle of every text and 1 for a rare one."""
-    return 0.5 + 0.5 * np.minimum(1.0, np.log(np.maximum(n / df, 1.0)) / np.log(RARE))
+    """Between ``LEAST`` for a shingle of every text and 1 for a rare one.
+
+    What many copies have in common must not weigh so little that their own number keeps them apart.
+    """
+    return LEAST + (1 - LEAST) * np.minimum(1.0, np.log(np.maximum(n / df, 1.0)) / np.log(RARE))
 
 
 class Weights:
@@ -137,7 +147,7 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 words, counts = word_hashes(*bytes_of(column, first, last))
                 held.append(with_counts(*shingle_hashes(words, counts))[0])
                 texts += last - first
-                if texts >= BLOCK_TEXTS or sum(map(len, held)) >= BLOCK_SHINGLES:
+                if sum(map(len, held)) >= BLOCK_SHINGLES:
                     yield from count()
                     held, texts = [], 0
         if held:
@@ -161,7 +171,8 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
         return run
 
-    local = saved(_texts(rows).mapInArrow(blocks, "hash long, n long, slack long, block boolean"), "local-counts")
+    joined = _texts(rows).coalesce(max(1, n // COUNTED_TEXTS))
+    local = saved(joined.mapInArrow(blocks, "hash long, n long, slack long, block boolean"), "local-counts")
     slack = local.filter("block").agg(F.sum("slack")).first()[0] or 0
     summed = local.filter("not block").groupBy("hash").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
     near = summed.filter(F.col("n") + slack - F.col("slack") >= limit).orderBy(F.desc("n"), "hash").limit(2 * FREQUENT)
@@ -176,11 +187,11 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found[order], idf(table.column("n").to_numpy(), n)[order]
 
 
-SKETCH = "rid long, words binary, size long, weight double, bands array<long>, samples array<int>"
+SKETCH = "rid long, words binary, size long, weight double, bands array<long>, low long, high long"
 
 
 def sketches(rows: DataFrame, weights) -> DataFrame:
-    """rid, words (a hash of the word sequence), size, weight, bands and samples of every text."""
+    """rid, words (a hash of the word sequence), size, weight, bands and packed samples of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Weights(*weights.value)
@@ -201,19 +212,19 @@ def sketches(rows: DataFrame, weights) -> DataFrame:
                 bands = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (last - first, BANDS)).copy()
                 for k in range(ROWS):
                     bands = mix((bands ^ grouped[:, :, k]) * np.uint64(0xE7037ED1A0B428DB))
-                lists = lambda x, kind: pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.reshape(-1).view(kind))
-                )
+                nibbles = (samples & np.uint32(15)).astype(np.int64) << (4 * (np.arange(len(SEEDS)) % NIBBLES))
+                starts = pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
                         pa.array(keys, pa.binary()),
                         pa.array(np.diff(counts)),
                         pa.array(total),
-                        lists(bands, np.int64),
-                        lists(samples, np.int32),
+                        pa.ListArray.from_arrays(starts, pa.array(bands.reshape(-1).view(np.int64))),
+                        pa.array(nibbles[:, :NIBBLES].sum(axis=1)),
+                        pa.array(nibbles[:, NIBBLES:].sum(axis=1)),
                     ],
-                    names=["rid", "words", "size", "weight", "bands", "samples"],
+                    names=["rid", "words", "size", "weight", "bands", "low", "high"],
                 )
 
     texts = rows.select("rid", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
@@ -221,20 +232,43 @@ def sketches(rows: DataFrame, weights) -> DataFrame:
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """bucket, node: bands that two nodes or more share, the fullest ones divided by the other bands."""
+    """bucket, node, band, also: bands that two nodes or more share, the fullest ones divided by those after them."""
     each = nodes.select("node", "bands", F.posexplode("bands").alias("band", "key"))
     counts = each.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = each.join(counts, "key")
-    few = shared.filter(F.col("n") <= FULL_BAND).select(F.col("key").alias("bucket"), "node")
-    many = shared.filter(F.col("n") > FULL_BAND).select("node", "key", "band", F.posexplode("bands").alias("other", "also"))
-    divided = many.filter(F.col("other") != F.col("band")).select(F.xxhash64("key", "also").alias("bucket"), "node")
+    few = shared.filter(F.col("n") <= FULL_BAND)
+    few = few.select(F.col("key").alias("bucket"), "node", "band", F.col("band").alias("also"))
+    later = F.slice("bands", F.col("band") + 2, F.lit(BANDS))
+    many = shared.filter(F.col("n") > FULL_BAND).select("node", "key", "band", F.posexplode(later).alias("step", "next"))
+    divided = many.select(
+        F.xxhash64("key", "next").alias("bucket"), "node", "band", (F.col("band") + 1 + F.col("step")).alias("also")
+    )
     again = divided.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     return few.unionByName(divided.join(again, "bucket", "left_semi"))
 
 
-def verified(pairs: DataFrame, rows: DataFrame, weights, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts have a weighted Jaccard similarity of ``threshold`` or more."""
-    text = rows.select("rid", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
+def agreement(x: str, y: str) -> Column:
+    """In how many samples two nodes agree, from the packed samples (one more in 16 of the others)."""
+    total = F.lit(2 * NIBBLES)
+    for half in ("low", "high"):
+        differ = F.col(f"{x}.{half}").bitwiseXOR(F.col(f"{y}.{half}"))
+        differ = differ.bitwiseOR(F.shiftright(differ, 1))
+        differ = differ.bitwiseOR(F.shiftright(differ, 2)).bitwiseAND(F.lit(int("1" * NIBBLES, 16)))
+        total = total - F.bit_count(differ)
+    return total
+
+
+def first_shared(x: str, y: str) -> Column:
+    """Whether a bucket's bands are the first that the two nodes share."""
+    holds = F.lit(True)
+    for k in range(BANDS):
+        differ = F.col(f"{x}.bands")[k] != F.col(f"{y}.bands")[k]
+        holds = holds & (differ | (F.col(f"{x}.band") == k) | (F.col(f"{x}.also") <= k))
+    return holds
+
+
+def verified(pairs: DataFrame, text: DataFrame, weights, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose texts (rid, t) have a weighted Jaccard similarity of ``threshold`` or more."""
     right = pairs.join(text, F.col("b") == F.col("rid")).select("a", "b", F.col("t").alias("tb"))
     both = right.join(text, F.col("a") == F.col("rid")).select("a", "b", F.col("t").alias("ta"), "tb")
 
@@ -267,6 +301,15 @@ def verified(pairs: DataFrame, rows: DataFrame, weights, threshold: float) -> Da
     return both.mapInArrow(run, "a long, b long")
 
 
+def still_open(shared: DataFrame, edges: DataFrame) -> DataFrame:
+    """The rows of buckets whose nodes the links have not joined into one class, with each node's ``part``."""
+    classes = components(edges)
+    place = shared.join(classes.withColumnRenamed("id", "node"), "node", "left")
+    place = place.select(*shared.columns, F.coalesce("component", "node").alias("part"))
+    apart = place.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least < most")
+    return place.join(apart.select("bucket"), "bucket", "left_semi")
+
+
 def links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Nodes (rid, node: the smallest row of the same words) and links between nodes.
 
@@ -279,31 +322,29 @@ def links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     first = sketch.groupBy("words").agg(F.min("rid").alias("node"))
     member = sketch.select("rid", "words").join(first, "words").select("rid", "node")
     node = sketch.join(first.select(F.col("node").alias("rid")), "rid", "left_semi").filter("size > 0")
-    node = saved(node.select(F.col("rid").alias("node"), "weight", "bands", "samples"), "nodes")
+    node = saved(node.select(F.col("rid").alias("node"), "weight", "bands", "low", "high"), "nodes")
     shared = saved(buckets(node.select("node", "bands")), "buckets")
     leaders = shared.groupBy("bucket").agg(F.min("node").alias("a"))
+    text = rows.select("rid", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
+    text = saved(text.join(shared.select(F.col("node").alias("rid")).distinct(), "rid", "left_semi"), "compared")
     stars = shared.join(leaders, "bucket").filter(F.col("a") < F.col("node")).select("a", F.col("node").alias("b")).distinct()
-    known = saved(verified(stars, rows, weights, threshold), "star-links")
-    classes = components(known)
-    # what shares a bucket and is still apart
-    place = shared.join(classes.withColumnRenamed("id", "node"), "node", "left")
-    place = place.select("bucket", "node", F.coalesce("component", "node").alias("part"))
-    apart = place.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high")
-    open_ = saved(place.join(apart.select("bucket"), "bucket", "left_semi").join(node.drop("bands"), "node"), "open-buckets")
-    x, y = open_.alias("x"), open_.alias("y")
-    same = F.size(F.filter(F.zip_with("x.samples", "y.samples", lambda s, t: s == t), lambda e: e))
-    possible = F.least("x.weight", "y.weight") >= threshold * F.greatest("x.weight", "y.weight") - 1e-9
-    on = (
-        (F.col("x.bucket") == F.col("y.bucket"))
-        & (F.col("x.node") < F.col("y.node"))
-        & (F.col("x.part") != F.col("y.part"))
-        & possible
-        & (same >= AGREE)
-    )
-    rest = x.join(y, on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    rest = rest.join(stars, ["a", "b"], "left_anti")
-    more = saved(verified(rest, rows, weights, threshold), "other-links")
-    return member, known.unionByName(more)
+    known = saved(verified(stars, text, weights, threshold), "star-links")
+    above = 2 * NIBBLES + 1
+    for least in AGREE:
+        left = saved(still_open(shared, known).join(node, "node"), "open")
+        on = (
+            (F.col("x.bucket") == F.col("y.bucket"))
+            & (F.col("x.node") < F.col("y.node"))
+            & (F.col("x.part") != F.col("y.part"))
+            & (F.least("x.weight", "y.weight") >= threshold * F.greatest("x.weight", "y.weight") - 1e-9)
+            & (agreement("x", "y") >= least)
+            & (agreement("x", "y") < above)
+            & first_shared("x", "y")
+        )
+        pairs = left.alias("x").join(left.alias("y"), on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        known = known.unionByName(saved(verified(pairs.distinct(), text, weights, threshold), "links"))
+        above = least
+    return member, known
 
 
 def duplicate_classes(

@@ -6,6 +6,7 @@ import sys
 import types
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 from evenhand.session import ensure_checkpoint_dir
 
 
+_recorders: list[list[str]] = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,17 +38,27 @@ def saved(df: DataFrame, what: str = "table") -> DataFrame:
     values such as row numbers or partition numbers stay as they were written.
     """
     path = shared_path(df.sparkSession, what)
+    for paths in _recorders:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove_saved(df: DataFrame) -> None:
-    """Delete the files of a saved table that no later step reads."""
-    spark = df.sparkSession
-    for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        if "/evenhand-" in path:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+@contextmanager
+def recorded(paths: list[str]):
+    """Add the paths of the tables that ``saved`` writes within the block to a list."""
+    _recorders.append(paths)
+    try:
+        yield
+    finally:
+        _recorders.remove(paths)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete recorded tables from which nothing reads any more."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
