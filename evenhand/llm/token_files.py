@@ -29,7 +29,7 @@ from evenhand.llm.tables import named, saved, shared_path, worker_state
 END_ID = 0
 FRAME_IDS = 1 << 18
 LEVEL = 3
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_000_000
 CACHED_LENGTH = 64
 JOINED = 256
 CHUNK_CHARS = 1 << 20
