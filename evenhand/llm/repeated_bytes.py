@@ -8,12 +8,13 @@ leftmost if equal, of each place in a text. Every ``LENGTH``-byte window belongs
 its first ``SPAN`` hashes give, so equal windows have the same anchor at the same distance, and the same
 anchors follow as long as they lie well inside the window. Doubling ranks runs of the pieces between
 anchors: the rank of a run of ``2 n`` pieces is that of the pair of ranks at distance ``n``. A rank that
-only one position has is dropped with all longer runs through it; an anchor whose run has grown past
-what all its windows share is a candidate.
+only one position has is dropped with all longer runs through it; an anchor whose run would grow past
+what all its windows share, the core, is a candidate.
 
-The windows of a candidate are decided together if the whole stretch they cover occurs twice. What is left
+The windows of a candidate are decided together if the whole stretch they cover occurs twice. Copies of a
+whole text are removed as such. What is left
 are the candidates around places where texts begin to differ. Their windows are compared one by one,
-with each other and with one example of each repeated stretch of the same rank.
+with each other and with one example of each repeated stretch of the same core.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenhand.llm.tables import named, saved, worker_state
@@ -165,25 +166,36 @@ def repeated(rows: DataFrame, *key: str) -> DataFrame:
     return rows.join(twice, list(key), "left_semi")
 
 
+def elsewhere(ranked: DataFrame) -> DataFrame:
+    """The rows whose rank occurs in another text, or at another anchor of its own.
+
+    That copies of one text have it at the same anchor does not count: they are removed as a whole.
+    """
+    places = ranked.groupBy("rank").agg(
+        F.min("text").alias("a"), F.max("text").alias("b"), F.min("item").alias("c"), F.max("item").alias("d")
+    )
+    return ranked.join(places.filter("a <> b or c <> d").select("rank"), "rank", "left_semi")
+
+
 def candidates(texts: DataFrame) -> DataFrame:
-    """rid, item, rank of the anchors whose run of pieces, as long as their core, occurs twice."""
-    each = texts.select("rid", F.posexplode(F.arrays_zip("hashes", "counts")).alias("item", "p"))
-    ranked = each.filter("p.hashes <> 0").select("rid", "item", F.col("p.counts").alias("count"), F.col("p.hashes").alias("rank"))
-    active, length, found = saved(repeated(ranked, "rank"), "ranks"), 1, None
+    """rid, item of the anchors of which the runs of pieces occur elsewhere, as far as doubling reaches into the core."""
+    own = F.xxhash64("sha256").alias("text")
+    each = texts.select("rid", own, F.posexplode(F.arrays_zip("hashes", "counts")).alias("item", "p"))
+    ranked = each.filter("p.hashes <> 0").select("rid", "text", "item", F.col("p.counts").alias("count"), F.col("p.hashes").alias("rank"))
+    active, length, found = saved(elsewhere(ranked).drop("text"), "ranks"), 1, None
     while True:
-        later = active.select("rid", F.col("item").alias("place"), F.col("rank").alias("then"))
-        # a core of between n and 2 n pieces is two runs of n pieces, one from each end
-        ends = active.filter(F.col("count").between(length, 2 * length - 1))
-        ends = ends.withColumn("place", F.col("item") + F.col("count") - length).join(later, ["rid", "place"])
-        ends = ends.select("rid", "item", F.xxhash64("rank", "then", "count").alias("rank"))
-        ends = saved(repeated(ends, "rank"), "candidates")
+        # twice the length would reach past the core of these: they have come through
+        ends = active.filter(F.col("count").between(length, 2 * length - 1)).select("rid", "item")
         found = ends if found is None else found.unionByName(ends)
-        longest = active.agg(F.max("count")).first()[0]
-        if longest is None or longest < 2 * length:
-            return found
-        pairs = active.withColumn("place", F.col("item") + length).join(later, ["rid", "place"])
+        # the rank at the distance of the length; only texts in which some core has more pieces go on
+        ahead = Window.partitionBy("rid").orderBy("item").rangeBetween(length, length)
+        whole = Window.partitionBy("rid")
+        pairs = active.withColumns({"then": F.first("rank").over(ahead), "most": F.max("count").over(whole)})
+        pairs = pairs.filter((F.col("most") >= 2 * length) & F.col("then").isNotNull())
         pairs = pairs.select("rid", "item", "count", F.xxhash64("rank", "then").alias("rank"))
         active, length = saved(repeated(pairs, "rank"), "ranks"), 2 * length
+        if active.isEmpty():
+            return found
 
 
 def _unpacked(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -208,8 +220,8 @@ def _flat(column: pa.ListArray, a: int, b: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def stretches(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """rid, packed, items, ranks, and a key (key, more) of the stretch that each item's windows cover."""
-    lists = found.groupBy("rid").agg(F.collect_list("item").alias("items"), F.collect_list("rank").alias("ranks"))
+    """rid, packed, items, a hash of each item's core (ranks), and a key (key, more) of the stretch its windows cover."""
+    lists = found.groupBy("rid").agg(F.collect_list("item").alias("items"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,13 +232,14 @@ def stretches(texts: DataFrame, found: DataFrame) -> DataFrame:
                 at = begin[row] + item
                 first, last = anchors.windows(at)
                 key, more = anchors.bytes.key(first, last + LENGTH)
+                core = anchors.bytes.hash(anchors.at[at], anchors.at[at] + CORE).view(np.int64)
                 sizes = np.bincount(row, minlength=b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(a, b - a) for c in range(4)] + [_lists(key, sizes), _lists(more, sizes)],
+                    [batch.column(c).slice(a, b - a) for c in range(3)] + [_lists(x, sizes) for x in (core, key, more)],
                     names=["rid", "packed", "items", "ranks", "keys", "mores"],
                 )
 
-    joined = texts.select("rid", "packed").join(lists, "rid").select("rid", "packed", "items", "ranks")
+    joined = texts.select("rid", "packed").join(lists, "rid").select("rid", "packed", "items")
     return joined.mapInArrow(
         run, "rid long, packed binary, items array<int>, ranks array<long>, keys array<long>, mores array<int>"
     )
@@ -331,16 +344,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "classes",
     )
     whole = item.join(classes.filter("n > 1").select("rank", "key", "more"), ["rank", "key", "more"], "left_semi")
-    unsettled = classes.filter("n = 1").select("rank").distinct()
+    # a core that only one stretch has is that of no repeated window
+    several = classes.groupBy("rank").agg(F.count("*").alias("classes"), F.min("n").alias("least"))
+    unsettled = several.filter("classes > 1 and least = 1").select("rank")
     asked = classes.join(unsettled, "rank", "left_semi").select("rid", "item", (F.col("n") == 1).alias("own"))
     windows = saved(single_windows(packed, asked), "windows")
     starts = repeated(windows, "key", "more").filter("own").select("rid", "start")
     done = cut(packed, whole.select("rid", "item"), starts)
+    copies = texts.filter(F.col("n_bytes") >= LENGTH).groupBy("sha256").agg(F.count("*").alias("copies"))
     out = texts.select("rid", "id", "n_bytes", "sha256").join(done.drop("kept"), "rid", "left")
+    out = out.join(copies.filter("copies > 1"), "sha256", "left")
+    copied = F.col("copies").isNotNull()
     return out.select(
         F.col("id").alias(id_col),
         "n_bytes",
-        F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-        F.coalesce("cut_sha256", "sha256").alias("kept_sha256"),
+        F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(copied, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(copied, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("cut_sha256", "sha256")).alias("kept_sha256"),
     )
