@@ -131,7 +131,7 @@ def texts_and_pieces(rows: DataFrame) -> DataFrame:
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=4)
         for batch in batches:
             column = batch.column(2)
             for a, b in chunks(column, CHUNK_BYTES):
@@ -171,18 +171,17 @@ def elsewhere(ranked: DataFrame) -> DataFrame:
 
     That copies of one text have it at the same anchor does not count: they are removed as a whole.
     """
-    places = ranked.groupBy("rank").agg(
-        F.min("text").alias("a"), F.max("text").alias("b"), F.min("item").alias("c"), F.max("item").alias("d")
-    )
-    return ranked.join(places.filter("a <> b or c <> d").select("rank"), "rank", "left_semi")
+    places = ranked.groupBy("rank").agg(F.min("place").alias("a"), F.max("place").alias("b"))
+    return ranked.join(places.filter("a <> b").select("rank"), "rank", "left_semi").drop("place")
 
 
 def candidates(texts: DataFrame) -> DataFrame:
     """rid, item of the anchors of which the runs of pieces occur elsewhere, as far as doubling reaches into the core."""
-    own = F.xxhash64("sha256").alias("text")
-    each = texts.select("rid", own, F.posexplode(F.arrays_zip("hashes", "counts")).alias("item", "p"))
-    ranked = each.filter("p.hashes <> 0").select("rid", "text", "item", F.col("p.counts").alias("count"), F.col("p.hashes").alias("rank"))
-    active, length, found = saved(elsewhere(ranked).drop("text"), "ranks"), 1, None
+    each = texts.select("rid", "sha256", F.posexplode(F.arrays_zip("hashes", "counts")).alias("item", "p"))
+    ranked = each.filter("p.hashes <> 0").select(
+        "rid", "item", F.col("p.counts").alias("count"), F.col("p.hashes").alias("rank"), F.xxhash64("sha256", "item").alias("place")
+    )
+    active, length, found = saved(elsewhere(ranked), "ranks"), 1, None
     while True:
         # twice the length would reach past the core of these: they have come through
         ends = active.filter(F.col("count").between(length, 2 * length - 1)).select("rid", "item")
