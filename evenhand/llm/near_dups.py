@@ -13,12 +13,14 @@ each node is compared with the smallest node of its bands; nodes that this has j
 comparing. Of the pairs of a band that are still in different classes, those whose samples agree best
 are compared first, and after these have joined classes, all others whose samples agree as often as
 those of similar texts do. A pair is looked at in the first band that it shares only. A band shared by
-very many nodes is divided by the bands after it, so that it only holds texts that agree in two bands.
+very many nodes is divided by pairs of the other samples, chosen such that two nodes that agree often
+enough to be compared have at least one pair in common, so that dividing loses no link.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,19 @@ AGREE = (23, 17)
 #: Samples are packed for this by four bits each.
 NIBBLES = 15
 
+
+def _divisions() -> list[list[tuple[int, int]]]:
+    """For each band, pairs of the samples outside it: nodes that share the band and agree in the least of ``AGREE`` agree in a pair.
+
+    The samples are dealt to one group fewer than still have to agree, so two of these fall into one group.
+    """
+    groups = AGREE[-1] - ROWS - 1
+    others = [[j for j in range(BANDS * ROWS) if j // ROWS != band] for band in range(BANDS)]
+    return [[pair for g in range(groups) for pair in combinations(rest[g::groups], 2)] for rest in others]
+
+
+DIVISIONS = _divisions()
+
 _QUANTILES = 1 << 16
 
 
@@ -232,39 +247,73 @@ def sketches(rows: DataFrame, weights) -> DataFrame:
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """bucket, node, band, also: bands that two nodes or more share, the fullest ones divided by those after them."""
-    each = nodes.select("node", "bands", F.posexplode("bands").alias("band", "key"))
+    """bucket, node, low, high, band, step: bands that two nodes or more share, the fullest ones also divided.
+
+    ``step`` is the number of the pair of samples that divides, -1 for a band that need not be divided,
+    and NULL for the whole of one that is divided, which is there for its smallest node only.
+    """
+    each = nodes.select("node", "low", "high", F.posexplode("bands").alias("band", "key"))
     counts = each.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = each.join(counts, "key")
-    few = shared.filter(F.col("n") <= FULL_BAND)
-    few = few.select(F.col("key").alias("bucket"), "node", "band", F.col("band").alias("also"))
-    later = F.slice("bands", F.col("band") + 2, F.lit(BANDS))
-    many = shared.filter(F.col("n") > FULL_BAND).select("node", "key", "band", F.posexplode(later).alias("step", "next"))
+    whole = shared.select(
+        F.col("key").alias("bucket"), "node", "low", "high", "band", F.when(F.col("n") <= FULL_BAND, -1).alias("step")
+    )
+    pairs = F.lit([[list(pair) for pair in band] for band in DIVISIONS])
+    many = shared.filter(F.col("n") > FULL_BAND).select(
+        "key", "node", "low", "high", "band", F.posexplode(F.get(pairs, F.col("band"))).alias("step", "pair")
+    )
     divided = many.select(
-        F.xxhash64("key", "next").alias("bucket"), "node", "band", (F.col("band") + 1 + F.col("step")).alias("also")
+        F.xxhash64("key", "step", _nibble(F.col("pair")[0]), _nibble(F.col("pair")[1])).alias("bucket"),
+        *["node", "low", "high", "band", "step"],
     )
     again = divided.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    return few.unionByName(divided.join(again, "bucket", "left_semi"))
+    return whole.unionByName(divided.join(again, "bucket", "left_semi"))
+
+
+def _nibble(j: Column) -> Column:
+    """The bits that are kept of sample ``j``."""
+    half = F.when(j < NIBBLES, F.col("low")).otherwise(F.col("high"))
+    return F.call_function("shiftright", half, j % NIBBLES * 4).bitwiseAND(F.lit(15))
+
+
+def differing(x: str, y: str, half: str) -> Column:
+    """One bit for each of half the samples, at the place of its four, set if two nodes do not agree in it."""
+    differ = F.col(f"{x}.{half}").bitwiseXOR(F.col(f"{y}.{half}"))
+    differ = differ.bitwiseOR(F.shiftright(differ, 1))
+    return differ.bitwiseOR(F.shiftright(differ, 2)).bitwiseAND(F.lit(int("1" * NIBBLES, 16)))
 
 
 def agreement(x: str, y: str) -> Column:
     """In how many samples two nodes agree, from the packed samples (one more in 16 of the others)."""
-    total = F.lit(2 * NIBBLES)
-    for half in ("low", "high"):
-        differ = F.col(f"{x}.{half}").bitwiseXOR(F.col(f"{y}.{half}"))
-        differ = differ.bitwiseOR(F.shiftright(differ, 1))
-        differ = differ.bitwiseOR(F.shiftright(differ, 2)).bitwiseAND(F.lit(int("1" * NIBBLES, 16)))
-        total = total - F.bit_count(differ)
-    return total
+    return F.lit(2 * NIBBLES) - F.bit_count(differing(x, y, "low")) - F.bit_count(differing(x, y, "high"))
 
 
 def first_shared(x: str, y: str) -> Column:
-    """Whether a bucket's bands are the first that the two nodes share."""
+    """Whether a bucket is of the first band that the two nodes share, and of its first pair of samples that they do."""
     holds = F.lit(True)
     for k in range(BANDS):
         differ = F.col(f"{x}.bands")[k] != F.col(f"{y}.bands")[k]
-        holds = holds & (differ | (F.col(f"{x}.band") == k) | (F.col(f"{x}.also") <= k))
-    return holds
+        holds = holds & (differ | (F.col(f"{x}.band") <= k))
+    halves = [[[sum(1 << 4 * (j % NIBBLES) for j in pair if j // NIBBLES == h) for h in (0, 1)] for pair in band] for band in DIVISIONS]
+    masks = F.get(F.lit(halves).cast("array<array<array<bigint>>>"), F.col(f"{x}.band"))
+    low, high = differing(x, y, "low"), differing(x, y, "high")
+    earlier = F.slice(masks, F.lit(1), F.greatest(F.col(f"{x}.step"), F.lit(0)))
+    apart = lambda m: (m[0].bitwiseAND(low) != 0) | (m[1].bitwiseAND(high) != 0)
+    return holds & F.forall(earlier, apart)
+
+
+def agreeing(left: DataFrame, least: int, above: int, threshold: float) -> DataFrame:
+    """Pairs (a, b) of nodes of one bucket and different parts that agree in ``least`` samples up to ``above``, each pair once."""
+    on = (
+        (F.col("x.bucket") == F.col("y.bucket"))
+        & (F.col("x.node") < F.col("y.node"))
+        & (F.col("x.part") != F.col("y.part"))
+        & (F.least("x.weight", "y.weight") >= threshold * F.greatest("x.weight", "y.weight") - 1e-9)
+        & (agreement("x", "y") >= least)
+        & (agreement("x", "y") < above)
+        & first_shared("x", "y")
+    )
+    return left.alias("x").join(left.alias("y"), on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def verified(pairs: DataFrame, text: DataFrame, weights, threshold: float) -> DataFrame:
@@ -323,25 +372,19 @@ def links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     member = sketch.select("rid", "words").join(first, "words").select("rid", "node")
     node = sketch.join(first.select(F.col("node").alias("rid")), "rid", "left_semi").filter("size > 0")
     node = saved(node.select(F.col("rid").alias("node"), "weight", "bands", "low", "high"), "nodes")
-    shared = saved(buckets(node.select("node", "bands")), "buckets")
-    leaders = shared.groupBy("bucket").agg(F.min("node").alias("a"))
+    shared = saved(buckets(node), "buckets")
+    leaders = shared.groupBy("bucket").agg(F.min(F.struct("node", "low", "high")).alias("first"))
     text = rows.select("rid", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
     text = saved(text.join(shared.select(F.col("node").alias("rid")).distinct(), "rid", "left_semi"), "compared")
-    stars = shared.join(leaders, "bucket").filter(F.col("a") < F.col("node")).select("a", F.col("node").alias("b")).distinct()
+    stars = shared.alias("x").join(leaders, "bucket").filter(F.col("first.node") < F.col("node"))
+    stars = stars.filter((F.coalesce("step", F.lit(-1)) < 0) | (agreement("x", "first") >= AGREE[-1]))
+    stars = stars.select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
     known = saved(verified(stars, text, weights, threshold), "star-links")
     above = 2 * NIBBLES + 1
     for least in AGREE:
-        left = saved(still_open(shared, known).join(node, "node"), "open")
-        on = (
-            (F.col("x.bucket") == F.col("y.bucket"))
-            & (F.col("x.node") < F.col("y.node"))
-            & (F.col("x.part") != F.col("y.part"))
-            & (F.least("x.weight", "y.weight") >= threshold * F.greatest("x.weight", "y.weight") - 1e-9)
-            & (agreement("x", "y") >= least)
-            & (agreement("x", "y") < above)
-            & first_shared("x", "y")
-        )
-        pairs = left.alias("x").join(left.alias("y"), on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        left = still_open(shared.filter("step is not null"), known)
+        left = saved(left.join(node.select("node", "weight", "bands"), "node"), "open")
+        pairs = agreeing(left, least, above, threshold)
         known = known.unionByName(saved(verified(pairs.distinct(), text, weights, threshold), "links"))
         above = least
     return member, known

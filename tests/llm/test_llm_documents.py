@@ -214,6 +214,46 @@ def test_near_copies_of_a_large_group_are_one_class(spark):
     assert {got[i] for i in range(400)} == {0} and all(got[1000 + i] == 1000 + i for i in range(50))
 
 
+def packed(samples):
+    return [sum((v & 15) << 4 * j for j, v in enumerate(samples[h : h + 15])) for h in (0, 15)]
+
+
+@pytest.mark.parametrize("band", [0, 4, 9])
+def test_pairs_that_share_only_a_full_band_are_compared(spark, band):
+    r = random.Random(band)
+    drawn = [[r.randrange(16) for _ in range(30)] for _ in range(2 * near_dups.FULL_BAND)]
+    for k in range(0, len(drawn), 2):  # two neighbours agree in 14 samples outside the band, and in no other band
+        x, y = drawn[k], drawn[k + 1]
+        others = [b for b in range(10) if b != band]
+        places = [3 * b + j for b in others for j in r.sample(range(3), 2)]
+        same = set(r.sample(places, 14))
+        for j in range(30):
+            y[j] = x[j] if j in same else (x[j] + r.randrange(1, 16)) % 16
+    for s in drawn:
+        s[3 * band : 3 * band + 3] = 1, 2, 3
+    rows = [(i, 1.0, [hash((b, *s[3 * b : 3 * b + 3])) for b in range(10)], *packed(s)) for i, s in enumerate(drawn)]
+    node = spark.createDataFrame(rows, "node long, weight double, bands array<long>, low long, high long")
+    shared = near_dups.buckets(node).filter("step is not null").withColumn("part", F.col("node"))
+    found = near_dups.agreeing(shared.join(node.select("node", "weight", "bands"), "node"), 17, 31, 0.8).collect()
+    wanted = {(i, j) for i in range(len(drawn)) for j in range(i) if sum(map(int.__eq__, drawn[i], drawn[j])) >= 17}
+    assert len(found) == len(wanted) and {(r["b"], r["a"]) for r in found} == wanted and len(wanted) >= near_dups.FULL_BAND
+
+
+def test_dividing_full_bands_loses_no_link(spark, monkeypatch):
+    rows = []
+    for k in range(500):  # pairs at a similarity of 0.80 to 0.83
+        base = prose(1000 + k, 200).split()
+        rows.append((2 * k, " ".join(base)))
+        for j in range(4):
+            base[20 + 40 * j + k % 7] = "other"
+        rows.append((2 * k + 1, " ".join(base)))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = by(near_dups.duplicate_classes(table).collect(), "doc_id", "class_id")
+    monkeypatch.setattr(near_dups, "FULL_BAND", 1)
+    assert by(near_dups.duplicate_classes(table).collect(), "doc_id", "class_id") == whole
+    assert sum(i != c for i, c in whole) > 485
+
+
 # --- shards ----------------------------------------------------------------------------------------
 
 
