@@ -2,8 +2,8 @@
 
 A text is its shingles of five words, each weighing its count times an inverse document frequency.
 The frequency only matters for shingles that more than one text in ``RARE`` has; all rarer ones
-weigh 1. There are at most as many frequent ones as the bounds below let through, so their table is
-small at any size of the corpus. Thirty samples are drawn from each text such that two texts agree
+weigh 1. The most frequent million are broadcast; if there are more, the others are joined to the texts
+that have them. Thirty samples are drawn from each text such that two texts agree
 in one with the probability of their weighted Jaccard similarity. Three samples make up a band,
 texts that share a band are compared, and links are the pairs whose exact weighted similarity reaches
 the threshold. Classes are the connected components of the links.
@@ -37,6 +37,7 @@ BANDS, ROWS = 10, 3
 RARE = 1024
 LEAST = 0.8
 FINER = 4
+#: So many of the frequent shingles are broadcast.
 FREQUENT = 1 << 20
 #: The first count leaves out more the larger its blocks are: partitions are joined for it to so many texts,
 #: and each is one block unless its shingles are too many to hold.
@@ -86,19 +87,26 @@ def idf(df: np.ndarray, n: int) -> np.ndarray:
 
 
 class Weights:
-    """Weights of shingles, from a sorted table of the frequent ones."""
-
-    def __init__(self, hashes: np.ndarray, weights: np.ndarray):
-        self.hashes, self.weights = hashes, weights
-
-    def of(self, shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        weight = counts.astype(np.float64)
-        if len(self.hashes):
-            at = np.searchsorted(self.hashes, shingles)
-            at[at == len(self.hashes)] = 0
-            hit = np.flatnonzero(self.hashes[at] == shingles)
-            weight[hit] *= self.weights[at[hit]]
-        return weight
+    """Weights of shingles, from a sorted table of the frequent ones and the weight of all others."""
+
+    def __init__(self, hashes: np.ndarray, weights: np.ndarray, other: float = 1.0):
+        self.hashes, self.weights, self.other = hashes, weights, other
+
+    def of(self, shingles: np.ndarray, counts: np.ndarray, listed: pa.ListArray | None = None) -> np.ndarray:
+        """Weight times count; ``listed`` has weights of further shingles, as (hash, weight) lists of the texts."""
+        each = np.full(len(shingles), self.other)
+        tables = [(self.hashes, self.weights)]
+        if listed is not None:
+            hashes, weights = (x.to_numpy(zero_copy_only=False) for x in listed.flatten().flatten())
+            hashes, first = np.unique(hashes.astype(np.int64).view(np.uint64), return_index=True)
+            tables.append((hashes, weights[first]))
+        for hashes, weights in tables:
+            if len(hashes):
+                at = np.searchsorted(hashes, shingles)
+                at[at == len(hashes)] = 0
+                hit = np.flatnonzero(hashes[at] == shingles)
+                each[hit] = weights[at[hit]]
+        return counts * each
 
 
 def sample(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -128,16 +136,20 @@ def _texts(rows: DataFrame) -> DataFrame:
     return rows.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
 
 
-def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the shingles that more than one text in ``RARE`` has, and their weights.
+def frequent_shingles(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, float], DataFrame | None]:
+    """What ``Weights`` takes, and the rows (hash, weight) of the frequent shingles that it has no room for, if any.
+
+    Frequent are those that two texts or more and one text in ``RARE`` or more have. All others weigh the same:
+    1, or in fewer than ``RARE`` texts the weight of a shingle that one text has.
 
     Two passes over all texts. The first counts within blocks of texts and gives out what reaches
     the block's part of a limit four times finer; what can reach the limit overall is then among
-    those whose sum comes near it, which bounds their number. The second pass counts those exactly.
+    those whose sum comes near it. The second pass counts those exactly; if they are too many to broadcast,
+    it counts all.
     """
     spark = rows.sparkSession
     n = rows.count()
-    limit = n / RARE
+    limit = max(n / RARE, 2)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, texts = [], 0
@@ -168,6 +180,14 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield from count()
 
+    def everything(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(0)
+            for first, last in chunks(column):
+                words, counts = word_hashes(*bytes_of(column, first, last))
+                hashes, number = np.unique(with_counts(*shingle_hashes(words, counts))[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(number)], names=["hash", "n"])
+
     def recount(candidates):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(candidates.value), np.int64)
@@ -190,23 +210,49 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     local = saved(joined.mapInArrow(blocks, "hash long, n long, slack long, block boolean"), "local-counts")
     slack = local.filter("block").agg(F.sum("slack")).first()[0] or 0
     summed = local.filter("not block").groupBy("hash").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
-    near = summed.filter(F.col("n") + slack - F.col("slack") >= limit).orderBy(F.desc("n"), "hash").limit(2 * FREQUENT)
-    hashes = np.sort(near.select("hash").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
-    if not len(hashes):
-        return hashes, np.zeros(0)
-    exact = _texts(rows).mapInArrow(recount(spark.sparkContext.broadcast(hashes)), "hash long, n long")
-    kept = exact.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= limit)
-    table = kept.orderBy(F.desc("n"), "hash").limit(FREQUENT).toArrow()
+    near = saved(summed.filter(F.col("n") + slack - F.col("slack") >= limit).select("hash"), "candidates")
+    if near.count() <= 2 * FREQUENT:
+        hashes = np.sort(near.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
+        exact = _texts(rows).mapInArrow(recount(spark.sparkContext.broadcast(hashes)), "hash long, n long") if len(hashes) else local.select("hash", "n").limit(0)
+    else:
+        exact = _texts(rows).mapInArrow(everything, "hash long, n long")
+    kept = saved(exact.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= limit), "frequent")
+    most = kept.count() > FREQUENT
+    table = (kept.orderBy(F.desc("n"), "hash").limit(FREQUENT) if most else kept).toArrow()
     found = table.column("hash").to_numpy().astype(np.int64).view(np.uint64)
+    often = table.column("n").to_numpy()
     order = np.argsort(found)
-    return found[order], idf(table.column("n").to_numpy(), n)[order]
+    head = found[order], idf(often, n)[order], float(idf(np.ones(1), n)[0])
+    if not most:
+        return head, None
+    last_n, last_hash = table.column("n")[-1].as_py(), table.column("hash")[-1].as_py()
+    rest = kept.filter((F.col("n") < last_n) | ((F.col("n") == last_n) & (F.col("hash") > last_hash)))
+    share = F.log(F.greatest(F.lit(n) / F.col("n"), F.lit(1.0))) / float(np.log(RARE))
+    return head, rest.select("hash", (LEAST + (1 - LEAST) * F.least(F.lit(1.0), share)).alias("weight"))
+
+
+def listed_weights(texts: DataFrame, rest: DataFrame) -> DataFrame:
+    """The texts (rid, t) with ``listed``: (hash, weight) of those of their shingles that are in ``rest``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(1)
+            for first, last in chunks(column):
+                words, counts = word_hashes(*bytes_of(column, first, last))
+                shingles, texts, _ = with_counts(*shingle_hashes(words, counts))
+                rids = batch.column(0).slice(first, last - first).take(pa.array(texts))
+                yield pa.RecordBatch.from_arrays([rids, pa.array(shingles.view(np.int64))], names=["rid", "hash"])
+
+    each = texts.select("rid", "t").mapInArrow(run, "rid long, hash long").join(rest, "hash")
+    lists = each.groupBy("rid").agg(F.collect_list(F.struct("hash", "weight")).alias("listed"))
+    return texts.join(lists, "rid", "left")
 
 
 SKETCH = "rid long, words binary, size long, weight double, bands array<long>, low long, high long"
 
 
-def sketches(rows: DataFrame, weights) -> DataFrame:
-    """rid, words (a hash of the word sequence), size, weight, bands and packed samples of every text."""
+def sketches(texts: DataFrame, weights) -> DataFrame:
+    """rid, words (a hash of the word sequence), size, weight, bands and packed samples of every text (rid, t, listed if given)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Weights(*weights.value)
@@ -216,7 +262,8 @@ def sketches(rows: DataFrame, weights) -> DataFrame:
                 words, counts = word_hashes(*bytes_of(column, first, last))
                 keys = [xxhash.xxh3_128_digest(words[a:b].tobytes()) for a, b in zip(counts[:-1], counts[1:], strict=True)]
                 shingles, texts, number = with_counts(*shingle_hashes(words, counts))
-                weight = table.of(shingles, number)
+                listed = batch.column(2).slice(first, last - first) if batch.num_columns > 2 else None
+                weight = table.of(shingles, number, listed)
                 some, starts = np.unique(texts, return_index=True)
                 total = np.zeros(last - first)
                 samples = np.zeros((last - first, len(SEEDS)), np.uint32)
@@ -242,7 +289,6 @@ def sketches(rows: DataFrame, weights) -> DataFrame:
                     names=["rid", "words", "size", "weight", "bands", "low", "high"],
                 )
 
-    texts = rows.select("rid", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
     return texts.mapInArrow(run, SKETCH)
 
 
@@ -317,29 +363,32 @@ def agreeing(left: DataFrame, least: int, above: int, threshold: float) -> DataF
 
 
 def verified(pairs: DataFrame, text: DataFrame, weights, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts (rid, t) have a weighted Jaccard similarity of ``threshold`` or more."""
-    right = pairs.join(text, F.col("b") == F.col("rid")).select("a", "b", F.col("t").alias("tb"))
-    both = right.join(text, F.col("a") == F.col("rid")).select("a", "b", F.col("t").alias("ta"), "tb")
+    """The pairs (a, b) whose texts (rid, t, listed if given) have a weighted Jaccard similarity of ``threshold`` or more."""
+    own = [c for c in text.columns if c != "rid"]
+    right = pairs.join(text, F.col("b") == F.col("rid")).select("a", "b", *[F.col(c).alias(f"{c}b") for c in own])
+    both = right.join(text, F.col("a") == F.col("rid"))
+    both = both.select("a", "b", "t", "tb", *[c for c in ("listed", "listedb") if "listed" in own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Weights(*weights.value)
 
-        def bag(text: bytes):
+        def bag(text: bytes, listed: pa.ListArray | None):
             data = np.frombuffer(text, np.uint8)
             words, counts = word_hashes(data, np.array([0, len(data)]))
             shingles, _, number = with_counts(*shingle_hashes(words, counts))
             order = np.argsort(shingles)
-            return shingles[order], table.of(shingles, number)[order]
+            return shingles[order], table.of(shingles, number, listed)[order]
 
         held, own = None, None
         for batch in batches:
             a, b = batch.column(0), batch.column(1)
             left, other = batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary())
+            lists = batch.columns[4:]
             keep = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
                 if held != a[i].as_py():
-                    held, own = a[i].as_py(), bag(left[i].as_py())
-                theirs = bag(other[i].as_py())
+                    held, own = a[i].as_py(), bag(left[i].as_py(), lists[0].slice(i, 1) if lists else None)
+                theirs = bag(other[i].as_py(), lists[1].slice(i, 1) if lists else None)
                 _, x, y = np.intersect1d(own[0], theirs[0], assume_unique=True, return_indices=True)
                 least = np.minimum(own[1][x], theirs[1][y]).sum()
                 most = own[1].sum() + theirs[1].sum() - least
@@ -366,15 +415,18 @@ def links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     others may not be among them.
     """
     spark = rows.sparkSession
-    weights = spark.sparkContext.broadcast(frequent_shingles(rows))
-    sketch = saved(sketches(rows, weights), "sketches")
+    head, rest = frequent_shingles(rows)
+    weights = spark.sparkContext.broadcast(head)
+    text = rows.select("rid", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
+    if rest is not None:
+        text = saved(listed_weights(text, rest), "listed")
+    sketch = saved(sketches(text, weights), "sketches")
     first = sketch.groupBy("words").agg(F.min("rid").alias("node"))
     member = sketch.select("rid", "words").join(first, "words").select("rid", "node")
     node = sketch.join(first.select(F.col("node").alias("rid")), "rid", "left_semi").filter("size > 0")
     node = saved(node.select(F.col("rid").alias("node"), "weight", "bands", "low", "high"), "nodes")
     shared = saved(buckets(node), "buckets")
     leaders = shared.groupBy("bucket").agg(F.min(F.struct("node", "low", "high")).alias("first"))
-    text = rows.select("rid", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
     text = saved(text.join(shared.select(F.col("node").alias("rid")).distinct(), "rid", "left_semi"), "compared")
     stars = shared.alias("x").join(leaders, "bucket").filter(F.col("first.node") < F.col("node"))
     stars = stars.filter((F.coalesce("step", F.lit(-1)) < 0) | (agreement("x", "first") >= AGREE[-1]))

@@ -254,6 +254,23 @@ def test_dividing_full_bands_loses_no_link(spark, monkeypatch):
     assert sum(i != c for i, c in whole) > 485
 
 
+def test_frequent_shingles_past_the_broadcast_keep_their_weight(docs, texts, spark, monkeypatch):
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "text")
+    (hashes, weights, other), rest = near_dups.frequent_shingles(rows)
+    counts = Counter(s for _, t in texts for s in {tuple(w[i : i + 5]) for w in [words(t)] if w for i in range(max(1, len(w) - 4))})
+    assert rest is None and len(hashes) == sum(c > 1 for c in counts.values())
+    assert other == pytest.approx(0.8 + 0.2 * math.log(len(texts)) / math.log(1024))
+    text = rows.select("rid", F.coalesce("text", F.lit("")).alias("t"))
+    whole = by(near_dups.sketches(text, spark.sparkContext.broadcast((hashes, weights, other))).collect(), "words", "weight")
+    monkeypatch.setattr(near_dups, "FREQUENT", 5)
+    head, rest = near_dups.frequent_shingles(rows)
+    assert len(head[0]) == 5 and rest.count() == len(hashes) - 5
+    text = near_dups.listed_weights(text, rest)
+    listed = by(near_dups.sketches(text, spark.sparkContext.broadcast(head)).collect(), "words", "weight")
+    assert [w for w, _ in listed] == [w for w, _ in whole]
+    assert [x for _, x in listed] == pytest.approx([x for _, x in whole], rel=1e-12)
+
+
 # --- shards ----------------------------------------------------------------------------------------
 
 
