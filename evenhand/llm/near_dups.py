@@ -39,9 +39,9 @@ LEAST = 0.8
 FINER = 4
 #: So many of the frequent shingles are broadcast.
 FREQUENT = 1 << 20
-#: The first count leaves out more the larger its blocks are: partitions are joined for it to so many texts,
-#: and each is one block unless its shingles are too many to hold.
-COUNTED_TEXTS, BLOCK_SHINGLES = 1 << 14, 1 << 24
+#: The first count leaves out more the larger its blocks are: partitions are joined for it to so many texts
+#: or bytes, as long as no core is left idle, and each is one block unless its shingles are too many to hold.
+COUNTED_TEXTS, COUNTED_BYTES, BLOCK_SHINGLES = 1 << 14, 1 << 27, 1 << 24
 FULL_BAND = 256
 #: Pairs that agree in so many of the 30 samples are compared, in two rounds. Two texts at the
 #: threshold agree in fewer than the last of these with a probability of 0.3 %, at 0.85 of 0.004 %.
@@ -136,6 +136,12 @@ def _texts(rows: DataFrame) -> DataFrame:
     return rows.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
 
 
+def in_blocks(rows: DataFrame, n: int, size: int) -> DataFrame:
+    """The ``n`` texts, ``size`` bytes in all, in partitions for the first count."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return _texts(rows).coalesce(max(cores, n // COUNTED_TEXTS, size // COUNTED_BYTES))
+
+
 def frequent_shingles(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, float], DataFrame | None]:
     """What ``Weights`` takes, and the rows (hash, weight) of the frequent shingles that it has no room for, if any.
 
@@ -148,7 +154,7 @@ def frequent_shingles(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, fl
     it counts all.
     """
     spark = rows.sparkSession
-    n = rows.count()
+    n, size = _texts(rows).agg(F.count("*"), F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()
     limit = max(n / RARE, 2)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,8 +212,7 @@ def frequent_shingles(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, fl
 
         return run
 
-    joined = _texts(rows).coalesce(max(1, n // COUNTED_TEXTS))
-    local = saved(joined.mapInArrow(blocks, "hash long, n long, slack long, block boolean"), "local-counts")
+    local = saved(in_blocks(rows, n, size).mapInArrow(blocks, "hash long, n long, slack long, block boolean"), "local-counts")
     slack = local.filter("block").agg(F.sum("slack")).first()[0] or 0
     summed = local.filter("not block").groupBy("hash").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
     near = saved(summed.filter(F.col("n") + slack - F.col("slack") >= limit).select("hash"), "candidates")

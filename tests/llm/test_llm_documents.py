@@ -271,6 +271,13 @@ def test_frequent_shingles_past_the_broadcast_keep_their_weight(docs, texts, spa
     assert [x for _, x in listed] == pytest.approx([x for _, x in whole], rel=1e-12)
 
 
+def test_first_count_of_few_texts_is_not_one_task(spark):
+    rows = spark.range(100).select(F.lit("a b c d e f").alias("text")).repartition(40)
+    cores = spark.sparkContext.defaultParallelism
+    assert near_dups.in_blocks(rows, 100, 1100).rdd.getNumPartitions() == cores
+    assert near_dups.in_blocks(rows, 100, 30 << 27).rdd.getNumPartitions() == 30  # long texts
+
+
 # --- shards ----------------------------------------------------------------------------------------
 
 
