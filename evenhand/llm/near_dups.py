@@ -43,6 +43,8 @@ FREQUENT = 1 << 20
 #: or bytes, as long as no core is left idle, and each is one block unless its shingles are too many to hold.
 COUNTED_TEXTS, COUNTED_BYTES, BLOCK_SHINGLES = 1 << 14, 1 << 27, 1 << 24
 FULL_BAND = 256
+#: Open buckets are dealt into blocks of so many nodes, and each two blocks are compared by themselves.
+BLOCK_NODES = 2048
 #: Pairs that agree in so many of the 30 samples are compared, in two rounds. Two texts at the
 #: threshold agree in fewer than the last of these with a probability of 0.3 %, at 0.85 of 0.004 %.
 AGREE = (23, 17)
@@ -353,18 +355,34 @@ def first_shared(x: str, y: str) -> Column:
     return holds & F.forall(earlier, apart)
 
 
+def cells(left: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each node of a bucket of ``blocks`` blocks in block i, at every (i, j) from i on, and at every (i, j) as one of block j.
+
+    So any two nodes of a bucket meet at one (i, j), and nothing has to hold or go through a whole bucket.
+    """
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = left.withColumn("block", block)
+    first = placed.withColumn("i", F.col("block")).withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    second = placed.withColumn("j", F.col("block")).withColumn("i", F.explode(F.sequence(F.lit(0), "block")))
+    return first, second
+
+
 def agreeing(left: DataFrame, least: int, above: int, threshold: float) -> DataFrame:
     """Pairs (a, b) of nodes of one bucket and different parts that agree in ``least`` samples up to ``above``, each pair once."""
     on = (
         (F.col("x.bucket") == F.col("y.bucket"))
-        & (F.col("x.node") < F.col("y.node"))
+        & (F.col("x.i") == F.col("y.i"))
+        & (F.col("x.j") == F.col("y.j"))
+        & ((F.col("x.i") < F.col("x.j")) | (F.col("x.node") < F.col("y.node")))
         & (F.col("x.part") != F.col("y.part"))
         & (F.least("x.weight", "y.weight") >= threshold * F.greatest("x.weight", "y.weight") - 1e-9)
         & (agreement("x", "y") >= least)
         & (agreement("x", "y") < above)
         & first_shared("x", "y")
     )
-    return left.alias("x").join(left.alias("y"), on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    first, second = cells(left)
+    found = first.alias("x").join(second.alias("y"), on)
+    return found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
 def verified(pairs: DataFrame, text: DataFrame, weights, threshold: float) -> DataFrame:
@@ -405,12 +423,13 @@ def verified(pairs: DataFrame, text: DataFrame, weights, threshold: float) -> Da
 
 
 def still_open(shared: DataFrame, edges: DataFrame) -> DataFrame:
-    """The rows of buckets whose nodes the links have not joined into one class, with each node's ``part``."""
+    """The rows of buckets whose nodes the links have not joined into one class, with each node's ``part`` and the bucket's ``blocks``."""
     classes = components(edges)
     place = shared.join(classes.withColumnRenamed("id", "node"), "node", "left")
     place = place.select(*shared.columns, F.coalesce("component", "node").alias("part"))
-    apart = place.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most")).filter("least < most")
-    return place.join(apart.select("bucket"), "bucket", "left_semi")
+    blocks = F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks")
+    apart = place.groupBy("bucket").agg(F.min("part").alias("least"), F.max("part").alias("most"), blocks).filter("least < most")
+    return place.join(apart.select("bucket", "blocks"), "bucket")
 
 
 def links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:

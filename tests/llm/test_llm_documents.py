@@ -233,7 +233,7 @@ def test_pairs_that_share_only_a_full_band_are_compared(spark, band):
         s[3 * band : 3 * band + 3] = 1, 2, 3
     rows = [(i, 1.0, [hash((b, *s[3 * b : 3 * b + 3])) for b in range(10)], *packed(s)) for i, s in enumerate(drawn)]
     node = spark.createDataFrame(rows, "node long, weight double, bands array<long>, low long, high long")
-    shared = near_dups.buckets(node).filter("step is not null").withColumn("part", F.col("node"))
+    shared = near_dups.buckets(node).filter("step is not null").withColumn("part", F.col("node")).withColumn("blocks", F.lit(1))
     found = near_dups.agreeing(shared.join(node.select("node", "weight", "bands"), "node"), 17, 31, 0.8).collect()
     wanted = {(i, j) for i in range(len(drawn)) for j in range(i) if sum(map(int.__eq__, drawn[i], drawn[j])) >= 17}
     assert len(found) == len(wanted) and {(r["b"], r["a"]) for r in found} == wanted and len(wanted) >= near_dups.FULL_BAND
@@ -278,6 +278,18 @@ def test_first_count_of_few_texts_is_not_one_task(spark):
     assert near_dups.in_blocks(rows, 100, 30 << 27).rdd.getNumPartitions() == 30  # long texts
 
 
+def test_open_buckets_are_compared_block_by_block(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK_NODES", 16)
+    rows = [(7, i, i % 5, 0, 0, -1, 1.0, [0] * 10) for i in range(200)]
+    shared = spark.createDataFrame(rows, "bucket long, node long, low long, high long, band int, step int, weight double, bands array<long>")
+    left = near_dups.still_open(shared, spark.createDataFrame([(0, 1)], "a long, b long"))
+    for side in near_dups.cells(left):
+        assert max(r["count"] for r in side.groupBy("bucket", "i", "j").count().collect()) < 40
+    found = near_dups.agreeing(left, 30, 31, 0.8).collect()
+    wanted = {(i, j) for j in range(200) for i in range(j) if (j - i) % 5 == 0}
+    assert len(found) == len(wanted) and {(r["a"], r["b"]) for r in found} == wanted
+
+
 # --- shards ----------------------------------------------------------------------------------------
 
 
