@@ -1,10 +1,10 @@
-"""Exact duplicates by a tree of merged digest runs.
+"""Exact duplicates by rounds of hash aggregation over digest runs.
 
-Every row falls into one of a fixed number of runs by its row number. A run holds, sorted by
-digest, one entry for each text it has: how many rows, and the smallest identifier. Runs are then
-merged in binomial rounds, ``2 ** log_fan`` neighbours at a time, each merge keeping one verified
-entry a text, until one set is left. The merges of a round are spread over all tasks by (run,
-digest), so no task ever holds a whole run. The result goes back down by the same run numbers:
+Every row falls into one of a fixed number of runs, a hash class of its row number. A run holds one
+entry for each text it has: how many rows, and the smallest identifier. Nothing is sorted and no
+sorted runs are merged: each round is a hash aggregation by (run, digest) that puts ``2 ** LOG_FAN``
+neighbouring runs into one, keeping one verified entry a text, until one set is left. A round is
+spread over all tasks by (run, digest), so no task ever holds a whole run. The result goes back down by the same run numbers:
 a text that a third of all rows share is never joined as one key, but as one key a run.
 """
 
