@@ -138,6 +138,18 @@ def _texts(rows: DataFrame) -> DataFrame:
     return rows.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
 
 
+def counted(found: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values that are there ``least`` times or more, and how often; sorts ``found`` in place to need no copies."""
+    found.sort()
+    if len(found) < least:
+        return found[:0], np.zeros(0, np.int64)
+    long = found[: len(found) - least + 1] == found[least - 1 :]
+    long[1:] &= found[1 : len(long)] != found[: len(long) - 1]
+    first = np.flatnonzero(long)
+    hashes = found[first]
+    return hashes, np.searchsorted(found, hashes, "right") - first
+
+
 def in_blocks(rows: DataFrame, n: int, size: int) -> DataFrame:
     """The ``n`` texts, ``size`` bytes in all, in partitions for the first count."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
@@ -164,14 +176,15 @@ def frequent_shingles(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, fl
 
         def count():
             least = max(1, texts // (RARE * FINER) + bool(texts % (RARE * FINER)))
-            hashes, number = np.unique(np.concatenate(held), return_counts=True)
-            often = number >= least
+            found = np.concatenate(held)
+            held.clear()
+            hashes, number = counted(found, least)
             head = pa.RecordBatch.from_arrays(
                 [pa.array([0]), pa.array([0]), pa.array([least - 1]), pa.array([True])], names=["hash", "n", "slack", "block"]
             )
-            k = int(often.sum())
+            k = len(hashes)
             body = pa.RecordBatch.from_arrays(
-                [pa.array(hashes[often].view(np.int64)), pa.array(number[often]), pa.array(np.full(k, least - 1)), pa.array(np.zeros(k, bool))],
+                [pa.array(hashes.view(np.int64)), pa.array(number), pa.array(np.full(k, least - 1)), pa.array(np.zeros(k, bool))],
                 names=["hash", "n", "slack", "block"],
             )
             return [head, body]

@@ -290,6 +290,14 @@ def test_open_buckets_are_compared_block_by_block(spark, monkeypatch):
     assert len(found) == len(wanted) and {(r["a"], r["b"]) for r in found} == wanted
 
 
+def test_counted_keeps_what_is_there_often_enough():
+    r = random.Random(5)
+    for size, least in [(0, 1), (1, 1), (1, 2), (50, 1), (50, 3), (300, 4)]:
+        found = [r.randrange(20) for _ in range(size)]
+        hashes, number = near_dups.counted(near_dups.np.array(found, "uint64"), least)
+        assert dict(zip(hashes.tolist(), number.tolist(), strict=True)) == {k: n for k, n in Counter(found).items() if n >= least}
+
+
 # --- shards ----------------------------------------------------------------------------------------
 
 
