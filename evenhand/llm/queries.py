@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenhand.llm import chat, digest_runs, jump_shards, mixing, near_dups, pii, repeated_bytes, rule_ledger, segment_sampling, token_files
+from evenhand.llm import chat, digest_runs, hard_negatives, jump_shards, language_id, merkle, mixing, near_dups, pii, repeated_bytes, rule_ledger, segment_sampling, token_files
 from evenhand.llm.tables import table
 
 
@@ -86,6 +86,33 @@ def op10_digest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_runs.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_coordinate_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op12_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.document_languages(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii_boosting, op2_rule_ledger, op3_token_files, op4_weighted_minhash, op5_jump_shards, op6_prefix_doubling, op7_gumbel_segments, op8_source_schedule, op9_chat_events, op10_digest_runs)
+    f.__name__: f
+    for f in (
+        op1_pii_boosting,
+        op2_rule_ledger,
+        op3_token_files,
+        op4_weighted_minhash,
+        op5_jump_shards,
+        op6_prefix_doubling,
+        op7_gumbel_segments,
+        op8_source_schedule,
+        op9_chat_events,
+        op10_digest_runs,
+        op11_coordinate_pruning,
+        op12_nearest_centroid,
+        op13_merkle_witnesses,
+    )
 }
