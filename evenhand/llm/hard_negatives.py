@@ -28,7 +28,7 @@ FOCUS = 4
 ANCHORS = 4096
 ROWS_PER_PART = 50_000
 #: Beyond this share of a bucket in the narrowest range, the anchor is verified along with others.
-DENSE = 0.3
+DENSE = 0.7
 SLACK = 1e-9
 #: Scores are whole numbers of 64 bits. Sums of products are exact in doubles up to EXACT; larger ones are summed as integers.
 EXACT, LARGEST = 1 << 53, (1 << 63) - 1
