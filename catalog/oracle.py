@@ -585,6 +585,12 @@ add(
 CAST(n AS BIGINT) AS n, CAST(selected AS BIGINT) AS selected FROM (
 {thresholds('dirty', 'c_mktsegment', 'nan')} UNION ALL {thresholds('dirty', 'o_orderpriority', 'nan')})""",
 )
+add(
+    "fit_group_thresholds_approx",
+    f"""WITH {SCORED_NULLS} SELECT attr, "group", count(*) AS n, true AS within_error FROM (
+SELECT 'c_mktsegment' AS attr, coalesce(c_mktsegment, 'nan') AS "group" FROM scored_nulls
+UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM scored_nulls) GROUP BY 1, 2""",
+)
 add(
     "threshold_predict",
     f"""WITH {SCORED_NULLS}, tr AS ({thresholds('scored_nulls', 'n_regionkey', None)}),

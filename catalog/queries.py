@@ -13,8 +13,8 @@ import evenhand as eh
 from catalog.inputs import LI_KEY, SEGMENT_FACTORS, docs, ev, li, scored, scored_nulls, table
 from evenhand.functions.expressions import hash_uniform, logistic
 from evenhand.operators.learners import BaseLearner
-from evenhand.operators.lookup import pin
-from evenhand.operators.thresholds import apply_thresholds, fit_thresholds
+from evenhand.operators.lookup import attach, pin
+from evenhand.operators.thresholds import apply_thresholds, fit_thresholds, fit_thresholds_approx
 from evenhand.plans.run import run_fairness
 from evenhand.plans.settings import RunSettings
 from evenhand.sources.sinks import group_proportions, group_size_summary, run_metrics
@@ -501,6 +501,22 @@ def fit_group_thresholds_dirty(spark, sf_dir):
     return fit_thresholds(rows, "score", "y_pred", [SEGMENT, PRIORITY]).thresholds()
 
 
+@register
+def fit_group_thresholds_approx(spark, sf_dir):
+    """Thresholds from sketches: each group's selection rate against the closest one, within the stated error."""
+    rows = scored_nulls(spark, sf_dir).withColumn("score", F.col("o_totalprice") / 600_000)
+    attrs, error = [SEGMENT, PRIORITY], 0.002
+    exact = fit_thresholds(rows, "score", "y_pred", attrs)
+    model = fit_thresholds_approx(rows, "score", "y_pred", attrs, error)
+    rate = rows.agg(F.avg("y_pred").alias("rate"))
+    pairs = F.inline(F.array(*[F.struct(F.lit(a).alias("attr"), F.coalesce(a, F.lit("nan")).alias("group")) for a in attrs]))
+    near = attach(rows.select("score", pairs), model.table.narrow("attr", "group", "threshold"), ["attr", "group"])
+    taken = near.groupBy("attr", "group").agg(F.avg((F.col("score") >= F.col("threshold")).cast("double")).alias("taken"))
+    joined = attach(taken, exact.table, ["attr", "group"]).crossJoin(F.broadcast(rate))
+    farther = F.abs(F.col("taken") - F.col("rate")) - F.abs(F.col("selected") / F.col("n") - F.col("rate"))
+    return joined.select("attr", "group", "n", (farther <= error).alias("within_error"))
+
+
 @register
 def ffill_bfill_pieces(spark, sf_dir):
     """Cut into many ranges: text and ties in the first order column, one value in half of the rows."""

@@ -39,7 +39,7 @@ from evenhand.operators.repair import GroupRepair, GroupRepairModel, fit_group_s
 from evenhand.operators.reweigh import reweigh
 from evenhand.operators.roles import resolve_roles, split_types
 from evenhand.operators.split import split_summary, stratified_split
-from evenhand.operators.thresholds import ThresholdModel, apply_thresholds, fit_thresholds
+from evenhand.operators.thresholds import ThresholdModel, apply_thresholds, fit_thresholds, fit_thresholds_approx
 from evenhand.operators.training import FairReduction, FairThresholds, fit_baseline, load_model
 from evenhand.plans.run import RunResult, run_fairness
 from evenhand.plans.settings import RunSettings, validate
@@ -75,6 +75,7 @@ __all__ = [
     "fit_baseline",
     "fit_group_stats",
     "fit_thresholds",
+    "fit_thresholds_approx",
     "gap_summary",
     "goal_summary",
     "group_distribution",

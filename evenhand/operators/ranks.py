@@ -22,6 +22,10 @@ from evenhand.operators.lookup import GroupTable, attach, pin
 BUCKETS = 1_024
 MAX_PASSES = 16
 
+#: Buckets for each doubling of a value in a first count, which knows no interval yet.
+PREFIXES = 256
+PREFIX_INFINITY = 1 << 20
+
 # beyond the natural logarithms of the least and the largest double
 LOG_FLOOR, LOG_INFINITY = 745.5, 711.0
 
@@ -74,6 +78,52 @@ def kth_smallest(
     )
 
 
+def prefix(v: Column) -> Column:
+    """A whole number that never falls as the value rises: its sign, and its binary logarithm in steps of 1 / ``PREFIXES``.
+
+    NULL and NaN have none. At most about half a million numbers exist, a few thousand for scores.
+    """
+    size = F.floor((F.log2(F.abs(v)) + F.lit(1075.0)) * F.lit(float(PREFIXES))).cast("int") + 1
+    size = F.when(F.abs(v) == float("inf"), F.lit(PREFIX_INFINITY)).otherwise(size)
+    return F.when(v.isNull() | F.isnan(v), F.lit(None).cast("int")).when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("int") * size)
+
+
+def close_in(rows: DataFrame, attrs: dict[str, Column], value: str, state: GroupTable, kept: list[str]) -> tuple[GroupTable, int]:
+    """Narrow intervals of ranks of several attributes until each is one value; also the number of passes.
+
+    ``attrs`` gives each attribute's group as text. ``state`` is unique on (attr, group) and has ``__rank`` and the interval, in the
+    form of ``kth_smallest``; ``kept`` are its further columns. A pass reads ``rows`` once whatever the number of
+    attributes: a row outside all intervals of its groups is left out before anything is multiplied.
+    """
+    number = F.nanvl(ref(value).cast("double"), F.lit(None).cast("double"))
+    names = list(attrs)
+    base = rows.select(number.alias("__v"), *[c.alias(f"__g{i}") for i, c in enumerate(attrs.values())])
+    core = ["attr", "group", "__rank", "__lo", "__hi", "__below", "__upto", "__above"]
+    extra = state.narrow("attr", "group", *kept)
+    state, passes = state.narrow(*core), 0
+    while not _all_found(state):
+        if passes == MAX_PASSES:
+            raise RuntimeError(f"{value!r}: ranks are not found after {passes} passes")
+        held, inside = base, []
+        for i, attr in enumerate(names):
+            still = (F.col("attr") == attr) & F.col("__upto").isNull()
+            table = state.narrow(F.col("group").alias(f"__g{i}"), F.col("__lo").alias(f"__lo{i}"), F.col("__hi").alias(f"__hi{i}"), where=still)
+            held = attach(held, table, [f"__g{i}"], [f"__g{i}", "__v"])
+            fits = F.coalesce(F.col("__v").between(F.col(f"__lo{i}"), F.col(f"__hi{i}")), F.lit(False))
+            inside.append(F.when(fits, F.struct(F.lit(attr).alias("attr"), F.col(f"__g{i}").alias("group"))))
+        cells = held.select("__v", F.filter(F.array(*inside), lambda x: x.isNotNull()).alias("__in")).filter(F.size("__in") > 0)
+        near = cells.select("__v", F.explode("__in").alias("__p")).select("__p.attr", "__p.group", "__v")
+        passes += 1
+        state = pin(_narrow(near, ["attr", "group"], ["attr", "group"], state, BUCKETS, passes))
+    return GroupTable(attach(state.df, extra, ["attr", "group"]), state.bounded), passes
+
+
+def _all_found(state: GroupTable) -> bool:
+    if state.bounded:
+        return all(r["__upto"] is not None for r in state.rows) if state.rows is not None else state.df.filter("__upto is null").isEmpty()
+    return state.df.filter("__upto is null").isEmpty()
+
+
 def _magnitude(v: Column) -> Column:
     """A finite number that grows with the value as its logarithm does, on both sides of 0."""
     size = F.when(F.abs(v) == float("inf"), F.lit(LOG_INFINITY)).otherwise(F.log(F.abs(v)))

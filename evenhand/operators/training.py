@@ -24,7 +24,7 @@ from evenhand.operators.features import CategoryCodes, FeaturePrep, LabelEncodin
 from evenhand.operators.learners import BaseLearner, ConstantScorer, ForestScorer, LinearScorer
 from evenhand.operators.lookup import attach, from_rows, local_table, pin
 from evenhand.operators.roles import label_domain, require_columns, resolve_roles, split_types
-from evenhand.operators.thresholds import ThresholdModel, apply_thresholds, fit_thresholds
+from evenhand.operators.thresholds import ThresholdModel, apply_thresholds, fit_thresholds, fit_thresholds_approx
 
 log = logging.getLogger(__name__)
 CONSTRAINTS = ("demographic_parity", "equalized_odds")
@@ -218,12 +218,13 @@ def _info(constraint: str, learner: BaseLearner, sensitive: list[str], low: int,
 
 @dataclass(frozen=True)
 class FairThresholds:
-    """Threshold optimisation after unconstrained training."""
+    """Threshold optimisation after unconstrained training; with ``error`` from sketches in one pass."""
 
     sensitive: tuple[str, ...]
     base_estimator: str | BaseLearner = "LogisticRegression"
     keep: tuple[str, ...] = ()
     features: tuple[str, ...] | None = None
+    error: float | None = None
 
     def fit(
         self, df: DataFrame, label: str, spread_by: list[str] | None = None, weight: str | None = None
@@ -246,7 +247,10 @@ class FairThresholds:
             scored = scorer.with_scores(ready, prep.names(), "__hard", "__score").select(
                 "__score", "__y", *[F.col(f"__a{i}").alias(a) for i, a in enumerate(self.sensitive)]
             )
-            thresholds = fit_thresholds(scored, "__score", "__y", list(self.sensitive))
+            if self.error is None:
+                thresholds = fit_thresholds(scored, "__score", "__y", list(self.sensitive))
+            else:
+                thresholds = fit_thresholds_approx(scored, "__score", "__y", list(self.sensitive), self.error)
         finally:
             ready.unpersist()
         info = _info("demographic_parity", learner, list(self.sensitive), low, high, strategy="group thresholds")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 import evenhand as eh
 from evenhand.operators import lookup
 from evenhand.operators.learners import BaseLearner, ConstantScorer, LinearScorer
-from evenhand.operators.thresholds import apply_thresholds, fit_thresholds
+from evenhand.operators.ranks import prefix
+from evenhand.operators.thresholds import apply_thresholds, fit_thresholds, fit_thresholds_approx
 from evenhand.operators.training import _Moments, load_model
 
 
@@ -74,6 +75,69 @@ def test_thresholds_equal_the_direct_search(spark, seed, digits):
     assert got == want
 
 
+@pytest.mark.parametrize("n", [1, 7, 300, 20_000])
+@pytest.mark.parametrize("digits", [1, 3, 15])
+@pytest.mark.parametrize("error", [0.2, 0.004])
+def test_thresholds_from_sketches_are_within_their_error(spark, n, digits, error):
+    rng = np.random.default_rng(n + digits)
+    pdf = pd.DataFrame({"score": np.round(rng.beta(2, 3, n), digits), "y": rng.integers(0, 2, n), "g": rng.choice(list("abc"), n, p=[0.7, 0.2, 0.1])})
+    pdf["h"] = pdf.g.map({"a": None, "b": "x", "c": "x"})
+    model = fit_thresholds_approx(spark.createDataFrame(pdf, "score double, y int, g string, h string"), "score", "y", ["g", "h"], error)
+    assert model.passes == 1 and model.error == error
+    got = {(r["attr"], r["group"]): r for r in model.thresholds().collect()}
+    rate = pdf.y.mean()
+    for attr, groups in (("g", pdf.g), ("h", pdf.h.fillna("nan"))):
+        want = direct_thresholds(pdf.assign(**{attr: groups}), attr)
+        assert {g for a, g in got if a == attr} == set(want)
+        for g, t in want.items():
+            scores = pdf.score[groups == g]
+            row = got[attr, g]
+            taken = (scores >= row["threshold"]).mean()
+            assert row["n"] == len(scores)
+            assert abs(taken - rate) - abs((scores >= t).mean() - rate) <= error + 1e-12
+            assert abs(row["selected"] / row["n"] - taken) <= error
+
+
+def test_sketches_need_a_possible_error_and_rows(spark):
+    df = spark.createDataFrame([(0.5, None, "a")], "score double, y int, g string")
+    with pytest.raises(ValueError, match="error of a rank"):
+        fit_thresholds_approx(df, "score", "y", "g", 0.0)
+    with pytest.raises(ValueError, match="training data is empty"):
+        fit_thresholds_approx(df, "score", "y", "g")
+
+
+@pytest.mark.parametrize("attrs", [["g"], ["g", "h"], ["g", "h", "k", "l"]])
+def test_each_pass_reads_the_rows_once(spark, attrs):
+    rng = np.random.default_rng(3)
+    n = 4000
+    pdf = pd.DataFrame({"score": rng.random(n), "y": rng.integers(0, 2, n), **{a: rng.integers(0, 9, n).astype(str) for a in "ghkl"}})
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    plain = spark.createDataFrame(pdf)
+    model = fit_thresholds(plain.mapInArrow(counted, plain.schema), "score", "y", attrs)
+    assert model.passes in (2, 3)
+    assert read.value == n * model.passes
+    read.value = 0
+    fit_thresholds_approx(plain.mapInArrow(counted, plain.schema), "score", "y", attrs)
+    assert read.value == n
+
+
+def test_prefixes_never_fall_as_values_rise(spark):
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.normal(size=500), 10.0 ** rng.uniform(-320, 308, 500), [0.0, -0.0, np.inf, -np.inf, 5e-324, -5e-324, 1e308]])
+    values = np.unique(np.concatenate([values, -values, np.nextafter(2.0 ** np.arange(-20, 20), 0), 2.0 ** np.arange(-20, 20)]))
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    found = [r["p"] for r in df.select("v", prefix(F.col("v")).alias("p")).orderBy("v").collect()]
+    assert found == sorted(found)
+    missing = spark.createDataFrame([(None,), (float("nan"),)], "v double").select(prefix(F.col("v")).alias("p")).collect()
+    assert [r["p"] for r in missing] == [None, None]
+
+
 def test_thresholds_of_many_groups_stay_distributed(spark, monkeypatch):
     rng = np.random.default_rng(8)
     pdf = pd.DataFrame({"score": rng.random(600), "y": rng.integers(0, 2, 600), "g": rng.integers(0, 30, 600).astype(str)})
