@@ -612,6 +612,6 @@ add(
 for name in ("fair_dp_properties", "fair_eo_properties"):
     add(
         name,
-        f"""WITH {SCORED} SELECT count(*) AS n, true AS gap_as_reported, true AS convergence_as_reported, true AS fairer,
+        f"""WITH {SCORED} SELECT count(*) AS n, true AS gap_as_reported, true AS converged, true AS fairer,
 CAST(0 AS BIGINT) AS wrong_draws, CAST(0 AS BIGINT) AS wrong_scores FROM scored""",
     )

@@ -1,8 +1,8 @@
 """Fair training: a baseline, a reduction to weighted classification, and group thresholds.
 
-The reduction is exponentiated gradient (Agarwal et al., 2018). Weights depend only on the
-label and the group, so an iteration is a broadcast join with a table of two rows per group,
-one weighted fit, and one aggregation by group and label; the multipliers live on the driver.
+The reduction is exponentiated gradient (Agarwal et al., 2018) with a choice of the mixture's weights. Weights of rows
+depend only on the label and the group, so an iteration is a join with a table of two rows per group, one weighted fit,
+and one aggregation by group and label (see ``games``).
 """
 
 from __future__ import annotations
@@ -19,16 +19,23 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from evenhand.functions.expressions import group_text, hash_uniform, ref
+from evenhand.operators import games
 from evenhand.operators.cells import as_list
 from evenhand.operators.features import CategoryCodes, FeaturePrep, LabelEncoding, StandardScaling
+from evenhand.operators.games import Few, Many, mix
 from evenhand.operators.learners import BaseLearner, ConstantScorer, ForestScorer, LinearScorer
-from evenhand.operators.lookup import attach, from_rows, local_table, pin
+from evenhand.operators.lookup import GroupTable, attach, from_rows, local_table, pin
+from evenhand.operators.newton import fit_newton
 from evenhand.operators.roles import label_domain, require_columns, resolve_roles, split_types
 from evenhand.operators.thresholds import ThresholdModel, apply_thresholds, fit_thresholds, fit_thresholds_approx
+from evenhand.session import cut_lineage
 
 log = logging.getLogger(__name__)
 CONSTRAINTS = ("demographic_parity", "equalized_odds")
-MAX_CONSTRAINED_GROUPS = 100_000
+#: The error of a mixture has settled when ``PATIENCE`` iterations lower it by less than ``SETTLED`` each.
+SETTLED, PATIENCE, LEAST_ITERATIONS = 0.002, 4, 10
+#: Gradient at which an answer to multipliers, which change again at once, is good enough.
+ANSWER_TOL = 1e-5
 PSEUDO_HIGH, PSEUDO_LOW = 0.8, 0.2
 
 
@@ -262,13 +269,14 @@ class FairThresholds:
 class FairReduction:
     """Training under a fairness constraint by exponentiated gradient.
 
-    ``eta0=20, max_iter=20`` reaches small gaps in few fits; ``eta0=2, max_iter=100`` are the
-    gentler published settings. Training stops once the gap of the averaged classifier is at
-    most ``tolerance`` (``eps`` by default); otherwise the average of the first iterates that has the
-    smallest gap is kept, ``fairness_info`` has ``converged`` false, and it is logged, or an error with
-    ``on_unconverged="raise"``. The sensitive columns are constrained in combination
-    and are not features, so error rises as the gap falls. ``reweighting`` weighs the error of
-    each (group, label) cell so that label and group are independent.
+    Each iteration fits the classifier that answers the present multipliers, from the coefficients of the last
+    one, and then looks for the weights of all classifiers so far, and of the two constants, that keep every difference within
+    ``tolerance`` (``eps`` by default) with the least error. So from the second iteration on the mixture is within
+    the tolerance, and further iterations lower its error, until it has settled or ``max_iter`` is reached. A first classifier
+    within the tolerance is taken alone. If the tolerance is not reached, ``fairness_info`` has ``converged`` false, and it is logged, or an
+    error with ``on_unconverged="raise"``. The sensitive columns are constrained in combination, any number of them (over
+    ``games.FEW_GROUPS`` their state is a table), and are not features, so error rises as the gap falls. ``reweighting`` weighs the
+    error of each (group, label) cell so that label and group are independent.
     """
 
     sensitive: tuple[str, ...]
@@ -278,7 +286,7 @@ class FairReduction:
     keep: tuple[str, ...] = ()
     features: tuple[str, ...] | None = None
     eps: float = 0.01
-    eta0: float = 20.0
+    eta0: float = 60.0
     max_iter: int = 20
     tolerance: float | None = None
     reweighting: bool = False
@@ -304,7 +312,7 @@ class FairReduction:
             return ReductionModel(
                 prep, (ConstantScorer(low),), (1.0,), tuple(self.sensitive), self.id_col, self.seed, info
             )
-        groups = _group_index(df, list(self.sensitive))
+        groups, n_groups = _group_index(df, list(self.sensitive))
         keyed = attach(
             df.withColumns({f"__k{i}": _key_text(df, s) for i, s in enumerate(self.sensitive)}),
             groups,
@@ -312,14 +320,13 @@ class FairReduction:
             spread,
         )
         y = ref(label).cast("int")
-        ready = _training_rows(
-            prep.transform(keyed, spread), prep, [y.alias("__y"), (F.col("__g") * 2 + y).alias("__cell")]
-        )
+        ready = _training_rows(prep.transform(keyed, spread), prep, [y.alias("__y"), F.col("__g")])
         try:
-            scorers, weights, history = self._iterate(ready, prep.names(), learner, len(groups.rows), n)
+            kind = Few if groups.bounded else Many
+            game = kind(ready, n_groups, self.constraint, self.reweighting)
+            scorers, weights, gap, history = self._iterate(ready, prep.names(), learner, game, n)
         finally:
             ready.unpersist()
-        gap = history[len(scorers) - 1]["gap"]
         tolerance = self.eps if self.tolerance is None else self.tolerance
         info |= {"converged": gap <= tolerance, "gap": gap, "iterations": len(history)}
         info["fits_converged"] = all(getattr(s, "converged", True) for s in scorers)
@@ -332,121 +339,81 @@ class FairReduction:
             prep, scorers, weights, tuple(self.sensitive), self.id_col, self.seed, info, tuple(history)
         )
 
-    def _iterate(self, ready: DataFrame, names: list[str], learner: BaseLearner, n_groups: int, n: int):
-        counts = _cell_sums(ready, n_groups, F.lit(1))
-        problem = _Moments(self.constraint, counts, self.reweighting)
+    def _iterate(self, ready: DataFrame, names: list[str], learner: BaseLearner, game: Few | Many, n: int):
+        """Scorers with their weights, the gap of the mixture, and what happened at each iteration."""
         tolerance = self.eps if self.tolerance is None else self.tolerance
         bound = 1.0 / self.eps
-        theta = np.zeros((2, *problem.shape))
-        rates = np.zeros(problem.shape)
-        scorers, history = [], []
-        fitted: dict = {}
+        constants = self._constant_errors(game)
+        scorers, errors, history = [], [], []
+        weights, gap, settled = None, 0.0, 0
         for step in range(self.max_iter):
-            lift = np.exp(theta - max(theta.max(), 0.0))
-            lam = bound * lift / (np.exp(-max(theta.max(), 0.0)) + lift.sum())
-            cost = problem.costs(lam[0] - lam[1])
-            scorer = self._best_response(ready, names, learner, cost, counts, n, fitted)
-            votes = _cell_sums(scorer.with_scores(ready, names, "__h"), n_groups, F.col("__h"))
-            signed = problem.differences(votes)
-            rates += signed
+            weighting = game.weighting(bound)
+            scorer = self._best_response(ready, names, learner, weighting, scorers, float(n))
+            own, error = game.record(scorer.with_scores(ready, names, "__h"))
             scorers.append(scorer)
-            gap = float(np.nanmax(np.abs(rates / (step + 1)))) if rates.size else 0.0
-            history.append({"iteration": step + 1, "gap": gap, "iterate_gap": float(np.nanmax(np.abs(signed)))})
-            if gap <= tolerance:
+            errors.append(error)
+            if step == 0:
+                # the multipliers have not spoken yet: the classifier stands for itself
+                weights, gap, mixed = np.array([0.0, 0.0, 1.0]), own, error
+                done = own <= tolerance
+            else:
+                before = mixed
+                weights, gap, mixed = mix(game, errors, constants, tolerance, weights if step > 1 else None)
+                settled = settled + 1 if step > 1 and before - mixed < SETTLED else 0
+                done = step + 1 >= LEAST_ITERATIONS and settled >= PATIENCE
+            history.append({"iteration": step + 1, "gap": gap, "error": mixed, "iterate_gap": own, "iterate_error": error})
+            if done:
                 break
-            move = np.nan_to_num(np.stack([signed, -signed]))
-            theta = theta + (self.eta0 / bound) * (move - self.eps)
-        # gaps swing, so the best of the running averages is kept
-        best = min(range(len(history)), key=lambda i: history[i]["gap"]) + 1
-        return tuple(scorers[:best]), tuple([1.0 / best] * best), history
-
-    def _best_response(self, ready, names, learner, cost, counts, n, fitted):
-        """Classifier that is cheapest under ``cost`` per (group, label) cell."""
-        weight = np.abs(cost)
-        relabel = (cost < 0).astype(int)
-        mass = float((weight * counts).sum())
-        present = counts > 0
-        if mass == 0 or len(set(relabel[present & (weight > 0)].tolist())) <= 1:
-            decided = relabel[present & (weight > 0)]
-            return ConstantScorer(int(decided[0]) if len(decided) else 0)
-        weight = weight * n / mass
-        signature = (np.round(weight, 12).tobytes(), relabel.tobytes())
-        if signature not in fitted:
-            rows = [
-                (2 * g + y, float(weight[g, y]), int(relabel[g, y])) for g in range(len(cost)) for y in (0, 1)
-            ]
-            table = local_table(
-                ready.sparkSession, rows, "__cell int, __weight double, __relabel int", 2 * MAX_CONSTRAINED_GROUPS
-            )
-            weighted = attach(ready, table, ["__cell"])
-            fitted[signature] = learner.fit(
-                weighted.select(*names, F.col("__relabel").cast("double").alias("__label"), "__weight"),
-                names,
-                "__label",
-                float(n),
-                "__weight",
-            )
-        return fitted[signature]
+            game.move(self.eta0 / bound, self.eps)
+        members = [ConstantScorer(0), ConstantScorer(1), *scorers]
+        kept = [(m, float(w)) for m, w in zip(members, weights, strict=True) if w > 0]
+        return tuple(m for m, _ in kept), tuple(w for _, w in kept), gap, history
+
+    @staticmethod
+    def _constant_errors(game: Few | Many) -> tuple[float, float]:
+        """Errors of always 0 and always 1."""
+        if isinstance(game, Few):
+            wrong = (game.moments.weight * game.moments.counts).sum(axis=0) / game.moments.n
+        else:
+            wrong = [v / game.n for v in game.state.agg(F.sum(F.col("w0") * F.col("c0")), F.sum(F.col("w1") * F.col("c1"))).first()]
+        return float(wrong[1]), float(wrong[0])
+
+    def _best_response(self, ready, names, learner, weighting, scorers, n: float):
+        """The classifier that is cheapest under the weights of the cells, starting from the last linear one."""
+        if weighting.constant is not None:
+            return ConstantScorer(int(weighting.constant))
+        weighted = weighting.of(ready, names)
+        # a shuffle join is made once for all steps of the fit
+        many = weighting.table is not None and not weighting.table.bounded
+        if many:
+            weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if learner.kind != "LogisticRegression":
+                return learner.fit(weighted, names, "__label", n, "__weight")
+            linear = [s for s in scorers if isinstance(s, LinearScorer)]
+            start = np.array([*linear[-1].coefficients, linear[-1].intercept]) if linear else None
+            return fit_newton(weighted, names, F.col("__label"), F.col("__weight"), n, 1.0 / (learner.c * n), start, max(learner.tol, ANSWER_TOL))
+        finally:
+            if many:
+                weighted.unpersist()
 
 
 def _key_text(df: DataFrame, column: str) -> Column:
     return F.coalesce(F.concat(F.lit("v"), group_text(df, column)), F.lit("n"))
 
 
-def _group_index(df: DataFrame, sensitive: list[str]):
-    """Number the combinations of sensitive values; a missing value is a value of its own."""
+def _group_index(df: DataFrame, sensitive: list[str]) -> tuple[GroupTable, int]:
+    """Number the combinations of sensitive values, and how many there are; a missing value is a value of its own."""
     keys = [f"__k{i}" for i in range(len(sensitive))]
     combos = df.select(*[_key_text(df, s).alias(k) for s, k in zip(sensitive, keys, strict=True)]).distinct()
-    table = pin(combos, MAX_CONSTRAINED_GROUPS)
+    table = pin(combos, games.FEW_GROUPS)
     if not table.bounded:
-        raise ValueError(f"over {MAX_CONSTRAINED_GROUPS} combinations of {sensitive}: no constraint can be learnt")
+        numbered = cut_lineage(table.df.withColumn("__g", F.monotonically_increasing_id()))
+        return GroupTable(numbered, False), numbered.count()
     ordered = sorted(tuple(r[k] for k in keys) for r in table.rows)
     schema = ", ".join(f"{k} string" for k in keys) + ", __g int"
-    indexed = local_table(df.sparkSession, [(*combo, i) for i, combo in enumerate(ordered)], schema, MAX_CONSTRAINED_GROUPS)
-    return from_rows(indexed.df, indexed.df.toArrow())
-
-
-def _cell_sums(df: DataFrame, n_groups: int, value: Column) -> np.ndarray:
-    """Sum of ``value`` per (group, label): one aggregation, two rows per group."""
-    sums = np.zeros((n_groups, 2))
-    for r in df.groupBy("__cell").agg(F.sum(value.cast("double")).alias("s")).collect():
-        sums[r["__cell"] // 2, r["__cell"] % 2] = r["s"]
-    return sums
-
-
-class _Moments:
-    """Counts of the constraint: events are all rows (parity) or the two labels (odds)."""
-
-    def __init__(self, constraint: str, counts: np.ndarray, reweighting: bool = False) -> None:
-        self.weight = np.ones(counts.shape)
-        if reweighting:
-            expected = counts.sum(axis=1)[:, None] * counts.sum(axis=0)[None, :] / counts.sum()
-            self.weight = self._divide(expected, counts)
-        self.by_label = constraint == "equalized_odds"
-        self.counts = counts
-        self.n = counts.sum()
-        self.group = counts.T if self.by_label else counts.sum(axis=1)[None, :]
-        self.event = self.group.sum(axis=1)
-        self.shape = self.group.shape
-
-    @staticmethod
-    def _divide(a, b):
-        return np.divide(a, b, out=np.zeros(np.broadcast(a, b).shape), where=b > 0)
-
-    def differences(self, votes: np.ndarray) -> np.ndarray:
-        """Rate of predicted ones in each (event, group) minus that of the event."""
-        ones = votes.T if self.by_label else votes.sum(axis=1)[None, :]
-        rates = self._divide(ones, self.group)
-        overall = self._divide(ones.sum(axis=1), self.event)[:, None]
-        return np.where(self.group > 0, rates - overall, 0.0)
-
-    def costs(self, multipliers: np.ndarray) -> np.ndarray:
-        """Cost of predicting 1 per (group, label), from the signed multipliers."""
-        per_group = self._divide(multipliers, self.group)
-        per_event = self._divide(multipliers.sum(axis=1), self.event)[:, None]
-        penalty = per_group - per_event
-        error = self.weight * (1.0 - 2.0 * np.array([0.0, 1.0]))[None, :] / self.n
-        return error + (penalty.T if self.by_label else np.repeat(penalty.T, 2, axis=1))
+    indexed = local_table(df.sparkSession, [(*combo, i) for i, combo in enumerate(ordered)], schema, games.FEW_GROUPS)
+    return from_rows(indexed.df, indexed.df.toArrow()), len(ordered)
 
 
 # ---- persistence -----------------------------------------------------------------------------

@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import evenhand as eh
-from evenhand.operators import lookup
+from evenhand.operators import games, lookup, newton
 from evenhand.operators.learners import BaseLearner, ConstantScorer, LinearScorer
 from evenhand.operators.ranks import prefix
 from evenhand.operators.thresholds import apply_thresholds, fit_thresholds, fit_thresholds_approx
-from evenhand.operators.training import _Moments, load_model
+from evenhand.operators.games import Moments as _Moments
+from evenhand.operators.training import load_model
 
 
 @pytest.fixture(scope="module")
@@ -208,6 +209,87 @@ def test_reduction_lowers_the_disparity(spark, people, constraint, metric):
     assert sorted(again) == sorted(scored.select("id", "prediction").collect())
 
 
+@pytest.mark.parametrize("constraint", ["demographic_parity", "equalized_odds"])
+def test_reduction_reaches_its_tolerance_in_both_forms(spark, people, monkeypatch, constraint):
+    df = spark.createDataFrame(people)
+    fair = eh.FairReduction(("race", "sex"), constraint, "id", features=("age", "income"), max_iter=4)
+    few = fair.fit(df, "y")
+    info = few.fairness_info()
+    assert info["converged"] and info["gap"] <= 0.01 and info["iterations"] == 4
+    assert few.history[0]["gap"] > 0.01 and few.history[0]["error"] < few.history[-1]["error"] < 0.5
+    # the reported gap is that of the expected predictions
+    scored = few.transform(df).toPandas()
+    by = [scored.y] if constraint == "equalized_odds" else [pd.Series(0, index=scored.index)]
+    groups = scored.groupby([*by, scored.race, scored.sex]).expected.mean()
+    whole = scored.groupby(by).expected.mean()
+    assert math.isclose(max(abs(groups.loc[e] - whole.loc[e]).max() for e in whole.index), info["gap"], abs_tol=1e-9)
+    monkeypatch.setattr(games, "FEW_GROUPS", 2)
+    many = fair.fit(df, "y")
+    assert math.isclose(many.fairness_info()["gap"], info["gap"], abs_tol=1e-9)
+    np.testing.assert_allclose(many.weights, few.weights, atol=1e-6)
+    for a, b in zip(many.scorers, few.scorers, strict=True):
+        assert type(a) is type(b)
+        if isinstance(a, LinearScorer):
+            np.testing.assert_allclose([*a.coefficients, a.intercept], [*b.coefficients, b.intercept], rtol=1e-5, atol=1e-6)
+
+
+def test_one_group_more_than_the_driver_holds(spark):
+    n = games.FEW_GROUPS + 1
+    df = spark.range(2 * n).select(
+        "id",
+        (F.col("id") % n).alias("g"),
+        (F.hash("id") % 1000 / 1000 + F.col("id") % n % 2).alias("x"),
+        (F.col("id") % n % 2 + F.hash("id") % 2 > 0).cast("int").alias("y"),
+    )
+    model = eh.FairReduction(("g",), id_col="id", max_iter=2).fit(df, "y")
+    info = model.fairness_info()
+    assert info["converged"] and info["iterations"] == 2
+    assert model.history[0]["gap"] > 0.1
+    rates = model.transform(df).groupBy("g").agg(F.avg("expected").alias("rate"), F.count(F.lit(1)).alias("n"))
+    whole = rates.agg(F.sum(F.col("rate") * F.col("n")) / F.sum("n")).first()[0]
+    assert math.isclose(rates.agg(F.max(F.abs(F.col("rate") - whole))).first()[0], info["gap"], abs_tol=1e-9)
+
+
+def test_weights_of_a_mixture_need_few_constraints(monkeypatch):
+    rng = np.random.default_rng(2)
+    found = rng.normal(size=(3000, 5))
+    mixture = np.full(5, 0.2)
+    monkeypatch.setattr(games, "ACTIVE", 64)
+    rows = games._foremost(found, mixture)
+    assert len(rows) <= 64
+    assert np.abs(rows @ mixture).max() == np.abs(found @ mixture).max() and np.abs(rows).max() == np.abs(found).max()
+    # one classifier is fair and bad, another unfair and good: half of each is just fair enough
+    weights = games.mixture_weights(np.array([0.5, 0.1]), np.array([[0.0, 0.2]]), 0.1)
+    np.testing.assert_allclose(weights, [0.5, 0.5], atol=0.03)
+
+
+def test_newton_needs_few_steps_from_a_near_start(spark, people):
+    df = spark.createDataFrame(people).select((F.col("age") / 50).alias("a"), (F.col("income") / 50).alias("b"), "y", (1 + F.col("id") % 3).alias("w")).persist()
+    x = np.column_stack([people.age / 50, people.income / 50, np.ones(len(people))])
+    y, w, n = people.y.to_numpy(), 1 + people.id.to_numpy() % 3, float((1 + people.id % 3).sum())
+    steps = []
+
+    def fit(penalty, start=None):
+        calls = []
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(newton, "_sums", lambda *a: calls.append(1) or sums(*a))
+            scorer = newton.fit_newton(df, ["a", "b"], F.col("y"), F.col("w"), n, penalty, start, 1e-9)
+        steps.append(len(calls))
+        return np.array([*scorer.coefficients, scorer.intercept]), scorer.converged
+
+    sums = newton._sums
+    point, converged = fit(0.01)
+    p = 1 / (1 + np.exp(-x @ point))
+    slope = x.T @ (w * (p - y)) / n + 0.01 * point * [1, 1, 0]
+    assert converged and np.abs(slope).max() < 1e-9
+    near, converged = fit(0.011, point)
+    assert converged and steps[1] < steps[0]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(newton, "FEW_TASKS", 0)
+        np.testing.assert_allclose(fit(0.01)[0], point, rtol=1e-8)
+    df.unpersist()
+
+
 def test_reduction_stops_at_the_tolerance_and_forests_work(spark, people):
     df = spark.createDataFrame(people)
     forest = BaseLearner("RandomForest", num_trees=3, max_depth=3)
