@@ -603,6 +603,38 @@ add(
     "single_class_model",
     f"WITH {SCORED} SELECT c_mktsegment, CAST(1 AS INTEGER) AS prediction, count(*) AS n FROM scored GROUP BY 1",
 )
+
+
+def uniform(*keys: str) -> str:
+    """The first 52 bits of an md5 as a number between 0 and 1."""
+    return f"""((CAST('0x' || substr(md5(concat_ws('|', {', '.join(keys)})), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)"""
+
+
+def normal(*keys: str) -> str:
+    """Box-Muller on two uniforms."""
+    u, v = uniform(*keys, "'radius'"), uniform(*keys, "'angle'")
+    return f"(sqrt(-2.0::DOUBLE * ln({u})) * cos(2.0::DOUBLE * pi() * {v}))"
+
+
+def noisy(feature: str) -> str:
+    """Half of the way to the overall mean, and noise of a twentieth of the group's deviation."""
+    return f"""round({feature} + 0.5 * (o.m_{feature} - g.m_{feature})
+  + 0.05::DOUBLE * g.d_{feature} * {normal("'42'", 'id', "'c_mktsegment'", f"'{feature}'")}, 4) AS {feature}"""
+
+
+add(
+    "repair_multivariate_noise",
+    f"""WITH {SCORED},
+g AS (SELECT c_mktsegment AS k, avg(o_totalprice) AS m_o_totalprice, avg(c_acctbal) AS m_c_acctbal,
+  stddev_samp(o_totalprice) AS d_o_totalprice, stddev_samp(c_acctbal) AS d_c_acctbal FROM scored GROUP BY 1),
+o AS (SELECT avg(o_totalprice) AS m_o_totalprice, avg(c_acctbal) AS m_c_acctbal FROM scored)
+SELECT id, c_mktsegment, {noisy('o_totalprice')}, {noisy('c_acctbal')} FROM scored JOIN g ON c_mktsegment = k CROSS JOIN o""",
+)
+add(
+    "fair_draws",
+    f"""WITH {SCORED}, d AS (SELECT id, CAST(0.3::DOUBLE >= {uniform("'42'", 'id')} AS INTEGER) AS prediction FROM scored)
+SELECT id, 0.3::DOUBLE AS expected, prediction, CASE prediction WHEN 1 THEN 0.8::DOUBLE ELSE 0.2::DOUBLE END AS pseudo_probability FROM d""",
+)
 # ---- what fits promise: the values are those of the definition, not of a fit --------------------
 
 add(

@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 import evenhand as eh
 from catalog.inputs import LI_KEY, SEGMENT_FACTORS, docs, ev, li, scored, scored_nulls, table
 from evenhand.functions.expressions import hash_uniform, logistic
-from evenhand.operators.learners import BaseLearner
+from evenhand.operators.features import FeaturePrep
+from evenhand.operators.learners import BaseLearner, ConstantScorer
 from evenhand.operators.lookup import attach, pin
 from evenhand.operators.thresholds import apply_thresholds, fit_thresholds, fit_thresholds_approx
+from evenhand.operators.training import ReductionModel
 from evenhand.plans.run import run_fairness
 from evenhand.plans.settings import RunSettings
 from evenhand.sources.sinks import group_proportions, group_size_summary, run_metrics
@@ -455,7 +457,7 @@ def repair_multivariate_full(spark, sf_dir):
 @register
 def repair_multivariate_noise(spark, sf_dir):
     rows = scored(spark, sf_dir).select("id", SEGMENT, "o_totalprice", "c_acctbal")
-    return _repair("multivariate_repair", 0.5, [SEGMENT], [], id_col="id").fit(rows).transform(rows)
+    return rounded(_repair("multivariate_repair", 0.5, [SEGMENT], [], id_col="id").fit(rows).transform(rows), 4)
 
 
 @register
@@ -640,6 +642,15 @@ def fair_probability(spark, sf_dir):
     return fair.select("id", "expected", "prediction", "pseudo_probability")
 
 
+@register
+def fair_draws(spark, sf_dir):
+    """Predictions drawn by the hash of the id from a mix with known weights."""
+    rows = _model_rows(spark, sf_dir).select("id", SEGMENT, "offer", "c_acctbal")
+    prep = FeaturePrep.fit(rows, FEATURES)
+    mixed = ReductionModel(prep, (ConstantScorer(0), ConstantScorer(1)), (0.7, 0.3), (SEGMENT,), "id", 42)
+    return mixed.transform(rows).select("id", "expected", "prediction", "pseudo_probability")
+
+
 @register
 def fair_thresholds_audit(spark, sf_dir):
     rows = _model_rows(spark, sf_dir)

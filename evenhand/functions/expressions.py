@@ -83,11 +83,12 @@ def logistic(z: Column) -> Column:
 def hash_uniform(seed: int, *keys: Column | str) -> Column:
     """Uniform number in (0, 1) that depends only on the keys and the seed.
 
-    The same row gets the same number in any partitioning and after any task retry.
+    The same row gets the same number in any partitioning and after any task retry. It is made from the first 52 bits of the
+    md5 of the seed and the keys as text, with a bar between them, so any SQL can repeat it; NULL keys are left out.
     """
-    columns = [F.lit(seed), *[ref(k) if isinstance(k, str) else k for k in keys]]
-    bits = F.shiftrightunsigned(F.xxhash64(*columns), 12)
-    return (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+    columns = [ref(k) if isinstance(k, str) else k for k in keys]
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in columns]).cast("binary")), 1, 13)
+    return (F.conv(digits, 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
 def hash_normal(seed: int, *keys: Column | str) -> Column:
