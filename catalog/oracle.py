@@ -641,6 +641,11 @@ add(
     "baseline_model_gradient",
     """SELECT feature, 0.0::DOUBLE AS gradient FROM (VALUES ('offer'), ('c_acctbal'), ('intercept')) AS t(feature)""",
 )
+add(
+    "retried_fit",
+    """SELECT * FROM (VALUES ('hasty', 3, false, true, false), ('patient', 1, true, true, true))
+AS t(fit, attempts, converged, gradient_as_reported, flat)""",
+)
 for name in ("fair_dp_properties", "fair_eo_properties"):
     add(
         name,

@@ -565,6 +565,30 @@ def baseline_model_gradient(spark, sf_dir):
     return model.prep.transform(rows).agg(F.array(*parts).alias("g")).select(F.inline("g"))
 
 
+@register
+def retried_fit(spark, sf_dir):
+    """A fit that always runs out of iterations, and one that does not: attempts, outcome, and the gradient it reports."""
+    rows = _model_rows(spark, sf_dir)
+    n, out = rows.count(), None
+    for name, learner in (("hasty", BaseLearner(max_iter=1, max_retries=3, tol=1e-12)), ("patient", BaseLearner(max_iter=200, tol=1e-9))):
+        model = eh.fit_baseline(rows, "y_pred", [SEGMENT], features=FEATURES, base_estimator=learner)
+        names, scorer = model.prep.names(), model.scorer
+        penalty = 10.0 ** (scorer.attempts - 1) / n
+        error = logistic(scorer.margin(names)) - F.col("y_pred")
+        slopes = [F.abs(F.avg(error * F.col(c)) + F.lit(penalty * w)) for c, w in zip(names, scorer.coefficients, strict=True)]
+        steepest = model.prep.transform(rows).agg(F.greatest(F.abs(F.avg(error)), *slopes).alias("g"))
+        told = F.lit(scorer.gradient).cast("double")
+        row = steepest.select(
+            F.lit(name).alias("fit"),
+            F.lit(scorer.attempts).alias("attempts"),
+            F.lit(scorer.converged).alias("converged"),
+            F.coalesce(F.abs(told - F.col("g")) < 1e-9, F.lit(True)).alias("gradient_as_reported"),
+            (F.col("g") < 1e-4).alias("flat"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @register
 def forest_model_audit(spark, sf_dir):
     rows = _model_rows(spark, sf_dir)

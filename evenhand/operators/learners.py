@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassificationModel,
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenhand.functions.expressions import logistic
+from evenhand.operators.newton import penalised_gradient
 
 BASE_ESTIMATORS = ("LogisticRegression", "RandomForest")
 log = logging.getLogger(__name__)
@@ -23,11 +25,16 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class LinearScorer:
-    """A fitted linear model as a column expression; no coefficients mean a constant model."""
+    """A fitted linear model as a column expression; no coefficients mean a constant model.
+
+    ``attempts`` and ``gradient`` (the largest part of that of the penalised loss, where it was looked at) tell how it was fitted.
+    """
 
     intercept: float
     coefficients: tuple[float, ...]
     converged: bool = True
+    attempts: int = field(default=1, compare=False)
+    gradient: float | None = field(default=None, compare=False)
 
     def margin(self, names: list[str]) -> Column:
         z = F.lit(float(self.intercept))
@@ -72,8 +79,8 @@ class BaseLearner:
     """Settings of the underlying estimator.
 
     The penalty follows the convention of inverse strength ``c``: with a mean loss over weight
-    ``w`` in total, lambda is ``1 / (c * w)``. ``fit`` retries when the iterations run out, with
-    twice the iterations and ten times the penalty. A last try that runs out as well is an error
+    ``w`` in total, lambda is ``1 / (c * w)``. A fit that uses up its iterations has converged if no part of the
+    gradient exceeds ``tol``. Otherwise ``fit`` retries with twice the iterations and ten times the penalty. A last try that runs out as well is an error
     with ``on_unconverged="raise"``; otherwise it is logged and the scorer says so.
     """
 
@@ -117,7 +124,12 @@ class BaseLearner:
             if weight is not None:
                 estimator = estimator.setWeightCol(weight)
             model = estimator.fit(data)
-            converged = model.summary.totalIterations < max_iter
+            converged, gradient = model.summary.totalIterations < max_iter, None
+            if not converged:
+                point = np.array([*model.coefficients, model.intercept])
+                weights = F.lit(1.0) if weight is None else F.col(weight)
+                gradient = penalised_gradient(df, names, F.col(label), weights, total_weight, penalty, point)
+                converged = gradient <= self.tol
             if converged:
                 break
             log.warning("no convergence in %d iterations, attempt %d", max_iter, attempt)
@@ -125,7 +137,8 @@ class BaseLearner:
                 max_iter, penalty = max_iter * 2, penalty * 10
         if not converged and self.on_unconverged == "raise":
             raise RuntimeError(f"no convergence in {max_iter} iterations")
-        return LinearScorer(float(model.intercept), tuple(float(w) for w in model.coefficients), converged)
+        coefficients = tuple(float(w) for w in model.coefficients)
+        return LinearScorer(float(model.intercept), coefficients, converged, attempt, gradient)
 
     def _fit_forest(self, df: DataFrame, names: list[str], label: str, weight: str | None):
         data = VectorAssembler(inputCols=names, outputCol="__features", handleInvalid="error").transform(df)

@@ -8,14 +8,13 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenhand.operators.learners import LinearScorer
-
 log = logging.getLogger(__name__)
 MAX_STEPS = 60
 HALVINGS = 30
@@ -52,6 +51,23 @@ def _sums(df: DataFrame, names: list[str], point: np.ndarray, tasks: int) -> tup
     return float(values[0]), values[1 : k + 1], values[k + 1 :].reshape(k, k)
 
 
+class Fit(NamedTuple):
+    """Coefficients, and whether no part of the gradient of the penalised loss exceeds the tolerance; ``gradient`` is its largest part."""
+
+    intercept: float
+    coefficients: tuple[float, ...]
+    converged: bool
+    gradient: float
+
+
+def penalised_gradient(df: DataFrame, names: list[str], label: Column, weight: Column, total: float, penalty: float, point: np.ndarray) -> float:
+    """Largest part of the gradient of mean loss plus ``penalty / 2`` times the squared coefficients at ``point``: one aggregation."""
+    rows = df.select(*names, label.cast("double").alias("__y"), weight.cast("double").alias("__w"))
+    slope = _sums(rows, names, point, rows.rdd.getNumPartitions())[1] / total
+    slope[:-1] += penalty * point[:-1]
+    return float(np.abs(slope).max())
+
+
 def fit_newton(
     df: DataFrame,
     names: list[str],
@@ -61,7 +77,7 @@ def fit_newton(
     penalty: float,
     start: np.ndarray | None = None,
     tol: float = 1e-6,
-) -> LinearScorer:
+) -> Fit:
     """The least of mean loss plus ``penalty / 2`` times the squared coefficients; the intercept is not penalised.
 
     ``df`` should be persisted: each step reads it once. A step that would raise the loss is halved. The fit has converged when no part
@@ -95,6 +111,7 @@ def fit_newton(
             break
         point = point - move
         loss, slope, curve = after
+    converged = converged or bool(np.abs(slope).max() <= tol)
     if not converged:
         log.warning("the gradient is still %.2g", float(np.abs(slope).max()))
-    return LinearScorer(float(point[-1]), tuple(float(w) for w in point[:-1]), converged)
+    return Fit(float(point[-1]), tuple(float(w) for w in point[:-1]), converged, float(np.abs(slope).max()))

@@ -392,7 +392,9 @@ class FairReduction:
                 return learner.fit(weighted, names, "__label", n, "__weight")
             linear = [s for s in scorers if isinstance(s, LinearScorer)]
             start = np.array([*linear[-1].coefficients, linear[-1].intercept]) if linear else None
-            return fit_newton(weighted, names, F.col("__label"), F.col("__weight"), n, 1.0 / (learner.c * n), start, max(learner.tol, ANSWER_TOL))
+            tol = max(learner.tol, ANSWER_TOL)
+            fit = fit_newton(weighted, names, F.col("__label"), F.col("__weight"), n, 1.0 / (learner.c * n), start, tol)
+            return LinearScorer(fit.intercept, fit.coefficients, fit.converged, 1, fit.gradient)
         finally:
             if many:
                 weighted.unpersist()
@@ -465,7 +467,7 @@ def load_model(spark: SparkSession, path: str) -> BaselineModel | ReductionModel
         elif "value" in m:
             members.append(ConstantScorer(m["value"]))
         else:
-            members.append(LinearScorer(m["intercept"], tuple(m["coefficients"]), m.get("converged", True)))
+            members.append(LinearScorer(m["intercept"], tuple(m["coefficients"]), m.get("converged", True), m.get("attempts", 1), m.get("gradient")))
     scorers = [members[i] for i in meta["order"]]
     sensitive, info = tuple(meta["sensitive"]), meta["info"]
     if meta["kind"] == "baseline":
