@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -19,7 +20,18 @@ from evenhand.operators.thresholds import apply_thresholds, fit_thresholds, fit_
 from evenhand.operators.training import ReductionModel
 from evenhand.plans.run import run_fairness
 from evenhand.plans.settings import RunSettings
-from evenhand.sources.sinks import group_proportions, group_size_summary, run_metrics
+from evenhand.session import ensure_checkpoint_dir
+from evenhand.sources.sinks import (
+    StagedRun,
+    group_proportions,
+    group_size_summary,
+    group_statistics,
+    read_runs,
+    run_metrics,
+    run_params,
+    write_report,
+)
+from evenhand.sources.tables import read_checked
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -346,6 +358,42 @@ def _repair(method, level, attrs, keep, **more) -> eh.GroupRepair:
     return eh.GroupRepair(tuple(attrs), method, level, keep=tuple(keep), **more)
 
 
+@register
+def csv_checked_rows(spark, sf_dir):
+    """Orders as lines of text, some cut short and some with a price that is no number: what is accepted and what is not."""
+    price = F.when(F.col("o_orderkey") % 101 == 0, F.lit("many")).otherwise(F.format_string("%.2f", "o_totalprice"))
+    whole = F.concat_ws(",", F.col("o_orderkey").cast("string"), price, F.col("o_orderpriority"))
+    line = F.when(F.col("o_orderkey") % 97 == 0, F.substring_index(whole, ",", 2)).otherwise(whole)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/evenhand-lines-{uuid.uuid4().hex}"
+    table(spark, sf_dir, "orders").select(line.alias("line")).write.text(path)
+    checked = read_checked(spark, path, "id bigint, price double, priority string", header=False)
+    good = checked.rows.groupBy("priority").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("price"), 2).alias("total"))
+    bad = checked.rejected.select(F.when(F.contains("line", F.lit("many")), "no number").otherwise("too short").alias("priority"))
+    return good.unionByName(bad.groupBy("priority").agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("total")))
+
+
+@register
+def run_param_rows(spark, sf_dir):
+    """Parameters of a run, written and read back: settings, and what the table says about itself."""
+    sizes = {r["o_orderpriority"]: r["n"] for r in table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")).collect()}
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/evenhand-runs-{uuid.uuid4().hex}"
+    params = {"data": {"sizes": sizes}, "training": {"attributes": [SEGMENT, PRIORITY], "seed": None}}
+    with StagedRun(spark, root, "run-1") as out:
+        write_report(run_params(spark, params, "run-1").drop("run_id"), out.path("params/run_id=run-1"))
+    return read_runs(spark, root, "params").select("run_id", "key", "value")
+
+
+@register
+def group_statistics_rows(spark, sf_dir):
+    """Statistics of the groups of a fitted repair, written as a run and read back."""
+    rows = li(spark, sf_dir).select("l_quantity", "l_tax", FLAG)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/evenhand-runs-{uuid.uuid4().hex}"
+    stats = group_statistics(_repair("mean_matching", 1.0, [FLAG], []).fit(rows).group_stats(), "run-1")
+    with StagedRun(spark, root, "run-1") as out:
+        write_report(stats.drop("run_id"), out.path("group_statistics/run_id=run-1"))
+    return rounded(read_runs(spark, root, "group_statistics").select("run_id", "attr", "group", "feature", "statistic", "value"))
+
+
 @register
 def group_stats(spark, sf_dir):
     rows = li(spark, sf_dir).select("l_quantity", "l_extendedprice", "l_discount", FLAG, STATUS)

@@ -28,6 +28,7 @@ from evenhand.operators.training import (
 )
 from evenhand.plans.settings import REWEIGHTING, RunSettings, validate
 from evenhand.sources.sinks import (
+    StagedRun,
     group_size_summary,
     group_statistics,
     run_metrics,
@@ -171,16 +172,17 @@ def _params(s: RunSettings) -> dict:
 
 
 def write_run(spark: SparkSession, s: RunSettings, result: RunResult) -> None:
-    """Store all reports, the scored rows and the models under the run id; a rerun replaces them."""
-    root, run_id = s.output_path.rstrip("/"), result.run_id
-    for name, report in result.reports.items():
-        within = f"{name}/experiment={s.experiment}" if name == "metrics" else name
-        write_report(report.drop("run_id"), f"{root}/{within}/run_id={run_id}")
-    write_table(result.scored, f"{root}/scored/run_id={run_id}", mode="overwrite")
-    result.baseline.save(f"{root}/baselines/{run_id}")
-    result.model.save(f"{root}/models/{run_id}")
-    if result.repair is not None:
-        result.repair.save(f"{root}/repairs/{run_id}")
+    """Store all reports, the scored rows and the models under the run id, all or none; a rerun replaces them."""
+    run_id = result.run_id
+    with StagedRun(spark, s.output_path, run_id) as out:
+        for name, report in result.reports.items():
+            within = f"{name}/experiment={s.experiment}" if name == "metrics" else name
+            write_report(report.drop("run_id"), out.path(f"{within}/run_id={run_id}"))
+        write_table(result.scored, out.path(f"scored/run_id={run_id}"), mode="overwrite")
+        result.baseline.save(out.path(f"baselines/{run_id}"))
+        result.model.save(out.path(f"models/{run_id}"))
+        if result.repair is not None:
+            result.repair.save(out.path(f"repairs/{run_id}"))
 
 
 __all__ = ["RunResult", "RunSettings", "run_fairness", "validate", "write_run"]

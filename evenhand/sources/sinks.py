@@ -2,11 +2,89 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+RUNS = "runs"
+
+
+class StagedRun:
+    """The files of a run: written to a folder of their own, and moved to their places when all are there.
+
+    A run counts from the moment its manifest (``runs/run_id=...``, a row for each path) is written, which is the last step. A
+    rerun first takes its manifest away, so a run that broke off while its files were moved counts as none until it is
+    done again. Use as a context manager: leaving it by an error deletes what was staged and leaves an earlier run of the id as it was.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, run_id: str) -> None:
+        self.spark, self.root, self.run_id = spark, root.rstrip("/"), run_id
+        self.staging = f"{self.root}/_staging/{run_id}-{uuid.uuid4().hex}"
+        self.paths: list[str] = []
+
+    def path(self, relative: str) -> str:
+        """Where to write what is to be at ``relative`` below the root."""
+        self.paths.append(relative)
+        return f"{self.staging}/{relative}"
+
+    def __enter__(self) -> StagedRun:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        try:
+            if kind is None:
+                self._commit()
+        finally:
+            self._delete(self.staging)
+
+    def _commit(self) -> None:
+        for relative in self.paths:
+            staged = self._path(f"{self.staging}/{relative}")
+            if not self._files(staged).exists(staged):
+                raise OSError(f"{relative} was never written")
+        self._delete(f"{self.root}/{RUNS}/run_id={self.run_id}")
+        for relative in self.paths:
+            self._move(relative)
+        rows = [(p,) for p in self.paths]
+        write_report(self.spark.createDataFrame(rows, "path string"), f"{self.root}/{RUNS}/run_id={self.run_id}")
+
+    def _move(self, relative: str) -> None:
+        place = self._path(f"{self.root}/{relative}")
+        files = self._files(place)
+        files.mkdirs(place.getParent())
+        files.delete(place, True)
+        if not files.rename(self._path(f"{self.staging}/{relative}"), place):
+            raise OSError(f"{relative} could not be moved to its place")
+
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self, path):
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _delete(self, path: str) -> None:
+        found = self._path(path)
+        self._files(found).delete(found, True)
+
+
+def complete_runs(spark: SparkSession, root: str) -> DataFrame:
+    """(run_id, path) of all runs whose files are all in their places; none if nothing was ever written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{RUNS}")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], "run_id string, path string")
+    return spark.read.schema("path string, run_id string").parquet(f"{root.rstrip('/')}/{RUNS}").select("run_id", "path")
+
+
+def read_runs(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The rows of a report, of complete runs only."""
+    paths = complete_runs(spark, root).filter((F.col("path") == name) | F.startswith("path", F.lit(f"{name}/")))
+    found = [f"{root.rstrip('/')}/{r['path']}" for r in paths.collect()]
+    if not found:
+        raise ValueError(f"no complete run has {name!r}")
+    return spark.read.option("basePath", f"{root.rstrip('/')}/{name}").parquet(*found)
+
 
 def _finite(column: str = "value"):
     value = F.col(column)

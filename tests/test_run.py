@@ -8,7 +8,8 @@ import pytest
 import evenhand as eh
 from evenhand.plans.run import run_fairness, write_run
 from evenhand.plans.settings import RunSettings, validate
-from evenhand.sources.tables import read_table
+from evenhand.sources.sinks import StagedRun, complete_runs, read_runs, write_table
+from evenhand.sources.tables import read_checked, read_table
 
 GOOD = RunSettings("target", ("race", "sex"), "id")
 
@@ -90,6 +91,7 @@ def test_reading(spark, csv_path, tmp_path):
     ],
 )
 def test_whole_run(spark, csv_path, tmp_path, change):
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     settings = replace(
         GOOD,
         input_path=csv_path,
@@ -133,7 +135,75 @@ def test_whole_run(spark, csv_path, tmp_path, change):
         write_run(spark, settings, result)
         assert spark.read.parquet(f"{root}/metrics").count() == len(reports["metrics"])
         assert spark.read.parquet(f"{root}/scored").count() == 1500
-        assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
+        assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
+        assert {r['run_id'] for r in complete_runs(spark, root).collect()} == {'r1'}
+        assert read_runs(spark, root, 'metrics').count() == len(reports['metrics'])
+
+
+def test_a_run_that_breaks_off_is_never_read(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "runs")
+    numbers = spark.range(3)
+
+    def write(run_id, names, rows=numbers, broken=False):
+        with StagedRun(spark, root, run_id) as out:
+            for name in names:
+                write_table(rows, out.path(f"{name}/run_id={run_id}"))
+            if broken:
+                raise RuntimeError("lost")
+
+    assert complete_runs(spark, root).count() == 0
+    with pytest.raises(RuntimeError, match="lost"):
+        write("a", ["x"], broken=True)
+    assert complete_runs(spark, root).count() == 0 and not (tmp_path / "runs" / "x").exists()
+    with pytest.raises(ValueError, match="no complete run"):
+        read_runs(spark, root, "x")
+    write("a", ["x", "y"])
+    # a rerun that breaks off leaves the first as it was; one that is done takes its place
+    with pytest.raises(RuntimeError, match="lost"):
+        write("a", ["x"], spark.range(9), broken=True)
+    assert read_runs(spark, root, "x").count() == 3
+    write("a", ["x", "y"], spark.range(5))
+    write("b", ["x"])
+    assert read_runs(spark, root, "x").groupBy("run_id").count().orderBy("run_id").collect() == [("a", 5), ("b", 3)]
+    with pytest.raises(OSError, match="z/run_id=b was never written"):
+        with StagedRun(spark, root, "b") as out:
+            out.path("z/run_id=b")
+    assert read_runs(spark, root, "x").count() == 8
+    # broken off while files are moved: the run does not count until it is done again
+    move, moved = StagedRun._move, []
+
+    def breaks(self, relative):
+        moved.append(relative)
+        if len(moved) == 2:
+            raise RuntimeError("lost")
+        move(self, relative)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(StagedRun, "_move", breaks)
+        with pytest.raises(RuntimeError, match="lost"):
+            write("b", ["x", "y"], spark.range(7))
+    assert {r["run_id"] for r in complete_runs(spark, root).collect()} == {"a"}
+    assert read_runs(spark, root, "x").count() == 5
+    write("b", ["x", "y"], spark.range(7))
+    assert read_runs(spark, root, "x").count() == 12
+    assert list((tmp_path / "runs" / "_staging").glob("*/*")) == []
+
+
+def test_lines_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    path = tmp_path / "people.csv"
+    path.write_text('id,x,name\n1,1.5,a\n2,NaN,"b, c"\n3,oops,c\n4,2.5\n5,2.5,d,more\n6,,\n\n"7",1e3,"q"\n')
+    checked = read_checked(spark, str(path), "id int, x double, name string")
+    assert [tuple(r) for r in checked.rows.orderBy("id").collect()] == [(1, 1.5, "a"), (2, None, "b, c"), (6, None, None), (7, 1000.0, "q")]
+    assert checked.rows.columns == ["id", "x", "name"]
+    assert {r["line"] for r in checked.rejected.collect()} == {"3,oops,c", "4,2.5", "5,2.5,d,more"}
+    assert all(r["file"].endswith("people.csv") for r in checked.rejected.collect())
+    assert checked.counts().collect() == [(7, 4, 3)]
+    # a line is judged as a whole whatever is asked of it
+    assert checked.rows.select("id").count() == checked.rows.count() == 4 and checked.rejected.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        read_checked(spark, str(tmp_path / "none"), "id int").rows.count()
+    with pytest.raises(ValueError, match="name of a column"):
+        read_checked(spark, str(path), "id int, _rejected_line string")
 
 
 def test_run_needs_its_columns(spark, csv_path):
