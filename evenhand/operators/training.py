@@ -35,7 +35,7 @@ CONSTRAINTS = ("demographic_parity", "equalized_odds")
 #: The error of a mixture has settled when ``PATIENCE`` iterations lower it by less than ``SETTLED`` each.
 SETTLED, PATIENCE, LEAST_ITERATIONS = 0.002, 4, 10
 #: Gradient at which an answer to multipliers, which change again at once, is good enough.
-ANSWER_TOL = 1e-5
+ANSWER_TOL = 1e-4
 PSEUDO_HIGH, PSEUDO_LOW = 0.8, 0.2
 
 

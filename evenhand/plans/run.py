@@ -7,6 +7,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from evenhand.functions.expressions import nan_to_null
 from evenhand.operators.audit import audit_dataset
@@ -73,11 +74,21 @@ def run_fairness(spark: SparkSession, settings: RunSettings, df: DataFrame | Non
         df = nan_to_null(df)
     keep = (s.id_col, s.label, SPLIT)
     resolve_roles(df, s.sensitive, s.label, [s.id_col])
-    audited, first = list(s.audited), s.sensitive[0]
-
-    # the cut between the splits is fitted here once; assigning rows is a comparison, so the table is
-    # read again where it is needed and never stored
+    # the table is read for the cut between the splits, and once more into the copy that all later steps read
     rows = stratified_split(df, s.id_col, s.label, s.test_size, s.val_size, s.seed)
+    held = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        result = _stages(spark, s, held, run_id)
+    finally:
+        held.unpersist()
+    if s.output_path:
+        write_run(spark, s, result)
+    return result
+
+
+def _stages(spark: SparkSession, s: RunSettings, rows: DataFrame, run_id: str) -> RunResult:
+    """Everything after the split; reports are evaluated here, the scored rows are not."""
+    audited, first = list(s.audited), s.sensitive[0]
     train = rows.filter(F.col(SPLIT) == "train")
     learner = BaseLearner(s.base_estimator, max_retries=s.max_retries, seed=s.seed)
     # the baseline is a plain logistic regression whatever the fair model is built on
@@ -107,10 +118,7 @@ def run_fairness(spark: SparkSession, settings: RunSettings, df: DataFrame | Non
         reports["group_statistics"] = group_statistics(stats, run_id)
         reports["group_sizes"] = group_size_summary(stats)
     reports["params"] = run_params(spark, _params(s), run_id)
-    result = RunResult(run_id, reports, scored, baseline, model, repair)
-    if s.output_path:
-        write_run(spark, s, result)
-    return result
+    return RunResult(run_id, reports, scored, baseline, model, repair)
 
 
 def _repair(s: RunSettings, rows: DataFrame, train: DataFrame) -> tuple[GroupRepairModel | None, DataFrame]:

@@ -39,7 +39,7 @@ class RunSettings:
     constraint: str = "demographic_parity"
     base_estimator: str = "LogisticRegression"
     max_iter: int = 20
-    eta0: float = 20.0
+    eta0: float = 60.0
     max_retries: int = 3
     report_on: tuple[str, ...] = ()
     primary_metric: str = FAIRNESS[0]

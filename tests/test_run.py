@@ -140,6 +140,22 @@ def test_whole_run(spark, csv_path, tmp_path, change):
         assert read_runs(spark, root, 'metrics').count() == len(reports['metrics'])
 
 
+def test_the_table_is_read_for_the_split_and_once_more(spark, csv_path):
+    df, read = read_table(spark, csv_path), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    settings = replace(GOOD, input_path=None, max_iter=2, run_id="r3", report_on=("race", "sex"))
+    result = run_fairness(spark, settings, df.mapInArrow(counted, df.schema))
+    assert {k for k, v in result.reports.items() if v.count() == 0} == set()
+    # twice for the cut: by the first digits of the hashes, and within those of the cut
+    assert read.value == 3 * 1500
+    assert result.scored.count() == 1500
+
+
 def test_a_run_that_breaks_off_is_never_read(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "runs")
     numbers = spark.range(3)
