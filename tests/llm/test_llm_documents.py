@@ -130,7 +130,7 @@ def test_ledger_measures(docs, texts, empty):
 
 
 def test_policies_and_ablations_are_bit_arithmetic(docs):
-    ledger = rule_ledger.rule_ledger(docs).cache()
+    ledger = rule_ledger.rule_ledger(docs)
     bits = [r["failures"] for r in ledger.collect()]
     mask = rule_ledger.CURRENT.mask
     got = {r["rule"]: (r["failed"], r["kept_without"]) for r in rule_ledger.ablations(ledger).collect()}
