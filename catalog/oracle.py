@@ -439,6 +439,20 @@ add(
     "group_covariance",
     f"""WITH {TAXED} {covariances("'l_returnflag' AS attr, l_returnflag AS \"group\", ", "GROUP BY l_returnflag")}""",
 )
+WIDE = [f"f{i:02d}" for i in range(1, 31)]
+WIDE_ROWS = "wide AS (SELECT l_returnflag, " + ", ".join(
+    f"l_quantity * {i} + l_tax * {100 * (i % 3)} AS {f}" for i, f in enumerate(WIDE, 1)
+) + " FROM lineitem)"
+add(
+    "group_covariance_wide",
+    f"WITH {WIDE_ROWS} "
+    + " UNION ALL ".join(
+        f"""SELECT 'l_returnflag' AS attr, l_returnflag AS "group", '{a}' AS f_i, '{b}' AS f_j, round(covar_pop({a}, {b}), 4) AS cov
+FROM wide GROUP BY l_returnflag"""
+        for i, a in enumerate(WIDE)
+        for b in WIDE[i:]
+    ),
+)
 add("overall_covariance", f"WITH {TAXED} {covariances('', '')}")
 
 SIZES = " UNION ALL ".join(
@@ -520,6 +534,38 @@ SELECT {KEY}, round((q + 0.6 * (oq - mq) - oq) * sq + oq, 6) AS l_quantity,
 round((d + 0.6 * (od - md) - od) * sd + od, 6) AS l_discount, l_returnflag
 FROM c JOIN s USING (l_returnflag) CROSS JOIN o""",
 )
+FOUR = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def determinant(kind: str, source: str, names: tuple[str, ...], columns: tuple[str, ...] | None = None) -> str:
+    """Expansion along the first row."""
+    columns = names if columns is None else columns
+    if not names:
+        return "1"
+    parts = [
+        f"{'-' if i % 2 else ''}{kind}({source}{names[0]}, {source}{c}) * ({determinant(kind, source, names[1:], columns[:i] + columns[i + 1:])})"
+        for i, c in enumerate(columns)
+    ]
+    return " + ".join(parts)
+
+
+def four(factors: dict[str, str]) -> str:
+    fit = ", ".join(f"avg({f}) AS m_{f}, covar_pop({f}, {f}) AS v_{f}" for f in FOUR)
+    now = ", ".join(f"covar_samp({f}, {f}) AS c_{f}" for f in FOUR)
+    scaled = ", ".join(f"{f} * {factors.get(f, '1.0')}::DOUBLE AS {f}" for f in FOUR)
+    results = ", ".join(
+        f"""round(({f} + 0.6 * (o_{f} - m_{f}) - o_{f})
+  * CASE WHEN det_fit > 1e-8 AND det_now > 1e-8 THEN least(greatest(sqrt(v_{f} / (c_{f} + 1e-8)), 0.5), 2.0) ELSE 1 END + o_{f}, 6) AS {f}"""
+        for f in FOUR
+    )
+    return f"""WITH c AS (SELECT {KEY}, {scaled}, l_returnflag, l_linestatus, CASE WHEN l_linenumber > 3 THEN 'late' ELSE 'early' END AS kind FROM lineitem),
+fit AS (SELECT l_returnflag, {fit}, {determinant('covar_pop', '', FOUR)} AS det_fit FROM lineitem GROUP BY 1),
+cur AS (SELECT l_returnflag, {now}, {determinant('covar_samp', '', FOUR)} AS det_now FROM c GROUP BY 1),
+o AS (SELECT {', '.join(f'avg({f}) AS o_{f}' for f in FOUR)} FROM lineitem)
+SELECT {KEY}, {results}, l_returnflag, l_linestatus, kind FROM c JOIN fit USING (l_returnflag) JOIN cur USING (l_returnflag) CROSS JOIN o"""
+
+
+add("repair_covariance_four", four({"l_quantity": "1.5", "l_tax": "0.8"}))
 add(
     "repair_multivariate_full",
     "WITH "

@@ -422,6 +422,14 @@ def overall_covariance(spark, sf_dir):
     return rounded(_covariance_fit(spark, sf_dir).overall_cov())
 
 
+@register
+def group_covariance_wide(spark, sf_dir):
+    """30 features, above what one expression sums: outer products added up by the tasks."""
+    wide = [(F.col("l_quantity") * i + F.col("l_tax") * (100 * (i % 3))).alias(f"f{i:02d}") for i in range(1, 31)]
+    rows = li(spark, sf_dir).select(*wide, FLAG)
+    return rounded(_repair("covariance_matching", 1.0, [FLAG], []).fit(rows).group_cov(), 4)
+
+
 def _segment_stats(spark, sf_dir) -> DataFrame:
     rows = scored_nulls(spark, sf_dir).select("o_totalprice", "c_acctbal", SEGMENT, PRIORITY)
     return _repair("mean_matching", 1.0, [SEGMENT, PRIORITY], []).fit(rows).group_stats()
@@ -508,6 +516,16 @@ def repair_multivariate_noise(spark, sf_dir):
     return rounded(_repair("multivariate_repair", 0.5, [SEGMENT], [], id_col="id").fit(rows).transform(rows), 4)
 
 
+@register
+def repair_covariance_four(spark, sf_dir):
+    """Four features, whose determinant has no closed form here, next to a category that is left alone."""
+    rows = _repair_rows(spark, sf_dir, "l_quantity", "l_extendedprice", "l_discount", "l_tax").withColumn(
+        "kind", F.when(F.col("l_linenumber") > 3, "late").otherwise("early")
+    )
+    model = _repair("covariance_matching", 0.6, [FLAG], [*LI_KEY, STATUS, "kind"]).fit(rows)
+    return rounded(model.transform(rows.withColumns({"l_quantity": F.col("l_quantity") * 1.5, "l_tax": F.col("l_tax") * 0.8})))
+
+
 @register
 def repair_categories(spark, sf_dir):
     """Multivariate repair shifts category codes as well and decodes them."""

@@ -399,15 +399,10 @@ class GroupRepairModel:
     def group_cov(self) -> DataFrame:
         """(attr, group, f_i, f_j, cov) for f_i at or before f_j in feature order."""
         self._need_covariance()
-        cells = [
-            F.struct(
-                F.lit(self.features[i]).alias("f_i"),
-                F.lit(self.features[j]).alias("f_j"),
-                F.col("cov")[at].alias("cov"),
-            )
-            for at, (i, j) in enumerate(_pairs(len(self.features)))
-        ]
-        return self.groups.df.select("attr", "group", F.inline(F.array(*cells)))
+        pairs = _pairs(len(self.features))
+        first, second = (F.lit([self.features[p[side]] for p in pairs])[F.col("__at")] for side in (0, 1))
+        cells = self.groups.df.select("attr", "group", F.posexplode("cov").alias("__at", "cov"))
+        return cells.select("attr", "group", first.alias("f_i"), second.alias("f_j"), "cov")
 
     def overall_cov(self) -> DataFrame:
         self._need_covariance()
