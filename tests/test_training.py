@@ -76,9 +76,7 @@ def test_thresholds_equal_the_direct_search(spark, seed, digits):
     assert got == want
 
 
-@pytest.mark.parametrize("n", [1, 7, 300, 20_000])
-@pytest.mark.parametrize("digits", [1, 3, 15])
-@pytest.mark.parametrize("error", [0.2, 0.004])
+@pytest.mark.parametrize("n,digits,error", [(1, 1, 0.2), (7, 15, 0.004), (300, 1, 0.004), (300, 15, 0.2), (20_000, 15, 0.004), (20_000, 3, 0.004)])
 def test_thresholds_from_sketches_are_within_their_error(spark, n, digits, error):
     rng = np.random.default_rng(n + digits)
     pdf = pd.DataFrame({"score": np.round(rng.beta(2, 3, n), digits), "y": rng.integers(0, 2, n), "g": rng.choice(list("abc"), n, p=[0.7, 0.2, 0.1])})
