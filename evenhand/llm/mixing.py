@@ -1,8 +1,9 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-Each source's documents, shuffled by a hash, form a stream of words that is cut into blocks of the
-same number of words. The mix is a sequence of slots. Slot ``t`` has the golden-ratio point ``t * phi
-mod 1``, which falls into one source's part of the cumulative targets; the slots of a source are
+Each source's documents, shuffled by a hash, form a stream of words that is cut into blocks of equal size (one word
+more or less), and a source gets as many slots as its target has blocks. Small sources have smaller blocks, so that few slots
+more or less are few words there as well. The mix is a sequence of slots. Slot ``t`` has the golden-ratio point ``t * phi
+mod 1``, which falls into one source's part of the cumulative slots; the slots of a source are
 ranked in order and take its blocks one after the other, from the start again once they are used
 up. Any stretch of the schedule is close to the targets, and so is the whole.
 """
@@ -20,6 +21,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 BLOCK_WORDS = 64
+#: A source has at least so many blocks, or one for each word.
+LEAST_BLOCKS = 64
 SEED = 17
 
 #: The circle of points in whole steps, and the odd step nearest to the golden ratio of it.
@@ -46,8 +49,8 @@ def sized_rows(rows: DataFrame, id_col: str, source_col: str, text_col: str, rid
     )
 
 
-def targets(sized: DataFrame) -> DataFrame:
-    """key, place, source_size, weight, target, low and high (its part of the circle), for each source.
+def targets(sized: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+    """key, place, source_size, weight, target, blocks, slots, low and high (its part of the circle), for each source.
 
     Weights repeat along the sources in order. No target is above ``MOST`` times its source's size;
     what is cut off is shared again by weight until nothing is above.
@@ -74,9 +77,12 @@ def targets(sized: DataFrame) -> DataFrame:
             break
         full, level = now["full"], (goal - now["used"]) / now["open"]
     target = F.least(most.cast("double"), F.lit(float(level)) * F.col("weight"))
-    shares = saved(weighed.withColumn("target", target), "targets")
+    words = F.greatest(F.least(F.floor(F.col("source_size") / LEAST_BLOCKS), F.lit(block)), F.lit(1))
+    cut = weighed.withColumns({"target": target, "blocks": F.ceil(F.col("source_size") / words).cast("long")})
+    slots = F.coalesce(F.col("target") * F.col("blocks") / F.nullif("source_size", F.lit(0)), F.lit(0.0))
+    shares = saved(cut.withColumn("slots", slots), "targets")
     summed = running_sum(
-        shares.withColumn("units", F.round(F.col("target") * 1000).cast("long")), [], ["place"], "units", "low_units", "shares"
+        shares.withColumn("units", F.round(F.col("slots") * 1000).cast("long")), [], ["place"], "units", "low_units", "shares"
     )
     total = summed.agg(F.sum("units")).first()[0] or 0
     on_circle = lambda c: F.floor(c / F.lit(max(float(total), 1.0)) * CIRCLE).cast("long")
@@ -85,11 +91,11 @@ def targets(sized: DataFrame) -> DataFrame:
     ).drop("units", "low_units")
 
 
-def schedule(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+def schedule(sources: DataFrame) -> DataFrame:
     """slot, key, pass and block for every slot of the mix; blocks are numbered from 0 in each source."""
     spark = sources.sparkSession
-    goal = sources.agg(F.sum("target")).first()[0] or 0.0
-    slots = spark.range(round(goal / block)).select(
+    number = sources.agg(F.sum("slots")).first()[0] or 0.0
+    slots = spark.range(round(number)).select(
         F.col("id").alias("slot"), (F.pmod("id", F.lit(CIRCLE // 2)) * STEP % CIRCLE).alias("point"), F.lit(0).alias("edge")
     )
     # sources in order of their parts; how many parts begin at or before a point tells the source
@@ -102,22 +108,34 @@ def schedule(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
         counted.filter(F.col("edge") == 0).select("slot", (F.col("begun") - 1).alias("nth"), F.lit(1).alias("one")), "slots"
     )
     ranked = running_sum(own, ["nth"], ["slot"], "one", "rank", "ranks").drop("one")
-    blocks = F.ceil(F.col("source_size") / block).cast("long")
-    known = attach(ranked, pin(parts.select("nth", "key", blocks.alias("blocks"))), ["nth"])
+    known = attach(ranked, pin(parts.select("nth", "key", "blocks")), ["nth"])
     return known.filter(F.col("rank") < MOST * F.col("blocks")).select(
         "slot", "key", F.floor(F.col("rank") / F.col("blocks")).alias("pass"), (F.col("rank") % F.col("blocks")).alias("block")
     )
 
 
-def pieces(sized: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
-    """rid, key, block, words: the part of each document in each block of its source's stream."""
+def pieces(sized: DataFrame, sources: DataFrame) -> DataFrame:
+    """rid, key, block, words: the part of each document in each block of its source's stream.
+
+    Of a source's blocks the first ones have a word more than the others, until its words are used up.
+    """
     shuffled = sized.withColumn("order", F.xxhash64("id", F.lit(SEED)))
     placed = running_sum(shuffled, ["key"], ["order", "id", "size", "rid"], "size", "start", "streams")
-    end = F.col("start") + F.col("size")
-    some = placed.filter(F.col("size") > 0)
-    blocks = F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))
-    each = some.select("rid", "key", "start", end.alias("end"), F.explode(blocks).alias("block"))
-    low, high = F.greatest("start", F.col("block") * block), F.least("end", (F.col("block") + 1) * block)
+    some = placed.filter(F.col("size") > 0).withColumn("end", F.col("start") + F.col("size"))
+    least = F.floor(F.col("source_size") / F.col("blocks")).cast("long").alias("least")
+    filled = sources.filter("blocks > 0")
+    known = attach(some, pin(filled.select("key", least, (F.col("source_size") % F.col("blocks")).alias("longer"))), ["key"], ["rid"])
+    longer = F.col("longer") * (F.col("least") + 1)
+
+    def block_of(word: Column) -> Column:
+        behind = F.col("longer") + F.floor((word - longer) / F.col("least"))
+        return F.when(word < longer, F.floor(word / (F.col("least") + 1))).otherwise(behind).cast("long")
+
+    def first_word(block: Column) -> Column:
+        return block * F.col("least") + F.least(block, F.col("longer"))
+
+    each = known.select("*", F.explode(F.sequence(block_of(F.col("start")), block_of(F.col("end") - 1))).alias("block"))
+    low, high = F.greatest("start", first_word(F.col("block"))), F.least("end", first_word(F.col("block") + 1))
     return each.select("rid", "key", "block", (high - low).alias("words"))
 
 
@@ -132,15 +150,16 @@ def mix(
     """One row for each row: id, size, source_size, target, taken (and rid if given).
 
     ``size`` counts words; ``taken`` is how many of them the mix takes, up to ``MOST`` times each. A
-    source's taken words differ from its target by a few blocks. NULL text and texts of
+    source's taken words differ from its target by a few blocks, each of at most ``block`` words and at most about a 64th of
+    the source. NULL text and texts of
     blanks have size 0 and nothing taken; rows without a source form one, the last in order. Rows
     that share an id are separate. An empty table gives no rows; other columns are not read.
     """
     sized = sized_rows(rows, id_col, source_col, text_col, rid)
-    sources = saved(targets(sized), "sources")
-    uses = schedule(sources, block).groupBy("key", "block").agg(F.count(F.lit(1)).alias("times"))
+    sources = saved(targets(sized, block), "sources")
+    uses = schedule(sources).groupBy("key", "block").agg(F.count(F.lit(1)).alias("times"))
     taken = (
-        pieces(sized, block)
+        pieces(sized, sources)
         .join(uses, ["key", "block"])
         .groupBy("rid")
         .agg(F.sum(F.col("words") * F.col("times")).alias("taken"))

@@ -380,6 +380,19 @@ def wanted(sizes):
         full |= over
 
 
+@pytest.mark.parametrize("lengths", [[[40]] * 3, [[40], [7, 3], [1], [300, 2], [5000]], [[1]] * 5, [[63, 65, 64]] * 2 + [[9000]]])
+def test_small_sources_come_near_their_targets(spark, lengths):
+    rows = [(100 * i + j, " ".join(["w"] * n), f"s{i}") for i, of in enumerate(lengths) for j, n in enumerate(of)]
+    sizes = {f"s{i}": sum(of) for i, of in enumerate(lengths)}
+    goal, taken = wanted(sizes), Counter()
+    for x in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        assert 0 <= x["taken"] <= 2 * x["size"]
+        taken[f"s{x['doc_id'] // 100}"] += x["taken"]
+    for s, g in goal.items():
+        block = min(64, max(1, sizes[s] // 64))
+        assert abs(taken[s] - g) <= max(0.02 * g, 2 * (block + 1)), (s, taken[s], g)
+
+
 def test_mix(spark, empty):
     r = random.Random(3)
     rows = [(i, prose(i, r.randint(0, 200)), r.choice(["b", "a", "a", "a", "c", None])) for i in range(150)]
@@ -400,6 +413,7 @@ def test_mix(spark, empty):
     assert len(got) == len(rows)
     for s in ("a", "b", "c", None):
         assert abs(taken[s] - goal[s]) <= 40
+        assert abs(taken[s] - goal[s]) <= max(0.02 * goal[s], 8)
     assert by(mixing.mix(docs, block=8).collect(), "doc_id", "size", "taken") == by(got, "doc_id", "size", "taken")
     assert mixing.mix(empty).count() == 0
     mixed = mixing.mixed_rows(docs, "doc_id")
