@@ -10,9 +10,10 @@ the threshold. Classes are the connected components of the links.
 
 Comparing is done without listing the pairs of a group. Equal word sequences are one node. First
 each node is compared with the smallest node of its bands; nodes that this has joined need no more
-comparing. Of the pairs of a band that are still in different classes, those whose samples agree best
-are compared first, and after these have joined classes, all others whose samples agree as often as
-those of similar texts do. A pair is looked at in the first band that it shares only. A band shared by
+comparing. Nodes of bands that are still in different classes draw 256 further samples, which tell
+similarities of 0.7 from 0.8. Pairs whose further samples agree best are compared first, and after these
+have joined classes, all others whose samples agree as often as those of similar texts do. A pair is
+looked at in the first band that it shares only. A band shared by
 very many nodes is divided by pairs of the other samples, chosen such that two nodes that agree often
 enough to be compared have at least one pair in common, so that dividing loses no link.
 """
@@ -20,7 +21,9 @@ enough to be compared have at least one pair in common, so that dividing loses n
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenhand.llm.components import components
-from evenhand.llm.tables import keyed, named, saved, unkeyed
+from evenhand.llm.tables import keyed, named, recorded, release, saved, unkeyed
 from evenhand.llm.word_hashes import bytes_of, chunks, mix, shingle_hashes, with_counts, word_hashes
 
 THRESHOLD = 0.8
@@ -45,19 +48,24 @@ COUNTED_TEXTS, COUNTED_BYTES, BLOCK_SHINGLES = 1 << 14, 1 << 27, 1 << 24
 FULL_BAND = 256
 #: Open buckets are dealt into blocks of so many nodes, and each two blocks are compared by themselves.
 BLOCK_NODES = 2048
-#: Pairs that agree in so many of the 30 samples are compared, in two rounds. Two texts at the
-#: threshold agree in fewer than the last of these with a probability of 0.3 %, at 0.85 of 0.004 %.
-AGREE = (23, 17)
+#: Pairs that agree in so many of the 30 samples may be compared. Two texts at the threshold agree
+#: in fewer with a probability of 0.3 %, at 0.85 of 0.004 %.
+AGREE = 17
 #: Samples are packed for this by four bits each.
 NIBBLES = 15
+#: Further samples that only nodes of open buckets draw, sixteen of them packed in a number by four bits each. Pairs are
+#: compared that agree in so many of them too, in two rounds. Two texts at the threshold agree in fewer than the
+#: last of these with a probability of 0.05 %, at a similarity of 0.65 they agree in as many with one of 2 %.
+FINE, PACKED = 256, 16
+AGREE_FINE = (212, 188)
 
 
 def _divisions() -> list[list[tuple[int, int]]]:
-    """For each band, pairs of the samples outside it: nodes that share the band and agree in the least of ``AGREE`` agree in a pair.
+    """For each band, pairs of the samples outside it: nodes that share the band and agree in ``AGREE`` samples agree in a pair.
 
     The samples are dealt to one group fewer than still have to agree, so two of these fall into one group.
     """
-    groups = AGREE[-1] - ROWS - 1
+    groups = AGREE - ROWS - 1
     others = [[j for j in range(BANDS * ROWS) if j // ROWS != band] for band in range(BANDS)]
     return [[pair for g in range(groups) for pair in combinations(rest[g::groups], 2)] for rest in others]
 
@@ -77,7 +85,8 @@ def _gamma_tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 GAMMA, LOG_GAMMA = _gamma_tables()
-SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+ALL_SEEDS = mix(np.arange(1, BANDS * ROWS + FINE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+SEEDS, FINE_SEEDS = ALL_SEEDS[: BANDS * ROWS], ALL_SEEDS[BANDS * ROWS :]
 
 
 def idf(df: np.ndarray, n: int) -> np.ndarray:
@@ -111,12 +120,12 @@ class Weights:
         return counts * each
 
 
-def sample(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def sample(shingles: np.ndarray, weights: np.ndarray, starts: np.ndarray, seeds: np.ndarray = SEEDS) -> np.ndarray:
     """Samples of each text (its shingles begin at ``starts``): 32 bits of the chosen element and level."""
     odd = np.flatnonzero(weights != 1.0)
     logs = np.log(weights[odd]).astype(np.float32)
-    out = np.empty((len(starts), len(SEEDS)), np.uint32)
-    for j, seed in enumerate(SEEDS):
+    out = np.empty((len(starts), len(seeds)), np.uint32)
+    for j, seed in enumerate(seeds):
         h = mix(shingles ^ seed)
         r = GAMMA[(h >> np.uint64(48)).astype(np.intp)]
         log_c = LOG_GAMMA[((h >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.intp)]
@@ -227,16 +236,20 @@ def frequent_shingles(rows: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray, fl
 
         return run
 
-    local = saved(in_blocks(rows, n, size).mapInArrow(blocks, "hash long, n long, slack long, block boolean"), "local-counts")
+    passing = []
+    with recorded(passing):
+        local = saved(in_blocks(rows, n, size).mapInArrow(blocks, "hash long, n long, slack long, block boolean"), "local-counts")
     slack = local.filter("block").agg(F.sum("slack")).first()[0] or 0
     summed = local.filter("not block").groupBy("hash").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack"))
-    near = saved(summed.filter(F.col("n") + slack - F.col("slack") >= limit).select("hash"), "candidates")
+    with recorded(passing):
+        near = saved(summed.filter(F.col("n") + slack - F.col("slack") >= limit).select("hash"), "candidates")
     if near.count() <= 2 * FREQUENT:
         hashes = np.sort(near.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
         exact = _texts(rows).mapInArrow(recount(spark.sparkContext.broadcast(hashes)), "hash long, n long") if len(hashes) else local.select("hash", "n").limit(0)
     else:
         exact = _texts(rows).mapInArrow(everything, "hash long, n long")
     kept = saved(exact.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= limit), "frequent")
+    release(spark, passing)
     most = kept.count() > FREQUENT
     table = (kept.orderBy(F.desc("n"), "hash").limit(FREQUENT) if most else kept).toArrow()
     found = table.column("hash").to_numpy().astype(np.int64).view(np.uint64)
@@ -312,6 +325,31 @@ def sketches(texts: DataFrame, weights) -> DataFrame:
     return texts.mapInArrow(run, SKETCH)
 
 
+def fine_samples(texts: DataFrame, weights) -> DataFrame:
+    """rid and the further samples, packed, of every text (rid, t, listed if given) that has words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Weights(*weights.value)
+        for batch in batches:
+            column = batch.column(1)
+            for first, last in chunks(column):
+                words, counts = word_hashes(*bytes_of(column, first, last))
+                shingles, texts, number = with_counts(*shingle_hashes(words, counts))
+                listed = batch.column(2).slice(first, last - first) if batch.num_columns > 2 else None
+                some, starts = np.unique(texts, return_index=True)
+                if not len(some):
+                    continue
+                samples = sample(shingles, table.of(shingles, number, listed), starts, FINE_SEEDS)
+                bits = (samples.astype(np.uint64) & np.uint64(15)) << (np.uint64(4) * (np.arange(FINE, dtype=np.uint64) % np.uint64(PACKED)))
+                packed = np.bitwise_or.reduce(bits.reshape(len(some), FINE // PACKED, PACKED), axis=2)
+                ends = pa.array(np.arange(0, packed.size + 1, FINE // PACKED, dtype=np.int32))
+                lists = pa.ListArray.from_arrays(ends, pa.array(packed.reshape(-1).view(np.int64)))
+                rids = batch.column(0).slice(first, last - first).take(pa.array(some))
+                yield pa.RecordBatch.from_arrays([rids, lists], names=["rid", "fine"])
+
+    return texts.mapInArrow(run, "rid long, fine array<long>")
+
+
 def buckets(nodes: DataFrame) -> DataFrame:
     """bucket, node, low, high, band, step: bands that two nodes or more share, the fullest ones also divided.
 
@@ -342,11 +380,22 @@ def _nibble(j: Column) -> Column:
     return F.call_function("shiftright", half, j % NIBBLES * 4).bitwiseAND(F.lit(15))
 
 
+def _apart(one: Column, other: Column, nibbles: int) -> Column:
+    """One bit for each of the packed samples, at the place of its four, set if they differ."""
+    differ = one.bitwiseXOR(other)
+    differ = differ.bitwiseOR(F.shiftright(differ, 1))
+    return differ.bitwiseOR(F.shiftright(differ, 2)).bitwiseAND(F.lit(int("1" * nibbles, 16)))
+
+
 def differing(x: str, y: str, half: str) -> Column:
     """One bit for each of half the samples, at the place of its four, set if two nodes do not agree in it."""
-    differ = F.col(f"{x}.{half}").bitwiseXOR(F.col(f"{y}.{half}"))
-    differ = differ.bitwiseOR(F.shiftright(differ, 1))
-    return differ.bitwiseOR(F.shiftright(differ, 2)).bitwiseAND(F.lit(int("1" * NIBBLES, 16)))
+    return _apart(F.col(f"{x}.{half}"), F.col(f"{y}.{half}"), NIBBLES)
+
+
+def fine_agreement(x: str, y: str) -> Column:
+    """In how many of the further samples two nodes agree."""
+    apart = (F.bit_count(_apart(F.col(f"{x}.fine")[k], F.col(f"{y}.fine")[k], PACKED)) for k in range(FINE // PACKED))
+    return F.lit(FINE) - reduce(add, apart)
 
 
 def agreement(x: str, y: str) -> Column:
@@ -381,7 +430,10 @@ def cells(left: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def agreeing(left: DataFrame, least: int, above: int, threshold: float) -> DataFrame:
-    """Pairs (a, b) of nodes of one bucket and different parts that agree in ``least`` samples up to ``above``, each pair once."""
+    """Pairs (a, b) of nodes of one bucket and different parts, each pair once.
+
+    They agree in ``AGREE`` samples, and in ``least`` or more but fewer than ``above`` of the further ones.
+    """
     on = (
         (F.col("x.bucket") == F.col("y.bucket"))
         & (F.col("x.i") == F.col("y.i"))
@@ -389,8 +441,9 @@ def agreeing(left: DataFrame, least: int, above: int, threshold: float) -> DataF
         & ((F.col("x.i") < F.col("x.j")) | (F.col("x.node") < F.col("y.node")))
         & (F.col("x.part") != F.col("y.part"))
         & (F.least("x.weight", "y.weight") >= threshold * F.greatest("x.weight", "y.weight") - 1e-9)
-        & (agreement("x", "y") >= least)
-        & (agreement("x", "y") < above)
+        & (agreement("x", "y") >= AGREE)
+        & (fine_agreement("x", "y") >= least)
+        & (fine_agreement("x", "y") < above)
         & first_shared("x", "y")
     )
     first, second = cells(left)
@@ -466,16 +519,20 @@ def links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     leaders = shared.groupBy("bucket").agg(F.min(F.struct("node", "low", "high")).alias("first"))
     text = saved(text.join(shared.select(F.col("node").alias("rid")).distinct(), "rid", "left_semi"), "compared")
     stars = shared.alias("x").join(leaders, "bucket").filter(F.col("first.node") < F.col("node"))
-    stars = stars.filter((F.coalesce("step", F.lit(-1)) < 0) | (agreement("x", "first") >= AGREE[-1]))
+    stars = stars.filter((F.coalesce("step", F.lit(-1)) < 0) | (agreement("x", "first") >= AGREE))
     stars = stars.select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
     known = saved(verified(stars, text, weights, threshold), "star-links")
-    above = 2 * NIBBLES + 1
-    for least in AGREE:
-        left = still_open(shared.filter("step is not null"), known)
-        left = saved(left.join(node.select("node", "weight", "bands"), "node"), "open")
-        pairs = agreeing(left, least, above, threshold)
-        known = known.unionByName(saved(verified(pairs.distinct(), text, weights, threshold), "links"))
-        above = least
+    above, fine, passing = FINE + 1, None, []
+    for least in AGREE_FINE:
+        with recorded(passing):
+            left = saved(still_open(shared.filter("step is not null"), known), "open")
+        if fine is None:  # the second round has no nodes that the first does not have
+            own = text.join(left.select(F.col("node").alias("rid")).distinct(), "rid", "left_semi")
+            fine = saved(fine_samples(own, weights).withColumnRenamed("rid", "node"), "fine")
+        pairs = agreeing(left.join(node.select("node", "weight", "bands"), "node").join(fine, "node"), least, above, threshold)
+        found = saved(verified(pairs.distinct(), text, weights, threshold), "links")
+        known, above = known.unionByName(found), least
+        release(spark, passing)
     return member, known
 
 

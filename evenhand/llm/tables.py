@@ -51,7 +51,7 @@ def recorded(paths: list[str]):
     try:
         yield
     finally:
-        _recorders.remove(paths)
+        _recorders[:] = [x for x in _recorders if x is not paths]
 
 
 def release(spark: SparkSession, paths: list[str]) -> None:

@@ -234,7 +234,8 @@ def test_pairs_that_share_only_a_full_band_are_compared(spark, band):
     rows = [(i, 1.0, [hash((b, *s[3 * b : 3 * b + 3])) for b in range(10)], *packed(s)) for i, s in enumerate(drawn)]
     node = spark.createDataFrame(rows, "node long, weight double, bands array<long>, low long, high long")
     shared = near_dups.buckets(node).filter("step is not null").withColumn("part", F.col("node")).withColumn("blocks", F.lit(1))
-    found = near_dups.agreeing(shared.join(node.select("node", "weight", "bands"), "node"), 17, 31, 0.8).collect()
+    left = shared.join(node.select("node", "weight", "bands"), "node").withColumn("fine", F.array_repeat(F.lit(-1).cast("long"), 16))
+    found = near_dups.agreeing(left, 188, 257, 0.8).collect()
     wanted = {(i, j) for i in range(len(drawn)) for j in range(i) if sum(map(int.__eq__, drawn[i], drawn[j])) >= 17}
     assert len(found) == len(wanted) and {(r["b"], r["a"]) for r in found} == wanted and len(wanted) >= near_dups.FULL_BAND
 
@@ -280,16 +281,84 @@ def test_first_count_of_few_texts_is_not_one_task(spark):
 
 def test_open_buckets_are_compared_block_by_block(spark, monkeypatch):
     monkeypatch.setattr(near_dups, "BLOCK_NODES", 16)
-    rows = [(7, i, i % 5, 0, 0, -1, 1.0, [0] * 10) for i in range(200)]
-    shared = spark.createDataFrame(rows, "bucket long, node long, low long, high long, band int, step int, weight double, bands array<long>")
+    rows = [(7, i, i % 5, 0, 0, -1, 1.0, [0] * 10, [i % 5 - 2] * 16) for i in range(200)]
+    columns = "bucket long, node long, low long, high long, band int, step int, weight double, bands array<long>, fine array<long>"
+    shared = spark.createDataFrame(rows, columns)
     left = near_dups.still_open(shared, spark.createDataFrame([(0, 1)], "a long, b long"))
     for side in near_dups.cells(left):
         assert max(r["count"] for r in side.groupBy("bucket", "i", "j").count().collect()) < 40
-    found = near_dups.agreeing(left, 30, 31, 0.8).collect()
+    found = near_dups.agreeing(left, 256, 257, 0.8).collect()
     wanted = {(i, j) for j in range(200) for i in range(j) if (j - i) % 5 == 0}
     assert len(found) == len(wanted) and {(r["a"], r["b"]) for r in found} == wanted
 
 
+def test_further_samples_agree_as_often_as_texts_are_similar(spark):
+    rows, similar = [], {}
+    for k in range(120):  # three copies with words exchanged at equal distances
+        base = prose(3000 + k, 200).split()
+        for m, changed in enumerate((0, 4, 14)):
+            copy = list(base)
+            for j in range(changed):
+                copy[5 + j * (190 // max(changed, 1))] = f"x{k}"
+            rows.append((3 * k + m, " ".join(copy)))
+    grams = {i: {tuple(t.split()[j : j + 5]) for j in range(196)} for i, t in rows}
+    text = spark.createDataFrame(rows, "rid long, t string")
+    none = near_dups.np.zeros(0)
+    head = spark.sparkContext.broadcast((none.astype("uint64"), none, 1.0))
+    fine = near_dups.fine_samples(text, head)
+    drawn = {r["rid"]: [x >> 4 * j & 15 for x in r["fine"] for j in range(16)] for r in fine.collect()}
+    x, y = fine.alias("x"), fine.alias("y")
+    pairs = x.join(y, F.expr("x.rid div 3 = y.rid div 3 and x.rid < y.rid"))
+    for r in pairs.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b"), near_dups.fine_agreement("x", "y").alias("n")).collect():
+        a, b = r["a"], r["b"]
+        assert r["n"] == sum(map(int.__eq__, drawn[a], drawn[b]))
+        j = len(grams[a] & grams[b]) / len(grams[a] | grams[b])
+        assert abs(r["n"] - 256 * (j + (1 - j) / 16)) < 40
+        similar[a, b] = j, r["n"]
+    assert all(n >= near_dups.AGREE_FINE[-1] for j, n in similar.values() if j >= 0.8)
+    assert all(n < near_dups.AGREE_FINE[-1] for j, n in similar.values() if j <= 0.6) and min(similar.values())[0] < 0.6
+
+
+def test_classes_of_the_whole_table_against_all_pairs(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    texts, wanted = [(r["doc_id"], r["text"]) for r in rows], defaultdict(set)
+    bags = [Counter(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if w else Counter() for w in (words(t) for _, t in texts)]
+    holders = defaultdict(list)
+    for i, b in enumerate(bags):
+        for s in b:
+            holders[s].append(i)
+    n = len(texts)
+    weight = {s: 0.8 + 0.2 * min(1, math.log(n / len(h)) / math.log(1024)) for s, h in holders.items()}
+    rare = 0.8 + 0.2 * min(1, math.log(n) / math.log(1024))
+    weight = {s: w if len(holders[s]) >= max(n / 1024, 2) else rare for s, w in weight.items()}
+    total = [sum(c * weight[s] for s, c in b.items()) for b in bags]
+    part = list(range(n))
+
+    def top(i):
+        while part[i] != i:
+            i = part[i]
+        return i
+
+    blank = [i for i, b in enumerate(bags) if not b]
+    for i in blank:
+        part[top(i)] = top(blank[0])
+    for i, b in enumerate(bags):
+        both = Counter()
+        for s, c in b.items():
+            for j in holders[s]:
+                if j < i:
+                    both[j] += min(c, bags[j][s]) * weight[s]
+        for j, least in both.items():
+            if least >= 0.8 * (total[i] + total[j] - least) - 1e-9:
+                part[max(top(i), top(j))] = min(top(i), top(j))
+    for i, (doc, _) in enumerate(texts):
+        wanted[top(i)].add(doc)
+    got = defaultdict(set)
+    for r in near_dups.duplicate_classes(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect():
+        got[r["class_id"]].add(r["doc_id"])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, wanted.values()))
+
+
 def test_counted_keeps_what_is_there_often_enough():
     r = random.Random(5)
     for size, least in [(0, 1), (1, 1), (1, 2), (50, 1), (50, 3), (300, 4)]:
