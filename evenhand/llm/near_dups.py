@@ -10,7 +10,7 @@ the threshold. Classes are the connected components of the links.
 
 Comparing is done without listing the pairs of a group. Equal word sequences are one node. First
 each node is compared with the smallest node of its bands; nodes that this has joined need no more
-comparing. Nodes of bands that are still in different classes draw 256 further samples, which tell
+comparing. Nodes of bands that are still in different classes draw 512 further samples of one bit, which tell
 similarities of 0.7 from 0.8. Pairs whose further samples agree best are compared first, and after these
 have joined classes, all others whose samples agree as often as those of similar texts do. A pair is
 looked at in the first band that it shares only. A band shared by
@@ -45,19 +45,21 @@ FREQUENT = 1 << 20
 #: The first count leaves out more the larger its blocks are: partitions are joined for it to so many texts
 #: or bytes, as long as no core is left idle, and each is one block unless its shingles are too many to hold.
 COUNTED_TEXTS, COUNTED_BYTES, BLOCK_SHINGLES = 1 << 14, 1 << 27, 1 << 24
-FULL_BAND = 256
 #: Open buckets are dealt into blocks of so many nodes, and each two blocks are compared by themselves.
 BLOCK_NODES = 2048
+#: Bands that more nodes share are divided. Below two blocks dividing costs more than it saves: nodes that are similar
+#: at all meet in several of the parts.
+FULL_BAND = 2 * BLOCK_NODES
 #: Pairs that agree in so many of the 30 samples may be compared. Two texts at the threshold agree
 #: in fewer with a probability of 0.3 %, at 0.85 of 0.004 %.
 AGREE = 17
 #: Samples are packed for this by four bits each.
 NIBBLES = 15
-#: Further samples that only nodes of open buckets draw, sixteen of them packed in a number by four bits each. Pairs are
-#: compared that agree in so many of them too, in two rounds. Two texts at the threshold agree in fewer than the
-#: last of these with a probability of 0.05 %, at a similarity of 0.65 they agree in as many with one of 2 %.
-FINE, PACKED = 256, 16
-AGREE_FINE = (212, 188)
+#: Further samples that only nodes of open buckets draw, one bit of each, so that a comparison is an exclusive or and a
+#: bit count. Pairs are compared that agree in so many of them too, in two rounds. Two texts at the threshold agree in
+#: fewer than the last of these with a probability of 0.05 %, at a similarity of 0.65 they agree in as many with one of 4 %.
+FINE, PACKED = 512, 64
+AGREE_FINE = (466, 438)
 
 
 def _divisions() -> list[list[tuple[int, int]]]:
@@ -340,7 +342,7 @@ def fine_samples(texts: DataFrame, weights) -> DataFrame:
                 if not len(some):
                     continue
                 samples = sample(shingles, table.of(shingles, number, listed), starts, FINE_SEEDS)
-                bits = (samples.astype(np.uint64) & np.uint64(15)) << (np.uint64(4) * (np.arange(FINE, dtype=np.uint64) % np.uint64(PACKED)))
+                bits = (samples.astype(np.uint64) & np.uint64(1)) << (np.arange(FINE, dtype=np.uint64) % np.uint64(PACKED))
                 packed = np.bitwise_or.reduce(bits.reshape(len(some), FINE // PACKED, PACKED), axis=2)
                 ends = pa.array(np.arange(0, packed.size + 1, FINE // PACKED, dtype=np.int32))
                 lists = pa.ListArray.from_arrays(ends, pa.array(packed.reshape(-1).view(np.int64)))
@@ -380,21 +382,16 @@ def _nibble(j: Column) -> Column:
     return F.call_function("shiftright", half, j % NIBBLES * 4).bitwiseAND(F.lit(15))
 
 
-def _apart(one: Column, other: Column, nibbles: int) -> Column:
-    """One bit for each of the packed samples, at the place of its four, set if they differ."""
-    differ = one.bitwiseXOR(other)
-    differ = differ.bitwiseOR(F.shiftright(differ, 1))
-    return differ.bitwiseOR(F.shiftright(differ, 2)).bitwiseAND(F.lit(int("1" * nibbles, 16)))
-
-
 def differing(x: str, y: str, half: str) -> Column:
     """One bit for each of half the samples, at the place of its four, set if two nodes do not agree in it."""
-    return _apart(F.col(f"{x}.{half}"), F.col(f"{y}.{half}"), NIBBLES)
+    differ = F.col(f"{x}.{half}").bitwiseXOR(F.col(f"{y}.{half}"))
+    differ = differ.bitwiseOR(F.shiftright(differ, 1))
+    return differ.bitwiseOR(F.shiftright(differ, 2)).bitwiseAND(F.lit(int("1" * NIBBLES, 16)))
 
 
 def fine_agreement(x: str, y: str) -> Column:
     """In how many of the further samples two nodes agree."""
-    apart = (F.bit_count(_apart(F.col(f"{x}.fine")[k], F.col(f"{y}.fine")[k], PACKED)) for k in range(FINE // PACKED))
+    apart = (F.bit_count(F.col(f"{x}.fine")[k].bitwiseXOR(F.col(f"{y}.fine")[k])) for k in range(FINE // PACKED))
     return F.lit(FINE) - reduce(add, apart)
 
 

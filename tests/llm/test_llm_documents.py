@@ -219,7 +219,8 @@ def packed(samples):
 
 
 @pytest.mark.parametrize("band", [0, 4, 9])
-def test_pairs_that_share_only_a_full_band_are_compared(spark, band):
+def test_pairs_that_share_only_a_full_band_are_compared(spark, band, monkeypatch):
+    monkeypatch.setattr(near_dups, "FULL_BAND", 256)
     r = random.Random(band)
     drawn = [[r.randrange(16) for _ in range(30)] for _ in range(2 * near_dups.FULL_BAND)]
     for k in range(0, len(drawn), 2):  # two neighbours agree in 14 samples outside the band, and in no other band
@@ -234,8 +235,8 @@ def test_pairs_that_share_only_a_full_band_are_compared(spark, band):
     rows = [(i, 1.0, [hash((b, *s[3 * b : 3 * b + 3])) for b in range(10)], *packed(s)) for i, s in enumerate(drawn)]
     node = spark.createDataFrame(rows, "node long, weight double, bands array<long>, low long, high long")
     shared = near_dups.buckets(node).filter("step is not null").withColumn("part", F.col("node")).withColumn("blocks", F.lit(1))
-    left = shared.join(node.select("node", "weight", "bands"), "node").withColumn("fine", F.array_repeat(F.lit(-1).cast("long"), 16))
-    found = near_dups.agreeing(left, 188, 257, 0.8).collect()
+    left = shared.join(node.select("node", "weight", "bands"), "node").withColumn("fine", F.array_repeat(F.lit(-1).cast("long"), 8))
+    found = near_dups.agreeing(left, 438, 513, 0.8).collect()
     wanted = {(i, j) for i in range(len(drawn)) for j in range(i) if sum(map(int.__eq__, drawn[i], drawn[j])) >= 17}
     assert len(found) == len(wanted) and {(r["b"], r["a"]) for r in found} == wanted and len(wanted) >= near_dups.FULL_BAND
 
@@ -281,13 +282,13 @@ def test_first_count_of_few_texts_is_not_one_task(spark):
 
 def test_open_buckets_are_compared_block_by_block(spark, monkeypatch):
     monkeypatch.setattr(near_dups, "BLOCK_NODES", 16)
-    rows = [(7, i, i % 5, 0, 0, -1, 1.0, [0] * 10, [i % 5 - 2] * 16) for i in range(200)]
+    rows = [(7, i, i % 5, 0, 0, -1, 1.0, [0] * 10, [i % 5 - 2] * 8) for i in range(200)]
     columns = "bucket long, node long, low long, high long, band int, step int, weight double, bands array<long>, fine array<long>"
     shared = spark.createDataFrame(rows, columns)
     left = near_dups.still_open(shared, spark.createDataFrame([(0, 1)], "a long, b long"))
     for side in near_dups.cells(left):
         assert max(r["count"] for r in side.groupBy("bucket", "i", "j").count().collect()) < 40
-    found = near_dups.agreeing(left, 256, 257, 0.8).collect()
+    found = near_dups.agreeing(left, 512, 513, 0.8).collect()
     wanted = {(i, j) for j in range(200) for i in range(j) if (j - i) % 5 == 0}
     assert len(found) == len(wanted) and {(r["a"], r["b"]) for r in found} == wanted
 
@@ -306,14 +307,14 @@ def test_further_samples_agree_as_often_as_texts_are_similar(spark):
     none = near_dups.np.zeros(0)
     head = spark.sparkContext.broadcast((none.astype("uint64"), none, 1.0))
     fine = near_dups.fine_samples(text, head)
-    drawn = {r["rid"]: [x >> 4 * j & 15 for x in r["fine"] for j in range(16)] for r in fine.collect()}
+    drawn = {r["rid"]: [x >> j & 1 for x in r["fine"] for j in range(64)] for r in fine.collect()}
     x, y = fine.alias("x"), fine.alias("y")
     pairs = x.join(y, F.expr("x.rid div 3 = y.rid div 3 and x.rid < y.rid"))
     for r in pairs.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b"), near_dups.fine_agreement("x", "y").alias("n")).collect():
         a, b = r["a"], r["b"]
         assert r["n"] == sum(map(int.__eq__, drawn[a], drawn[b]))
         j = len(grams[a] & grams[b]) / len(grams[a] | grams[b])
-        assert abs(r["n"] - 256 * (j + (1 - j) / 16)) < 40
+        assert abs(r["n"] - 512 * (1 + j) / 2) < 56
         similar[a, b] = j, r["n"]
     assert all(n >= near_dups.AGREE_FINE[-1] for j, n in similar.values() if j >= 0.8)
     assert all(n < near_dups.AGREE_FINE[-1] for j, n in similar.values() if j <= 0.6) and min(similar.values())[0] < 0.6
