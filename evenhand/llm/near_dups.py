@@ -451,6 +451,9 @@ def agreeing(left: DataFrame, least: int, above: int, threshold: float) -> DataF
 def verified(pairs: DataFrame, text: DataFrame, weights, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts (rid, t, listed if given) have a weighted Jaccard similarity of ``threshold`` or more."""
     own = [c for c in text.columns if c != "rid"]
+    # few bytes but much work each: dealt by number, as adaptive execution would join them into one task by size
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(tasks, "a", "b").sortWithinPartitions("a")
     right = pairs.join(text, F.col("b") == F.col("rid")).select("a", "b", *[F.col(c).alias(f"{c}b") for c in own])
     both = right.join(text, F.col("a") == F.col("rid"))
     both = both.select("a", "b", "t", "tb", *[c for c in ("listed", "listedb") if "listed" in own])
