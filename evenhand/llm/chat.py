@@ -21,6 +21,9 @@ ESCAPED = r"([<\[])\\(\\*)(/?(?:s>|INST\]))"
 TURN = r"(?s)<s>\[INST\](.*?)\[/INST\](.*?)</s>"
 TRAINED_ROLE = "assistant"
 
+#: Deltas that a text is streamed in at most, their least length, and sequence numbers between messages.
+PIECES, LEAST_PIECE, STEP = 16, 64, 32
+
 
 def escape(text: Column) -> Column:
     return F.regexp_replace(text, CONTROL, r"$1\\$2$3")
@@ -115,18 +118,49 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """A table of conversations (conv_id, turn, role, text) as an event log, one event a row.
+    """A log that ends in the texts of a table of conversations (conv_id, turn, role, text).
 
-    The table has final texts only, so every event is a whole message without a key and the fold of
-    ``final_messages`` gets no rows.
+    Each row becomes the events of one message, in one of four ways by a hash of its place: streamed
+    in deltas; drafted and edited; drafted, answered, regenerated and streamed again, which withdraws
+    the answer; or sent whole. A text is streamed in at most ``PIECES`` deltas of at least
+    ``LEAST_PIECE`` code points. Sequence numbers follow turn, role and text.
     """
-    return conversations.select(
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    order = Window.partitionBy("conv").orderBy("turn", "role", "text")
+    turns = conversations.select(
         named("conv_id").alias("conv"),
-        named("turn").cast("long").alias("seq"),
-        F.lit("message").alias("kind"),
-        F.lit(None).cast("string").alias("msg"),
+        named("turn").cast("long").alias("turn"),
         named("role").cast("string").alias("role"),
         named("text").cast("string").alias("text"),
+    ).withColumns({"role": role, "text": text})
+    placed = turns.withColumn("place", (F.row_number().over(order) - 1).cast("long")).withColumns(
+        {
+            "way": F.pmod(F.xxhash64("conv", "place"), F.lit(4)),
+            "piece": F.greatest(F.ceil(F.length("text") / PIECES), F.lit(LEAST_PIECE)).cast("int"),
+        }
+    )
+    key = F.col("place").cast("string")
+
+    def event(kind: str, content: Column, given: Column | None = None, msg: Column = key) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            msg.alias("msg"),
+            (F.lit(None).cast("string") if given is None else given).alias("role"),
+            content.alias("text"),
+        )
+
+    starts = F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)), F.col("piece"))
+    streamed = F.transform(starts, lambda at: event("delta", F.substring("text", at, F.col("piece"))))
+    draft = event("message", F.left("text", F.lit(LEAST_PIECE)), F.col("role"))
+    answer = event("message", F.lit("withdrawn"), F.col("role"), F.concat(key, F.lit("+")))
+    log = (
+        F.when(F.col("way") == 0, F.concat(F.array(event("message", F.lit(""), F.col("role"))), streamed))
+        .when(F.col("way") == 1, F.array(draft, event("delta", F.lit("...")), event("edit", F.col("text"))))
+        .when(F.col("way") == 2, F.concat(F.array(draft, answer, event("regenerate", F.lit(""))), streamed))
+        .otherwise(F.array(event("message", F.col("text"), F.col("role"))))
+    )
+    return placed.select("conv", "place", F.posexplode(log).alias("at", "e")).select(
+        "conv", (F.col("place") * STEP + F.col("at")).alias("seq"), "e.kind", "e.msg", "e.role", "e.text"
     )
 
 

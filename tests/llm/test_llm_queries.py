@@ -51,6 +51,23 @@ def test_rendering_reads_back(spark, text):
     assert back[None]["texts"] == [""]
 
 
+def test_conversations_become_logs_that_fold_back(spark):
+    rows = [(c, t, ("user", "assistant", None)[t % 3], None if t == 5 else f"<{c} {t}> " + "é𝄞x " * (t * c)) for c in range(4) for t in range(40)]
+    rows += [(7, 0, "user", "ab𝄞" * 700_000), (7, 1, "assistant", "same"), (7, 1, "assistant", "same"), (None, None, None, None)]
+    table = spark.createDataFrame([(*r, "m", 1) for r in rows], "conv_id long, turn int, role string, text string, msg string, seq int")
+    log = chat.conversation_events(table)
+    assert {r["kind"] for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    assert log.filter("msg is null").count() == 0 and log.groupBy("conv", "seq").count().filter("count > 1").count() == 0
+    assert log.filter("text = 'withdrawn'").count() > 20
+    got = {}
+    for r in sorted(chat.final_messages(log).collect(), key=lambda r: r["start"]):
+        got.setdefault(r["conv"], []).append((r["role"], r["text"]))
+    wanted = {}
+    for c, _, role, text in rows:
+        wanted.setdefault(c, []).append((role or "", text or ""))
+    assert got == wanted
+
+
 def test_no_conversations_give_none(spark):
     empty = spark.createDataFrame([], "conv_id long, turn int, role string, text string")
     assert chat.format_conversations(empty).count() == 0
