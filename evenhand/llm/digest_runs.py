@@ -1,11 +1,15 @@
-"""Exact duplicates by rounds of hash aggregation over digest runs.
-
-Every row falls into one of a fixed number of runs, a hash class of its row number. A run holds one
-entry for each text it has: how many rows, and the smallest identifier. Nothing is sorted and no
-sorted runs are merged: each round is a hash aggregation by (run, digest) that puts ``2 ** LOG_FAN``
-neighbouring runs into one, keeping one verified entry a text, until one set is left. A round is
-spread over all tasks by (run, digest), so no task ever holds a whole run. The result goes back down by the same run numbers:
-a text that a third of all rows share is never joined as one key, but as one key a run.
+"""Exact duplicates by merging sorted runs of digests in rounds.
+
+A run is what one partition of the input holds: one entry for each of its texts, with the number of
+rows and the smallest identifier, sorted by digest. So there are as many runs as the input has
+partitions. In each round ``2 ** LOG_FAN`` neighbouring runs are merged into one: their entries are
+exchanged by ranges of (run, digest), the ranges of the parts are sorted, and a pass over each range
+in order puts neighbours of one verified digest together, keeping the smallest identifier. Rounds go on until
+one run is left. A run is cut into ranges, so no task ever holds a whole one, and a range is never
+crowded by a text: after the first pass a run has one entry for it.
+
+The result goes back down by the same run numbers: a text that a third of all rows share is never
+joined as one key, but as one key a run.
 """
 
 from __future__ import annotations
@@ -15,7 +19,6 @@ from pyspark.sql import functions as F
 
 from evenhand.llm.tables import keyed, named, saved, unkeyed
 
-RUNS = 64
 LOG_FAN = 3
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -25,11 +28,31 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), BLANKS, " ")
 
 
-def _merge(runs: DataFrame, *keys) -> DataFrame:
-    """One entry for each key: rows counted, the smallest identifier kept (NULL last, then by row)."""
-    return runs.groupBy(*keys, "digest", "proof").agg(
-        F.sum("n").alias("n"), F.min("least").alias("least")
+def _merge(entries: DataFrame) -> DataFrame:
+    """One entry for each text of a run: rows counted, the smallest identifier kept (NULL last, then by row)."""
+    return entries.groupBy("run", "digest", "proof").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
+
+
+def first_runs(level: DataFrame) -> DataFrame:
+    """The sorted run of each partition: run, digest, proof, n, least."""
+    one = level.select(
+        "run",
+        "digest",
+        "proof",
+        F.lit(1).cast("long").alias("n"),
+        F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col("rid")).alias("least"),
     )
+    return saved(_merge(one).sortWithinPartitions("run", "digest", "proof"), "runs")
+
+
+def merge_round(runs: DataFrame) -> DataFrame:
+    """Neighbouring runs merged in order of their digests, ``2 ** LOG_FAN`` into one.
+
+    The ranges are sorted by what they are aggregated by, so the aggregation is a pass in order
+    that neither sorts nor exchanges again.
+    """
+    met = runs.withColumn("run", F.shiftright("run", LOG_FAN))
+    return _merge(met.repartitionByRange("run", "digest").sortWithinPartitions("run", "digest", "proof"))
 
 
 def digests(rows: DataFrame, id_col: str, text_col: str, rid: str) -> DataFrame:
@@ -37,7 +60,7 @@ def digests(rows: DataFrame, id_col: str, text_col: str, rid: str) -> DataFrame:
     return rows.select(named(rid).alias("rid"), named(id_col).alias("id"), text.alias("t")).select(
         "rid",
         "id",
-        F.pmod(F.xxhash64("rid"), F.lit(RUNS)).cast("int").alias("run"),
+        F.spark_partition_id().alias("run"),
         F.sha2("t", 256).alias("digest"),
         # compared along with the digest: two texts of one digest would have to agree here as well
         F.struct(F.length("t").alias("length"), F.xxhash64("t").alias("hash")).alias("proof"),
@@ -56,18 +79,11 @@ def duplicate_groups(rows: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if own:
         rows = rows.withColumn("__rid", F.monotonically_increasing_id())
     level = saved(digests(rows, id_col, text_col, "__rid" if own else rid), "digests")
-    one = level.select(
-        "run",
-        "digest",
-        "proof",
-        F.lit(1).cast("long").alias("n"),
-        F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col("rid")).alias("least"),
-    )
-    leaves = saved(_merge(one, "run"), "runs")
-    merged, left = leaves, RUNS
+    leaves = first_runs(level)
+    merged, left = leaves, leaves.agg(F.coalesce(F.max("run"), F.lit(0)) + 1).first()[0]
     while left > 1:
         left = -(-left // (1 << LOG_FAN))
-        merged = _merge(merged, F.shiftright("run", LOG_FAN).alias("run"))
+        merged = merge_round(merged)
     root = merged.select("digest", "proof", F.col("n").alias("group_size"), F.col("least").alias("stays"))
     per_run = leaves.select("run", "digest", "proof").join(root, ["digest", "proof"])
     found = level.join(per_run, ["run", "digest", "proof"]).select(

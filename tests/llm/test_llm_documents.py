@@ -162,6 +162,34 @@ def test_exact_groups(docs, texts, empty):
     assert digest_runs.duplicate_groups(empty).count() == 0 and digest_runs.drop_duplicates(empty).count() == 0
 
 
+def test_runs_are_sorted_and_merged_in_rounds(spark):
+    r = random.Random(4)
+    rows = [(r.randrange(5000), "hot" if i % 3 == 0 else f"t {r.randrange(40)}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(70)
+    level = digest_runs.digests(docs.withColumn("r", F.monotonically_increasing_id()), "doc_id", "text", "r")
+    runs = digest_runs.first_runs(level)
+    sizes = []
+    for left in (70, 9, 2, 1):
+        assert runs.agg(F.max("run")).first()[0] == left - 1
+        entries = runs.withColumn("p", F.spark_partition_id()).collect()
+        for p in {e["p"] for e in entries}:
+            own = [(e["run"], e["digest"]) for e in entries if e["p"] == p]
+            assert own == sorted(set(own))
+        assert sum(e["n"] for e in entries) == len(rows)
+        sizes.append(len(entries))
+        runs = digest_runs.merge_round(runs)
+    assert sizes[0] > sizes[1] > sizes[2] > sizes[3] == len({t for _, t in rows})
+    plan = digest_runs.merge_round(runs)._jdf.queryExecution().executedPlan().toString()
+    merging = plan[: plan.index("rangepartitioning")]
+    assert "hashpartitioning" not in merging and merging.count("Sort [") == 1
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t].append(i)
+    got = digest_runs.duplicate_groups(docs).collect()
+    assert by(got, "doc_id", "keep_id", "group_size") == flat([(i, min(groups[t]), len(groups[t])) for i, t in rows])
+    assert sum(x["kept"] for x in got) == len(groups)
+
+
 # --- near duplicates -------------------------------------------------------------------------------
 
 
