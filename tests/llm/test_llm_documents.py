@@ -105,6 +105,41 @@ def test_pii_trees_add_what_looks_like_the_base(spark):
     assert got[5001]["spans"] == [] and not any(got[1000 + i]["spans"] for i in range(300))
 
 
+def test_pii_trees_add_other_spellings(spark):
+    r = random.Random(6)
+
+    def card(odd, sep=""):
+        digits = [4] + [r.randrange(10) for _ in range(14)]
+        total = sum(d if i % 2 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(digits))
+        digits.append((-total + odd) % 10)
+        return sep.join("".join(map(str, digits[i : i + 4])) for i in range(0, 16, 4))
+
+    rows = []
+    for i in range(200):
+        ip = ".".join(str(r.randrange(256)) for _ in range(4))
+        rows.append((i, f"{prose(i, 9)} write to ann{i}@mail{i % 9}.example.org or {prose(i + 1, 6)} paid by visa {card(0)} {prose(i, 5)}"))
+        rows.append((1000 + i, f"{prose(i, 9)} the server {ip} and {prose(i, 7)} order number {card(3)} {prose(i + 2, 5)}"))
+        rows.append((2000 + i, f"{prose(i, 7)} version 3.{r.randrange(300, 900)}.1.{i} by git@host{i % 7} or @nick{i} {prose(i, 9)}"))
+    rows += [
+        (5000, f"{prose(3, 9)} write to bob (at) mail (dot) example (dot) org, {prose(4, 6)}"),
+        (5001, f"{prose(3, 9)} contact Eve.K [AT] example.com {prose(5, 6)}"),
+        (5002, f"{prose(6, 9)} paid by visa {card(0, '.')} {prose(8, 5)}"),
+        (5003, f"{prose(7, 9)} the server 192[.]168[.]20[.]7 and {prose(9, 7)}"),
+        (5004, f"{prose(3, 9)} write to root@host7 {prose(4, 6)} order number {card(3, '.')} and 192[.]168[.]20[.]700 {prose(5, 5)}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    found = pii.find_pii(docs).collect()
+    got = {x["doc_id"]: [(s["kind"], texts[x["doc_id"]][s["start"] : s["end"]]) for s in x["spans"]] for x in found}
+    assert all(set(x["base"]) <= set(x["spans"]) for x in found) and not any(x["base"] for x in found if x["doc_id"] >= 5000)
+    assert got[5000] == [("email", "bob (at) mail (dot) example (dot) org")]
+    assert got[5001] == [("email", "Eve.K [AT] example.com")]
+    assert [kind for kind, _ in got[5002]] == ["card"] and got[5003] == [("ip", "192[.]168[.]20[.]7")]
+    assert got[5004] == [] and not any(got[2000 + i] for i in range(200))
+    sizes = {x["doc_id"]: len(x["spans"]) for x in found}
+    assert all(sizes[i] == 2 and sizes[1000 + i] == 1 for i in range(200))
+
+
 def test_pii_redaction_replaces_spans(spark):
     docs = spark.createDataFrame([(1, "to a@b.org, +1 (555) 555-0100."), (2, None), (3, "none")], "doc_id long, text string")
     assert by(pii.redact(docs).collect(), "doc_id", "text") == [(1, "to [email], [phone]."), (2, None), (3, "none")]
