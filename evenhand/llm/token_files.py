@@ -89,26 +89,26 @@ class WordEncoder:
         if len(self.young) > CACHED_WORDS:
             self.old, self.young = self.young, {}
         split = [None if self.after_blank(t) else t.split(" ") for t in texts]
-        words: set[str] = set()
-        words.update(*filter(None, split))
-        words.difference_update(self.young)
-        back = [w for w in words if w in self.old]
-        self.young.update(zip(back, map(self.old.__getitem__, back), strict=True))
-        words.difference_update(back)
+        seen: set[str] = set()
+        seen.update(*filter(None, split))
+        young, old = self.young, self.old
+        unknown = [w for w in seen if w not in young]
+        back = [w for w in unknown if w in old]
+        young.update(zip(back, map(old.__getitem__, back), strict=True))
+        words = [w for w in unknown if w not in young] if back else unknown
         short = [w for w in words if w and len(w) <= CACHED_LENGTH]
-        self.young.update(zip(short, self._encode_words(short), strict=True))
-        words.difference_update(short)
-        alone = list(words)
-        self.young.update(zip(alone, self._encode([" " + w for w in alone]), strict=True))
+        young.update(zip(short, self._encode_words(short), strict=True))
+        alone = [w for w in words if not w or len(w) > CACHED_LENGTH]
+        young.update(zip(alone, self._encode([" " + w for w in alone]), strict=True))
         heads = self._encode([t if words is None else words[0] for t, words in zip(texts, split, strict=True)])
-        ids = self.young.__getitem__
+        ids = young.__getitem__
         out = [
             head if words is None else head + b"".join(map(ids, words[1:]))
             for head, words in zip(heads, split, strict=True)
         ]
         for word in alone:  # long words are not kept
             if len(word) > CACHED_LENGTH:
-                del self.young[word]
+                del young[word]
         return out
 
 
