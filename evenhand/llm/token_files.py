@@ -67,15 +67,17 @@ class WordEncoder:
         self.spaced[[i for piece, i in vocabulary.items() if piece.startswith("\u0120")]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+        return [np.asarray(e.ids, "<u4").tobytes() for e in self._fast(texts)]
+
+    def _fast(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word with a space before it: many words are one text, cut at its spaces."""
         out: list[bytes] = []
         for at in range(0, len(words), JOINED):
             some = words[at : at + JOINED]
-            ids = np.asarray(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.asarray(self._fast([" " + " ".join(some)])[0].ids, "<u4")
             begins = np.flatnonzero(self.spaced[ids])
             if len(begins) == len(some):
                 whole, ends = ids.tobytes(), [*(4 * begins[1:]).tolist(), 4 * len(ids)]
@@ -88,24 +90,26 @@ class WordEncoder:
         """The ids of each text as bytes."""
         if len(self.young) > CACHED_WORDS:
             self.old, self.young = self.young, {}
-        split = [None if self.after_blank(t) else t.split(" ") for t in texts]
-        seen: set[str] = set()
-        seen.update(*filter(None, split))
         young, old = self.young, self.old
-        unknown = [w for w in seen if w not in young]
+        split = [[t] if self.after_blank(t) else t.split(" ") for t in texts]
+        found = [list(map(young.get, words)) for words in split]
+        # the first piece of a text has no space before it, so it is not one of the kept words
+        gaps = [[i for i, ids in enumerate(row) if ids is None and i] if None in row else [] for row in found]
+        unknown = {words[i] for words, places in zip(split, gaps, strict=True) for i in places}
         back = [w for w in unknown if w in old]
         young.update(zip(back, map(old.__getitem__, back), strict=True))
-        words = [w for w in unknown if w not in young] if back else unknown
-        short = [w for w in words if w and len(w) <= CACHED_LENGTH]
+        unknown.difference_update(back)
+        short = [w for w in unknown if w and len(w) <= CACHED_LENGTH]
         young.update(zip(short, self._encode_words(short), strict=True))
-        alone = [w for w in words if not w or len(w) > CACHED_LENGTH]
+        alone = [w for w in unknown if not w or len(w) > CACHED_LENGTH]
         young.update(zip(alone, self._encode([" " + w for w in alone]), strict=True))
-        heads = self._encode([t if words is None else words[0] for t, words in zip(texts, split, strict=True)])
-        ids = young.__getitem__
-        out = [
-            head if words is None else head + b"".join(map(ids, words[1:]))
-            for head, words in zip(heads, split, strict=True)
-        ]
+        heads = self._encode([words[0] for words in split])
+        out = []
+        for head, words, row, places in zip(heads, split, found, gaps, strict=True):
+            row[0] = head
+            for i in places:
+                row[i] = young[words[i]]
+            out.append(b"".join(row))
         for word in alone:  # long words are not kept
             if len(word) > CACHED_LENGTH:
                 del young[word]
