@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
@@ -591,6 +592,23 @@ def test_readers_take_single_documents_and_check_frames(docs, texts, tmp_path):
         token_files.open_file(name).document(place)
 
 
+def test_word_encoder_gives_the_tokens_of_whole_texts(texts, monkeypatch):
+    from tokenizers import Tokenizer
+
+    definition = open(token_files.default_vocabulary()).read()
+    tokenizer, r = Tokenizer.from_str(definition), random.Random(2)
+    some = [t or "" for _, t in texts] + ["", " ", "a  b", "  x", " a b ", "x\n y", "x \ny", "w" * 300 + " " + "v" * 100, "é𝄞 " * 40, "a\u00a0 b"]
+    some += [" ".join(r.choice(("in", "the", "é", "", "\t", "3.5", "z" * 70, prose(i, 1))) for i in range(30)) for _ in range(60)]
+    wanted = [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+    for kept in (1_000_000, 20):
+        monkeypatch.setattr(token_files, "CACHED_WORDS", kept)
+        encoder = token_files.WordEncoder(definition)
+        for _ in range(2):
+            got = [x for at in range(0, len(some), 7) for x in encoder.encode(some[at : at + 7])]
+            assert [list(struct.unpack(f"<{len(x) // 4}I", x)) for x in got] == wanted
+        assert all(len(w) <= token_files.CACHED_LENGTH for w in encoder.young)
+
+
 # --- sampled segmentations -------------------------------------------------------------------------
 
 
