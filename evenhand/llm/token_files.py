@@ -195,7 +195,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     NULL text is the empty text, which has the end id only. NULL ids come first; rows that share an
     id are ordered by a hash of their text. ``vocabulary`` is the path of a tokenizer file that the
     driver reads. A repeated task writes a file of its own, and the manifest names the one that
-    counts. An empty table has an empty manifest.
+    counts. An empty table has an empty manifest. There are at most as many files as shuffle partitions or as
+    partitions of ``docs``, whichever is more, so files do not grow with a table.
     """
     spark = docs.sparkSession
     path = path or shared_path(spark, "tokens")
@@ -204,7 +205,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     text = F.coalesce(named(text_col).cast("string"), F.lit(""))
     rows = docs.select(named(id_col).cast("long").alias("id"), text.alias("t"))
     order = [F.col("id"), F.xxhash64("t"), F.monotonically_increasing_id()]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions("id", F.xxhash64("t"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,10 +248,11 @@ def read_tokens(manifest: DataFrame, first: int | None = None, last: int | None
     ``start`` counts the ids of all documents before. With ``first`` or ``last`` only documents of
     that range of ids are decompressed.
     """
+    parts = max(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), manifest.count())
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # one row a file
     placed = manifest.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-    files = placed.select("file", "base").repartition(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), "file")
+    files = placed.select("file", "base").repartition(parts, "file")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -592,6 +592,15 @@ def test_readers_take_single_documents_and_check_frames(docs, texts, tmp_path):
         token_files.open_file(name).document(place)
 
 
+def test_files_follow_the_partitions_of_the_table(spark):
+    table = spark.createDataFrame([(i, prose(i, 5)) for i in range(300)], "doc_id long, text string").repartition(21)
+    manifest = token_files.write_tokens(table, token_files.default_vocabulary())
+    assert 15 < manifest.count() <= 21
+    got = sorted((r["doc_id"], r["start"], r["n_tokens"]) for r in token_files.read_tokens(manifest).collect())
+    assert [i for i, _, _ in got] == list(range(300))
+    assert all(a[1] + a[2] == b[1] for a, b in zip(got, got[1:], strict=False))
+
+
 def test_word_encoder_gives_the_tokens_of_whole_texts(texts, monkeypatch):
     from tokenizers import Tokenizer
 
