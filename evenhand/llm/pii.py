@@ -11,6 +11,9 @@ of its kind, handles and hosts without a domain, and parts of base spans of anot
 other spellings that could be right, and only these are scored. The trees see the kind, the shape of
 the value in its plain spelling and the context, but neither which generator it was nor anything a check
 decides by, so what they learn from plain spans carries over to the others.
+
+Trees and thresholds come from all labelled spans. What the trees see is yes or no throughout, so equal spans
+are counted first and weigh what they count, and no split points have to be found from a sample.
 """
 
 from __future__ import annotations
@@ -68,13 +71,20 @@ CUES = {
     "number": r"(?i)\bno\.?\b|number|order|invoice|version|\bv\b|isbn|id\b",
 }
 BEFORE, AFTER = 32, 16
+#: Numbers are seen as whether they reach each of these.
+STEPS = {
+    "length": (6, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 22, 24, 28, 32, 48),
+    "n_letters": (1, 2, 4, 6, 8, 10, 12, 14, 16, 18, 20, 24, 28, 32, 48),
+    "n_dots": (1, 2, 3, 4, 5),
+    "n_breaks": (1, 2, 3, 4, 5, 6, 8),
+    "varied": (2, 3, 4, 5, 6, 7, 8, 9, 10),
+}
 
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds of the fit: labelled candidates used at most, and the trees."""
+    """The trees, and what their thresholds have to reach."""
 
-    rows: int = 20_000
     trees: int = 10
     depth: int = 3
     step: float = 0.3
@@ -170,60 +180,73 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return checked.withColumns({"meets": met("rid", "kind"), "inside": met("rid")})
 
 
+def _measured(spans: DataFrame) -> DataFrame:
+    """Add the numbers of ``STEPS``, as ``m_`` columns."""
+    value = F.col("value")
+    return spans.withColumns(
+        {
+            "m_length": F.length(value),
+            "m_n_letters": F.length(F.regexp_replace(value, r"[^A-Za-z]", "")),
+            "m_n_dots": F.length(F.regexp_replace(value, r"[^.]", "")),
+            "m_n_breaks": F.length(F.regexp_replace(value, r"[^\x20()-]", "")),
+            "m_varied": F.size(F.array_distinct(F.split("digits", ""))),
+        }
+    )
+
+
 def _features() -> dict[str, Column]:
-    value, digits = F.col("value"), F.col("digits")
+    """What the trees see of measured spans: 0 or 1 each, and marked as such for them."""
     last, first = F.right("before", F.lit(1)), F.left("after", F.lit(1))
-    kinds = {f"is_{kind}": F.col("kind") == kind for kind in KINDS}
-    cues = {f"cue_{name}": F.col("before").rlike(cue) for name, cue in CUES.items()}
-    shape = {
-        "length": F.length(value),
-        "n_letters": F.length(F.regexp_replace(value, r"[^A-Za-z]", "")),
-        "n_dots": F.length(F.regexp_replace(value, r"[^.]", "")),
-        "n_breaks": F.length(F.regexp_replace(value, r"[^\x20()-]", "")),
-        "glued_left": last.rlike(r"[\p{L}0-9_.-]"),
-        "glued_right": first.rlike(r"[\p{L}0-9_-]"),
-        "varied": F.size(F.array_distinct(F.split(digits, ""))),
+    found = {f"is_{kind}": F.col("kind") == kind for kind in KINDS}
+    found |= {f"{name}_{least}": F.col(f"m_{name}") >= least for name, steps in STEPS.items() for least in steps}
+    found |= {"glued_left": last.rlike(r"[\p{L}0-9_.-]"), "glued_right": first.rlike(r"[\p{L}0-9_-]")}
+    found |= {f"cue_{name}": F.col("before").rlike(cue) for name, cue in CUES.items()}
+    return {
+        f"f_{name}": F.coalesce(c.cast("double"), F.lit(0.0)).alias(f"f_{name}", metadata={"ml_attr": {"type": "binary"}})
+        for name, c in found.items()
     }
-    return {f"f_{name}": F.coalesce(c.cast("double"), F.lit(0.0)) for name, c in {**kinds, **shape, **cues}.items()}
+
+
+def _label() -> Column:
+    return F.when(F.col("valid") | (~F.col("plain") & F.col("meets")), 1.0).when(
+        F.col("plain") | F.col("inside") | ~F.col("sound"), 0.0
+    )
+
+
+def labelled(spans: DataFrame, training: Training) -> DataFrame:
+    """How many spans (weight) have the same label, kind and features, of all that have a label; every fourth is held out."""
+    features = _features()
+    held = F.pmod(F.xxhash64("rid", "generator", "start", F.lit(training.seed)), F.lit(4)) == 0
+    each = _measured(spans.withColumn("label", _label()).filter(F.col("label").isNotNull()))
+    each = each.select("label", "kind", held.alias("held"), *features.values())
+    return each.groupBy(*each.columns).agg(F.count("*").cast("double").alias("weight"))
 
 
 def _score(found: DataFrame, training: Training) -> DataFrame:
     """Add ``chosen``: candidates beyond the base that pass the calibrated threshold of their kind."""
     features = _features()
     spans = found.filter(F.col("generator").isNotNull())
-    label = F.when(F.col("valid") | (~F.col("plain") & F.col("meets")), 1.0).when(
-        F.col("plain") | F.col("inside") | ~F.col("sound"), 0.0
-    )
-    order = F.xxhash64("rid", "generator", "start", F.lit(training.seed))
-    labelled = (
-        spans.withColumn("label", label)
-        .filter(F.col("label").isNotNull())
-        .select("label", "kind", order.alias("o"), *[c.alias(n) for n, c in features.items()])
-        .orderBy("o")
-        .limit(training.rows)
-    )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    sample = saved(assembler.transform(labelled).select("label", "kind", "o", "features"), "labelled")
-    held = F.pmod(F.col("o"), F.lit(4)) == 0
-    counts = {r["label"]: r["n"] for r in sample.filter(~held).groupBy("label").agg(F.count("o").alias("n")).collect()}
-    if len(counts) < 2:
+    known = assembler.transform(labelled(spans, training))
+    known = saved(known.select("label", "kind", "held", "weight", "features"), "labelled")
+    if known.filter("not held").select("label").distinct().count() < 2:
         return found.withColumn("chosen", F.lit(False))
     model = GBTClassifier(
-        maxIter=training.trees, maxDepth=training.depth, stepSize=training.step, maxBins=16, seed=training.seed
-    ).fit(sample.filter(~held))
+        weightCol="weight", maxIter=training.trees, maxDepth=training.depth, stepSize=training.step, maxBins=16, seed=training.seed
+    ).fit(known.filter("not held"))
     probability = vector_to_array("probability")[1]
     bins = (
-        model.transform(sample.filter(held))
+        model.transform(known.filter("held"))
         .groupBy("kind", F.floor(probability * training.bins).alias("bin"))
-        .agg(F.sum("label").alias("right"), F.count("label").alias("n"))
+        .agg(F.sum(F.col("label") * F.col("weight")).alias("right"), F.sum("weight").alias("n"))
         .collect()
     )
     thresholds = {k: _threshold([b for b in bins if b["kind"] == k], training) for k in KINDS}
     limit = F.lit(2.0)
     for kind, value in thresholds.items():
         limit = F.when(F.col("kind") == kind, F.lit(value)).otherwise(limit)
-    rest = spans.filter(label.isNull())
-    scored = model.transform(assembler.transform(rest.select("*", *[c.alias(n) for n, c in features.items()])))
+    rest = _measured(spans.filter(_label().isNull()))
+    scored = model.transform(assembler.transform(rest.select("*", *features.values())))
     chosen = scored.filter(probability >= limit).select(*found.columns).withColumn("chosen", F.lit(True))
     others = found.filter(F.col("generator").isNull() | F.col("valid")).withColumn("chosen", F.lit(False))
     # what is not chosen leaves only the text's own row, so that every text keeps one

@@ -141,6 +141,18 @@ def test_pii_trees_add_other_spellings(spark):
     assert all(sizes[i] == 2 and sizes[1000 + i] == 1 for i in range(200))
 
 
+def test_pii_trees_learn_from_all_labelled_spans(spark):
+    rows = [(i, " ".join(f"{a} {i % 200}.{i // 200}.7.{a}" for a in range(100))) for i in range(400)]
+    rows += [(1000 + i, f"order 900.{i}.7.1") for i in range(100)]
+    found = pii.candidates(spark.createDataFrame(rows, "doc_id long, text string"))
+    spans = found.filter("generator is not null and kind = 'ip'").cache()
+    counts = {}
+    for r in pii.labelled(spans, pii.Training()).collect():
+        counts[r["label"]] = counts.get(r["label"], 0) + r["weight"]
+    assert counts == {1.0: 40_000, 0.0: 100}
+    assert all(set(r) <= {0.0, 1.0} for r in pii._measured(spans).select(*pii._features().values()).distinct().collect())
+
+
 def test_pii_redaction_replaces_spans(spark):
     docs = spark.createDataFrame([(1, "to a@b.org, +1 (555) 555-0100."), (2, None), (3, "none")], "doc_id long, text string")
     assert by(pii.redact(docs).collect(), "doc_id", "text") == [(1, "to [email], [phone]."), (2, None), (3, "none")]
