@@ -11,8 +11,9 @@ the threshold. Classes are the connected components of the links.
 Comparing is done without listing the pairs of a group. Equal word sequences are one node. First
 each node is compared with the smallest node of its bands; nodes that this has joined need no more
 comparing. Nodes of bands that are still in different classes draw 512 further samples of one bit, which tell
-similarities of 0.7 from 0.8. Pairs whose further samples agree best are compared first, and after these
-have joined classes, all others whose samples agree as often as those of similar texts do. A pair is
+similarities of 0.7 from 0.8, and come together with their texts, a block of a band in a task. Pairs whose
+further samples agree as often as those of similar texts do are compared there, best first, unless pairs before have joined
+their classes, and a link is given out only if it joins two: at most one for each node. A pair is
 looked at in the first band that it shares only. A band shared by
 very many nodes is divided by pairs of the other samples, chosen such that two nodes that agree often
 enough to be compared have at least one pair in common, so that dividing loses no link.
@@ -56,10 +57,12 @@ AGREE = 17
 #: Samples are packed for this by four bits each.
 NIBBLES = 15
 #: Further samples that only nodes of open buckets draw, one bit of each, so that a comparison is an exclusive or and a
-#: bit count. Pairs are compared that agree in so many of them too, in two rounds. Two texts at the threshold agree in
-#: fewer than the last of these with a probability of 0.05 %, at a similarity of 0.65 they agree in as many with one of 4 %.
+#: bit count. Pairs are compared that agree in so many of them too. Two texts at the threshold agree in
+#: fewer with a probability of 0.05 %, at a similarity of 0.65 they agree in as many with one of 4 %.
 FINE, PACKED = 512, 64
-AGREE_FINE = (466, 438)
+AGREE_FINE = (438,)
+#: Pairs of a block are looked at for so many of its nodes at a time, and so many shingles of texts are kept meanwhile.
+STRIP_NODES, KEPT_SHINGLES = 256, 1 << 22
 
 
 def _divisions() -> list[list[tuple[int, int]]]:
@@ -426,10 +429,18 @@ def cells(left: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first, second
 
 
+def together(left: DataFrame) -> DataFrame:
+    """Each node of a bucket once at every (i, j) where ``cells`` has it, with its ``block``."""
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = left.withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return placed.withColumn("i", F.least("block", "with")).withColumn("j", F.greatest("block", "with")).drop("with", "blocks")
+
+
 def agreeing(left: DataFrame, least: int, above: int, threshold: float) -> DataFrame:
     """Pairs (a, b) of nodes of one bucket and different parts, each pair once.
 
-    They agree in ``AGREE`` samples, and in ``least`` or more but fewer than ``above`` of the further ones.
+    They agree in ``AGREE`` samples, and in ``least`` or more but fewer than ``above`` of the further ones. This lists what
+    ``joining`` goes through; the number of pairs grows with the square of a bucket.
     """
     on = (
         (F.col("x.bucket") == F.col("y.bucket"))
@@ -448,26 +459,40 @@ def agreeing(left: DataFrame, least: int, above: int, threshold: float) -> DataF
     return found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
+class Bags:
+    """Shingles of single texts, sorted, with their weights."""
+
+    def __init__(self, weights):
+        self.table = Weights(*weights)
+
+    def of(self, text: bytes, listed: pa.ListArray | None) -> tuple[np.ndarray, np.ndarray]:
+        data = np.frombuffer(text, np.uint8)
+        words, counts = word_hashes(data, np.array([0, len(data)]))
+        shingles, _, number = with_counts(*shingle_hashes(words, counts))
+        order = np.argsort(shingles)
+        return shingles[order], self.table.of(shingles, number, listed)[order]
+
+
+def similar(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], threshold: float) -> bool:
+    """Whether two bags have a weighted Jaccard similarity of ``threshold`` or more."""
+    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
+    least = np.minimum(x[1][i], y[1][j]).sum()
+    return least >= threshold * (x[1].sum() + y[1].sum() - least) - 1e-9
+
+
 def verified(pairs: DataFrame, text: DataFrame, weights, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts (rid, t, listed if given) have a weighted Jaccard similarity of ``threshold`` or more."""
     own = [c for c in text.columns if c != "rid"]
     # few bytes but much work each: dealt by number, as adaptive execution would join them into one task by size
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = pairs.repartition(tasks, "a", "b").sortWithinPartitions("a")
+    text = text.hint("merge")
     right = pairs.join(text, F.col("b") == F.col("rid")).select("a", "b", *[F.col(c).alias(f"{c}b") for c in own])
     both = right.join(text, F.col("a") == F.col("rid"))
     both = both.select("a", "b", "t", "tb", *[c for c in ("listed", "listedb") if "listed" in own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Weights(*weights.value)
-
-        def bag(text: bytes, listed: pa.ListArray | None):
-            data = np.frombuffer(text, np.uint8)
-            words, counts = word_hashes(data, np.array([0, len(data)]))
-            shingles, _, number = with_counts(*shingle_hashes(words, counts))
-            order = np.argsort(shingles)
-            return shingles[order], table.of(shingles, number, listed)[order]
-
+        bags = Bags(weights.value)
         held, own = None, None
         for batch in batches:
             a, b = batch.column(0), batch.column(1)
@@ -476,18 +501,126 @@ def verified(pairs: DataFrame, text: DataFrame, weights, threshold: float) -> Da
             keep = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
                 if held != a[i].as_py():
-                    held, own = a[i].as_py(), bag(left[i].as_py(), lists[0].slice(i, 1) if lists else None)
-                theirs = bag(other[i].as_py(), lists[1].slice(i, 1) if lists else None)
-                _, x, y = np.intersect1d(own[0], theirs[0], assume_unique=True, return_indices=True)
-                least = np.minimum(own[1][x], theirs[1][y]).sum()
-                most = own[1].sum() + theirs[1].sum() - least
-                keep[i] = least >= threshold * most - 1e-9
+                    held, own = a[i].as_py(), bags.of(left[i].as_py(), lists[0].slice(i, 1) if lists else None)
+                theirs = bags.of(other[i].as_py(), lists[1].slice(i, 1) if lists else None)
+                keep[i] = similar(own, theirs, threshold)
             at = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays([a.take(at), b.take(at)], names=["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")
 
 
+def _agreed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """One bit for each of half the samples, as ``differing`` has it, but set if two packed nodes agree in it."""
+    differ = x ^ y
+    differ |= differ >> 1
+    differ |= differ >> 2
+    return ~differ & int("1" * NIBBLES, 16)
+
+
+def candidates(cell: dict[str, np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the nodes of the pairs of a cell that may be similar, those that agree best first; what ``agreeing`` has."""
+    n, crossed = len(cell["node"]), cell["i"][0] != cell["j"][0]
+    band, step = int(cell["band"][0]), int(cell["step"][0])
+    earlier = DIVISIONS[band][: max(step, 0)]
+    fine = cell["fine"].view(np.uint64)  # bits of negative numbers would be counted without their sign
+    found = []
+    for first in range(0, n, STRIP_NODES):
+        x = slice(first, min(first + STRIP_NODES, n))
+        apart = cell["part"][x, None] != cell["part"][None, :]
+        if crossed:
+            apart &= cell["block"][x, None] < cell["block"][None, :]
+        else:
+            apart &= np.arange(n)[x, None] < np.arange(n)[None, :]
+        w, v = cell["weight"][x, None], cell["weight"][None, :]
+        apart &= np.minimum(w, v) >= threshold * np.maximum(w, v) - 1e-9
+        agreed = np.full(apart.shape, FINE, np.int16)
+        for k in range(FINE // PACKED):
+            agreed -= np.bitwise_count(fine[x, None, k] ^ fine[None, :, k])
+        a, b = np.nonzero(apart & (agreed >= AGREE_FINE[-1]))
+        agreed = agreed[a, b]
+        a = a + first
+        low, high = (_agreed(cell[half][a], cell[half][b]) for half in ("low", "high"))
+        keep = np.bitwise_count(low).astype(int) + np.bitwise_count(high) >= AGREE
+        for k in range(band):
+            keep &= cell["bands"][a, k] != cell["bands"][b, k]
+        bit = lambda s: ((low if s < NIBBLES else high) >> 4 * (s % NIBBLES)) & 1
+        for s, t in earlier:
+            keep &= (bit(s) & bit(t)) == 0
+        found.append((agreed[keep], a[keep].astype(np.int32), b[keep].astype(np.int32)))
+    agreed, a, b = (np.concatenate(f) for f in zip(*found, strict=True))
+    order = np.argsort(-agreed, kind="stable")
+    return a[order], b[order]
+
+
+def joining(left: DataFrame, weights, threshold: float) -> DataFrame:
+    """Links (a, b) of nodes of one bucket that join all parts that pairs of similar nodes of the bucket's cells join.
+
+    ``left`` has what ``agreeing`` takes, and each node's text (t, listed if given). A pair whose parts others have
+    joined before is not compared, and a cell gives out no more links than it joins parts.
+    """
+    columns = ["bucket", "i", "j", "node", "block", "part", "weight", "band", "step", "low", "high", "bands", "fine", "t"]
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = together(left).select(*columns, *[c for c in ("listed",) if c in left.columns])
+    met = met.repartition(tasks, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
+
+    def compare(rows: pa.Table, bags: Bags) -> list[tuple[int, int]]:
+        plain = {c: rows.column(c).to_numpy() for c in columns[:11]}
+        lists = {c: rows.column(c).combine_chunks().flatten().to_numpy().reshape(len(rows), -1) for c in ("bands", "fine")}
+        a, b = candidates(plain | lists, threshold)
+        if not len(a):
+            return []
+        text = rows.column("t").cast(pa.binary())
+        listed = rows.column("listed").combine_chunks() if "listed" in rows.column_names else None
+        above = np.unique(plain["part"], return_inverse=True)[1].tolist()
+        top = list(range(len(rows)))
+        held, size, links = {}, 0, []
+
+        def root(part: int) -> int:
+            while top[part] != part:
+                top[part] = part = top[top[part]]
+            return part
+
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            p, q = root(above[x]), root(above[y])
+            if p == q:
+                continue
+            if size > KEPT_SHINGLES:
+                held, size = {}, 0
+            for k in (x, y):
+                if k not in held:
+                    held[k] = bags.of(text[k].as_py(), None if listed is None else listed.slice(k, 1))
+                    size += len(held[k][0])
+            if similar(held[x], held[y], threshold):
+                top[p] = q
+                links.append((int(plain["node"][x]), int(plain["node"][y])))
+        return links
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bags, held, last = Bags(weights.value), [], None
+
+        def done() -> pa.RecordBatch:
+            links = np.array(compare(pa.Table.from_batches(held), bags), np.int64).reshape(-1, 2)
+            ends = [pa.array(f(links, axis=1)) for f in (np.min, np.max)] if len(links) else [pa.array([], pa.int64())] * 2
+            return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(3)], axis=1)
+            new = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for first, end in zip([0, *new.tolist()], [*new.tolist(), len(keys)], strict=True):
+                if held and tuple(keys[first]) != last:
+                    yield done()
+                    held = []
+                held.append(batch.slice(first, end - first))
+                last = tuple(keys[first])
+        if held:
+            yield done()
+
+    return met.mapInArrow(run, "a long, b long")
+
+
 def still_open(shared: DataFrame, edges: DataFrame) -> DataFrame:
     """The rows of buckets whose nodes the links have not joined into one class, with each node's ``part`` and the bucket's ``blocks``."""
     classes = components(edges)
@@ -517,23 +650,21 @@ def links(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, Dat
     node = saved(node.select(F.col("rid").alias("node"), "weight", "bands", "low", "high"), "nodes")
     shared = saved(buckets(node), "buckets")
     leaders = shared.groupBy("bucket").agg(F.min(F.struct("node", "low", "high")).alias("first"))
-    text = saved(text.join(shared.select(F.col("node").alias("rid")).distinct(), "rid", "left_semi"), "compared")
+    # joins that carry texts are by shuffle whatever the size, so that a small table tells what a large one will need
+    text = saved(text.join(shared.select(F.col("node").alias("rid")).distinct().hint("merge"), "rid", "left_semi"), "compared")
     stars = shared.alias("x").join(leaders, "bucket").filter(F.col("first.node") < F.col("node"))
     stars = stars.filter((F.coalesce("step", F.lit(-1)) < 0) | (agreement("x", "first") >= AGREE))
     stars = stars.select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
     known = saved(verified(stars, text, weights, threshold), "star-links")
-    above, fine, passing = FINE + 1, None, []
-    for least in AGREE_FINE:
-        with recorded(passing):
-            left = saved(still_open(shared.filter("step is not null"), known), "open")
-        if fine is None:  # the second round has no nodes that the first does not have
-            own = text.join(left.select(F.col("node").alias("rid")).distinct(), "rid", "left_semi")
-            fine = saved(fine_samples(own, weights).withColumnRenamed("rid", "node"), "fine")
-        pairs = agreeing(left.join(node.select("node", "weight", "bands"), "node").join(fine, "node"), least, above, threshold)
-        found = saved(verified(pairs.distinct(), text, weights, threshold), "links")
-        known, above = known.unionByName(found), least
-        release(spark, passing)
-    return member, known
+    passing = []
+    with recorded(passing):
+        left = saved(still_open(shared.filter("step is not null"), known), "open")
+        own = text.join(left.select(F.col("node").alias("rid")).distinct().hint("merge"), "rid", "left_semi")
+        drawn = node.select("node", "weight", "bands").join(fine_samples(own, weights).withColumnRenamed("rid", "node"), "node")
+        drawn = saved(own.withColumnRenamed("rid", "node").join(drawn.hint("merge"), "node"), "fine")
+    found = saved(joining(left.join(drawn.hint("merge"), "node"), weights, threshold), "links")
+    release(spark, passing)
+    return member, known.unionByName(found)
 
 
 def duplicate_classes(

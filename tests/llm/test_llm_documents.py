@@ -369,6 +369,32 @@ def test_open_buckets_are_compared_block_by_block(spark, monkeypatch):
     assert len(found) == len(wanted) and {(r["a"], r["b"]) for r in found} == wanted
 
 
+@pytest.mark.parametrize("nodes", [2048, 40])
+def test_cells_give_out_few_links_that_join_what_all_pairs_join(spark, monkeypatch, nodes):
+    monkeypatch.setattr(near_dups, "BLOCK_NODES", nodes)
+    rows = []
+    for k in range(4):
+        base = prose(500 + k, 200).split()
+        for i in range(50):  # many copies of a text, similar to some of the others only
+            copy = list(base)
+            for j in range(i % 5 + 1):
+                copy[(i * 7 + j * 37) % 200] = f"w{i % 25}"
+            rows.append((100 * k + i, " ".join(copy)))
+    text = spark.createDataFrame(rows, "rid long, t string")
+    none = near_dups.np.zeros(0)
+    head = spark.sparkContext.broadcast((none.astype("uint64"), none, 1.0))
+    sketch = near_dups.sketches(text, head).withColumnRenamed("rid", "node").cache()
+    shared = near_dups.buckets(sketch).filter("step is not null")
+    drawn = sketch.select("node", "weight", "bands").join(near_dups.fine_samples(text, head).withColumnRenamed("rid", "node"), "node")
+    left = near_dups.still_open(shared, spark.createDataFrame([(0, 0)], "a long, b long")).join(drawn, "node").cache()
+    pairs = near_dups.verified(near_dups.agreeing(left, near_dups.AGREE_FINE[-1], 513, 0.8), text, head, 0.8).cache()
+    links = near_dups.joining(left.join(text.withColumnRenamed("rid", "node"), "node"), head, 0.8).cache()
+    parts = [by(near_dups.components(x).collect(), "id", "component") for x in (pairs, links)]
+    assert parts[0] == parts[1] and 4 < len({c for _, c in parts[0]}) + 200 - len(parts[0]) < 200
+    assert links.join(pairs, ["a", "b"], "left_anti").isEmpty()
+    assert links.count() < left.count() and (nodes < 200 or links.count() < pairs.count())
+
+
 def test_further_samples_agree_as_often_as_texts_are_similar(spark):
     rows, similar = [], {}
     for k in range(120):  # three copies with words exchanged at equal distances
