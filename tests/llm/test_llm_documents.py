@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import struct
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from evenhand.llm import digest_runs, jump_shards, mixing, near_dups, pii, repeated_bytes, rule_ledger
 from evenhand.llm import segment_sampling, token_files
+from evenhand.llm.tables import recorded
 
 SCHEMA = "doc_id long, text string, lang string, source string, kept boolean, rid string, size long, row string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -536,6 +538,24 @@ def test_repeats_that_barely_reach_the_length(spark):
     assert by(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == without_repeats(rows)
 
 
+def test_repeats_are_narrowed_down_and_tables_dropped(spark):
+    r = random.Random(11)
+    letters = lambda n: "".join(r.choice("abcdé ") for _ in range(n))
+    passages, rows = [letters(1500) for _ in range(3)] + ["abc" * 400], []
+    for i in range(40):
+        p, a, n = passages[i % 4], r.randint(0, 500), r.randint(390, 900)
+        rows.append((i, letters(r.randint(0, 200)) + p[a : a + n] + letters(r.randint(0, 200))))
+    rows += [(40, rows[3][1]), (41, None), (42, "")]
+    docs, paths = spark.createDataFrame(rows, "doc_id long, text string"), []
+    with recorded(paths):
+        got = repeated_bytes.remove_repeats(docs).collect()
+    assert by(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == without_repeats(rows)
+    kept = {re.search(r"evenhand-(\w+)-", p)[1]: p for p in paths if os.path.exists(p.removeprefix("file:"))}
+    assert not kept.keys() & {"texts", "ranks"}
+    windows = spark.read.parquet(kept["runs"]).agg({"number": "sum"}).first()[0]
+    assert 0 < spark.read.parquet(kept["windows"]).count() < windows / 2
+
+
 # --- mixing ----------------------------------------------------------------------------------------
 
 
